@@ -85,7 +85,7 @@ def display_score(score, decimals: int = DISPLAY_DECIMALS) -> Column:
 def is_blank(text) -> Column:
     """A query that is empty after trimming whitespace (or null)."""
     t = _col(text)
-    return t.isNull() | (F.length(F.regexp_replace(t, r"^\s+|\s+$", "")) == 0)
+    return t.isNull() | (F.length(F.regexp_replace(t, r"(?U)^\s+|\s+$", "")) == 0)
 
 
 def join_first_ids(ids, n: int = 3, sep: str = ", ") -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from ..functions.text import doc_length, out_score, tokenize, with_term_frequencies
+from ..functions.text import OUTPUT_DECIMALS, doc_length, tokenize, with_term_frequencies
 from .ordering import top_k
 
 # The reference's default BM25 parameters.
@@ -148,11 +148,14 @@ class LexicalIndex:
         contrib = bm25_term_score(F.col("idf"), F.col("tf"), F.col("dl"), avgdl, k1, b)
         return m.groupBy("qid", "doc_id").agg(F.sum(contrib).alias("score"))
 
-    def search(self, queries: DataFrame, k: int = 10, k1=None, b=None, broadcast: bool | None = None) -> DataFrame:
+    def search(
+        self, queries: DataFrame, k: int = 10, k1=None, b=None, broadcast: bool | None = None, decimals: int = OUTPUT_DECIMALS
+    ) -> DataFrame:
         """Top-k per query ``(qid, doc_id, score, rank)``; only matching docs are returned,
-        a query without tokens (or without known terms) returns no rows."""
+        a query without tokens (or without known terms) returns no rows. ``decimals=4`` gives
+        the display score (T5)."""
         ranked = top_k(self.score_all(queries, k1, b, broadcast), k)
-        return ranked.select("qid", "doc_id", out_score("score").alias("score"), "rank")
+        return ranked.select("qid", "doc_id", F.round("score", decimals).alias("score"), "rank")
 
     # ---- incremental add ----------------------------------------------------------------
     def add_documents(self, new_docs: DataFrame) -> tuple["LexicalIndex", DataFrame]:

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import out_score, tokenize
+from ..functions.text import display_score, is_blank, out_score, snippet, tokenize
 from ..operators import dense as D
 from ..operators import evaluate as E
+from ..operators import corpus as P
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex, query_terms
 from ..sources import collections as C
+from . import experiments as X
 from . import oracle as O
 
 TOPK = 10
@@ -134,6 +136,97 @@ def q_eval_macro(spark, sf):
     return m.select("system", *[out_score(c).alias(c) for c in ("ndcg", "mrr", "recall")], "n_queries")
 
 
+# ---- X1-X6, X9 ------------------------------------------------------------------------------
+def text_runs(spark, sf, k: int, alpha: float = 0.5, method: str = "rrf"):
+    idx = lexical_index(spark, sf)
+    bm25 = bm25_run(spark, sf, k, idx)
+    dense = dense_text_run(spark, sf, k)
+    return {"bm25": bm25, "dense": dense, "hybrid": FU.hybrid(bm25, dense, alpha=alpha, k=k, method=method)}, idx
+
+
+def q_baseline_comparison(spark, sf):
+    runs, idx = text_runs(spark, sf, DEPTH)
+    return X.baseline(runs, text_qrels(spark, sf, idx), C.queries(spark, sf))
+
+
+def q_alpha_sweep(spark, sf):
+    runs, idx = text_runs(spark, sf, DEPTH)
+    return X.alpha_sweep(runs["bm25"], runs["dense"], text_qrels(spark, sf, idx), C.queries(spark, sf), k=DEPTH)
+
+
+def q_bm25_grid(spark, sf):
+    idx = lexical_index(spark, sf)
+    return X.bm25_grid(idx, text_qrels(spark, sf, idx), C.queries(spark, sf), k=DEPTH)
+
+
+def q_latency_summary(spark, sf):
+    return X.latency_summary(C.latency(spark, sf))
+
+
+def q_failure_analysis(spark, sf):
+    runs, idx = text_runs(spark, sf, TOPK)
+    return X.failure_analysis(runs, text_qrels(spark, sf, idx), C.queries(spark, sf))
+
+
+def q_disagreements(spark, sf):
+    runs, _ = text_runs(spark, sf, TOPK)
+    return X.disagreements(runs["bm25"], runs["dense"], runs["hybrid"])
+
+
+def q_report_summary(spark, sf):
+    runs, idx = text_runs(spark, sf, DEPTH)
+    qrels, qs = text_qrels(spark, sf, idx), C.queries(spark, sf)
+    base = X.baseline(runs, qrels, qs)
+    sweep = X.alpha_sweep(runs["bm25"], runs["dense"], qrels, qs, k=DEPTH)
+    lat = X.latency_summary(C.latency(spark, sf))
+    return X.report_summary(base, sweep, lat)
+
+
+# ---- T4-T7 -------------------------------------------------------------------------------
+def q_snippets(spark, sf):
+    idx = lexical_index(spark, sf)
+    run = idx.search(C.queries(spark, sf), k=TOPK, decimals=4)
+    return run.join(C.corpus(spark, sf), "doc_id", "left").select(
+        "qid", "doc_id", "rank", F.col("score").alias("display_score"), snippet(F.coalesce(F.col("text"), F.lit(""))).alias("snippet")
+    )
+
+
+def q_document_fetch(spark, sf):
+    run = bm25_run(spark, sf, TOPK)
+    return run.join(C.corpus(spark, sf), "doc_id", "left").select("qid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+
+
+def q_rejected_queries(spark, sf):
+    return C.queries(spark, sf).filter(is_blank("text")).select("qid", F.lit("Query cannot be empty").alias("reason"))
+
+
+# ---- P1-P5, S3 ---------------------------------------------------------------------------
+PREP_TARGET = 500
+
+
+def q_relevant_docs(spark, sf):
+    return P.relevant_docs(C.prep_qrels(spark, sf))
+
+
+def q_covered_corpus(spark, sf):
+    return P.covered_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), PREP_TARGET).select("doc_id")
+
+
+def q_missing_relevant(spark, sf):
+    cov = P.covered_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), PREP_TARGET)
+    return P.missing_relevant(cov, C.prep_qrels(spark, sf))
+
+
+def q_coverage(spark, sf):
+    qrels = C.prep_qrels(spark, sf)
+    cov = P.covered_corpus(C.corpus(spark, sf), qrels, PREP_TARGET)
+    return P.coverage(cov, qrels, C.queries(spark, sf))
+
+
+def q_qrels_filter(spark, sf):
+    return E.relevant_pairs(C.prep_qrels(spark, sf))
+
+
 # ---- oracle ------------------------------------------------------------------------------
 def _sql_runs(depth: int = DEPTH, alpha: float = 0.5, method: str = "rrf") -> list[str]:
     return [O.LEX, O.QUERIES, O.bm25_run("bm25_r", depth), O.hash_dense_run("dense_r", depth), O.fuse("hyb_r", "bm25_r", "dense_r", alpha, depth, method), O.TEXT_QRELS]
@@ -181,6 +274,116 @@ ORACLE = {
     + "SELECT system, " + O.r6(["ndcg", "mrr", "recall"]) + ", n_queries FROM mac",
 }
 
+
+def _sweep_sql() -> str:
+    alphas = ", ".join(f"{a}" for a in X.ALPHAS)
+    return O.with_(
+        O.LEX, O.QUERIES, O.bm25_run("a", DEPTH), O.hash_dense_run("b", DEPTH), O.TEXT_QRELS,
+        f"""cand AS (
+  SELECT coalesce(x.qid, y.qid) AS qid, coalesce(x.doc_id, y.doc_id) AS doc_id,
+         coalesce(1.0 / (x.rank - 1 + 60), 0.0) AS lex, coalesce(1.0 / (y.rank - 1 + 60), 0.0) AS den
+  FROM a x FULL OUTER JOIN b y ON x.qid = y.qid AND x.doc_id = y.doc_id),
+grid AS (SELECT g.alpha, qid, doc_id, g.alpha * lex + (1 - g.alpha) * den AS score
+         FROM cand CROSS JOIN (SELECT unnest([{alphas}])::DOUBLE AS alpha) g)""",
+        O.topk("fr", "grid", DEPTH, by="alpha, qid"),
+        O.per_query_grouped("pq", "fr", ["alpha"]),
+        "mac AS (SELECT alpha, sum(ndcg) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS ndcg, "
+        "sum(mrr) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS mrr, "
+        "sum(recall) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS recall FROM pq GROUP BY alpha)",
+        O.best_marked("best", "mac", ["alpha"]),
+    )
+
+
+def _grid_sql() -> str:
+    pairs = ", ".join(f"({k1}, {b})" for k1 in X.K1_VALUES for b in X.B_VALUES)
+    return O.with_(
+        O.LEX, O.QUERIES, O.TEXT_QRELS,
+        f"""params AS (SELECT k1::DOUBLE AS k1, b::DOUBLE AS b FROM (VALUES {pairs}) t(k1, b)),
+qt AS (SELECT DISTINCT qid, unnest({O.tok('text')}) AS term FROM queries),
+sc AS (
+  SELECT pr.k1, pr.b, qt.qid, p.doc_id,
+         sum(ln(1 + (cs.n - ts.df + 0.5) / (ts.df + 0.5)) * (p.tf * (pr.k1 + 1)) /
+             (p.tf + pr.k1 * (1 - pr.b + pr.b * p.dl / cs.avgdl))) AS score
+  FROM qt JOIN term_stats ts USING (term) JOIN postings p USING (term) CROSS JOIN corpus_stats cs CROSS JOIN params pr
+  GROUP BY ALL)""",
+        O.topk("fr", "sc", DEPTH, by="k1, b, qid"),
+        O.per_query_grouped("pq", "fr", ["k1", "b"]),
+        "mac AS (SELECT k1, b, sum(ndcg) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS ndcg, "
+        "sum(mrr) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS mrr, "
+        "sum(recall) / (SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0) AS recall FROM pq GROUP BY k1, b)",
+        O.best_marked("best", "mac", ["k1", "b"]),
+    )
+
+
+def _runs10_sql() -> list[str]:
+    return [O.LEX, O.QUERIES, O.bm25_run("rb", TOPK), O.hash_dense_run("rd", TOPK), O.fuse("rh", "rb", "rd", 0.5, TOPK, "rrf"), O.TEXT_QRELS]
+
+
+_FAILURE_SQL = O.with_(
+    *_runs10_sql(),
+    "rel AS (SELECT DISTINCT qid, doc_id FROM qrels WHERE rel > 0)",
+    f"fq AS (SELECT qid, text FROM queries WHERE qid IN (SELECT qid FROM queries ORDER BY qid LIMIT {X.FAILURE_QUERIES}) AND qid IN (SELECT qid FROM rel))",
+    "hb AS (SELECT r.qid, list(r.doc_id) AS ids FROM rb r JOIN rel USING (qid, doc_id) GROUP BY r.qid)",
+    "hd AS (SELECT r.qid, list(r.doc_id) AS ids FROM rd r JOIN rel USING (qid, doc_id) GROUP BY r.qid)",
+    "hh AS (SELECT r.qid, list(r.doc_id) AS ids FROM rh r JOIN rel USING (qid, doc_id) GROUP BY r.qid)",
+    """f AS (SELECT fq.qid, fq.text AS query, hb.ids AS bi, hd.ids AS di, (hb.qid IS NOT NULL) AS b, (hd.qid IS NOT NULL) AS d, (hh.qid IS NOT NULL) AS h
+          FROM fq LEFT JOIN hb USING (qid) LEFT JOIN hd USING (qid) LEFT JOIN hh USING (qid))""",
+) + f"""SELECT 'bm25_only' AS category, qid, query, {O.first3('bi')} AS relevant_found FROM f WHERE b AND NOT d
+UNION ALL SELECT 'dense_only', qid, query, {O.first3('di')} FROM f WHERE d AND NOT b
+UNION ALL SELECT 'both_fail', qid, query, '' FROM f WHERE NOT b AND NOT d
+UNION ALL SELECT 'hybrid_wins', qid, query, '' FROM f WHERE h AND (NOT b OR NOT d)"""
+
+_DISAGREE_SQL = O.with_(
+    *_runs10_sql(),
+    f"""t AS (SELECT 'b' AS s, qid, doc_id FROM rb WHERE rank <= {X.DISAGREEMENT_TOP}
+          UNION ALL SELECT 'd', qid, doc_id FROM rd WHERE rank <= {X.DISAGREEMENT_TOP}
+          UNION ALL SELECT 'h', qid, doc_id FROM rh WHERE rank <= {X.DISAGREEMENT_TOP})""",
+    "bu AS (SELECT qid, doc_id FROM t WHERE s = 'b' EXCEPT SELECT qid, doc_id FROM t WHERE s = 'd')",
+    "du AS (SELECT qid, doc_id FROM t WHERE s = 'd' EXCEPT SELECT qid, doc_id FROM t WHERE s = 'b')",
+    "res AS (SELECT qid, doc_id FROM t WHERE s = 'h' INTERSECT (SELECT qid, doc_id FROM bu UNION SELECT qid, doc_id FROM du))",
+) + " UNION ALL ".join(
+    f"SELECT qid, '{t}' AS type, {O.first3('list(doc_id)')} AS docs, '{d}' AS description FROM {src} GROUP BY qid"
+    for (t, d), src in zip(X.DISAGREEMENTS, ("bu", "du", "res"))
+)
+
+_BASELINE_CTES = [
+    *_sql_runs(),
+    O.per_query("m1", "bm25_r", system="bm25"),
+    O.per_query("m2", "dense_r", system="dense"),
+    O.per_query("m3", "hyb_r", system="hybrid"),
+    "pq AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2 UNION ALL SELECT * FROM m3)",
+    O.macro("mac", "pq"),
+]
+
+ORACLE.update({
+    "baseline_comparison": O.with_(*_BASELINE_CTES) + "SELECT system, " + O.r6(["ndcg", "mrr", "recall"]) + " FROM mac",
+    "alpha_sweep": _sweep_sql() + "SELECT alpha, ndcg, mrr, recall, is_best FROM best",
+    "bm25_grid": _grid_sql() + "SELECT k1, b, ndcg, mrr, recall, is_best FROM best",
+    "latency_summary": O.latency_sql(),
+    "failure_analysis": _FAILURE_SQL,
+    "disagreements": _DISAGREE_SQL,
+    "snippets": O.with_(O.LEX, O.QUERIES, O.bm25_scores("s"), O.topk("t", "s", TOPK))
+    + f"SELECT t.qid, t.doc_id, t.rank, round(t.score, 4) AS display_score, {O.snippet_sql('coalesce(d.text, \'\')')} AS snippet FROM t LEFT JOIN documents d USING (doc_id)",
+    "document_fetch": O.with_(O.LEX, O.QUERIES, O.bm25_run("r", TOPK)) + "SELECT r.qid, r.doc_id, coalesce(d.text, '') AS text FROM r LEFT JOIN documents d USING (doc_id)",
+    "rejected_queries": "SELECT item_id AS qid, 'Query cannot be empty' AS reason FROM benchmark WHERE text IS NULL OR trim(text) = ''",
+    "relevant_docs": "SELECT DISTINCT doc_id FROM labels WHERE quality > 0",
+    "covered_corpus": f"SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0)",
+    "missing_relevant": f"SELECT DISTINCT doc_id FROM labels WHERE quality > 0 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0))",
+    "coverage": O.with_(
+        f"cov AS (SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0))",
+        "rel AS (SELECT DISTINCT doc_id FROM labels WHERE quality > 0)",
+        "c AS (SELECT count(*) AS n_corpus, count(rel.doc_id) AS n_relevant_written FROM cov LEFT JOIN rel USING (doc_id))",
+        "k AS (SELECT (SELECT count(*) FROM rel) AS n_relevant, (SELECT count(*) FROM benchmark) AS n_queries, (SELECT count(*) FROM labels) AS n_qrels)",
+    )
+    + """SELECT n_corpus, n_relevant_written, n_corpus - n_relevant_written AS n_sampled, n_relevant, n_queries, n_qrels,
+       round(CASE WHEN n_relevant > 0 THEN n_relevant_written / n_relevant ELSE 0.0 END, 6) AS coverage,
+       CASE WHEN (CASE WHEN n_relevant > 0 THEN n_relevant_written / n_relevant ELSE 0.0 END) >= 0.95 THEN 'excellent'
+            WHEN (CASE WHEN n_relevant > 0 THEN n_relevant_written / n_relevant ELSE 0.0 END) >= 0.80 THEN 'good' ELSE 'poor' END AS grade
+FROM c CROSS JOIN k""",
+    "qrels_filter": "SELECT DISTINCT 0::BIGINT AS qid, doc_id FROM labels WHERE quality > 0",
+})
+
+
 QUERIES = {
     "tokenize_stats": q_tokenize_stats,
     "postings": q_postings,
@@ -198,4 +401,19 @@ QUERIES = {
     "rrf": q_rrf,
     "eval_per_query": q_eval_per_query,
     "eval_macro": q_eval_macro,
+    "baseline_comparison": q_baseline_comparison,
+    "alpha_sweep": q_alpha_sweep,
+    "bm25_grid": q_bm25_grid,
+    "latency_summary": q_latency_summary,
+    "failure_analysis": q_failure_analysis,
+    "disagreements": q_disagreements,
+    "report_summary": q_report_summary,
+    "snippets": q_snippets,
+    "document_fetch": q_document_fetch,
+    "rejected_queries": q_rejected_queries,
+    "relevant_docs": q_relevant_docs,
+    "covered_corpus": q_covered_corpus,
+    "missing_relevant": q_missing_relevant,
+    "coverage": q_coverage,
+    "qrels_filter": q_qrels_filter,
 }

@@ -179,3 +179,53 @@ def macro(name: str, per_query_cte: str, qrels: str = "qrels", group: str = "sys
 
 def r6(cols: list[str]) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
+def per_query_grouped(name: str, run: str, grp: list[str], qrels: str = "qrels", k_ndcg=10, k_mrr=10, k_recall=100) -> str:
+    """Per-query metrics of a run carrying extra grouping columns (alpha, k1, b, ...)."""
+    g = ", ".join(grp)
+    rg = ", ".join(f"r.{c}" for c in grp)
+    return f"""
+{name}_rel AS (SELECT DISTINCT qid, doc_id FROM {qrels} WHERE rel > 0),
+{name}_j AS (SELECT qid, count(*) AS n_rel FROM {name}_rel GROUP BY qid),
+{name}_h AS (
+  SELECT {rg}, r.qid, r.rank, j.n_rel, (x.doc_id IS NOT NULL) AS hit
+  FROM {run} r JOIN {name}_j j USING (qid) LEFT JOIN {name}_rel x ON x.qid = r.qid AND x.doc_id = r.doc_id),
+{name}_a AS (
+  SELECT {g}, qid, n_rel,
+         sum(CASE WHEN hit AND rank <= {k_ndcg} THEN 1.0 / log2(rank + 1) ELSE 0.0 END) AS dcg,
+         count(CASE WHEN hit AND rank <= {k_ndcg} THEN 1 END) AS h,
+         min(CASE WHEN hit AND rank <= {k_mrr} THEN rank END) AS first_hit,
+         count(CASE WHEN hit AND rank <= {k_recall} THEN 1 END) AS rh
+  FROM {name}_h GROUP BY {g}, qid, n_rel),
+{name} AS (
+  SELECT {g}, qid,
+         CASE WHEN h > 0 THEN dcg / list_sum(list_transform(range(1, h + 1), lambda j: 1.0 / log2(j + 1))) ELSE 0.0 END AS ndcg,
+         coalesce(1.0 / first_hit, 0.0) AS mrr,
+         rh / n_rel AS recall
+  FROM {name}_a)
+"""
+
+
+def best_marked(name: str, src: str, keys: list[str]) -> str:
+    """Round metrics to 6 places and flag the first maximum nDCG (ties: smallest keys)."""
+    k = ", ".join(keys)
+    return f"""
+{name}_r AS (SELECT {k}, round(ndcg, 6) AS ndcg, round(mrr, 6) AS mrr, round(recall, 6) AS recall FROM {src}),
+{name} AS (SELECT *, (row_number() OVER (ORDER BY round(ndcg, 9) DESC, {k}) = 1) AS is_best FROM {name}_r)
+"""
+
+
+def latency_sql() -> str:
+    return """SELECT event_type AS system, round(avg(value), 6) AS mean_ms, round(quantile_cont(value, 0.5), 6) AS median_ms,
+       round(quantile_cont(value, 0.95), 6) AS p95_ms, round(quantile_cont(value, 0.99), 6) AS p99_ms,
+       round(1000.0 / avg(value), 6) AS qps
+FROM events WHERE value IS NOT NULL GROUP BY event_type"""
+
+
+def snippet_sql(col: str = "text") -> str:
+    return f"CASE WHEN length({col}) <= 200 THEN {col} ELSE regexp_replace(substring({col}, 1, 200), ' [^ ]*$', '') || '...' END"
+
+
+def first3(list_expr: str) -> str:
+    return f"array_to_string(list_sort({list_expr})[1:3], ', ')"
