@@ -16,7 +16,13 @@ from ..operators import evaluate as E
 from ..operators import corpus as P
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex, query_terms
+from ..operators.ivf import IVFIndex
+from ..session import scratch_path
 from ..sources import collections as C
+from ..sources import files as FS
+from ..sources import index_store as IS
+from ..streaming.indexing import stream_index, stream_search
+from . import search as S
 from . import experiments as X
 from . import oracle as O
 
@@ -227,6 +233,96 @@ def q_qrels_filter(spark, sf):
     return E.relevant_pairs(C.prep_qrels(spark, sf))
 
 
+# ---- S1-S8, X7, X8, D5, B7, R1, R2 -----------------------------------------------------------
+def q_io_roundtrip(spark, sf):
+    """Write the collection in the reference's formats, read it back."""
+    base = scratch_path(spark, "io")
+    FS.write_corpus_jsonl(C.corpus(spark, sf), f"{base}/corpus")
+    FS.write_queries_tsv(C.queries(spark, sf), f"{base}/queries")
+    FS.write_qrels_tsv(C.prep_qrels(spark, sf), f"{base}/qrels")
+    corpus = FS.read_corpus_jsonl(spark, f"{base}/corpus", "bigint")
+    qs = FS.read_queries_tsv(spark, f"{base}/queries", "bigint")
+    qrels = FS.read_qrels_tsv(spark, f"{base}/qrels", "bigint")
+    def summ(df, name, text):
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.length(text)), F.lit(0)).cast("long").alias("n_chars")).select(
+            F.lit(name).alias("tbl"), "n_rows", "n_chars")
+    return summ(corpus, "corpus", "text").unionByName(summ(qs, "queries", "text")).unionByName(summ(qrels, "qrels", F.col("doc_id").cast("string")))
+
+
+def q_index_roundtrip(spark, sf):
+    """Save the lexical index (doc-bucketed postings), re-attach it, search it."""
+    path = scratch_path(spark, "lexical")
+    IS.save_lexical(lexical_index(spark, sf), path, buckets=8)
+    return IS.load_lexical(spark, path).search(C.queries(spark, sf), k=TOPK)
+
+
+def q_vector_roundtrip(spark, sf):
+    """Save and reload the vector table, then exact k-NN."""
+    path = scratch_path(spark, "vectors")
+    IS.save_vectors(C.vectors(spark, sf), path)
+    return D.knn(IS.load_vectors(spark, path), C.vector_queries(spark, sf), TOPK)
+
+
+def q_results_sink(spark, sf):
+    """Experiment tables written as JSON and read back."""
+    base = scratch_path(spark, "results")
+    tables = {"latency": X.latency_summary(C.latency(spark, sf)), "coverage": q_coverage(spark, sf)}
+    paths = FS.write_results_json(tables, base)
+    out = None
+    for name, p in paths.items():
+        part = spark.read.json(p).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("tbl"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_selective_build(spark, sf):
+    """Lexical-only and dense-only builds."""
+    lex = S.build(C.corpus(spark, sf), lexical=True, dense=False)
+    den = S.build(C.corpus(spark, sf), lexical=False, dense=True)
+    return (
+        lex.lexical.postings.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("postings").alias("component"), "n_rows")
+        .unionByName(lex.lexical.doc_stats.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("doc_stats").alias("component"), "n_rows"))
+        .unionByName(den.vectors.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("vectors").alias("component"), "n_rows"))
+    )
+
+
+def q_search_response(spark, sf):
+    """One nested response row per query (three lists with snippets + disagreements)."""
+    corpus = C.corpus(spark, sf)
+    built = S.build(corpus)
+    resp, _ = S.search_response(C.queries(spark, sf), corpus, built.lexical, built.vectors, k=TOPK)
+    return resp
+
+
+def q_knn_ivf_topk(spark, sf):
+    """IVF (k-means cells, 16 lists, 4 probes) over the embeddings."""
+    ivf = IVFIndex.build(C.vectors(spark, sf), nlist=16)
+    return ivf.search(C.vector_queries(spark, sf), k=TOPK, nprobe=4)
+
+
+def q_incremental_add(spark, sf):
+    """Index the English documents, add the others, search (equals a full build)."""
+    corpus = C.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    first = LexicalIndex.build(corpus.filter(F.col("lang") == "en").select("doc_id", "text"))
+    idx, _ = first.add_documents(corpus.filter(F.col("lang") != "en").select("doc_id", "text"))
+    return idx.search(C.queries(spark, sf), k=TOPK)
+
+
+def q_stream_index(spark, sf):
+    """Documents arrive as files; the index is maintained per micro-batch; then search."""
+    base = scratch_path(spark, "stream-index")
+    C.corpus(spark, sf).repartition(4).write.parquet(f"{base}/in")
+    indexer = stream_index(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt")
+    return indexer.index().search(C.queries(spark, sf), k=TOPK)
+
+
+def q_stream_search(spark, sf):
+    """R2: queries arrive as files and are answered per micro-batch against a static index."""
+    base = scratch_path(spark, "stream-search")
+    C.queries(spark, sf).repartition(2).write.parquet(f"{base}/in")
+    return stream_search(spark, lexical_index(spark, sf), f"{base}/in", "qid bigint, text string", f"{base}/out", f"{base}/ckpt", k=TOPK)
+
+
 # ---- oracle ------------------------------------------------------------------------------
 def _sql_runs(depth: int = DEPTH, alpha: float = 0.5, method: str = "rrf") -> list[str]:
     return [O.LEX, O.QUERIES, O.bm25_run("bm25_r", depth), O.hash_dense_run("dense_r", depth), O.fuse("hyb_r", "bm25_r", "dense_r", alpha, depth, method), O.TEXT_QRELS]
@@ -381,6 +477,16 @@ ORACLE.update({
             WHEN (CASE WHEN n_relevant > 0 THEN n_relevant_written / n_relevant ELSE 0.0 END) >= 0.80 THEN 'good' ELSE 'poor' END AS grade
 FROM c CROSS JOIN k""",
     "qrels_filter": "SELECT DISTINCT 0::BIGINT AS qid, doc_id FROM labels WHERE quality > 0",
+    "io_roundtrip": """SELECT 'corpus' AS tbl, count(*) AS n_rows, coalesce(sum(length(text)), 0)::BIGINT AS n_chars FROM documents
+UNION ALL SELECT 'queries', count(*), coalesce(sum(length(text)), 0)::BIGINT FROM benchmark
+UNION ALL SELECT 'qrels', count(*), coalesce(sum(length(doc_id::VARCHAR)), 0)::BIGINT FROM (SELECT DISTINCT doc_id FROM labels WHERE quality > 0)""",
+    "index_roundtrip": ORACLE["bm25_topk"],
+    "vector_roundtrip": ORACLE["knn_l2_topk"],
+    "selective_build": O.with_(O.LEX) + """SELECT 'postings' AS component, count(*) AS n_rows FROM postings
+UNION ALL SELECT 'doc_stats', count(*) FROM doc_stats UNION ALL SELECT 'vectors', count(*) FROM documents""",
+    "incremental_add": ORACLE["bm25_topk"],
+    "stream_index": ORACLE["bm25_topk"],
+    "stream_search": ORACLE["bm25_topk"],
 })
 
 
@@ -416,4 +522,14 @@ QUERIES = {
     "missing_relevant": q_missing_relevant,
     "coverage": q_coverage,
     "qrels_filter": q_qrels_filter,
+    "io_roundtrip": q_io_roundtrip,
+    "index_roundtrip": q_index_roundtrip,
+    "vector_roundtrip": q_vector_roundtrip,
+    "results_sink": q_results_sink,
+    "selective_build": q_selective_build,
+    "search_response": q_search_response,
+    "knn_ivf_topk": q_knn_ivf_topk,
+    "incremental_add": q_incremental_add,
+    "stream_index": q_stream_index,
+    "stream_search": q_stream_search,
 }
