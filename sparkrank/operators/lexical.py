@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,20 +43,27 @@ def tokenized(corpus: DataFrame, text: str = "text") -> DataFrame:
     return corpus.select("doc_id", tokenize(text).alias("tokens"))
 
 
-def build_postings(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """B1 + T2/T3: ``(postings, doc_stats)`` from ``corpus(doc_id, text)``; no shuffle."""
-    toks = tokenized(spread(corpus)).withColumn("dl", doc_length("tokens"))
-    doc_stats = toks.select("doc_id", F.col("dl").cast("int").alias("dl"))
-    postings = (
-        with_term_frequencies(toks, "tokens", "tfs")
-        # inline_outer + null filter: a plain ``inline`` makes the optimizer infer a
-        # ``size(tfs) > 0`` filter and push it, with the whole tf expression, below the
-        # projections that compute it once.
-        .select("doc_id", F.col("dl").cast("int").alias("dl"), F.inline_outer("tfs"))
+def per_document(corpus: DataFrame) -> DataFrame:
+    """``(doc_id, dl, tfs array<struct<term, tf>>)``: one row per document, no shuffle."""
+    toks = tokenized(spread(corpus)).withColumn("dl", doc_length("tokens").cast("int"))
+    return with_term_frequencies(toks, "tokens", "tfs").select("doc_id", "dl", "tfs")
+
+
+def postings_of(per_doc: DataFrame) -> DataFrame:
+    # inline_outer + null filter: a plain ``inline`` makes the optimizer infer a
+    # ``size(tfs) > 0`` filter and push it, with the whole tf expression, below the
+    # projections that compute it once.
+    return (
+        per_doc.select("doc_id", "dl", F.inline_outer("tfs"))
         .filter(F.col("term").isNotNull())
         .select("doc_id", "term", "tf", "dl")
     )
-    return postings, doc_stats
+
+
+def build_postings(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """B1 + T2/T3: ``(postings, doc_stats)`` from ``corpus(doc_id, text)``; no shuffle."""
+    pd_ = per_document(corpus)
+    return postings_of(pd_), pd_.select("doc_id", "dl")
 
 
 def term_stats_of(postings: DataFrame) -> DataFrame:
@@ -104,10 +112,25 @@ class LexicalIndex:
 
     # ---- build -------------------------------------------------------------------------
     @classmethod
-    def build(cls, corpus: DataFrame, k1: float = DEFAULT_K1, b: float = DEFAULT_B) -> "LexicalIndex":
-        """B1-B3 over ``corpus(doc_id, text)``; doc ids must be unique (see ``sources``)."""
-        postings, doc_stats = build_postings(corpus)
-        return cls(postings, doc_stats, term_stats_of(postings), corpus_stats_of(doc_stats), k1, b)
+    def build(cls, corpus: DataFrame, k1: float = DEFAULT_K1, b: float = DEFAULT_B, persist: bool = False) -> "LexicalIndex":
+        """B1-B3 over ``corpus(doc_id, text)``; doc ids must be unique (see ``sources``).
+
+        All four tables derive from one tokenised per-document table. With ``persist`` that
+        table and the two statistics tables are kept (memory, spilling to disk), so a job that
+        uses the index several times tokenises the corpus once; for repeated use across jobs,
+        save it with ``sources.index_store`` instead.
+        """
+        per_doc = per_document(corpus)
+        if persist:
+            per_doc = per_doc.persist(StorageLevel.MEMORY_AND_DISK)
+        postings = postings_of(per_doc)
+        doc_stats = per_doc.select("doc_id", "dl")
+        term_stats = term_stats_of(postings)
+        corpus_stats = corpus_stats_of(doc_stats)
+        if persist:
+            term_stats = term_stats.persist(StorageLevel.MEMORY_AND_DISK)
+            corpus_stats = corpus_stats.persist(StorageLevel.MEMORY_AND_DISK)
+        return cls(postings, doc_stats, term_stats, corpus_stats, k1, b)
 
     def scalar(self, name: str):
         """A corpus statistic as a scalar subquery (lazy, evaluated once, no join)."""

@@ -7,6 +7,7 @@ operator itself (top-k lists, "first n queries", a corpus target size).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ DEPTH = 100  # E5: max(k_ndcg=10, k_mrr=10, k_recall=100)
 
 # ---- shared building blocks ---------------------------------------------------------------
 def lexical_index(spark: SparkSession, sf: str) -> LexicalIndex:
-    return LexicalIndex.build(C.corpus(spark, sf))
+    # Persisted: runs, qrels and statistics of one query share a single tokenisation.
+    return LexicalIndex.build(C.corpus(spark, sf), persist=True)
 
 
 def text_qrels(spark: SparkSession, sf: str, idx: LexicalIndex | None = None) -> DataFrame:
@@ -46,7 +48,7 @@ def bm25_run(spark: SparkSession, sf: str, k: int, idx: LexicalIndex | None = No
 
 
 def dense_text_run(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    dv = D.hash_encode(C.corpus(spark, sf), "doc_id")
+    dv = D.hash_encode(C.corpus(spark, sf), "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
     qv = D.hash_encode(C.queries(spark, sf), "qid")
     return D.knn(dv, qv, k)
 

@@ -1,0 +1 @@
+oracle_check.py
\ No newline at end of file
