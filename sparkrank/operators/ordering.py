@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import rank_key
+from ..session import broadcast_if_small
 
 
 def top_k(
@@ -59,7 +60,7 @@ def prefix_positions(
         F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), 10000).alias("__bounds")
     )
     tagged = (
-        base.join(F.broadcast(bounds), group, "inner")
+        base.join(broadcast_if_small(bounds), group, "inner")
         .withColumn("__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < F.col(value))))
         .drop("__bounds")
         .checkpoint(eager=True)
@@ -70,7 +71,7 @@ def prefix_positions(
     wr = Window.partitionBy(*group, "__bucket").orderBy(F.col(value)).rowsBetween(Window.unboundedPreceding, 0)
     return (
         tagged.withColumn("__run", F.sum("__c").over(wr))
-        .join(F.broadcast(offsets), [*group, "__bucket"])
+        .join(broadcast_if_small(offsets), [*group, "__bucket"])
         .withColumn("__start", F.col("__off") + F.col("__run") - F.col("__c"))
         .drop("__bucket", "__run", "__off")
     )
@@ -104,7 +105,7 @@ def exact_percentiles(
     hi_cols = [F.least(F.col(f"__lo_{name}") + 1, F.col("__n") - 1) for name in percents]
     targets = wanted.select(*group, F.array_distinct(F.array(*lo_cols, *hi_cols)).alias("__t"))
     picked = (
-        positioned.join(F.broadcast(targets), group)
+        positioned.join(broadcast_if_small(targets), group)
         .select(
             *group,
             F.col(value).alias("__v"),

@@ -492,6 +492,32 @@ UNION ALL SELECT 'doc_stats', count(*) FROM doc_stats UNION ALL SELECT 'vectors'
 })
 
 
+def _sweep_ctes(lex: str, den: str, p: str) -> list[str]:
+    alphas = ", ".join(f"{a}" for a in X.ALPHAS)
+    n = "(SELECT count(DISTINCT qid) FROM qrels WHERE rel > 0)"
+    return [
+        f"""{p}cand AS (
+  SELECT coalesce(x.qid, y.qid) AS qid, coalesce(x.doc_id, y.doc_id) AS doc_id,
+         coalesce(1.0 / (x.rank - 1 + 60), 0.0) AS lex, coalesce(1.0 / (y.rank - 1 + 60), 0.0) AS den
+  FROM {lex} x FULL OUTER JOIN {den} y ON x.qid = y.qid AND x.doc_id = y.doc_id),
+{p}grid AS (SELECT g.alpha, qid, doc_id, g.alpha * lex + (1 - g.alpha) * den AS score
+         FROM {p}cand CROSS JOIN (SELECT unnest([{alphas}])::DOUBLE AS alpha) g)""",
+        O.topk(f"{p}fr", f"{p}grid", DEPTH, by="alpha, qid"),
+        O.per_query_grouped(f"{p}pq", f"{p}fr", ["alpha"]),
+        f"{p}mac AS (SELECT alpha, sum(ndcg) / {n} AS ndcg, sum(mrr) / {n} AS mrr, sum(recall) / {n} AS recall FROM {p}pq GROUP BY alpha)",
+        O.best_marked(f"{p}best", f"{p}mac", ["alpha"]),
+    ]
+
+
+_REPORT_SQL = O.with_(*_BASELINE_CTES, *_sweep_ctes("bm25_r", "dense_r", "sw_"), f"lat AS ({O.latency_sql()})") + " UNION ALL ".join(
+    [f"SELECT 'baseline' AS experiment, system, '{m}' AS metric, round({m}, 6)::DOUBLE AS value FROM mac" for m in ("ndcg", "mrr", "recall")]
+    + ["SELECT 'alpha_sweep', 'hybrid', 'best_alpha', alpha::DOUBLE FROM sw_best WHERE is_best",
+       "SELECT 'alpha_sweep', 'hybrid', 'best_ndcg', ndcg::DOUBLE FROM sw_best WHERE is_best"]
+    + [f"SELECT 'latency', system, '{m}', {m}::DOUBLE FROM lat" for m in ("mean_ms", "p95_ms", "qps")]
+)
+ORACLE["report_summary"] = _REPORT_SQL
+
+
 QUERIES = {
     "tokenize_stats": q_tokenize_stats,
     "postings": q_postings,

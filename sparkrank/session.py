@@ -69,3 +69,15 @@ def spread(df):
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+# Largest table (rows) hinted for broadcast by ``broadcast_if_small``.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows are shipped to every
+    task; a bigger table is returned as is and the planner picks a shuffle join."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..session import broadcast_if_small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,17 +91,17 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
         anchored.select("qid", F.explode_outer("complete").alias("term")).filter(F.col("term").isNotNull()).join(term_stats, "term")
     )
     best = cand_terms.groupBy("qid").agg(F.min(F.struct("df", "term")).alias("m")).select("qid", F.col("m.term").alias("term"))
-    cands = postings.select("term", "doc_id").join(F.broadcast(best), "term").select("qid", "doc_id")
+    cands = postings.select("term", "doc_id").join(broadcast_if_small(best), "term").select("qid", "doc_id")
     # Degenerate queries: candidate docs hold a term containing the query's longest token.
     degen = q.filter(F.size("complete") == 0).filter(n > 0).select(
         "qid", F.element_at(F.array_sort(F.transform("toks", lambda t: F.struct((-F.length(t)).alias("l"), t.alias("t")))), 1)["t"].alias("frag")
     )
-    degen_terms = term_stats.select("term").join(F.broadcast(degen), F.col("term").contains(F.col("frag"))).select("qid", "term")
-    degen_cands = postings.select("term", "doc_id").join(F.broadcast(degen_terms), "term").select("qid", "doc_id")
+    degen_terms = term_stats.select("term").join(broadcast_if_small(degen), F.col("term").contains(F.col("frag"))).select("qid", "term")
+    degen_cands = postings.select("term", "doc_id").join(broadcast_if_small(degen_terms), "term").select("qid", "doc_id")
     pairs = cands.unionByName(degen_cands).distinct()
     texts = queries_df.select("qid", F.col("text").alias("qtext"))
     return (
-        pairs.join(F.broadcast(texts), "qid")
+        pairs.join(broadcast_if_small(texts), "qid")
         .join(corpus_df.select("doc_id", "text"), "doc_id")
         .filter(F.col("text").contains(F.col("qtext")))
         .select("qid", "doc_id", F.lit(1).alias("rel"))
