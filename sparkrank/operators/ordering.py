@@ -36,32 +36,56 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+def _count_below(bounds, v, n_bounds: int):
+    """Number of entries of the ascending array ``bounds`` that are < ``v``: a binary search
+    written as ``aggregate`` over log2(n) steps (O(log n) per row, no Python)."""
+    steps = max(1, int(n_bounds).bit_length() + 1)
+
+    def step(st, _):
+        lo, hi = st["lo"], st["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) < v)
+        return F.struct(
+            F.when(right, mid + 1).otherwise(lo).alias("lo"),
+            F.when(lo >= hi, hi).when(right, hi).otherwise(mid).alias("hi"),
+        )
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def prefix_positions(
     df: DataFrame,
     value: str,
     count: str | None = None,
     group: Sequence[str] = (),
-    buckets: int = 256,
+    buckets: int | None = None,
+    rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """Add ``__start``: number of rows of the same ``group`` ordered strictly before each row.
 
     ``df`` must have unique ``(group, value)`` rows; ``count`` (default 1) is each row's
-    multiplicity. Rows are cut into ``buckets`` value ranges per group at approximate
-    quantiles, so a group holding a third of all rows is still spread over many tasks; the
-    running sum is a window per (group, bucket) and the bucket offsets come from a tiny
-    per-(group, bucket) table. The bucket assignment is frozen with a reliable checkpoint
-    so both consumers see the same buckets even after a task retry.
+    multiplicity. Rows are cut into value ranges per group at approximate quantiles; the
+    number of ranges grows with the data (about ``rows_per_bucket`` rows each), so a group
+    holding a third of all rows is still spread over many tasks. The running sum is a window
+    per (group, bucket) and the bucket offsets come from a small per-(group, bucket) table.
+    The bucket assignment is frozen with a reliable checkpoint so both consumers see the same
+    buckets even after a task retry.
     """
     group = list(group)
     c = F.col(count) if count else F.lit(1).cast("long")
     base = df.withColumn("__c", c.cast("long"))
+    if buckets is None:
+        n_rows = base.count()
+        buckets = int(min(100_000, max(16, -(-n_rows // rows_per_bucket))))
+    accuracy = max(10_000, 4 * buckets)
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = base.groupBy(*group).agg(
-        F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), 10000).alias("__bounds")
+        F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("__bounds")
     )
     tagged = (
-        base.join(broadcast_if_small(bounds), group, "inner")
-        .withColumn("__bucket", F.size(F.filter(F.col("__bounds"), lambda b: b < F.col(value))))
+        base.join(broadcast_if_small(bounds, max(1, 50_000_000 // buckets)), group, "inner")
+        .withColumn("__bucket", _count_below(F.col("__bounds"), F.col(value), buckets))
         .drop("__bounds")
         .checkpoint(eager=True)
     )

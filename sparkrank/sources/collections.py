@@ -44,14 +44,6 @@ def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("qid"), "embedding")
 
 
-def vector_qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relevant = same ``label`` as the query vector (self included)."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
-    q = e.select(F.col("vec_id").alias("qid"), F.col("label"))
-    d = e.select(F.col("vec_id").alias("doc_id"), F.col("label"))
-    return q.join(d, "label").select("qid", "doc_id", F.lit(1).alias("rel"))
-
-
 def latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events(event_type AS system, value AS ms)``."""
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("system"), F.col("value").alias("ms"))
