@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +52,11 @@ def baseline(runs: dict[str, DataFrame], qrels: DataFrame, queries: DataFrame) -
 
 
 def mark_best(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``is_best`` = highest nDCG; the first in ``order`` wins ties (the reference's max)."""
+    """``is_best`` = highest nDCG; the first in ``order`` wins ties (the reference's max).
+
+    ``df`` has one row per parameter setting; it is persisted so the best-row subquery and
+    the rows themselves come from one evaluation of the sweep."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     best = df.orderBy(F.round("ndcg", 9).desc(), *[F.col(c).asc() for c in order]).limit(1)
     best_key = best.select(F.struct(*order).alias("k")).scalar()
     return df.withColumn("is_best", F.struct(*order) == best_key)
