@@ -36,7 +36,7 @@ from .ordering import top_k
 
 DEFAULT_DIM = 64
 # Largest query matrix (float64 bytes) shipped to every task in one pass.
-MAX_QUERY_MATRIX_BYTES = 256 * 1024 * 1024
+MAX_QUERY_MATRIX_BYTES = 64 * 1024 * 1024
 
 
 # ---- D2 -------------------------------------------------------------------------------
@@ -137,24 +137,75 @@ def summary(vectors: DataFrame, metric: str = "l2sq", index_type: str = "exact")
 
 
 # ---- D4 ---------------------------------------------------------------------------------
+# Largest (rows x queries) distance block computed at once inside a task (float64 cells).
+MAX_BLOCK_CELLS = 4_000_000
+
+
+class _TopK:
+    """Running top-k per query over (query index, doc id, distance) triples, kept as three
+    flat arrays sorted by (query, distance rounded to RANK_DECIMALS, doc id)."""
+
+    def __init__(self, k: int):
+        self.k = k
+        self.q = np.empty(0, dtype=np.int64)
+        self.i = np.empty(0, dtype=np.int64)
+        self.d = np.empty(0, dtype=np.float64)
+
+    def merge(self, q: np.ndarray, i: np.ndarray, d: np.ndarray) -> None:
+        aq, ai, ad = np.concatenate([self.q, q]), np.concatenate([self.i, i]), np.concatenate([self.d, d])
+        order = np.lexsort((ai, np.round(ad, RANK_DECIMALS), aq))
+        aq, ai, ad = aq[order], ai[order], ad[order]
+        starts = np.r_[0, np.flatnonzero(np.diff(aq)) + 1]
+        pos = np.arange(len(aq)) - np.repeat(starts, np.diff(np.r_[starts, len(aq)]))
+        keep = pos < self.k
+        self.q, self.i, self.d = aq[keep], ai[keep], ad[keep]
+
+
+def _block_candidates(D, dn, ids, Q, qn, qidx, k, top: _TopK) -> None:
+    """Score rows ``D`` against queries ``Q`` (global indices ``qidx``) block by block.
+
+    Candidates come from the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` within a tolerance of
+    each query's k-th value; their distances are then recomputed exactly as ``sum((d - q)^2)``
+    and merged into ``top`` with the canonical order, so float noise never decides a rank.
+    """
+    n, m = len(D), len(Q)
+    if n == 0 or m == 0:
+        return
+    rows = max(1, MAX_BLOCK_CELLS // m)
+    for a in range(0, n, rows):
+        Db, dnb, idb = D[a : a + rows], dn[a : a + rows], ids[a : a + rows]
+        approx = dnb[:, None] + qn[None, :] - 2.0 * (Db @ Q.T)
+        if len(Db) > k:
+            thr = np.partition(approx, k - 1, axis=0)[k - 1]
+        else:
+            thr = approx.max(axis=0)
+        tol = 1e-9 * (1.0 + dnb.max() + qn)
+        r, j = np.nonzero(approx <= (thr + tol)[None, :])
+        diff = Db[r] - Q[j]
+        top.merge(qidx[j], idb[r], (diff * diff).sum(axis=1))
+
+
 def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str | None = None):
-    """Per-task kernel: keeps, for each broadcast query, the k smallest squared distances.
+    """Per-task kernel: for each broadcast query, the k nearest vectors seen by this task.
 
-    Candidates are picked with the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` and a tolerance
-    around the k-th value, then their distances are recomputed exactly as ``sum((d - q)^2)``
-    and ordered by (distance rounded to RANK_DECIMALS, doc_id), so ties and float noise are
-    resolved exactly as the global ranking does.
+    Exact search scores every row against every query (in bounded blocks). IVF search
+    (``probe_field``) scores the rows of each cell only against the queries probing it.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         payload = bc.value
         qids, Q = payload["qids"], payload["Q"]
-        probes = payload.get("probes")  # per query: array of allowed cell ids, or None
+        probes = payload.get("probes")
         m = len(qids)
         qn = (Q * Q).sum(axis=1)
-        best_d = [np.empty(0) for _ in range(m)]
-        best_i = [np.empty(0, dtype=np.int64) for _ in range(m)]
         dim = Q.shape[1] if m else 0
+        all_q = np.arange(m, dtype=np.int64)
+        by_cell: dict[int, np.ndarray] = {}
+        if probes is not None:
+            pairs = [(int(c), j) for j, cs in enumerate(probes) for c in cs]
+            for c in {c for c, _ in pairs}:
+                by_cell[c] = np.array([j for cc, j in pairs if cc == c], dtype=np.int64)
+        top = _TopK(k)
         for pdf in batches:
             # D6 inside the task: drop null vectors, wrong dimensions and null entries. (A
             # DataFrame filter on a computed vector column would be pushed below the
@@ -169,43 +220,20 @@ def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str
             pdf = pdf[ok][finite]
             if len(pdf) == 0:
                 continue
-            ids = pdf[id_field].to_numpy()
+            ids = pdf[id_field].to_numpy().astype(np.int64)
             dn = (D * D).sum(axis=1)
-            approx = dn[:, None] + qn[None, :] - 2.0 * (D @ Q.T)
-            if probes is not None:
+            if probes is None:
+                _block_candidates(D, dn, ids, Q, qn, all_q, k, top)
+            else:
                 cells = pdf[probe_field].to_numpy()
-            scale = 1.0 + dn.max()
-            for j in range(m):
-                col = approx[:, j]
-                if probes is not None:
-                    allowed = np.isin(cells, probes[j])
-                    if not allowed.any():
+                for c in np.unique(cells):
+                    qsel = by_cell.get(int(c))
+                    if qsel is None:
                         continue
-                    cand_pool = np.nonzero(allowed)[0]
-                    col = col[cand_pool]
-                else:
-                    cand_pool = None
-                if len(col) > k:
-                    thr = np.partition(col, k - 1)[k - 1]
-                    sel = np.nonzero(col <= thr + 1e-9 * (scale + qn[j]))[0]
-                else:
-                    sel = np.arange(len(col))
-                if cand_pool is not None:
-                    sel = cand_pool[sel]
-                diff = D[sel] - Q[j]
-                exact = (diff * diff).sum(axis=1)
-                d_all = np.concatenate([best_d[j], exact])
-                i_all = np.concatenate([best_i[j], ids[sel].astype(np.int64)])
-                order = np.lexsort((i_all, np.round(d_all, RANK_DECIMALS)))[:k]
-                best_d[j], best_i[j] = d_all[order], i_all[order]
-        out_q, out_i, out_d = [], [], []
-        for j in range(m):
-            if len(best_i[j]):
-                out_q.append(np.full(len(best_i[j]), qids[j]))
-                out_i.append(best_i[j])
-                out_d.append(best_d[j])
-        if out_q:
-            yield pd.DataFrame({"qid": np.concatenate(out_q), "doc_id": np.concatenate(out_i), "distance": np.concatenate(out_d)})
+                    rsel = cells == c
+                    _block_candidates(D[rsel], dn[rsel], ids[rsel], Q[qsel], qn[qsel], qsel, k, top)
+        if len(top.q):
+            yield pd.DataFrame({"qid": qids[top.q], "doc_id": top.i, "distance": top.d})
 
     return run
 
