@@ -18,7 +18,7 @@ from ..operators import corpus as P
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex, query_terms
 from ..operators.ivf import IVFIndex
-from ..session import scratch_path
+from ..session import scratch_path, with_text
 from ..sources import collections as C
 from ..sources import files as FS
 from ..sources import index_store as IS
@@ -193,15 +193,16 @@ def q_report_summary(spark, sf):
 # ---- T4-T7 -------------------------------------------------------------------------------
 def q_snippets(spark, sf):
     idx = lexical_index(spark, sf)
-    run = idx.search(C.queries(spark, sf), k=TOPK, decimals=4)
-    return run.join(C.corpus(spark, sf), "doc_id", "left").select(
-        "qid", "doc_id", "rank", F.col("score").alias("display_score"), snippet(F.coalesce(F.col("text"), F.lit(""))).alias("snippet")
+    qs = C.queries(spark, sf)
+    run = idx.search(qs, k=TOPK, decimals=4)
+    return with_text(run, C.corpus(spark, sf), qs.count(), TOPK).select(
+        "qid", "doc_id", "rank", F.col("score").alias("display_score"), snippet("text").alias("snippet")
     )
 
 
 def q_document_fetch(spark, sf):
     run = bm25_run(spark, sf, TOPK)
-    return run.join(C.corpus(spark, sf), "doc_id", "left").select("qid", "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return with_text(run, C.corpus(spark, sf), C.queries(spark, sf).count(), TOPK).select("qid", "doc_id", "text")
 
 
 def q_rejected_queries(spark, sf):

@@ -17,6 +17,7 @@ from ..functions.text import display_score, is_blank, snippet
 from ..operators import dense as D
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex
+from ..session import with_text
 from .experiments import disagreements
 
 REJECT_REASON = "Query cannot be empty"
@@ -40,15 +41,15 @@ def build(corpus: DataFrame, lexical: bool = True, dense: bool = True, encoder=N
     )
 
 
-def _formatted(run: DataFrame, corpus: DataFrame, score: str) -> DataFrame:
+def _formatted(run: DataFrame, corpus: DataFrame, score: str, n_queries: int, k: int) -> DataFrame:
     """(qid, list) with the run's rows as ``struct(doc_id, score, rank, snippet)`` by rank."""
-    rows = run.join(corpus.select("doc_id", "text"), "doc_id", "left").select(
+    rows = with_text(run, corpus, n_queries, k).select(
         "qid",
         F.struct(
             F.col("rank"),
             F.col("doc_id"),
             display_score(score).alias("score"),
-            snippet(F.coalesce(F.col("text"), F.lit(""))).alias("snippet"),
+            snippet("text").alias("snippet"),
         ).alias("r"),
     )
     return rows.groupBy("qid").agg(
@@ -73,6 +74,7 @@ def search_response(
     enc = encoder or (lambda texts, id_col: D.hash_encode(texts, id_col))
     rejected = queries.filter(is_blank("text")).select("qid", F.lit(REJECT_REASON).alias("reason"))
     ok = queries.filter(~is_blank("text"))
+    n_q = ok.count()
     bm25 = index.search(ok, k=k)
     dense = D.knn(vectors, enc(ok, "qid"), k)
     hyb = FU.hybrid(bm25, dense, alpha=alpha, k=k, method=method)
@@ -81,9 +83,9 @@ def search_response(
     )
     out = (
         ok.select("qid", F.col("text").alias("query"))
-        .join(_formatted(bm25, corpus, "score").withColumnRenamed("l", "bm25_results"), "qid", "left")
-        .join(_formatted(dense, corpus, "distance").withColumnRenamed("l", "dense_results"), "qid", "left")
-        .join(_formatted(hyb, corpus, "score").withColumnRenamed("l", "hybrid_results"), "qid", "left")
+        .join(_formatted(bm25, corpus, "score", n_q, k).withColumnRenamed("l", "bm25_results"), "qid", "left")
+        .join(_formatted(dense, corpus, "distance", n_q, k).withColumnRenamed("l", "dense_results"), "qid", "left")
+        .join(_formatted(hyb, corpus, "score", n_q, k).withColumnRenamed("l", "hybrid_results"), "qid", "left")
         .join(dis, "qid", "left")
     )
     # A list with no rows (e.g. no lexical match) is null.

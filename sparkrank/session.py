@@ -81,3 +81,28 @@ def broadcast_if_small(df, max_rows: int = MAX_BROADCAST_ROWS):
     from pyspark.sql import functions as F
 
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def broadcast_if_bounded(df, bound_rows: int, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast ``df`` when a known upper bound on its rows (e.g. queries x k for a top-k
+    run) is within ``max_rows``; the bound is checked instead of executing ``df``."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if bound_rows <= max_rows else df
+
+
+def with_text(run, corpus, n_queries: int, k: int, text: str = "text"):
+    """Late materialisation: join document text to the rows of a top-k run only.
+
+    The run (at most ``n_queries * k`` rows) is the broadcast side of an inner join, so the
+    corpus is streamed, never shuffled. (An outer join could only broadcast the corpus.) Run
+    rows whose document is absent get ``""``; finding them reads the corpus ids only.
+    """
+    from pyspark.sql import functions as F
+
+    small = broadcast_if_bounded(run, n_queries * k)
+    found = corpus.select("doc_id", text).join(small, "doc_id")
+    ids = broadcast_if_bounded(run.select("doc_id").distinct(), n_queries * k)
+    present = corpus.select("doc_id").join(ids, "doc_id", "left_semi")
+    missing = run.join(present, "doc_id", "left_anti").withColumn(text, F.lit(""))
+    return found.unionByName(missing)

@@ -92,9 +92,12 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
     degen_cands = postings.select("term", "doc_id").join(broadcast_if_small(degen_terms), "term").select("qid", "doc_id")
     pairs = cands.unionByName(degen_cands).distinct()
     texts = queries_df.select("qid", F.col("text").alias("qtext"))
+    # Candidate pairs (with their query text) are the small side: the corpus is streamed
+    # through a broadcast join, never shuffled, and only candidates are checked verbatim.
+    cand = broadcast_if_small(pairs.join(texts, "qid"))
     return (
-        pairs.join(broadcast_if_small(texts), "qid")
-        .join(corpus_df.select("doc_id", "text"), "doc_id")
+        corpus_df.select("doc_id", "text")
+        .join(cand, "doc_id")
         .filter(F.col("text").contains(F.col("qtext")))
         .select("qid", "doc_id", F.lit(1).alias("rel"))
     )
