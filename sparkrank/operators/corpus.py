@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
 from .ordering import first_n_by
 
 # Coverage grade thresholds.
@@ -25,11 +26,15 @@ def relevant_docs(qrels: DataFrame) -> DataFrame:
 
 
 def covered_corpus(docs: DataFrame, qrels: DataFrame, target: int, order: str = "doc_id") -> DataFrame:
-    """First ``target`` documents by ``order`` plus every relevant document (unique ids)."""
+    """First ``target`` documents by ``order`` plus every relevant document (unique ids).
+
+    Works on ids only (first-n positions over the id column, union with the relevant ids,
+    distinct), then streams the corpus through one semi-join with the kept ids (broadcast
+    after a size check), so document text is never shuffled."""
     rel = relevant_docs(qrels)
-    first = first_n_by(docs, target, order)
-    relevant_in = docs.join(rel, "doc_id", "left_semi")
-    return first.unionByName(relevant_in).dropDuplicates(["doc_id"])
+    first_ids = first_n_by(docs.select(order), target, order).select(F.col(order).alias("doc_id"))
+    keep = first_ids.unionByName(rel).distinct()
+    return docs.join(broadcast_if_small(keep), "doc_id", "left_semi")
 
 
 def missing_relevant(covered: DataFrame, qrels: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import RANK_DECIMALS, out_score, tokenize, with_term_frequencies
-from ..session import spread
+from ..session import ship_package, spread
 from .ordering import top_k
 
 DEFAULT_DIM = 64
@@ -81,6 +81,7 @@ def hash_encode(texts: DataFrame, id_col: str = "doc_id", text: str = "text", di
     JVM-side md5, and summed into the dense vector by one vectorised bincount per Arrow batch.
     No shuffle.
     """
+    ship_package(texts.sparkSession)
     toks = spread(texts).select(id_col, tokenize(text).alias("tokens"))
     tf = with_term_frequencies(toks, "tokens", "tfs")
     pairs = tf.select(
@@ -114,6 +115,7 @@ def model_encode(
                     m = np.divide(m, nrm, out=np.zeros_like(m), where=nrm > 0)
                 yield pd.DataFrame({id_col: part[id_col].to_numpy(), "embedding": list(m)})
 
+    ship_package(texts.sparkSession)
     id_type = texts.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
     return texts.select(id_col, text).mapInPandas(run, schema)
@@ -262,6 +264,7 @@ def knn_candidates(
 ) -> DataFrame:
     """Per-task top-k candidates ``(qid, doc_id, distance)`` (at most k per query per task)."""
     spark = vectors.sparkSession
+    ship_package(spark)
     nq, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     if not nq:
         return spark.createDataFrame([], "qid long, doc_id long, distance double")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import out_score
+from ..session import ship_package
 from . import dense as D
 from .ordering import top_k
 
@@ -50,6 +51,7 @@ class IVFIndex:
         C = self.centroids
         nprobe = min(nprobe, len(C))
         spark = queries.sparkSession
+        ship_package(spark)
         bc = spark.sparkContext.broadcast(C)
 
         @F.pandas_udf("array<int>")

@@ -159,7 +159,7 @@ def first_n_by(df: DataFrame, n: int, order: str) -> DataFrame:
     "first n" semantics, computed without a global window or a single-task sort."""
     ids = df.select(order).withColumn("__g", F.lit(0))
     pos = prefix_positions(ids, order, None, ["__g"]).filter(F.col("__start") < n).select(order)
-    return df.join(pos, order, "left_semi")
+    return df.join(broadcast_if_small(pos), order, "left_semi")
 
 
 def lit_array(values: Sequence[float]) -> Column:

@@ -106,3 +106,37 @@ def with_text(run, corpus, n_queries: int, k: int, text: str = "text"):
     present = corpus.select("doc_id").join(ids, "doc_id", "left_semi")
     missing = run.join(present, "doc_id", "left_anti").withColumn(text, F.lit(""))
     return found.unionByName(missing)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Make ``sparkrank`` importable by the Python workers of this application.
+
+    Operators that run Python on executors (the k-NN kernel, encoders) reference module-level
+    helpers, so the workers must import this package. Unless it is installed cluster-wide, it
+    is zipped once per application and added with ``addPyFile`` (Spark ships it to every
+    executor). Idempotent.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkrank-pkg-"), "sparkrank.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
