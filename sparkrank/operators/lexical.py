@@ -109,6 +109,7 @@ class LexicalIndex:
     k1: float = DEFAULT_K1
     b: float = DEFAULT_B
     meta: dict = field(default_factory=dict)
+    per_doc: DataFrame | None = None  # (doc_id, dl, tfs) when built here; lets a save shuffle arrays
 
     # ---- build -------------------------------------------------------------------------
     @classmethod
@@ -130,7 +131,7 @@ class LexicalIndex:
         if persist:
             term_stats = term_stats.persist(StorageLevel.MEMORY_AND_DISK)
             corpus_stats = corpus_stats.persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(postings, doc_stats, term_stats, corpus_stats, k1, b)
+        return cls(postings, doc_stats, term_stats, corpus_stats, k1, b, per_doc=per_doc)
 
     def scalar(self, name: str):
         """A corpus statistic as a scalar subquery (lazy, evaluated once, no join)."""

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lexical import LexicalIndex
+from ..operators.lexical import LexicalIndex, postings_of
 
 DEFAULT_BUCKETS = 64
 
@@ -32,12 +32,20 @@ def _table_name(prefix: str) -> str:
 
 
 def save_lexical(index: LexicalIndex, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Write the four tables and the metadata."""
+    """Write the four tables and the metadata. (Each table re-derives from the corpus
+    scan; caching the per-document arrays instead would spill a corpus-sized table.)"""
     spark = index.postings.sparkSession
     base = path.rstrip("/")
     name = _table_name("postings")
+    # Cluster by doc_id before bucketing. When the per-document term arrays are at hand they
+    # are shuffled instead of the exploded postings (same bytes, far fewer rows); the hash
+    # partitioning survives the explode, so each task writes exactly one bucket file.
+    if index.per_doc is not None:
+        clustered = postings_of(index.per_doc.repartition(buckets, "doc_id"))
+    else:
+        clustered = index.postings.repartition(buckets, "doc_id")
     (
-        index.postings.repartition(buckets, "doc_id")
+        clustered
         .write.mode("overwrite")
         .bucketBy(buckets, "doc_id")
         .sortBy("doc_id")
