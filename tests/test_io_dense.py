@@ -86,3 +86,20 @@ def test_covered_corpus_keeps_late_relevant_docs(spark):
     cov = sorted(r.doc_id for r in P.covered_corpus(docs, qrels, target=5).collect())
     assert cov == [0, 1, 2, 3, 4, 15, 18]  # exceeds the target: relevant docs are always kept
     assert [r.doc_id for r in P.missing_relevant(P.covered_corpus(docs, qrels, 5), qrels).collect()] == [99]
+
+
+def test_model_encoder_batches_and_normalises(spark):
+    def char_count_model():
+        """Stand-in for an external model: loaded once per task, encodes a batch of texts."""
+        import numpy as np
+
+        def encode(texts):
+            return np.array([[len(t), t.count("a"), 0.0] for t in texts], dtype=float)
+
+        return encode
+
+    texts = spark.createDataFrame([(1, "aaa"), (2, ""), (3, "banana")], "doc_id long, text string")
+    rows = {r.doc_id: np.array(r.embedding) for r in D.model_encode(texts, char_count_model, batch_size=2).collect()}
+    assert np.allclose(rows[1], np.array([3, 3, 0]) / np.linalg.norm([3, 3, 0]))
+    assert not rows[2].any()  # zero vector stays zero
+    assert np.linalg.norm(rows[3]) == pytest.approx(1.0)
