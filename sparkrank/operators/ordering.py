@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..functions.text import rank_key
 from ..session import broadcast_if_small
@@ -36,6 +37,14 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+def _byte_prefix_key(col):
+    """Monotone numeric key of a string/binary: its first 7 bytes, zero-padded, as a long
+    (byte-wise order, which is Spark's string order)."""
+    b = F.substring(col.cast("binary"), 1, 7)
+    padded = F.concat(b, F.unhex(F.lit("00000000000000")))
+    return F.conv(F.hex(F.substring(padded, 1, 7)), 16, 10).cast("long")
+
+
 def _count_below(bounds, v, n_bounds: int):
     """Number of entries of the ascending array ``bounds`` that are < ``v``: a binary search
     written as ``aggregate`` over log2(n) steps (O(log n) per row, no Python)."""
@@ -75,18 +84,23 @@ def prefix_positions(
     group = list(group)
     c = F.col(count) if count else F.lit(1).cast("long")
     base = df.withColumn("__c", c.cast("long"))
+    numeric = isinstance(df.schema[value].dataType, NumericType)
+    # Bucket key: the value itself, or for strings/binaries an order-preserving number made of
+    # their first 7 bytes (zero-padded), so equal keys never straddle a bucket boundary.
+    key = F.col(value) if numeric else _byte_prefix_key(F.col(value))
+    base = base.withColumn("__key", key)
     if buckets is None:
         n_rows = base.count()
         buckets = int(min(100_000, max(16, -(-n_rows // rows_per_bucket))))
     accuracy = max(10_000, 4 * buckets)
     fractions = [i / buckets for i in range(1, buckets)]
     bounds = base.groupBy(*group).agg(
-        F.percentile_approx(F.col(value), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("__bounds")
+        F.percentile_approx(F.col("__key"), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("__bounds")
     )
     tagged = (
         base.join(broadcast_if_small(bounds, max(1, 50_000_000 // buckets)), group, "inner")
-        .withColumn("__bucket", _count_below(F.col("__bounds"), F.col(value), buckets))
-        .drop("__bounds")
+        .withColumn("__bucket", _count_below(F.col("__bounds"), F.col("__key"), buckets))
+        .drop("__bounds", "__key")
         .checkpoint(eager=True)
     )
     tot = tagged.groupBy(*group, "__bucket").agg(F.sum("__c").alias("__tot"))

@@ -103,3 +103,11 @@ def test_model_encoder_batches_and_normalises(spark):
     assert np.allclose(rows[1], np.array([3, 3, 0]) / np.linalg.norm([3, 3, 0]))
     assert not rows[2].any()  # zero vector stays zero
     assert np.linalg.norm(rows[3]) == pytest.approx(1.0)
+
+
+def test_covered_corpus_with_string_ids_uses_string_order(spark):
+    ids = ["b", "ab", "a", "abc", "zz", "c", "aaaaaaaaz", "aaaaaaaab"]
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc_id string, text string")
+    qrels = spark.createDataFrame([("q", "zz", 1)], "qid string, doc_id string, rel int")
+    cov = sorted(r.doc_id for r in P.covered_corpus(docs, qrels, target=4).collect())
+    assert cov == sorted(sorted(ids)[:4] + ["zz"])
