@@ -62,7 +62,8 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
     tokens), so the candidates are the postings of the query's rarest complete token; the
     verbatim ``contains`` check runs only on those candidates. Queries without a complete
     token (at most two tokens, both touching an edge) take their candidates from vocabulary
-    terms that contain their longest token, which needs the vocabulary only.
+    terms that contain their longest token, which needs the vocabulary only; passages with no
+    token at all are checked against every document.
     """
     q = queries_df.select(
         "qid",
@@ -95,9 +96,18 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
     # Candidate pairs (with their query text) are the small side: the corpus is streamed
     # through a broadcast join, never shuffled, and only candidates are checked verbatim.
     cand = broadcast_if_small(pairs.join(texts, "qid"))
-    return (
+    found = (
         corpus_df.select("doc_id", "text")
         .join(cand, "doc_id")
         .filter(F.col("text").contains(F.col("qtext")))
-        .select("qid", "doc_id", F.lit(1).alias("rel"))
+        .select("qid", "doc_id")
     )
+    # Passages without any token (punctuation only) have no index entry point: they are
+    # checked against every document, streaming the corpus past the (few) broadcast passages.
+    tokenless = q.filter((n == 0) & (F.length("text") > 0)).select("qid", F.col("text").alias("qtext"))
+    found_tokenless = (
+        corpus_df.select("doc_id", "text")
+        .join(broadcast_if_small(tokenless), F.col("text").contains(F.col("qtext")))
+        .select("qid", "doc_id")
+    )
+    return found.unionByName(found_tokenless).select("qid", "doc_id", F.lit(1).alias("rel"))

@@ -141,3 +141,16 @@ def test_incremental_add_equals_rebuild_and_rejects_known_ids(spark):
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(added.term_stats) == key(full.term_stats)
     assert key(added.corpus_stats.select("n", "total_dl")) == key(full.corpus_stats.select("n", "total_dl"))
+
+
+def test_text_qrels_matches_brute_force_including_passages_without_whole_tokens(spark):
+    from sparkrank.sources import collections as C
+
+    docs = [(1, "hello world, again"), (2, "xxabcxx yy"), (3, "the cat sat on the mat"), (4, ""), (5, "wait... what")]
+    queries = [(10, "lo wo"), (11, "abc"), (12, "cat sat on"), (13, "t sat o"), (14, "nothing here"), (15, "...")]
+    corpus = spark.createDataFrame(docs, "doc_id long, text string")
+    qs = spark.createDataFrame(queries, "qid long, text string")
+    idx = LexicalIndex.build(corpus)
+    got = sorted((r.qid, r.doc_id) for r in C.text_qrels(corpus, qs, idx.postings, idx.term_stats).collect())
+    want = sorted((q, d) for q, qt in queries for d, dt in docs if qt in dt)
+    assert (15, 5) in want and got == want
