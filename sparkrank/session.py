@@ -1,8 +1,14 @@
-"""Session helpers: a tuned local session for tests/bench and the shared scratch folder.
-
-On a cluster the caller owns the session; the library only reads its settings. The one
-setting it depends on is ``spark.checkpoint.dir`` (a shared, durable folder): lineage cuts,
-streaming checkpoints and round-trip sinks go under it. It is set here only when unset.
+"""Session-level helpers shared by all operators.
+
+* ``local_session``: a tuned local session for tests and the bench.
+* ``ensure_checkpoint_dir`` / ``scratch_path``: the shared scratch folder. On a cluster the
+  caller owns the session; the library only reads ``spark.checkpoint.dir`` (a shared, durable
+  folder for lineage cuts, streaming checkpoints and round-trip sinks) and sets it only when
+  unset, as in tests.
+* ``spread``: parallelise tiny inputs without ever shuffling large ones.
+* ``broadcast_if_small`` / ``broadcast_if_bounded`` / ``with_text``: every broadcast behind a
+  size check, and late text joins that stream the corpus.
+* ``ship_package``: make this package importable by Python workers.
 """
 
 from __future__ import annotations
