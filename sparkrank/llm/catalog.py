@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .decontam import ORACLE_OP9, q_op9_decontamination
 from .simhash import q_op7_simhash
 
 QUERIES = {
     "op7_simhash": q_op7_simhash,
+    "op9_decontamination": q_op9_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_decontamination": ORACLE_OP9,
+}
