@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .decontam import ORACLE_OP9, q_op9_decontamination
 from .pii import q_op1_pii
+from .secrets import q_op6_secrets
 from .simhash import q_op7_simhash
 
 QUERIES = {
     "op1_pii": q_op1_pii,
+    "op6_secrets": q_op6_secrets,
     "op7_simhash": q_op7_simhash,
     "op9_decontamination": q_op9_decontamination,
 }

@@ -99,7 +99,8 @@ def contamination(
     lists = [F.transform(shingles("w", k), lambda s, i: F.struct(i.alias("pos"), s.alias("shingle"))) for k in widths]
     own = F.array(F.struct(F.lit(-1).alias("pos"), F.lit("").alias("shingle")))
     every = key.select("doc_id", "h", "n_words", F.explode_outer(F.concat(own, *lists)).alias("s")).select("doc_id", "h", "n_words", "s.*")
-    wanted = ids.unionByName(ids.sparkSession.createDataFrame([("", -1)], "shingle string, tok long"))
+    itself = ids.sparkSession.range(1).select(F.lit("").alias("shingle"), F.lit(-1).cast("long").alias("tok"))
+    wanted = ids.unionByName(itself)
     found = cut(every.join(_hinted(wanted, "shingle"), "shingle").drop("shingle"), "matches")
 
     hits = found.where("pos >= 0")
