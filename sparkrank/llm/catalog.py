@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import ORACLE_OP9, q_op9_decontamination
+from .licenses import ORACLE_OP8, q_op8_licenses
 from .pii import q_op1_pii
 from .secrets import q_op6_secrets
 from .simhash import q_op7_simhash
@@ -11,9 +12,11 @@ QUERIES = {
     "op1_pii": q_op1_pii,
     "op6_secrets": q_op6_secrets,
     "op7_simhash": q_op7_simhash,
+    "op8_licenses": q_op8_licenses,
     "op9_decontamination": q_op9_decontamination,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_licenses": ORACLE_OP8,
     "op9_decontamination": ORACLE_OP9,
 }
