@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontam import ORACLE_OP9, q_op9_decontamination
 from .licenses import ORACLE_OP8, q_op8_licenses
+from .pieces import q_op5_pieces
 from .pii import q_op1_pii
 from .records import q_op3_token_records
 from .secrets import q_op6_secrets
@@ -12,6 +13,7 @@ from .simhash import q_op7_simhash
 QUERIES = {
     "op1_pii": q_op1_pii,
     "op3_token_records": q_op3_token_records,
+    "op5_pieces": q_op5_pieces,
     "op6_secrets": q_op6_secrets,
     "op7_simhash": q_op7_simhash,
     "op8_licenses": q_op8_licenses,
