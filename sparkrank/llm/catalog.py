@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import ORACLE_OP9, q_op9_decontamination
+from .langid import q_op10_langid
 from .licenses import ORACLE_OP8, q_op8_licenses
 from .pieces import q_op5_pieces
 from .pii import q_op1_pii
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_simhash": q_op7_simhash,
     "op8_licenses": q_op8_licenses,
     "op9_decontamination": q_op9_decontamination,
+    "op10_langid": q_op10_langid,
 }
 
 ORACLE: dict[str, str] = {
