@@ -10,10 +10,12 @@ from .pii import q_op1_pii
 from .records import q_op3_token_records
 from .secrets import q_op6_secrets
 from .simhash import q_op7_simhash
+from .toxicity import q_op4_toxicity
 
 QUERIES = {
     "op1_pii": q_op1_pii,
     "op3_token_records": q_op3_token_records,
+    "op4_toxicity": q_op4_toxicity,
     "op5_pieces": q_op5_pieces,
     "op6_secrets": q_op6_secrets,
     "op7_simhash": q_op7_simhash,
