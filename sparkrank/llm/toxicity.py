@@ -12,7 +12,7 @@
 4. A linear classifier over the terms and patterns is trained on the posterior labels, and
    scores every whole text; a row is predicted toxic at ``THRESHOLD`` (0.7).
 
-Gold labels are used to mine terms and for the class prior, nothing else; language, source and
+Gold labels are used to mine terms, for the class prior and as a prior of the accuracies; language, source and
 ids are inputs of no step. The sample is at most ``SAMPLE_ROWS`` labelled rows in expectation,
 chosen by hash; its votes and term occurrences are all that reaches the driver.
 
@@ -42,8 +42,9 @@ MIN_ROWS = 5
 MIN_G2 = 24.0
 MIN_LIFT = 15.0
 THRESHOLD = 0.7
+ANCHOR = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (3, 4, 5, 6, 7)
+BEGINNINGS = (4, 5, 6, 7)
 TIMES = (1, 2, 3, 5)
 #: Lengths in words, inputs of the classifier: a long text meets any term by chance sooner.
 LENGTHS = (100, 400, 1600, 6400)
@@ -191,15 +192,23 @@ def vote(terms: list[list[str]], hits: np.ndarray, order: list[str]) -> np.ndarr
     return out
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 2, steps: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(posterior, accuracies, correlations)`` from the votes alone, given the class prior."""
+def label_model(
+    votes: np.ndarray, prior: float, gold: np.ndarray | None = None, rounds: int = 2, steps: int = 40
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(posterior, accuracies, correlations)`` from the votes and the class prior.
+
+    ``gold`` labels, where given, are a prior of the accuracies that counts ``ANCHOR`` times as
+    much as the rows: without it a voter that is alone on its rows could not be told from chance.
+    """
     n, m = votes.shape
     shown = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # row, voter, vote
     weight, corr = np.ones(m), np.zeros((m, m))
+    known = [np.full(n, 1e-9) if gold is None else ANCHOR * (gold == k) + 1e-9 for k in (0, 1)]
+    anchor = [np.einsum("i,ijv->jv", w, shown) for w in known]
     q = np.where(votes.sum(axis=1, dtype=int) > 0, 0.9, 0.5 * prior)  # start from the majority
     for _ in range(rounds):
         for _ in range(steps):
-            p = [(np.einsum("i,ijv->jv", w, shown) + 0.5) / (w.sum() + 1.5) for w in (1 - q, q)]
+            p = [(np.einsum("i,ijv->jv", w, shown) + a + 0.5) / (w.sum() + k.sum() + 1.5) for w, a, k in zip((1 - q, q), anchor, known)]
             ratio = np.log(p[1]) - np.log(p[0])
             ratio[:, 1] = 0  # saying nothing is no evidence
             evidence = (shown * ratio[None]).sum(axis=2) @ weight
@@ -245,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Classi
         return Classifier(bias=math.log((prior + 1e-9) / (1 - prior + 1e-9)) if prior < 1 else 30.0)
     hits = np.array([r["patterns"] for r in got], dtype=bool)
     order = without_echoes([r["terms"] for r in got], order)
-    posterior, _, _ = label_model(vote([r["terms"] for r in got], hits[:, : len(PATTERNS)], order), prior)
+    posterior, _, _ = label_model(vote([r["terms"] for r in got], hits[:, : len(PATTERNS)], order), prior, np.array([r["toxic"] for r in got]))
     at = {t: i for i, t in enumerate(order)}
     inputs = [[at[t] for t in r["terms"] if t in at] + [len(order) + int(k) for k in np.nonzero(h)[0]] for r, h in zip(got, hits)]
     w = np.round(fit_linear(inputs, len(order) + hits.shape[1], posterior), 6)

@@ -46,7 +46,7 @@ def test_registered_query_held_out(spark):
 
 def test_edges(spark, docs_of):
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)] + [(7, 1, 0), (7, 0, 0), (None, 1, 1), (3, 1, None)], "doc_id long, quality int, toxic int")
-    rows = [(i, "you utter blockhead and nitwit" if i % 2 and i != 7 else f"a quiet morning number {i}") for i in range(40)] + [(50, None), (None, ""), (51, "nitwit " * 30_000), (1, "x")]
+    rows = [(i, "you utter blockhead and nitwit" if i % 2 and i != 7 else f"a quiet morning number {i}") for i in range(40)] + [(50, None), (None, ""), (51, "blockhead " * 30_000), (1, "x")]
     docs = docs_of(rows)
     model = X.train(docs, labels)
     scored = X.score(docs, model, out="own")
