@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import ORACLE_OP9, q_op9_decontamination
+from .itq import q_op2_itq
 from .langid import q_op10_langid
 from .licenses import ORACLE_OP8, q_op8_licenses
 from .pieces import q_op5_pieces
@@ -14,6 +15,7 @@ from .toxicity import q_op4_toxicity
 
 QUERIES = {
     "op1_pii": q_op1_pii,
+    "op2_itq": q_op2_itq,
     "op3_token_records": q_op3_token_records,
     "op4_toxicity": q_op4_toxicity,
     "op5_pieces": q_op5_pieces,
