@@ -30,6 +30,27 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys are broadcast up to this measured size, and joined by a shuffle beyond it.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
+    some = keys.select(F.col("doc_id").alias("_key_id"), F.col("h").alias("_key_h")).distinct()
+    some = F.broadcast(some) if some.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else some
+    same = docs[id_col].eqNullSafe(F.col("_key_id")) & (F.xxhash64(docs[text_col]) == F.col("_key_h"))
+    return docs.join(some, same, how)
+
+
+def without_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose ``(id, hash of the text)`` is in ``keys (doc_id, h)``."""
+    return _by_key(docs, keys, id_col, text_col, "left_anti")
+
+
+def with_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose ``(id, hash of the text)`` is in ``keys (doc_id, h)``."""
+    return _by_key(docs, keys, id_col, text_col, "left_semi")
+
+
 def fold(doc_id: str, parts: int):
     """``crc32(doc_id as text) mod parts``; a null id falls into part 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts, F.lit(0))

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_frame, prepare
+from .common import cut, prepare, table, with_rows, without_rows
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -61,18 +61,18 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), width) for t in b.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "h", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)``: the signed 64-bit fingerprint of every row."""
+    """``(doc_id, h, fp)`` of every row: the text's hash and its signed 64-bit fingerprint."""
     prepare(docs.sparkSession)
-    rows = id_frame(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_fingerprints(width), f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(_fingerprints(width), f"doc_id {kind}, h bigint, fp bigint")
 
 
 def _segments(fps: DataFrame) -> DataFrame:
@@ -137,23 +137,42 @@ def simhash_components(
     width: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row; see the module's text."""
+    """``(doc_id, h, fp, component_id, kept)`` of every row; see the module's text.
+
+    ``kept`` marks the rows with the smallest ``(doc_id, h)`` of their component, nulls last:
+    all copies of one row, where rows repeat.
+    """
     rows = cut(fingerprints(docs, id_col, text_col, width), "simhash")
-    classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "h")
+    classes = cut(rows.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n")), "classes")
     label = components(fingerprint_links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    linked = classes.join(label, "fp", "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("root"))
-    linked = cut(linked, "roots")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    # A class of one row without links is its own component: only the others are joined.
-    shown = linked.join(least, "root").where("n > 1 or not component_id <=> least").select("fp", "component_id", F.lit(True).alias("hit"))
+    linked = cut(classes.join(label, "fp", "left").withColumn("root", F.coalesce("component", "fp")), "roots")
+    least = linked.groupBy("root").agg(F.min("first").alias("head"))
+    # A class of one row that heads its component needs no join.
+    shown = linked.join(least, "root").where("n > 1 or first != head").select("fp", "head")
+    alone = F.col("head").isNull()
     return rows.join(shown, "fp", "left").select(
-        "doc_id", "fp", F.when(F.col("hit"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id",
+        "h",
+        "fp",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("component_id"),
+        (alone | (order.eqNullSafe(F.col("head")))).alias("kept"),
     )
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with exactly one row of every component, whole and in its own columns."""
+    found = cut(simhash_components(docs, id_col, text_col, width, max_bits), "components")
+    left = without_rows(docs, found.where("not kept"), id_col, text_col)
+    repeated = found.where("kept").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h")
+    if repeated.isEmpty():
+        return left
+    single = without_rows(left, repeated, id_col, text_col)
+    copies = with_rows(left, repeated, id_col, text_col)
+    return single.unionByName(copies.dropDuplicates([id_col, text_col]))
+
+
 def q_op7_simhash(spark, sf_dir) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
-    from .common import table
-
     out = simhash_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
