@@ -142,7 +142,8 @@ SENTENCES = (
     "This software is released under {}.", "SPDX-License-Identifier: {}",
 )
 MAX_BROADCAST_BYTES = 16 << 20
-_COPYRIGHT = r"^(c |© )?(copyright|all rights reserved)\b|^c [0-9]{4}\b"
+#: A copyright line has marks and a year, or two marks, or reserves all rights.
+_COPYRIGHT = r"^((copyright|c) |© ?)+[0-9]{4}\b|^(copyright (c|©)|© ?copyright|c copyright)( |$)|^all rights reserved"
 
 
 def known_rows() -> list[tuple[str, str]]:
@@ -225,7 +226,7 @@ def _oracle() -> str:
         return f"list_transform(string_split({flat}, chr(10)), lambda x: trim(x))"
 
     def form(ls: str) -> str:
-        kept = f"list_filter({ls}, lambda x: x <> '' AND NOT regexp_matches(x, '^(c |© )?(copyright|all rights reserved)\\b|^c [0-9]{{4}}\\b'))"
+        kept = f"list_filter({ls}, lambda x: x <> '' AND NOT regexp_matches(x, '{_COPYRIGHT}'))"
         words = f"list_filter(string_split(replace(array_to_string({kept}, ' '), '©', ''), ' '), lambda w: w <> '')"
         cases = " ".join(f"WHEN {_sql_text(a)} THEN {_sql_text(b)}" for a, b in EQUIVALENT.items())
         return f"array_to_string(list_transform({words}, lambda w: CASE w {cases} ELSE w END), ' ')"

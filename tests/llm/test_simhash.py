@@ -1,7 +1,4 @@
-import re
-
 import pytest
-import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -9,41 +6,20 @@ from sparkrank.llm import simhash as S
 from sparkrank.llm.components import components
 
 
-def plain(text, width=3):
-    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    words = re.findall(r"[^\x20\x09-\x0D]+", text)
-    if not words:
-        return 0
-    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def groups(fps, bits=3):
-    """Component of each index by comparing all pairs."""
-    root = list(range(len(fps)))
-    for i in range(len(fps)):
-        for j in range(i):
-            if (fps[i] ^ fps[j]).bit_count() <= bits:
-                a, b = root[i], root[j]
-                root = [min(a, b) if r in (a, b) else r for r in root]
-    return root
-
-
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="abÉé \t\n\x0b\x0c\r\x1c\x85\xa0Z", max_size=60))
-def test_fingerprint(text):
-    assert S.fingerprint(text.encode()) == plain(text)
+def test_fingerprint(brute, text):
+    assert S.fingerprint(text.encode()) == brute[1](text)
 
 
-def test_blocks(monkeypatch):
+def test_blocks(brute, monkeypatch):
     text = " ".join(f"w{i % 700}" for i in range(5000))
     monkeypatch.setattr(S, "_BLOCK", 64)
-    assert S.fingerprint(text.encode()) == plain(text)
+    assert S.fingerprint(text.encode()) == brute[1](text)
 
 
 @pytest.mark.parametrize("bits", [0, 1, 2, 3])
-def test_links_give_all_components(spark, bits):
+def test_links_give_all_components(spark, brute, bits):
     import random
 
     r = random.Random(7)
@@ -60,7 +36,7 @@ def test_links_give_all_components(spark, bits):
     links = S.fingerprint_links(spark.createDataFrame(signed, "fp long"), bits)
     assert all(1 <= ((a ^ b) & (1 << 64) - 1).bit_count() <= bits for a, b in links.collect())
     label = {x.node & (1 << 64) - 1: x.component for x in components(links).collect()}
-    want = groups(fps, bits)
+    want = brute[2](fps, bits)
     got = [label.get(f, s[0]) for f, s in zip(fps, signed)]
     assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
 
@@ -92,8 +68,8 @@ def test_edges(spark, docs_of):
     assert S.one_of_each(docs_of([])).count() == 0
 
 
-def test_registered_query(spark, sf):
+def test_registered_query(spark, sf, brute):
     texts = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
-    fps = [plain(t) for _, t in texts]
-    want = [(i, f"{f:016x}", texts[r][0]) for (i, _), f, r in zip(texts, fps, groups(fps))]
+    fps = [brute[1](t) for _, t in texts]
+    want = [(i, f"{f:016x}", texts[r][0]) for (i, _), f, r in zip(texts, fps, brute[2](fps))]
     assert sorted(map(tuple, S.q_op7_simhash(spark, sf).collect())) == want
