@@ -106,6 +106,17 @@ class PieceEncoder:
         return [b"".join(map(known.__getitem__, p)) for p in pieces]
 
 
+_ENCODERS: dict[tuple, PieceEncoder] = {}
+
+
+def encoder_at(path: str, width: int, by_piece: bool) -> PieceEncoder:
+    """The worker's encoder; what it remembers serves all tasks of the worker."""
+    key = (path, width, by_piece)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PieceEncoder(path, width, by_piece)
+    return _ENCODERS[key]
+
+
 def _pieces(text: bytes) -> list[bytes]:
     # Special tokens can span pieces' punctuation: such texts are left to the library whole.
     if b"<|" in text:
@@ -138,7 +149,7 @@ def _writer(root: str, tokenizer: str, end_id: int, width: int, by_piece: bool,
         if not first:
             return
         fs, base = _file_system(root)
-        encode, end = PieceEncoder(tokenizer, width, by_piece), end_id.to_bytes(width, "little")
+        encode, end = encoder_at(tokenizer, width, by_piece), end_id.to_bytes(width, "little")
         task = TaskContext.get()
         part, offset, before = task.partitionId(), 0, 0
         own = f"{base}/.part-{part:05d}.{task.taskAttemptId()}"
