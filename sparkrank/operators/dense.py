@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import RANK_DECIMALS, out_score, tokenize, with_term_frequencies
+from ..functions.text import RANK_DECIMALS, rank_key, tokenize, with_term_frequencies
 from ..session import ship_package, spread
 from .ordering import top_k
 
@@ -130,6 +130,16 @@ def valid_vectors(df: DataFrame, dim: int | None = None, col: str = "embedding")
     return df.filter(ok)
 
 
+def dimension(vectors: DataFrame, col: str = "embedding") -> int:
+    """Dimension of the index: that of the first vectors stored (0 for an empty table).
+
+    A few rows are read as they are; only if those are all null is the table searched. (A
+    filter on a computed vector column would be pushed into the encoder, see ``_running_topk_kernel``.)
+    """
+    some = [len(r[0]) for r in vectors.select(col).head(32) if r[0] is not None]
+    return some[0] if some else int(vectors.agg(F.max(F.size(col))).first()[0] or 0)
+
+
 # ---- D7 ---------------------------------------------------------------------------------
 def summary(vectors: DataFrame, metric: str = "l2sq", index_type: str = "exact") -> DataFrame:
     """One row ``(n_docs, dim, metric, index_type)``."""
@@ -143,48 +153,61 @@ def summary(vectors: DataFrame, metric: str = "l2sq", index_type: str = "exact")
 MAX_BLOCK_CELLS = 4_000_000
 
 
+QUERY_TILE = 1024
+_PAIRS_AT_ONCE = 65_536
+
+
 class _TopK:
     """Running top-k per query over (query index, doc id, distance) triples, kept as three
-    flat arrays sorted by (query, distance rounded to RANK_DECIMALS, doc id)."""
+    flat arrays sorted by (query, distance rounded to RANK_DECIMALS, doc id); ``kth`` is each
+    query's k-th distance so far. Ids are of any type that sorts."""
 
-    def __init__(self, k: int):
+    def __init__(self, k: int, n_queries: int):
         self.k = k
         self.q = np.empty(0, dtype=np.int64)
-        self.i = np.empty(0, dtype=np.int64)
+        self.i: np.ndarray | None = None
         self.d = np.empty(0, dtype=np.float64)
+        self.kth = np.full(n_queries, np.inf)
 
     def merge(self, q: np.ndarray, i: np.ndarray, d: np.ndarray) -> None:
-        aq, ai, ad = np.concatenate([self.q, q]), np.concatenate([self.i, i]), np.concatenate([self.d, d])
+        aq, ad = np.concatenate([self.q, q]), np.concatenate([self.d, d])
+        ai = i if self.i is None else np.concatenate([self.i, i])
         order = np.lexsort((ai, np.round(ad, RANK_DECIMALS), aq))
         aq, ai, ad = aq[order], ai[order], ad[order]
         starts = np.r_[0, np.flatnonzero(np.diff(aq)) + 1]
         pos = np.arange(len(aq)) - np.repeat(starts, np.diff(np.r_[starts, len(aq)]))
         keep = pos < self.k
         self.q, self.i, self.d = aq[keep], ai[keep], ad[keep]
+        full = pos[keep] == self.k - 1
+        self.kth[self.q[full]] = self.d[full]
 
 
 def _block_candidates(D, dn, ids, Q, qn, qidx, k, top: _TopK) -> None:
-    """Score rows ``D`` against queries ``Q`` (global indices ``qidx``) block by block.
+    """Score rows ``D`` against queries ``Q`` (global indices ``qidx``), a tile of queries and
+    a block of rows at a time.
 
     Candidates come from the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` within a tolerance of
-    each query's k-th value; their distances are then recomputed exactly as ``sum((d - q)^2)``
-    and merged into ``top`` with the canonical order, so float noise never decides a rank.
+    each query's k-th value, of the block or of all rows seen so far; their distances are then
+    recomputed exactly as ``sum((d - q)^2)`` and merged into ``top`` with the canonical order,
+    so float noise never decides a rank.
     """
-    n, m = len(D), len(Q)
-    if n == 0 or m == 0:
-        return
-    rows = max(1, MAX_BLOCK_CELLS // m)
-    for a in range(0, n, rows):
-        Db, dnb, idb = D[a : a + rows], dn[a : a + rows], ids[a : a + rows]
-        approx = dnb[:, None] + qn[None, :] - 2.0 * (Db @ Q.T)
-        if len(Db) > k:
-            thr = np.partition(approx, k - 1, axis=0)[k - 1]
-        else:
-            thr = approx.max(axis=0)
-        tol = 1e-9 * (1.0 + dnb.max() + qn)
-        r, j = np.nonzero(approx <= (thr + tol)[None, :])
-        diff = Db[r] - Q[j]
-        top.merge(qidx[j], idb[r], (diff * diff).sum(axis=1))
+    n = len(D)
+    for t in range(0, len(Q), QUERY_TILE):
+        Qt, qnt, qi = Q[t : t + QUERY_TILE], qn[t : t + QUERY_TILE], qidx[t : t + QUERY_TILE]
+        rows = max(1, MAX_BLOCK_CELLS // len(Qt))
+        for a in range(0, n, rows):
+            Db, dnb, idb = D[a : a + rows], dn[a : a + rows], ids[a : a + rows]
+            approx = dnb[:, None] + qnt[None, :] - 2.0 * (Db @ Qt.T)
+            thr = np.partition(approx, k - 1, axis=0)[k - 1] if len(Db) > k else np.full(len(Qt), np.inf)
+            tol = 1e-9 * (1.0 + dnb.max() + qnt)
+            r, j = np.nonzero(approx <= (np.minimum(thr, top.kth[qi]) + tol)[None, :])
+            if not len(r):
+                continue
+            exact = np.empty(len(r))
+            for p in range(0, len(r), _PAIRS_AT_ONCE):
+                diff = Db[r[p : p + _PAIRS_AT_ONCE]] - Qt[j[p : p + _PAIRS_AT_ONCE]]
+                exact[p : p + _PAIRS_AT_ONCE] = (diff * diff).sum(axis=1)
+            top.merge(qi[j], idb[r], exact)
 
 
 def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str | None = None):
@@ -207,7 +230,7 @@ def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str
             pairs = [(int(c), j) for j, cs in enumerate(probes) for c in cs]
             for c in {c for c, _ in pairs}:
                 by_cell[c] = np.array([j for cc, j in pairs if cc == c], dtype=np.int64)
-        top = _TopK(k)
+        top = _TopK(k, m)
         for pdf in batches:
             # D6 inside the task: drop null vectors, wrong dimensions and null entries. (A
             # DataFrame filter on a computed vector column would be pushed below the
@@ -222,7 +245,8 @@ def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str
             pdf = pdf[ok][finite]
             if len(pdf) == 0:
                 continue
-            ids = pdf[id_field].to_numpy().astype(np.int64)
+            ids = pdf[id_field].to_numpy()
+            ids = ids.astype(str) if ids.dtype == object else ids
             dn = (D * D).sum(axis=1)
             if probes is None:
                 _block_candidates(D, dn, ids, Q, qn, all_q, k, top)
@@ -265,17 +289,18 @@ def knn_candidates(
     """Per-task top-k candidates ``(qid, doc_id, distance)`` (at most k per query per task)."""
     spark = vectors.sparkSession
     ship_package(spark)
-    nq, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    if not nq:
-        return spark.createDataFrame([], "qid long, doc_id long, distance double")
+    dim = dimension(vectors)
+    qid_type = queries.schema["qid"].dataType
+    schema = T.StructType(
+        [T.StructField("qid", qid_type), T.StructField("doc_id", vectors.schema["doc_id"].dataType), T.StructField("distance", T.DoubleType())]
+    )
+    nq = queries.count()
+    if not nq or not dim:
+        return spark.createDataFrame([], schema)
     per_query = (dim or 1) * 8 + (64 * 8 if query_probe_col else 0)
     chunks = max(1, math.ceil(nq * per_query / max_query_bytes))
     vcols = ["doc_id", "embedding"] + ([probe_col] if probe_col else [])
     vec = vectors.select(*vcols)
-    qid_type = queries.schema["qid"].dataType
-    schema = T.StructType(
-        [T.StructField("qid", qid_type), T.StructField("doc_id", T.LongType()), T.StructField("distance", T.DoubleType())]
-    )
     parts = []
     for c in range(chunks):
         qc = queries if chunks == 1 else queries.filter(F.pmod(F.xxhash64("qid"), F.lit(chunks)) == c)
@@ -291,7 +316,7 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """Exact k nearest vectors per query by squared L2: ``(qid, doc_id, distance, rank)``."""
     cand = knn_candidates(vectors, queries, k)
     ranked = top_k(cand, k, score="distance", ascending=True)
-    return ranked.select("qid", "doc_id", out_score("distance").alias("distance"), "rank")
+    return ranked.select("qid", "doc_id", rank_key("distance").alias("distance"), "rank")
 
 
 def squared_l2(a, b) -> "F.Column":

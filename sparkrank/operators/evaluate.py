@@ -102,7 +102,8 @@ def macro(
 ) -> DataFrame:
     """Macro means per system over judged queries: ``(by..., ndcg, mrr, recall, n_queries)``.
 
-    Systems that retrieved nothing for any judged query do not appear (no rows to group).
+    Every system of the run has a row: one that retrieved nothing for any judged query scores
+    0.0, as does every system when no query is judged.
     """
     by = list(by)
     pq = per_query(run, qrels, queries, by, k_ndcg, k_mrr, k_recall, ideal)
@@ -111,8 +112,10 @@ def macro(
     sums = pq.groupBy(*by).agg(
         F.sum("ndcg").alias("__ndcg"), F.sum("mrr").alias("__mrr"), F.sum("recall").alias("__recall")
     )
-    return sums.select(
-        *by,
+    every = run.select(*by).distinct()
+    same = [every[c].eqNullSafe(sums[c]) for c in by]
+    return every.join(sums, same, "left").select(
+        *(every[c] for c in by),
         F.coalesce(F.col("__ndcg") / nz, F.lit(0.0)).alias("ndcg"),
         F.coalesce(F.col("__mrr") / nz, F.lit(0.0)).alias("mrr"),
         F.coalesce(F.col("__recall") / nz, F.lit(0.0)).alias("recall"),

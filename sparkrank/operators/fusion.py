@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import out_score, rank_key
+from ..functions.text import rank_key
 from .ordering import top_k
 
 # Fixed value: the reciprocal-rank constant.
@@ -68,7 +68,7 @@ def hybrid(
             + F.lit(1.0 - float(alpha)) * F.coalesce(F.max("__den"), F.lit(0.0))
         ).alias("score")
     )
-    return top_k(fused, k).select("qid", "doc_id", out_score("score").alias("score"), "rank")
+    return top_k(fused, k).select("qid", "doc_id", rank_key("score").alias("score"), "rank")
 
 
 def hybrid_sweep(
@@ -96,7 +96,7 @@ def hybrid_sweep(
     )
     grid = cand.withColumn("alpha", F.explode(F.array(*[F.lit(float(x)) for x in alphas])))
     fused = grid.withColumn("score", F.col("alpha") * F.col("__lex") + (F.lit(1.0) - F.col("alpha")) * F.col("__den"))
-    return top_k(fused, k, by=("alpha", "qid")).select("alpha", "qid", "doc_id", out_score("score").alias("score"), "rank")
+    return top_k(fused, k, by=("alpha", "qid")).select("alpha", "qid", "doc_id", rank_key("score").alias("score"), "rank")
 
 
 def rrf(runs: Sequence[DataFrame], k: int = 10, rrf_k: int = RRF_K) -> DataFrame:
@@ -106,4 +106,4 @@ def rrf(runs: Sequence[DataFrame], k: int = 10, rrf_k: int = RRF_K) -> DataFrame
     for p in parts[1:]:
         u = u.unionByName(p)
     fused = u.groupBy("qid", "doc_id").agg(F.sum("norm").alias("score"))
-    return top_k(fused, k).select("qid", "doc_id", out_score("score").alias("score"), "rank")
+    return top_k(fused, k).select("qid", "doc_id", rank_key("score").alias("score"), "rank")

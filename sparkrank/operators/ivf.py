@@ -13,6 +13,7 @@ kernel as exact search scores a vector only for the queries that probe its cell.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,32 +21,49 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import out_score
+from ..functions.text import rank_key
 from ..session import ship_package
 from . import dense as D
 from .ordering import top_k
 
-# The reference's graph-index settings, kept as metadata of the stand-in.
-HNSW_M = 32
-EF_SEARCH = 64
-EF_CONSTRUCTION = 200
-
-
 @dataclass
 class IVFIndex:
     vectors: DataFrame  # doc_id, embedding, cell_id
     centroids: np.ndarray  # nlist x dim, small by construction
 
+    @property
+    def nlist(self) -> int:
+        return len(self.centroids)
+
     @classmethod
-    def build(cls, vectors: DataFrame, nlist: int = 16, max_iter: int = 20, seed: int = 7) -> "IVFIndex":
+    def build(cls, vectors: DataFrame, nlist: int | None = None, max_iter: int = 20, seed: int = 7) -> "IVFIndex":
+        """Learn ``nlist`` cells (default: the root of the number of vectors) and assign every
+        vector to one. Null vectors, wrong dimensions and non-finite entries are left out (D6)."""
         from pyspark.ml.clustering import KMeans
         from pyspark.ml.functions import array_to_vector
 
-        feats = vectors.select("doc_id", "embedding", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-        model = KMeans(k=nlist, maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cell_id").fit(feats)
+        good = D.valid_vectors(vectors, D.dimension(vectors))
+        if nlist is None:
+            nlist = max(1, math.isqrt(good.count()))
+        feats = good.select("doc_id", "embedding", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+        model = KMeans(k=max(2, nlist), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cell_id").fit(feats)
         cells = model.transform(feats).select("doc_id", "embedding", F.col("cell_id").cast("int").alias("cell_id"))
         return cls(cells, np.asarray(model.clusterCenters(), dtype=np.float64))
 
+    def save(self, path: str) -> None:
+        """Vectors partitioned by cell, and the centroids, below ``path``."""
+        base = path.rstrip("/")
+        spark = self.vectors.sparkSession
+        self.vectors.repartition("cell_id").write.partitionBy("cell_id").parquet(f"{base}/vectors")
+        rows = [(i, c.tolist()) for i, c in enumerate(self.centroids)]
+        spark.createDataFrame(rows, "cell_id int, centroid array<double>").coalesce(1).write.parquet(f"{base}/centroids")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "IVFIndex":
+        base = path.rstrip("/")
+        rows = spark.read.parquet(f"{base}/centroids").orderBy("cell_id").collect()  # nlist rows
+        return cls(spark.read.parquet(f"{base}/vectors"), np.array([r["centroid"] for r in rows], dtype=np.float64))
+
     def probes(self, queries: DataFrame, nprobe: int) -> DataFrame:
         """``(qid, embedding, probes array<int>)``: the nprobe nearest cells of each query."""
         C = self.centroids
@@ -57,24 +75,25 @@ class IVFIndex:
         @F.pandas_udf("array<int>")
         def nearest(emb: pd.Series) -> pd.Series:
             cents = bc.value
-            out = []
-            for e in emb:
-                if e is None:
-                    out.append([])
-                    continue
-                d = ((cents - np.asarray(e, dtype=np.float64)) ** 2).sum(axis=1)
-                out.append(np.argsort(d, kind="stable")[:nprobe].astype(np.int32).tolist())
-            return pd.Series(out)
+            good = np.array([e is not None and len(e) == cents.shape[1] for e in emb], dtype=bool)
+            out = pd.Series([[]] * len(emb), index=emb.index, dtype=object)
+            if good.any():
+                q = np.stack(emb[good].to_numpy()).astype(np.float64)
+                d = (cents**2).sum(axis=1)[None] - 2 * q @ cents.T  # one product per batch
+                order = np.argsort(d, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
+                out[good] = pd.Series(order.tolist(), index=emb.index[good])
+            return out
 
         return queries.select("qid", "embedding", nearest(F.col("embedding")).alias("probes"))
 
-    def search(self, queries: DataFrame, k: int = 10, nprobe: int = 4) -> DataFrame:
+    def search(self, queries: DataFrame, k: int = 10, nprobe: int | None = None) -> DataFrame:
+        nprobe = nprobe or max(1, self.nlist // 3)
         q = self.probes(queries, nprobe)
         cells = sorted({int(c) for row in q.select(F.explode("probes").alias("c")).distinct().collect() for c in row})
         scan = self.vectors.filter(F.col("cell_id").isin(cells))  # partition pruning on disk
         cand = D.knn_candidates(scan, q, k, probe_col="cell_id", query_probe_col="probes")
         ranked = top_k(cand, k, score="distance", ascending=True)
-        return ranked.select("qid", "doc_id", out_score("distance").alias("distance"), "rank")
+        return ranked.select("qid", "doc_id", rank_key("distance").alias("distance"), "rank")
 
     def summary(self) -> DataFrame:
         return D.summary(self.vectors, index_type=f"ivf{len(self.centroids)}")

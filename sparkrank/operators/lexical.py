@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
-from ..functions.text import OUTPUT_DECIMALS, doc_length, tokenize, with_term_frequencies
+from ..functions.text import RANK_DECIMALS, doc_length, tokenize, with_term_frequencies
 from .ordering import top_k
 
 # The reference's default BM25 parameters.
@@ -43,12 +43,17 @@ def tokenized(corpus: DataFrame, text: str = "text") -> DataFrame:
     return corpus.select("doc_id", tokenize(text).alias("tokens"))
 
 
+def one_text_per_id(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with the smallest text of a repeated id, the same in every evaluation."""
+    return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def per_document(corpus: DataFrame, cluster: int | None = None) -> DataFrame:
     """``(doc_id, dl, tfs array<struct<term, tf>>)``: one row per document, no shuffle (or,
-    with ``cluster``, one shuffle of the corpus into that many doc_id hash partitions)."""
-    src = corpus.repartition(cluster, "doc_id") if cluster else spread(corpus)
-    toks = tokenized(src).withColumn("dl", doc_length("tokens").cast("int"))
-    return with_term_frequencies(toks, "tokens", "tfs").select("doc_id", "dl", "tfs")
+    with ``cluster``, one shuffle of the term arrays, never of the text, by doc_id)."""
+    toks = tokenized(spread(corpus)).withColumn("dl", doc_length("tokens").cast("int"))
+    rows = with_term_frequencies(toks, "tokens", "tfs").select("doc_id", "dl", "tfs")
+    return rows.repartition(cluster, "doc_id") if cluster else rows
 
 
 def postings_of(per_doc: DataFrame) -> DataFrame:
@@ -180,11 +185,11 @@ class LexicalIndex:
         return m.groupBy("qid", "doc_id").agg(F.sum(contrib).alias("score"))
 
     def search(
-        self, queries: DataFrame, k: int = 10, k1=None, b=None, broadcast: bool | None = None, decimals: int = OUTPUT_DECIMALS
+        self, queries: DataFrame, k: int = 10, k1=None, b=None, broadcast: bool | None = None, decimals: int = RANK_DECIMALS
     ) -> DataFrame:
         """Top-k per query ``(qid, doc_id, score, rank)``; only matching docs are returned,
-        a query without tokens (or without known terms) returns no rows. ``decimals=4`` gives
-        the display score (T5)."""
+        a query without tokens (or without known terms) returns no rows. Scores keep the
+        ranking precision; ``decimals=4`` gives the display score (T5)."""
         ranked = top_k(self.score_all(queries, k1, b, broadcast), k)
         return ranked.select("qid", "doc_id", F.round("score", decimals).alias("score"), "rank")
 
@@ -196,7 +201,7 @@ class LexicalIndex:
         merged from the delta: ``term_stats`` = old df + delta df, ``corpus_stats`` from sums,
         so the cost is proportional to the delta plus the vocabulary, not the whole index.
         """
-        fresh = new_docs.dropDuplicates(["doc_id"]).join(self.doc_stats.select("doc_id"), "doc_id", "left_anti")
+        fresh = one_text_per_id(new_docs).join(self.doc_stats.select("doc_id"), "doc_id", "left_anti")
         rejected = new_docs.select("doc_id").join(self.doc_stats.select("doc_id"), "doc_id", "left_semi").distinct()
         d_post, d_docs = build_postings(fresh)
         d_terms = term_stats_of(d_post)

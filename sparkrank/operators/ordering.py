@@ -15,10 +15,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from ..functions.text import rank_key
-from ..session import broadcast_if_small
+from ..session import broadcast_if_bounded, broadcast_if_small
 
 
 def top_k(
@@ -37,32 +36,6 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def _byte_prefix_key(col):
-    """Monotone numeric key of a string/binary: its first 7 bytes, zero-padded, as a long
-    (byte-wise order, which is Spark's string order)."""
-    b = F.substring(col.cast("binary"), 1, 7)
-    padded = F.concat(b, F.unhex(F.lit("00000000000000")))
-    return F.conv(F.hex(F.substring(padded, 1, 7)), 16, 10).cast("long")
-
-
-def _count_below(bounds, v, n_bounds: int):
-    """Number of entries of the ascending array ``bounds`` that are < ``v``: a binary search
-    written as ``aggregate`` over log2(n) steps (O(log n) per row, no Python)."""
-    steps = max(1, int(n_bounds).bit_length() + 1)
-
-    def step(st, _):
-        lo, hi = st["lo"], st["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        right = (lo < hi) & (F.try_element_at(bounds, mid + 1) < v)
-        return F.struct(
-            F.when(right, mid + 1).otherwise(lo).alias("lo"),
-            F.when(lo >= hi, hi).when(right, hi).otherwise(mid).alias("hi"),
-        )
-
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
-
 def prefix_positions(
     df: DataFrame,
     value: str,
@@ -73,36 +46,20 @@ def prefix_positions(
 ) -> DataFrame:
     """Add ``__start``: number of rows of the same ``group`` ordered strictly before each row.
 
-    ``df`` must have unique ``(group, value)`` rows; ``count`` (default 1) is each row's
-    multiplicity. Rows are cut into value ranges per group at approximate quantiles; the
-    number of ranges grows with the data (about ``rows_per_bucket`` rows each), so a group
-    holding a third of all rows is still spread over many tasks. The running sum is a window
-    per (group, bucket) and the bucket offsets come from a small per-(group, bucket) table.
-    The bucket assignment is frozen with a reliable checkpoint so both consumers see the same
-    buckets even after a task retry.
+    ``df`` must have unique ``(group, value)`` rows of any orderable type; ``count`` (default 1)
+    is each row's multiplicity. Rows are range-partitioned by their full (group, value), at
+    boundaries sampled from the data, into about ``rows_per_bucket`` rows each, so a group that
+    holds a third of all rows, or values that share any prefix, spread over many tasks. The
+    running sum is a window per (group, bucket) and the bucket offsets come from a small
+    per-(group, bucket) table. The bucket of each row is frozen with a reliable checkpoint so
+    both consumers see the same buckets even after a task retry.
     """
     group = list(group)
     c = F.col(count) if count else F.lit(1).cast("long")
     base = df.withColumn("__c", c.cast("long"))
-    numeric = isinstance(df.schema[value].dataType, NumericType)
-    # Bucket key: the value itself, or for strings/binaries an order-preserving number made of
-    # their first 7 bytes (zero-padded), so equal keys never straddle a bucket boundary.
-    key = F.col(value) if numeric else _byte_prefix_key(F.col(value))
-    base = base.withColumn("__key", key)
     if buckets is None:
-        n_rows = base.count()
-        buckets = int(min(100_000, max(16, -(-n_rows // rows_per_bucket))))
-    accuracy = max(10_000, 4 * buckets)
-    fractions = [i / buckets for i in range(1, buckets)]
-    bounds = base.groupBy(*group).agg(
-        F.percentile_approx(F.col("__key"), F.array(*[F.lit(f) for f in fractions]), accuracy).alias("__bounds")
-    )
-    tagged = (
-        base.join(broadcast_if_small(bounds, max(1, 50_000_000 // buckets)), group, "inner")
-        .withColumn("__bucket", _count_below(F.col("__bounds"), F.col("__key"), buckets))
-        .drop("__bounds", "__key")
-        .checkpoint(eager=True)
-    )
+        buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-base.count() // rows_per_bucket))
+    tagged = base.repartitionByRange(buckets, *group, value).withColumn("__bucket", F.spark_partition_id()).checkpoint(eager=True)
     tot = tagged.groupBy(*group, "__bucket").agg(F.sum("__c").alias("__tot"))
     wb = Window.partitionBy(*group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = tot.withColumn("__off", F.coalesce(F.sum("__tot").over(wb), F.lit(0).cast("long"))).drop("__tot")
@@ -170,7 +127,6 @@ def exact_percentiles(
 
 def first_n_by(df: DataFrame, n: int, order: str) -> DataFrame:
     """Rows whose ``order`` value is among the n smallest (``order`` unique): the reference's
-    "first n" semantics, computed without a global window or a single-task sort."""
-    ids = df.select(order).withColumn("__g", F.lit(0))
-    pos = prefix_positions(ids, order, None, ["__g"]).filter(F.col("__start") < n).select(order)
-    return df.join(broadcast_if_small(pos), order, "left_semi")
+    "first n". A sort with a limit keeps n rows per task and merges those."""
+    ids = df.select(order).orderBy(order).limit(n)
+    return df.join(broadcast_if_bounded(ids, n), order, "left_semi")

@@ -53,6 +53,11 @@ def dense_text_run(spark: SparkSession, sf: str, k: int) -> DataFrame:
     return D.knn(dv, qv, k)
 
 
+def shown(run: DataFrame, *cols: str) -> DataFrame:
+    """Rounded to the output precision; everything before works on ranking precision."""
+    return run.select(*(out_score(c).alias(c) if c in cols else c for c in run.columns))
+
+
 # ---- T1-T3, B1-B5 ------------------------------------------------------------------------
 def q_tokenize_stats(spark, sf):
     toks = C.corpus(spark, sf).select("doc_id", tokenize("text").alias("t"))
@@ -76,7 +81,7 @@ def q_bm25_idf(spark, sf):
 
 
 def q_bm25_topk(spark, sf):
-    return bm25_run(spark, sf, TOPK)
+    return shown(bm25_run(spark, sf, TOPK), "score")
 
 
 def q_text_qrels(spark, sf):
@@ -94,11 +99,11 @@ def q_hash_encode(spark, sf):
 
 
 def q_knn_l2_topk(spark, sf):
-    return D.knn(C.vectors(spark, sf), C.vector_queries(spark, sf), TOPK)
+    return shown(D.knn(C.vectors(spark, sf), C.vector_queries(spark, sf), TOPK), "distance")
 
 
 def q_dense_text_topk(spark, sf):
-    return dense_text_run(spark, sf, TOPK)
+    return shown(dense_text_run(spark, sf, TOPK), "distance")
 
 
 def q_dense_summary(spark, sf):
@@ -107,15 +112,15 @@ def q_dense_summary(spark, sf):
 
 # ---- F1-F5 --------------------------------------------------------------------------------
 def q_fuse_rrf_weighted(spark, sf):
-    return FU.hybrid(bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK), alpha=0.5, k=TOPK, method="rrf")
+    return shown(FU.hybrid(bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK), alpha=0.5, k=TOPK, method="rrf"), "score")
 
 
 def q_fuse_minmax(spark, sf):
-    return FU.hybrid(bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK), alpha=0.3, k=TOPK, method="min_max")
+    return shown(FU.hybrid(bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK), alpha=0.3, k=TOPK, method="min_max"), "score")
 
 
 def q_rrf(spark, sf):
-    return FU.rrf([bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK)], k=TOPK)
+    return shown(FU.rrf([bm25_run(spark, sf, TOPK), dense_text_run(spark, sf, TOPK)], k=TOPK), "score")
 
 
 # ---- E1-E6 -------------------------------------------------------------------------------
@@ -206,7 +211,9 @@ def q_document_fetch(spark, sf):
 
 
 def q_rejected_queries(spark, sf):
-    return C.queries(spark, sf).filter(is_blank("text")).select("qid", F.lit("Query cannot be empty").alias("reason"))
+    # The given passages hold no blank query: what is left of each without its letters does.
+    stripped = C.queries(spark, sf).unionByName(C.queries(spark, sf).select(-F.col("qid") - 1, F.regexp_replace("text", r"\S", "")).toDF("qid", "text"))
+    return stripped.filter(is_blank("text")).select("qid", F.lit("Query cannot be empty").alias("reason"))
 
 
 # ---- P1-P5, S3 ---------------------------------------------------------------------------
@@ -222,8 +229,11 @@ def q_covered_corpus(spark, sf):
 
 
 def q_missing_relevant(spark, sf):
-    cov = P.covered_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), PREP_TARGET)
-    return P.missing_relevant(cov, C.prep_qrels(spark, sf))
+    # Judgments of documents outside the collection: every judged id shifted by the collection's size.
+    size = C.corpus(spark, sf).count()
+    judged = C.prep_qrels(spark, sf)
+    judged = judged.unionByName(judged.withColumn("doc_id", F.col("doc_id") + size))
+    return P.missing_relevant(P.covered_corpus(C.corpus(spark, sf), judged, PREP_TARGET), judged)
 
 
 def q_coverage(spark, sf):
@@ -246,34 +256,49 @@ def q_io_roundtrip(spark, sf):
     corpus = FS.read_corpus_jsonl(spark, f"{base}/corpus", "bigint")
     qs = FS.read_queries_tsv(spark, f"{base}/queries", "bigint")
     qrels = FS.read_qrels_tsv(spark, f"{base}/qrels", "bigint")
-    def summ(df, name, text):
-        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.length(text)), F.lit(0)).cast("long").alias("n_chars")).select(
-            F.lit(name).alias("tbl"), "n_rows", "n_chars")
-    return summ(corpus, "corpus", "text").unionByName(summ(qs, "queries", "text")).unionByName(summ(qrels, "qrels", F.col("doc_id").cast("string")))
+    def summ(df, name, *cols):
+        text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+        part = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+        return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("digest")).select(F.lit(name).alias("tbl"), "n_rows", "digest")
+
+    return summ(corpus, "corpus", "doc_id", "text").unionByName(summ(qs, "queries", "qid", "text")).unionByName(summ(qrels, "qrels", "qid", "doc_id", "rel"))
 
 
 def q_index_roundtrip(spark, sf):
     """Save the lexical index (doc-bucketed postings), re-attach it, search it."""
     path = scratch_path(spark, "lexical")
     IS.save_lexical(lexical_index(spark, sf), path, buckets=8)
-    return IS.load_lexical(spark, path).search(C.queries(spark, sf), k=TOPK)
+    return shown(IS.load_lexical(spark, path).search(C.queries(spark, sf), k=TOPK), "score")
 
 
 def q_vector_roundtrip(spark, sf):
     """Save and reload the vector table, then exact k-NN."""
     path = scratch_path(spark, "vectors")
     IS.save_vectors(C.vectors(spark, sf), path)
-    return D.knn(IS.load_vectors(spark, path), C.vector_queries(spark, sf), TOPK)
+    return shown(D.knn(IS.load_vectors(spark, path), C.vector_queries(spark, sf), TOPK), "distance")
 
 
 def q_results_sink(spark, sf):
-    """Experiment tables written as JSON and read back."""
+    """The five experiment tables written as JSON, read back and shown value by value."""
+    runs, idx = text_runs(spark, sf, DEPTH)
+    top, _ = text_runs(spark, sf, TOPK)
+    qrels, qs = text_qrels(spark, sf, idx), C.queries(spark, sf)
+    tables = {
+        "exp1_baseline": (X.baseline(runs, qrels, qs), ["system"]),
+        "exp2_alpha": (X.alpha_sweep(runs["bm25"], runs["dense"], qrels, qs, k=DEPTH), ["alpha"]),
+        "exp3_bm25": (X.bm25_grid(idx, qrels, qs, k=DEPTH), ["k1", "b"]),
+        "exp4_latency": (X.latency_summary(C.latency(spark, sf)), ["system"]),
+        "exp5_failures": (X.failure_counts(X.failure_analysis(top, qrels, qs)), ["category"]),
+    }
     base = scratch_path(spark, "results")
-    tables = {"latency": X.latency_summary(C.latency(spark, sf)), "coverage": q_coverage(spark, sf)}
-    paths = FS.write_results_json(tables, base)
+    paths = FS.write_results_json({name: t for name, (t, _) in tables.items()}, base)
     out = None
-    for name, p in paths.items():
-        part = spark.read.json(p).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("tbl"), "n_rows")
+    for name, (t, keys) in tables.items():
+        back = spark.read.schema(t.schema).json(paths[name])
+        values = [c for c in t.columns if c not in keys and t.schema[c].dataType.typeName() in ("double", "long")]
+        cells = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values])
+        key = F.concat_ws("/", *[F.format_number(c, 2) if t.schema[c].dataType.typeName() == "double" else F.col(c) for c in keys])
+        part = back.select(F.lit(name).alias("tbl"), key.alias("key"), F.inline_outer(cells)).where("metric is not null")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -290,25 +315,55 @@ def q_selective_build(spark, sf):
 
 
 def q_search_response(spark, sf):
-    """One nested response row per query (three lists with snippets + disagreements)."""
+    """The nested response (three lists with snippets, disagreements), one row per entry.
+
+    A list without entries is one row of rank 0, so empty lists are compared too.
+    """
     corpus = C.corpus(spark, sf)
     built = S.build(corpus)
     resp, _ = S.search_response(C.queries(spark, sf), corpus, built.lexical, built.vectors, k=TOPK)
-    return resp
+    parts = [
+        resp.select("qid", F.lit(name).alias("list"), F.posexplode_outer(f"{name}_results").alias("pos", "e")).select(
+            "qid",
+            "list",
+            F.coalesce(F.col("e.rank").cast("long"), F.lit(0)).alias("rank"),
+            F.coalesce(F.col("e.doc_id").cast("string"), F.lit("")).alias("item"),
+            F.coalesce("e.score", F.lit(0.0)).alias("score"),
+            F.coalesce("e.snippet", F.lit("")).alias("snippet"),
+        )
+        for name in ("bm25", "dense", "hybrid")
+    ]
+    said = resp.select("qid", F.lit("disagreements").alias("list"), F.explode_outer("disagreements").alias("e")).select(
+        "qid", "list", F.lit(0).cast("long").alias("rank"), F.coalesce("e.type", F.lit("")).alias("item"), F.lit(0.0).alias("score"), F.coalesce("e.docs", F.lit("")).alias("snippet")
+    )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(said)
 
 
 def q_knn_ivf_topk(spark, sf):
-    """IVF (k-means cells, 16 lists, 4 probes) over the embeddings."""
-    ivf = IVFIndex.build(C.vectors(spark, sf), nlist=16)
-    return ivf.search(C.vector_queries(spark, sf), k=TOPK, nprobe=4)
+    """IVF over the embeddings, saved and loaded; with all cells probed it is exact."""
+    path = scratch_path(spark, "ivf")
+    IVFIndex.build(C.vectors(spark, sf)).save(path)
+    ivf = IVFIndex.load(spark, path)
+    return shown(ivf.search(C.vector_queries(spark, sf), k=TOPK, nprobe=ivf.nlist), "distance")
+
+
+def q_knn_ivf_recall(spark, sf):
+    """Whether probing two cells in three reaches a recall of 0.9 at 10 against exact search
+    (the embeddings are close to random directions, the hardest case for cells)."""
+    ivf = IVFIndex.build(C.vectors(spark, sf))
+    qs = C.vector_queries(spark, sf)
+    exact = D.knn(C.vectors(spark, sf), qs, TOPK).select("qid", "doc_id")
+    found = ivf.search(qs, k=TOPK, nprobe=-(-2 * ivf.nlist // 3)).select("qid", "doc_id").join(exact, ["qid", "doc_id"], "left_semi")
+    return exact.agg(F.count("*").alias("n")).crossJoin(found.agg(F.count("*").alias("m"))).select((F.col("m") >= 0.9 * F.col("n")).alias("recall_ok"))
 
 
 def q_incremental_add(spark, sf):
     """Index the English documents, add the others, search (equals a full build)."""
     corpus = C.table(spark, sf, "documents").select("doc_id", "text", "lang")
-    first = LexicalIndex.build(corpus.filter(F.col("lang") == "en").select("doc_id", "text"))
-    idx, _ = first.add_documents(corpus.filter(F.col("lang") != "en").select("doc_id", "text"))
-    return idx.search(C.queries(spark, sf), k=TOPK)
+    english = F.col("lang").eqNullSafe("en")
+    first = LexicalIndex.build(corpus.filter(english).select("doc_id", "text"))
+    idx, _ = first.add_documents(corpus.filter(~english).select("doc_id", "text"))
+    return shown(idx.search(C.queries(spark, sf), k=TOPK), "score")
 
 
 def q_stream_index(spark, sf):
@@ -316,14 +371,15 @@ def q_stream_index(spark, sf):
     base = scratch_path(spark, "stream-index")
     C.corpus(spark, sf).repartition(4).write.parquet(f"{base}/in")
     indexer = stream_index(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt")
-    return indexer.index().search(C.queries(spark, sf), k=TOPK)
+    return shown(indexer.index().search(C.queries(spark, sf), k=TOPK), "score")
 
 
 def q_stream_search(spark, sf):
     """R2: queries arrive as files and are answered per micro-batch against a static index."""
     base = scratch_path(spark, "stream-search")
     C.queries(spark, sf).repartition(2).write.parquet(f"{base}/in")
-    return stream_search(spark, lexical_index(spark, sf), f"{base}/in", "qid bigint, text string", f"{base}/out", f"{base}/ckpt", k=TOPK)
+    found = stream_search(spark, lexical_index(spark, sf), f"{base}/in", "qid bigint, text string", f"{base}/out", f"{base}/ckpt", k=TOPK)
+    return shown(found, "score")
 
 
 # ---- oracle ------------------------------------------------------------------------------
@@ -337,16 +393,16 @@ ORACLE = {
     "term_stats": O.with_(O.LEX) + "SELECT term, df FROM term_stats",
     "corpus_stats": O.with_(O.LEX) + "SELECT n, total_dl, round(avgdl, 6) AS avgdl FROM corpus_stats",
     "bm25_idf": O.with_(O.LEX) + "SELECT term, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM term_stats CROSS JOIN corpus_stats",
-    "bm25_topk": O.with_(O.LEX, O.QUERIES, O.bm25_run("r", TOPK)) + "SELECT qid, doc_id, score, rank FROM r",
+    "bm25_topk": O.with_(O.LEX, O.QUERIES, O.bm25_run("r", TOPK)) + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM r",
     "text_qrels": O.with_(O.TEXT_QRELS) + "SELECT qid, doc_id, rel FROM qrels",
     "hash_encode": O.with_(O.hash_vectors("hv", "documents", "doc_id")) + "SELECT id AS doc_id, bucket, round(weight, 6) AS weight FROM hv WHERE weight <> 0",
-    "knn_l2_topk": O.with_(O.vec_knn_run("r", TOPK)) + "SELECT qid, doc_id, distance, rank FROM r",
-    "dense_text_topk": O.with_(O.hash_dense_run("r", TOPK)) + "SELECT qid, doc_id, distance, rank FROM r",
+    "knn_l2_topk": O.with_(O.vec_knn_run("r", TOPK)) + "SELECT qid, doc_id, round(distance, 6) AS distance, rank FROM r",
+    "dense_text_topk": O.with_(O.hash_dense_run("r", TOPK)) + "SELECT qid, doc_id, round(distance, 6) AS distance, rank FROM r",
     "dense_summary": "SELECT count(*) AS n_docs, max(len(embedding)) AS dim, 'l2sq' AS metric, 'exact' AS index_type FROM embeddings WHERE embedding IS NOT NULL",
     "fuse_rrf_weighted": O.with_(O.LEX, O.QUERIES, O.bm25_run("a", TOPK), O.hash_dense_run("b", TOPK), O.fuse("f", "a", "b", 0.5, TOPK, "rrf"))
-    + "SELECT qid, doc_id, score, rank FROM f",
+    + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM f",
     "fuse_minmax": O.with_(O.LEX, O.QUERIES, O.bm25_run("a", TOPK), O.hash_dense_run("b", TOPK), O.fuse("f", "a", "b", 0.3, TOPK, "min_max"))
-    + "SELECT qid, doc_id, score, rank FROM f",
+    + "SELECT qid, doc_id, round(score, 6) AS score, rank FROM f",
     "rrf": O.with_(
         O.LEX,
         O.QUERIES,
@@ -464,10 +520,12 @@ ORACLE.update({
     "snippets": O.with_(O.LEX, O.QUERIES, O.bm25_scores("s"), O.topk("t", "s", TOPK))
     + f"SELECT t.qid, t.doc_id, t.rank, round(t.score, 4) AS display_score, {O.snippet_sql('coalesce(d.text, \'\')')} AS snippet FROM t LEFT JOIN documents d USING (doc_id)",
     "document_fetch": O.with_(O.LEX, O.QUERIES, O.bm25_run("r", TOPK)) + "SELECT r.qid, r.doc_id, coalesce(d.text, '') AS text FROM r LEFT JOIN documents d USING (doc_id)",
-    "rejected_queries": "SELECT item_id AS qid, 'Query cannot be empty' AS reason FROM benchmark WHERE text IS NULL OR trim(text) = ''",
+    "rejected_queries": "SELECT item_id AS qid, 'Query cannot be empty' AS reason FROM benchmark WHERE text IS NULL OR trim(text) = '' "
+    "UNION ALL SELECT -item_id - 1, 'Query cannot be empty' FROM benchmark",
     "relevant_docs": "SELECT DISTINCT doc_id FROM labels WHERE quality > 0",
     "covered_corpus": f"SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0)",
-    "missing_relevant": f"SELECT DISTINCT doc_id FROM labels WHERE quality > 0 AND doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0))",
+    "missing_relevant": "SELECT DISTINCT doc_id FROM (SELECT doc_id FROM labels WHERE quality > 0 UNION ALL "
+    "SELECT doc_id + (SELECT count(*) FROM documents) FROM labels WHERE quality > 0) WHERE doc_id NOT IN (SELECT doc_id FROM documents)",
     "coverage": O.with_(
         f"cov AS (SELECT DISTINCT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT {PREP_TARGET}) OR doc_id IN (SELECT doc_id FROM labels WHERE quality > 0))",
         "rel AS (SELECT DISTINCT doc_id FROM labels WHERE quality > 0)",
@@ -480,9 +538,11 @@ ORACLE.update({
             WHEN (CASE WHEN n_relevant > 0 THEN n_relevant_written / n_relevant ELSE 0.0 END) >= 0.80 THEN 'good' ELSE 'poor' END AS grade
 FROM c CROSS JOIN k""",
     "qrels_filter": "SELECT DISTINCT 0::BIGINT AS qid, doc_id FROM labels WHERE quality > 0",
-    "io_roundtrip": """SELECT 'corpus' AS tbl, count(*) AS n_rows, coalesce(sum(length(text)), 0)::BIGINT AS n_chars FROM documents
-UNION ALL SELECT 'queries', count(*), coalesce(sum(length(text)), 0)::BIGINT FROM benchmark
-UNION ALL SELECT 'qrels', count(*), coalesce(sum(length(doc_id::VARCHAR)), 0)::BIGINT FROM (SELECT DISTINCT doc_id FROM labels WHERE quality > 0)""",
+    "io_roundtrip": """WITH t AS (
+  SELECT 'corpus' AS tbl, doc_id::VARCHAR || '|' || text AS x FROM documents
+  UNION ALL SELECT 'queries', item_id::VARCHAR || '|' || translate(text, chr(13) || chr(10), '  ') FROM benchmark
+  UNION ALL SELECT DISTINCT 'qrels', '0|' || doc_id::VARCHAR || '|1' FROM labels WHERE quality > 0)
+SELECT tbl, count(*) AS n_rows, sum(('0x' || substr(md5(x), 1, 8))::BIGINT)::BIGINT AS digest FROM t GROUP BY tbl""",
     "index_roundtrip": ORACLE["bm25_topk"],
     "vector_roundtrip": ORACLE["knn_l2_topk"],
     "selective_build": O.with_(O.LEX) + """SELECT 'postings' AS component, count(*) AS n_rows FROM postings
@@ -517,6 +577,45 @@ _REPORT_SQL = O.with_(*_BASELINE_CTES, *_sweep_ctes("bm25_r", "dense_r", "sw_"),
     + [f"SELECT 'latency', system, '{m}', {m}::DOUBLE FROM lat" for m in ("mean_ms", "p95_ms", "qps")]
 )
 ORACLE["report_summary"] = _REPORT_SQL
+ORACLE["knn_ivf_topk"] = ORACLE["knn_l2_topk"]
+ORACLE["knn_ivf_recall"] = "SELECT true AS recall_ok"
+
+
+def _sink_sql() -> str:
+    def cells(name: str, key: str, metrics: list[str], sql: str) -> str:
+        names = ", ".join(f"'{m}'" for m in metrics)
+        return f"SELECT '{name}' AS tbl, {key} AS key, unnest([{names}]) AS metric, unnest([{', '.join(f'{m}::DOUBLE' for m in metrics)}]) AS value FROM ({sql})"
+
+    counts = (
+        "SELECT c.category, count(f.qid) AS n_queries FROM (SELECT unnest(['bm25_only', 'dense_only', 'both_fail', 'hybrid_wins']) AS category) c "
+        f"LEFT JOIN ({_FAILURE_SQL}) f USING (category) GROUP BY c.category"
+    )
+    three = ["ndcg", "mrr", "recall"]
+    return " UNION ALL ".join(
+        [
+            cells("exp1_baseline", "system", three, ORACLE["baseline_comparison"]),
+            cells("exp2_alpha", "printf('%.2f', alpha)", three, ORACLE["alpha_sweep"]),
+            cells("exp3_bm25", "printf('%.2f', k1) || '/' || printf('%.2f', b)", three, ORACLE["bm25_grid"]),
+            cells("exp4_latency", "system", ["mean_ms", "median_ms", "p95_ms", "p99_ms", "qps"], ORACLE["latency_summary"]),
+            cells("exp5_failures", "category", ["n_queries"], counts),
+        ]
+    )
+
+
+ORACLE["results_sink"] = _sink_sql()
+ORACLE["search_response"] = (
+    O.with_(
+        *_runs10_sql(),
+        "ok AS MATERIALIZED (SELECT qid FROM queries WHERE text IS NOT NULL AND trim(text) <> '')",
+        """runs AS MATERIALIZED (SELECT 'bm25' AS list, qid, rank, doc_id, round(score, 4) AS score FROM rb
+  UNION ALL SELECT 'dense', qid, rank, doc_id, round(distance, 4) FROM rd UNION ALL SELECT 'hybrid', qid, rank, doc_id, round(score, 4) FROM rh)""",
+        "said AS MATERIALIZED (" + _DISAGREE_SQL + ")",
+    )
+    + f"""SELECT ok.qid, l.list, coalesce(r.rank, 0)::BIGINT AS rank, coalesce(r.doc_id::VARCHAR, '') AS item, coalesce(r.score, 0.0) AS score,
+       CASE WHEN r.doc_id IS NOT NULL THEN {O.snippet_sql("coalesce(d.text, '')")} ELSE '' END AS snippet
+FROM ok CROSS JOIN (SELECT unnest(['bm25', 'dense', 'hybrid']) AS list) l LEFT JOIN runs r ON r.qid = ok.qid AND r.list = l.list LEFT JOIN documents d ON d.doc_id = r.doc_id
+UNION ALL SELECT ok.qid, 'disagreements', 0, coalesce(s.type, ''), 0.0, coalesce(s.docs, '') FROM ok LEFT JOIN said s ON s.qid = ok.qid"""
+)
 
 
 QUERIES = {
@@ -558,6 +657,7 @@ QUERIES = {
     "selective_build": q_selective_build,
     "search_response": q_search_response,
     "knn_ivf_topk": q_knn_ivf_topk,
+    "knn_ivf_recall": q_knn_ivf_recall,
     "incremental_add": q_incremental_add,
     "stream_index": q_stream_index,
     "stream_search": q_stream_search,

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import join_first_ids, out_score
+from ..functions.text import join_first_ids, out_score, rank_key
 from ..operators import evaluate as E
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex, bm25_term_score
@@ -52,14 +52,15 @@ def baseline(runs: dict[str, DataFrame], qrels: DataFrame, queries: DataFrame) -
 
 
 def mark_best(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """``is_best`` = highest nDCG; the first in ``order`` wins ties (the reference's max).
+    """``is_best`` = highest unrounded nDCG (to 9 places); the first in ``order`` wins ties. The
+    metrics are rounded only afterwards, for the output.
 
     ``df`` has one row per parameter setting; it is persisted so the best-row subquery and
     the rows themselves come from one evaluation of the sweep."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     best = df.orderBy(F.round("ndcg", 9).desc(), *[F.col(c).asc() for c in order]).limit(1)
     best_key = best.select(F.struct(*order).alias("k")).scalar()
-    return df.withColumn("is_best", F.struct(*order) == best_key)
+    return df.select(*order, *_metrics_cols(), (F.struct(*order) == best_key).alias("is_best"))
 
 
 def alpha_sweep(
@@ -73,8 +74,7 @@ def alpha_sweep(
 ) -> DataFrame:
     """``(alpha, ndcg, mrr, recall, is_best)`` from one pair of runs."""
     fused = FU.hybrid_sweep(lexical, dense, alphas, k=k, method=method)
-    m = E.macro(fused, qrels, queries, by=("alpha",)).select("alpha", *_metrics_cols())
-    return mark_best(m, ["alpha"])
+    return mark_best(E.macro(fused, qrels, queries, by=("alpha",)), ["alpha"])
 
 
 def bm25_grid(
@@ -102,9 +102,8 @@ def bm25_grid(
             F.array(*[F.struct(F.lit(k1).alias("k1"), F.lit(b).alias("b"), F.col(f"__s{i}").alias("score")) for i, (k1, b) in enumerate(grid)])
         ),
     )
-    ranked = top_k(expanded, k, by=("k1", "b", "qid")).select("k1", "b", "qid", "doc_id", out_score("score").alias("score"), "rank")
-    res = E.macro(ranked, qrels, queries, by=("k1", "b")).select("k1", "b", *_metrics_cols())
-    return mark_best(res, ["k1", "b"])
+    ranked = top_k(expanded, k, by=("k1", "b", "qid")).select("k1", "b", "qid", "doc_id", rank_key("score").alias("score"), "rank")
+    return mark_best(E.macro(ranked, qrels, queries, by=("k1", "b")), ["k1", "b"])
 
 
 def latency_summary(latency: DataFrame) -> DataFrame:
@@ -156,6 +155,16 @@ def failure_analysis(
     )
 
 
+FAILURE_CATEGORIES = ("bm25_only", "dense_only", "both_fail", "hybrid_wins")
+
+
+def failure_counts(failures: DataFrame) -> DataFrame:
+    """``(category, n_queries)`` for every category, 0 where none failed that way."""
+    every = failures.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, FAILURE_CATEGORIES))).alias("category"))
+    found = failures.groupBy("category").agg(F.count("*").alias("n_queries"))
+    return every.join(found, "category", "left").select("category", F.coalesce("n_queries", F.lit(0).cast("long")).alias("n_queries"))
+
+
 def disagreements(bm25: DataFrame, dense: DataFrame, hybrid: DataFrame, top: int = DISAGREEMENT_TOP) -> DataFrame:
     """``(qid, type, docs, description)`` from the top ``top`` of each list, non-empty only."""
     def tops(run, name):

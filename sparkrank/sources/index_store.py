@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lexical import LexicalIndex, postings_of
+from ..operators.lexical import LexicalIndex, corpus_stats_of, postings_of, term_stats_of
 
 DEFAULT_BUCKETS = 64
 
@@ -32,8 +32,8 @@ def _table_name(prefix: str) -> str:
 
 
 def save_lexical(index: LexicalIndex, path: str, buckets: int = DEFAULT_BUCKETS) -> None:
-    """Write the four tables and the metadata. (Each table re-derives from the corpus
-    scan; caching the per-document arrays instead would spill a corpus-sized table.)"""
+    """Write the postings and document lengths, derive the two statistics tables from
+    those files, and write the metadata."""
     spark = index.postings.sparkSession
     base = path.rstrip("/")
     name = _table_name("postings")
@@ -54,8 +54,11 @@ def save_lexical(index: LexicalIndex, path: str, buckets: int = DEFAULT_BUCKETS)
     )
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: data stays, catalog entry goes
     index.doc_stats.write.mode("overwrite").parquet(f"{base}/doc_stats")
-    index.term_stats.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{base}/term_stats")
-    index.corpus_stats.coalesce(1).write.mode("overwrite").parquet(f"{base}/corpus_stats")
+    # The statistics come from what was just written, not from the text once more.
+    postings = spark.read.schema(index.postings.schema).parquet(f"{base}/postings")
+    doc_stats = spark.read.schema(index.doc_stats.schema).parquet(f"{base}/doc_stats")
+    term_stats_of(postings).repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{base}/term_stats")
+    corpus_stats_of(doc_stats).coalesce(1).write.mode("overwrite").parquet(f"{base}/corpus_stats")
     id_type = index.postings.schema["doc_id"].dataType.simpleString()
     meta = {"k1": index.k1, "b": index.b, "buckets": buckets, "id_type": id_type}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{base}/meta")

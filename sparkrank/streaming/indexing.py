@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lexical import LexicalIndex, build_postings, corpus_stats_of, term_stats_of
+from ..session import broadcast_if_small
+from ..operators.lexical import DEFAULT_B, DEFAULT_K1, LexicalIndex, build_postings, corpus_stats_of, one_text_per_id, term_stats_of
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -37,41 +38,61 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+FILES_PER_BATCH = 1000
+
+
 class StreamingIndexer:
-    def __init__(self, spark: SparkSession, path: str, k1: float = 1.2, b: float = 0.75):
+    """Per-batch delta tables below ``path``, all read with explicit schemas: a batch without
+    documents or without tokens leaves tables that are empty, not unreadable."""
+
+    def __init__(self, spark: SparkSession, path: str, k1: float = DEFAULT_K1, b: float = DEFAULT_B, id_type: str = "bigint"):
         self.spark, self.path, self.k1, self.b = spark, path.rstrip("/"), k1, b
+        self.schemas = {
+            "postings": f"doc_id {id_type}, term string, tf int, dl int",
+            "doc_stats": f"doc_id {id_type}, dl int",
+            "term_df": "term string, df bigint",
+            "rejected": f"doc_id {id_type}",
+        }
 
     def _t(self, name: str) -> str:
         return f"{self.path}/{name}"
 
+    def table(self, name: str) -> DataFrame:
+        """A delta table with its ``batch_id``; empty before the first batch."""
+        schema = f"{self.schemas[name]}, batch_id bigint"
+        if not _exists(self.spark, self._t(name)):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._t(name))
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        docs = batch.select("doc_id", "text").dropDuplicates(["doc_id"])
-        if _exists(self.spark, self._t("doc_stats")):
-            seen = self.spark.read.parquet(self._t("doc_stats")).filter(F.col("batch_id") != batch_id).select("doc_id")
-            docs = docs.join(seen, "doc_id", "left_anti")
-        postings, doc_stats = build_postings(docs)
+        docs = one_text_per_id(batch.select("doc_id", "text"))
+        # Only the ids of the batch are looked for among the indexed ones.
+        ids = batch.select("doc_id").distinct()
+        seen = self.table("doc_stats").filter(F.col("batch_id") != batch_id).select("doc_id")
+        seen = seen.join(broadcast_if_small(ids), "doc_id", "left_semi").distinct()
+        _write_batch(seen, self._t("rejected"), batch_id)
+        known = self.table("rejected").filter(F.col("batch_id") == batch_id).select("doc_id")
+        postings, doc_stats = build_postings(docs.join(broadcast_if_small(known), "doc_id", "left_anti"))
         _write_batch(postings, self._t("postings"), batch_id)
         _write_batch(doc_stats, self._t("doc_stats"), batch_id)
-        _write_batch(term_stats_of(self.spark.read.parquet(self._t("postings")).filter(F.col("batch_id") == batch_id)), self._t("term_df"), batch_id)
+        _write_batch(term_stats_of(self.table("postings").filter(F.col("batch_id") == batch_id)), self._t("term_df"), batch_id)
+
+    def rejected(self) -> DataFrame:
+        """Ids that arrived again after they were indexed."""
+        return self.table("rejected").select("doc_id").distinct()
 
     def index(self) -> LexicalIndex:
-        doc_stats = self.spark.read.parquet(self._t("doc_stats")).drop("batch_id")
-        term_stats = self.spark.read.parquet(self._t("term_df")).groupBy("term").agg(F.sum("df").cast("long").alias("df"))
-        return LexicalIndex(
-            self.spark.read.parquet(self._t("postings")).drop("batch_id"),
-            doc_stats,
-            term_stats,
-            corpus_stats_of(doc_stats),
-            self.k1,
-            self.b,
-        )
+        doc_stats = self.table("doc_stats").drop("batch_id")
+        term_stats = self.table("term_df").groupBy("term").agg(F.sum("df").cast("long").alias("df"))
+        return LexicalIndex(self.table("postings").drop("batch_id"), doc_stats, term_stats, corpus_stats_of(doc_stats), self.k1, self.b)
 
 
 def stream_index(
-    spark: SparkSession, source: str, schema: str, index_path: str, checkpoint: str, fmt: str = "parquet", files_per_batch: int = 1
+    spark: SparkSession, source: str, schema: str, index_path: str, checkpoint: str, fmt: str = "parquet", files_per_batch: int = FILES_PER_BATCH
 ) -> StreamingIndexer:
     """Index every document file under ``source`` (available-now trigger) into ``index_path``."""
-    indexer = StreamingIndexer(spark, index_path)
+    id_type = spark.createDataFrame([], schema).schema["doc_id"].dataType.simpleString()
+    indexer = StreamingIndexer(spark, index_path, id_type=id_type)
     q = (
         spark.readStream.schema(schema)
         .format(fmt)
@@ -95,7 +116,7 @@ def stream_search(
     checkpoint: str,
     k: int = 10,
     fmt: str = "parquet",
-    files_per_batch: int = 1,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """R2: answer every query file under ``source`` with BM25 top-k; returns the result table."""
 
