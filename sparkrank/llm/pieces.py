@@ -4,8 +4,9 @@ The model file is read for its pieces, scores and normaliser only; segmentation
 in the tasks, a batch of texts at a time:
 
 1. No piece of such a model has a word mark behind another character (checked when the model is
-   loaded), so normalised text falls apart before each run of word marks. The batch's distinct
-   parts that the worker has not seen are concatenated.
+   loaded), so normalised text falls apart before each run of word marks, and so it does before
+   a stop whose predecessor it follows in no piece. The batch's distinct parts that the worker
+   does not remember are concatenated.
 2. The concatenation is indexed by a suffix array, suffixes compared over the longest piece's
    length, in blocks of ``BLOCK`` positions that overlap by that length.
 3. Every piece is binary-searched for its range of occurrences; the ranges are the edges.
@@ -37,9 +38,12 @@ from .common import prepare, table
 
 MARK = "▁"
 BLOCK = 1 << 18
-CACHE_PARTS = 300_000
+CACHE_PARTS = 250_000
 BATCH_CHARS = 1 << 20
-_PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_CUT = "\0"
+_PARTS = re.compile(f"{MARK}*[^{MARK}{_CUT}]+|{MARK}+")
+_WHOLE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_STOPS = ".,;:!?"
 
 
 class Model:
@@ -76,7 +80,13 @@ class Model:
         self.apart: dict[int, bool] = {}
         whole = [self.merge(p) == [p] for p in self.pieces]
         self.whole = np.array(whole)  # a piece that its own merges do not make is never used
+        # Parts of this and of the previous generation: what is used again moves up, so parts that
+        # come often are never encoded twice and memory stays bounded.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        before = {q: {x for p in self.pieces for x, y in zip(p, p[1:]) if y == q} for q in _STOPS}
+        stop = lambda q, xs: f"{re.escape(q)}(?<=[^{re.escape(''.join(sorted(xs)))}{_CUT}]{re.escape(q)})"
+        self.stops = re.compile("|".join(stop(q, xs) for q, xs in before.items()))
         self.text_of = [b""] * sp.get_piece_size()
         for p, i in zip(self.pieces, self.ids):
             if i >= 0:
@@ -173,14 +183,22 @@ class Model:
             out.append(array("i", reversed(found)).tobytes())
         return out
 
+    def _parts(self, text: str) -> list[str]:
+        if _CUT in text:
+            return _WHOLE.findall(text)
+        return _PARTS.findall(self.stops.sub(_CUT + r"\g<0>", text))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed 32-bit integers."""
-        split = [_PARTS.findall(self.processor.normalize(t)) if t else [] for t in texts]
+        split = [self._parts(self.processor.normalize(t)) if t else [] for t in texts]
         if len(self.cache) > CACHE_PARTS:
-            self.cache.clear()
-        if len(self.apart) > 2_000_000:
+            self.cache, self.older = {}, self.cache
+        if len(self.apart) > 1_000_000:
             self.apart.clear()
-        new = [p for p in dict.fromkeys(p for parts in split for p in parts) if p not in self.cache]
+        asked = set().union(*split).difference(self.cache)
+        known = self.older.keys() & asked
+        self.cache.update((p, self.older[p]) for p in known)
+        new = sorted(asked - known)
         if new:
             self.cache.update(zip(new, self._segment(new)))
         return [b"".join(map(self.cache.__getitem__, parts)) for parts in split]

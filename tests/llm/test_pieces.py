@@ -42,9 +42,17 @@ def test_long_parts_cross_blocks(monkeypatch):
     want = SP.encode(texts)
     monkeypatch.setattr(P, "BLOCK", 97)
     MODEL.cache.clear()
+    MODEL.older.clear()
     assert ids(texts) == want
 
 
+def test_generations_forget_and_remember(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_PARTS", 3)
+    texts = ["one two three four.", "one two five!", "six seven, one", "one two", "eight: nine one"]
+    assert [ids([t])[0] for t in texts] == SP.encode(texts)
+    assert len(MODEL.cache) < 12
+
+
 def test_registered_query(spark, sf):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     got = P.q_op5_pieces(spark, sf).collect()
