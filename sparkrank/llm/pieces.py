@@ -39,7 +39,7 @@ from .common import prepare, table
 MARK = "▁"
 BLOCK = 1 << 18
 CACHE_PARTS = 250_000
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 _CUT = "\0"
 _PARTS = re.compile(f"{MARK}*[^{MARK}{_CUT}]+|{MARK}+")
 _WHOLE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -218,22 +218,23 @@ def model_at(path: str) -> Model:
     return _MODELS[path]
 
 
-def _groups(texts: list[str | None]):
+def _groups(texts: pa.Array):
     """Runs of texts of about ``BATCH_CHARS`` characters."""
-    at, size = 0, 0
-    for k, t in enumerate(texts):
-        size += len(t or "")
+    some, size = [], 0
+    for t in texts:
+        some.append(t.as_py() or "")
+        size += len(some[-1])
         if size >= BATCH_CHARS:
-            yield [x or "" for x in texts[at : k + 1]]
-            at, size = k + 1, 0
-    if at < len(texts):
-        yield [x or "" for x in texts[at:]]
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 def _encoder(path: str):
     def run(texts: pa.Array) -> pa.Array:
         model = model_at(path)
-        ids = [x for group in _groups(texts.to_pylist()) for x in model.encode(group)]
+        ids = [x for group in _groups(texts) for x in model.encode(group)]
         stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])
         values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
         return pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), values)
@@ -244,7 +245,8 @@ def _encoder(path: str):
 def _decoder(path: str):
     def run(ids: pa.Array) -> pa.Array:
         model = model_at(path)
-        return pa.array([None if x is None else model.decode(x) for x in ids.to_pylist()], type=pa.string())
+        # Row by row: the ids of a whole batch would be millions of Python integers.
+        return pa.array((model.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in ids), type=pa.string())
 
     return run
 
