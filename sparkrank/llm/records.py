@@ -19,7 +19,7 @@ retried or duplicated task leaves one whole file with the same bytes.
 
 Encoding: the pre-tokenizer never joins across white space, so a text's ids are those of its
 white-space-separated pieces; each distinct piece is encoded once and remembered, up to
-``CACHE_PIECES`` pieces per worker. A tokenizer with another pre-tokenizer is given whole texts.
+``CACHE_PIECES`` pieces per generation and worker. A tokenizer with another pre-tokenizer is given whole texts.
 
 Edge cases: a null or empty text is a record of the end id alone; null ids come first; repeated
 rows are records of their own; an empty table gives an empty index and no record; a damaged or
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import id_frame, prepare, table
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 250_000
 READ_BYTES = 8 << 20
 _BATCH_BYTES = 2 << 20
 _MASK = 0xA282EAD8
@@ -89,7 +89,10 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
-        self.kind, self.by_piece, self.known = f"<u{width}", by_piece, {}
+        self.kind, self.by_piece = f"<u{width}", by_piece
+        # Pieces of this and of the previous generation: what is used again moves up.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,9 +102,12 @@ class PieceEncoder:
             return self._encode([t.decode() for t in texts])
         pieces = [_pieces(t) for t in texts]
         if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        known = self.known
-        new = [p for p in set().union(*pieces) if p not in known]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        asked = set().union(*pieces).difference(known)
+        again = older.keys() & asked
+        known.update((p, older[p]) for p in again)
+        new = list(asked - again)
         known.update(zip(new, self._encode([p.decode() for p in new])))
         return [b"".join(map(known.__getitem__, p)) for p in pieces]
 

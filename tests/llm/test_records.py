@@ -32,6 +32,12 @@ def test_special_tokens_and_words():
         assert np.frombuffer(ENCODER([t.encode()])[0], "<u2").tolist() == whole(t)
 
 
+def test_generations_forget_and_remember(monkeypatch):
+    monkeypatch.setattr(R, "CACHE_PIECES", 2)
+    for t in ("one two three", "one two four", "five six one", "one two three"):
+        assert np.frombuffer(ENCODER([t.encode()])[0], "<u2").tolist() == whole(t)
+
+
 def test_frames_detect_damage():
     record = R.frame(b"abcdef")
     assert R.unframe(record) == b"abcdef" and R.unframe(R.frame(b"")) == b""
