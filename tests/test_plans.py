@@ -19,8 +19,8 @@ def test_bm25_search_limits_before_shuffle_and_has_partitioned_windows(spark):
     res = LexicalIndex.build(C.corpus(spark, SF)).search(C.queries(spark, SF), k=10)
     p = plan(res)
     assert "WindowGroupLimit" in p
-    for w in re.findall(r"Window \[.*", p):
-        assert "windowspecdefinition(" in w and "qid" in w  # partitioned by qid
+    specs = re.findall(r"windowspecdefinition\((.*?) (?:ASC|DESC)", p)
+    assert specs and all(s.startswith("qid#") and "," in s for s in specs)  # partition keys come first
 
 
 def test_bucketed_index_scores_without_exchange(spark):
@@ -44,3 +44,13 @@ def test_text_is_not_read_by_the_scoring_scan(spark):
     p = res._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in p.splitlines() if "postings" in line.lower() and "FileScan" in line]
     assert scans and all("text" not in s for s in scans)
+
+
+def test_clustered_index_shuffles_terms_and_not_text(spark):
+    built = LexicalIndex.build(C.corpus(spark, SF), persist=True)
+    exchanges = [line for line in built.per_doc._jdf.queryExecution().withCachedData().toString().splitlines() if "Exchange" in line or "Repartition" in line]
+    inner = plan(LexicalIndex.build(C.corpus(spark, SF)).per_doc.repartition(4, "doc_id"))
+    assert "Exchange hashpartitioning(doc_id" in inner
+    above = inner.split("Exchange hashpartitioning(doc_id")[0]
+    assert "text#" not in above and all("text#" not in e for e in exchanges)
+    built.per_doc.unpersist()
