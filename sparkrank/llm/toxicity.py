@@ -39,6 +39,9 @@ SAMPLE_ROWS = 12_000
 MAX_TERMS = 4096
 LEXICONS = 32
 MIN_ROWS = 5
+#: A term also has to occur in this share of the toxic rows: the words that a few copies of one
+#: toxic text share by chance do not.
+MIN_SHARE = 0.02
 MIN_G2 = 24.0
 MIN_LIFT = 15.0
 THRESHOLD = 0.7
@@ -144,7 +147,7 @@ def mine_terms(sample: DataFrame) -> tuple[DataFrame, list[str]]:
     pos, n = size[0] or 0, size[1]
     if not pos or pos == n:
         return made.select("row", "toxic", F.array().cast("array<string>").alias("terms"), "patterns"), []
-    hits = made.select("toxic", F.explode("f").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("c")).where(F.col("a") >= MIN_ROWS)
+    hits = made.select("toxic", F.explode("f").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("c")).where(F.col("a") >= max(MIN_ROWS, MIN_SHARE * pos))
     rate = pos / n
     log_term = lambda k, m: F.when(k > 0, k * F.log(k / m)).otherwise(0.0)
     b = F.col("c") - F.col("a")
@@ -253,7 +256,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Classi
     if not order:
         return Classifier(bias=math.log((prior + 1e-9) / (1 - prior + 1e-9)) if prior < 1 else 30.0)
     hits = np.array([r["patterns"] for r in got], dtype=bool)
-    order = without_echoes([r["terms"] for r in got], order)
+    # Whole words are visited first: a beginning that says the same also meets other words.
+    order = without_echoes([r["terms"] for r in got], sorted(order, key=lambda t: not t.startswith("=")))
     posterior, _, _ = label_model(vote([r["terms"] for r in got], hits[:, : len(PATTERNS)], order), prior, np.array([r["toxic"] for r in got]))
     at = {t: i for i, t in enumerate(order)}
     inputs = [[at[t] for t in r["terms"] if t in at] + [len(order) + int(k) for k in np.nonzero(h)[0]] for r, h in zip(got, hits)]
