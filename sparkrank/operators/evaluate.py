@@ -63,15 +63,17 @@ def per_query(
     k_mrr: int = DEFAULT_K_MRR,
     k_recall: int = DEFAULT_K_RECALL,
     ideal: str = "retrieved",
+    unjudged: bool = False,
 ) -> DataFrame:
-    """E1-E3 per (by..., qid) for judged queries that have retrieved rows."""
+    """E1-E3 per (by..., qid) for judged queries that have retrieved rows (with ``unjudged``,
+    for all queries: 0 hits and a null recall where nothing is judged)."""
     if ideal not in ("retrieved", "judged"):
         raise ValueError(f"ideal must be 'retrieved' or 'judged', got {ideal!r}")
     by = list(by)
     judged = judged_queries(qrels, queries)
     rel = relevant_pairs(qrels).withColumn("__hit", F.lit(True))
-    r = run.join(judged, "qid").join(rel, ["qid", "doc_id"], "left")
-    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    r = run.join(judged, "qid", "left" if unjudged else "inner").join(rel, ["qid", "doc_id"], "left")
+    hit = F.coalesce(F.col("__hit"), F.lit(False)) & F.col("n_rel").isNotNull()
     rank = F.col("rank")
     agg = r.groupBy(*by, "qid", "n_rel").agg(
         F.sum(F.when(hit & (rank <= k_ndcg), F.lit(1.0) / F.log2(rank + 1)).otherwise(F.lit(0.0))).alias("__dcg"),
@@ -106,16 +108,15 @@ def macro(
     0.0, as does every system when no query is judged.
     """
     by = list(by)
-    pq = per_query(run, qrels, queries, by, k_ndcg, k_mrr, k_recall, ideal)
+    # Unjudged queries stay as rows without hits, so no system of the run is lost.
+    pq = per_query(run, qrels, queries, by, k_ndcg, k_mrr, k_recall, ideal, unjudged=True)
     n = judged_queries(qrels, queries).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     nz = F.when(n > 0, n)
     sums = pq.groupBy(*by).agg(
         F.sum("ndcg").alias("__ndcg"), F.sum("mrr").alias("__mrr"), F.sum("recall").alias("__recall")
     )
-    every = run.select(*by).distinct()
-    same = [every[c].eqNullSafe(sums[c]) for c in by]
-    return every.join(sums, same, "left").select(
-        *(every[c] for c in by),
+    return sums.select(
+        *by,
         F.coalesce(F.col("__ndcg") / nz, F.lit(0.0)).alias("ndcg"),
         F.coalesce(F.col("__mrr") / nz, F.lit(0.0)).alias("mrr"),
         F.coalesce(F.col("__recall") / nz, F.lit(0.0)).alias("recall"),

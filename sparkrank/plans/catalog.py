@@ -320,8 +320,7 @@ def q_search_response(spark, sf):
     A list without entries is one row of rank 0, so empty lists are compared too.
     """
     corpus = C.corpus(spark, sf)
-    built = S.build(corpus)
-    resp, _ = S.search_response(C.queries(spark, sf), corpus, built.lexical, built.vectors, k=TOPK)
+    resp, _ = S.search_response(C.queries(spark, sf), corpus, lexical_index(spark, sf), D.hash_encode(corpus, "doc_id"), k=TOPK)
     parts = [
         resp.select("qid", F.lit(name).alias("list"), F.posexplode_outer(f"{name}_results").alias("pos", "e")).select(
             "qid",
