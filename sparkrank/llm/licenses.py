@@ -2,11 +2,14 @@
 
 A text is put into canonical form (lower case, punctuation and white space to single spaces,
 copyright lines dropped, equivalent spellings unified word by word) and the SHA-256 of that
-form is joined with the digests of known licence texts and notices. Three kinds of units are
-looked up as entire texts: the whole document, each paragraph (lines between blank lines) and
-each line. Before hashing, a unit is dropped if its first word starts no known text or it has
-a number of words that no known text has: neither can match. The known digests are a
-table of bounded size, broadcast when their measured size allows it.
+form is joined with the digests of known licence texts and notices. Four kinds of units are
+looked up as entire texts: the whole document, each paragraph (lines between blank lines), each
+run of two or more consecutive paragraphs short of the whole, and each line. Before hashing, a
+unit is dropped if its first word starts no known text or it has a number of words that no known
+text has: neither can match. A run has to start with the first two words of a known text, and
+its words are counted paragraph by paragraph up to the longest known text, so runs are found
+however a text was divided and at a cost linear in the document. The known digests are a table
+of bounded size, broadcast when their measured size allows it.
 
 Edge cases: a null or empty text, or one of punctuation only, has no unit; a unit repeated in a
 document counts each time; a document of a single line is one whole-text unit, one paragraph
@@ -16,6 +19,9 @@ an empty result; known texts with equal canonical forms are all named.
 
 from __future__ import annotations
 
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,6 +113,67 @@ Unless required by applicable law or agreed to in writing, software distributed
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
 governing permissions and limitations under the License."""
 
+_MPL_NOTICE = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+not distributed with this file, You can obtain one at {}://mozilla.org/MPL/2.0/."""
+_GNU_TERMS = """This {what} is free software; you can redistribute it and/or modify it under the terms of the {name} as published by
+the Free Software Foundation; {version}.
+"""
+_GNU_REST = """This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details.
+You should have received a copy of the {name} along with this {what}; if not, {end}"""
+_GNU_ENDS = (
+    "see <http://www.gnu.org/licenses/>.",
+    "write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.",
+    "write to the Free Software Foundation, Inc., 59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+)
+_GNU = (
+    ("GPL-2.0", "2", "GNU General Public License"),
+    ("GPL-3.0", "3", "GNU General Public License"),
+    ("LGPL-2.1", "2.1", "GNU Lesser General Public License"),
+    ("LGPL-3.0", "3", "GNU Lesser General Public License"),
+    ("AGPL-3.0", "3", "GNU Affero General Public License"),
+)
+
+
+def _gnu_notices() -> list[tuple[str, str]]:
+    """The standard header notices, and their first sentence alone."""
+    out = []
+    for key, v, name in _GNU:
+        forms = [("or-later", f"either version {v} of the License, or (at your option) any later version")]
+        forms += [("only", f"version {v} of the License"), ("only", f"version {v}"), ("only", f"either version {v} of the License")]
+        for (kind, version), what in product(forms, ("program", "library", "file", "software")):
+            terms = _GNU_TERMS.format(what=what, name=name, version=version)
+            out += [(f"{key}-{kind}", terms)]
+            out += [(f"{key}-{kind}", terms + _GNU_REST.format(what=what, name=name, end=end)) for end in _GNU_ENDS]
+    return out
+
+
+#: Full texts shipped with the package.
+FULL = {
+    "Apache-2.0": "Apache-2.0",
+    "GPL-2.0-only": "GPL-2",
+    "GPL-3.0-only": "GPL-3",
+    "LGPL-2.1-only": "LGPL-2.1",
+    "LGPL-3.0-only": "LGPL-3",
+    "MPL-2.0": "MPL-2.0",
+    "CC0-1.0": "CC0-1.0",
+    "CC-BY-SA-4.0": "CC-BY-SA-4.0",
+    "Unlicense": "Unlicense",
+}
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """Each full text, also without the advice behind its terms and without a copyright line to fill in."""
+    out = []
+    for key, name in FULL.items():
+        text = (Path(__file__).parent / "license_texts" / f"{name}.txt").read_text(encoding="utf-8")
+        filled = "\n".join(x for x in text.split("\n") if "Copyright [yyyy]" not in x)
+        head = text.partition(_END)[0]
+        out += [(key, x) for x in dict.fromkeys((text, filled, head + _END, head) if _END in text else (text, filled))]
+    return out
+
+
 #: Public licence texts and standard notices.
 TEXTS = [
     ("MIT", _MIT),
@@ -147,8 +214,9 @@ _COPYRIGHT = r"^((copyright|c) |© ?)+[0-9]{4}\b|^(copyright (c|©)|© ?copyrigh
 
 
 def known_rows() -> list[tuple[str, str]]:
-    """``(license_id, text)`` of the texts above and of every name in every sentence."""
-    return TEXTS + [(k, s.format(n)) for k, names in NAMES.items() for n in names for s in SENTENCES]
+    """``(license_id, text)`` of the texts and notices and of every name in every sentence."""
+    notices = [("MPL-2.0", _MPL_NOTICE.format("http")), *_gnu_notices()]
+    return TEXTS + _full_texts() + notices + [(k, s.format(n)) for k, names in NAMES.items() for n in names for s in SENTENCES]
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
@@ -164,28 +232,48 @@ def _plain_lines(text: Column) -> Column:
     return F.transform(F.split(flat, "\n"), lambda line: F.trim(line))
 
 
-def _unit(lines: Column) -> Column:
-    """Words of a unit, without its copyright lines, in equivalent spelling."""
+def _flat(lines: Column) -> Column:
+    """Words of some lines, without copyright lines, between single spaces."""
     kept = F.array_join(F.filter(lines, lambda x: (x != "") & ~x.rlike(_COPYRIGHT)), " ")
-    words = F.filter(F.split(F.translate(kept, "©", ""), " "), lambda w: w != "")
+    return F.trim(F.regexp_replace(F.translate(kept, "©", ""), " +", " "))
+
+
+def _spelled(flat: Column) -> Column:
+    """The words in equivalent spelling."""
     same = F.create_map(*(F.lit(x) for pair in EQUIVALENT.items() for x in pair))
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.element_at(same, w), w)), " ")
+    return F.array_join(F.transform(F.split(flat, " "), lambda w: F.coalesce(F.element_at(same, w), w)), " ")
 
 
 def canonical(text: str | Column) -> Column:
     """Canonical form of an entire text."""
-    return _unit(_plain_lines(F.col(text) if isinstance(text, str) else text))
+    return _spelled(_flat(_plain_lines(F.col(text) if isinstance(text, str) else text)))
 
 
-def _units(lines: Column) -> Column:
-    """``array<struct<unit, lines>>``: the whole text, its paragraphs and its lines."""
-    as_unit = lambda name, x: F.struct(F.lit(name).alias("unit"), x.alias("lines"))
-    paragraphs = F.split(F.array_join(lines, "\n"), "\n\n+")
-    return F.concat(
-        F.array(as_unit("text", lines)),
-        F.transform(paragraphs, lambda p: as_unit("paragraph", F.split(p, "\n"))),
-        F.transform(F.filter(lines, lambda x: x != ""), lambda x: as_unit("line", F.array(x))),
-    )
+def _words(flat: Column) -> Column:
+    """Number of words of a text that is not empty."""
+    return F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1
+
+
+def _runs(paras: Column, counts: Column, starts: set[str], sizes: list[int]) -> Column:
+    """``array<string>``: runs of paragraphs that begin like a known text and have as many words."""
+    longest = max(sizes, default=0)
+    two = lambda i: F.substring_index(F.concat_ws(" ", F.get(paras, i - 1), F.get(paras, i)), " ", 2)
+    # The last paragraph starts no run.
+    first = F.filter(F.sequence(F.lit(1), F.greatest(F.size(paras) - 1, F.lit(1))), lambda i: (i < F.size(paras)) & two(i).isin(*starts))
+
+    def from_(i: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("k"), F.lit(0).alias("sum"), F.array().cast("array<int>").alias("hits"))
+
+        def add(acc: Column, n: Column) -> Column:
+            k, total = acc["k"] + 1, acc["sum"] + n
+            hit = (k > 1) & total.isin(*sizes) & ~((i == 1) & (k == F.size(paras)))
+            return F.struct(k.alias("k"), total.alias("sum"), F.when(hit, F.concat(acc["hits"], F.array(k))).otherwise(acc["hits"]).alias("hits"))
+
+        # A paragraph has a word at least, so no more of them can make up a known text.
+        hits = F.aggregate(F.slice(counts, i, F.lit(longest)), zero, add, lambda acc: acc["hits"])
+        return F.transform(hits, lambda k: F.array_join(F.slice(paras, i, k), " "))
+
+    return F.flatten(F.transform(first, from_))
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,19 +281,32 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     digests = known.select("license_id", canonical("text").alias("form")).where("form != ''").distinct()
     digests = digests.select("license_id", F.sha2("form", 256).alias("digest"), F.split("form", " ").alias("w"))
     # Bounded by the catalogue: its first words, in every spelling, and its lengths.
-    shape = digests.agg(F.collect_set(F.element_at("w", 1)).alias("first"), F.collect_set(F.size("w")).alias("sizes"), F.sum(F.lit(200)).alias("bytes")).first()
-    first = set(shape["first"]) | {a for a, b in EQUIVALENT.items() if b in shape["first"]}
-    spaces = [n - 1 for n in shape["sizes"]]
+    two = F.collect_set(F.when(F.size("w") > 1, F.slice("w", 1, 2)))
+    shape = digests.agg(F.collect_set(F.element_at("w", 1)).alias("first"), two.alias("two"), F.collect_set(F.size("w")).alias("sizes"), F.sum(F.lit(200)).alias("bytes")).first()
+    spellings = lambda w: [w, *(a for a, b in EQUIVALENT.items() if b == w)]
+    first = {x for w in shape["first"] for x in spellings(w)}
+    starts = {f"{x} {y}" for a, b in shape["two"] for x, y in product(spellings(a), spellings(b))}
+    sizes = sorted(shape["sizes"])
     rows = docs.select(F.col(id_col).alias("doc_id"), _plain_lines(F.col(text_col)).alias("lines"))
-
-    def possible(u: Column) -> Column:
-        # Blank and copyright lines go first, as in the canonical form.
-        kept = F.array_join(F.filter(u["lines"], lambda x: (x != "") & ~x.rlike(_COPYRIGHT)), " ")
-        flat = F.trim(F.regexp_replace(F.translate(kept, "©", ""), " +", " "))
-        return F.substring_index(flat, " ", 1).isin(*first) & (F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit("")))).isin(*spaces)
-
-    units = rows.select("doc_id", F.explode_outer(F.filter(_units(F.col("lines")), possible)).alias("u")).where("u is not null")
-    found = units.select("doc_id", "u.unit", F.sha2(_unit(F.col("u.lines")), 256).alias("digest"))
+    paragraphs = F.split(F.array_join("lines", "\n"), "\n\n+")
+    rows = rows.select("doc_id", "lines", F.filter(F.transform(paragraphs, lambda p: _flat(F.split(p, "\n"))), lambda p: p != "").alias("paras"))
+    rows = rows.select("*", F.transform("paras", _words).alias("counts"))
+
+    def possible(flat: Column) -> Column:
+        return F.substring_index(flat, " ", 1).isin(*first) & _words(flat).isin(*sizes)
+
+    def units(name: str, flats: Column) -> Column:
+        return F.transform(F.filter(flats, possible), lambda x: F.struct(F.lit(name).alias("unit"), x.alias("flat")))
+
+    paras = F.col("paras")
+    kinds = F.concat(
+        units("text", F.array(F.array_join(paras, " "))),
+        units("paragraph", paras),
+        units("run", _runs(paras, F.col("counts"), starts, sizes)),
+        units("line", F.transform(F.filter("lines", lambda x: x != ""), lambda x: _flat(F.array(x)))),
+    )
+    hits = rows.select("doc_id", F.explode_outer(kinds).alias("u")).where("u is not null")
+    found = hits.select("doc_id", "u.unit", F.sha2(_spelled(F.col("u.flat")), 256).alias("digest"))
     side = digests.select("license_id", "digest")
     return found.join(F.broadcast(side) if (shape["bytes"] or 0) <= MAX_BROADCAST_BYTES else side, "digest").select("doc_id", "unit", "license_id", "digest")
 

@@ -64,3 +64,22 @@ def test_query_finds_every_notice_line(spark):
             for k in known.get(plain(t), ()):
                 want[(r.doc_id, unit, k)] = want.get((r.doc_id, unit, k), 0) + 1
     assert got == want and got
+
+
+def test_full_texts_and_runs_of_paragraphs(spark, docs_of):
+    """Texts read from disk, not from the catalogue: a whole text, and texts between other paragraphs."""
+    folder = "/usr/share/common-licenses"
+    text = {k: open(f"{folder}/{k}").read() for k in ("Apache-2.0", "GPL-2", "GPL-3", "LGPL-3", "MPL-2.0", "CC0-1.0")}
+    ids = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0-only", "GPL-3": "GPL-3.0-only", "LGPL-3": "LGPL-3.0-only", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows, want = [], set()
+    for n, (k, t) in enumerate(text.items()):
+        rows += [(2 * n, t), (2 * n + 1, f"Some prose.\n\n{t}\n\n\nMore prose.")]
+        want |= {(2 * n, "text", ids[k]), (2 * n + 1, "run", ids[k])}
+    start = text["GPL-3"].index("    This program is free software: you can")
+    notice = text["GPL-3"][start : text["GPL-3"].index("Also add information")]
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\n" + MIT.replace("conditions:\n", "conditions:\n\n").replace("Software.\nTHE", "Software.\n\nTHE")
+    rows += [(100, f"# tool\n\n{notice}\nimport os\n"), (101, f"Readme\n\n{mit}\n\nEnd"), (102, "permission is\n\n" * 3000), (103, "Released under\n\nthe MIT License.\n\nx")]
+    want |= {(100, "run", "GPL-3.0-or-later"), (101, "run", "MIT"), (103, "run", "MIT")}
+    got = {(r.doc_id, r.unit, r.license_id) for r in L.find_licenses(docs_of(rows), L.known_licenses(spark)).collect()}
+    assert want <= got
+    assert not [r for r in got if r[0] == 102]
