@@ -3,11 +3,11 @@
 Base kinds are matched by their patterns. The method adds ``random`` spans: long runs of key
 characters outside base spans are scored by two first-order character models, one of random
 strings and one of ordinary identifiers, and are reported when the log-likelihood ratio is at
-least ``MIN_RATIO`` nats. The models are trained from labelled samples: ``training_samples``
-takes the identifiers of a bounded sample of rows (``SAMPLE_ROWS`` expected) as ordinary, and
-digests of the same identifiers in the usual encodings, with the values the base patterns
-found in the sample, as random. A model is a table of at most ``(len(ALPHABET) + 1) ** 2``
-cells, so it travels as a literal; every text is scanned whole and no row is shuffled.
+least ``MIN_RATIO`` nats. The models are trained on all rows: ``training_samples`` takes every
+distinct identifier as ordinary, and digests of the same identifiers in the usual encodings,
+with the values the base patterns found, as random. A model is a table of at most
+``(len(ALPHABET) + 1) ** 2`` cells, so it travels as a literal; every text is scanned whole,
+and only distinct identifiers are shuffled, while training.
 
 Match positions come from splitting a text by a pattern: the pieces and the matches alternate,
 and their code-point lengths add up to the offsets.
@@ -39,7 +39,6 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 MIN_ASSIGNED = 6
 MIN_RATIO = 12.0
-SAMPLE_ROWS = 4000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CELLS = len(ALPHABET) + 1  # index 0: anything else
 
@@ -84,18 +83,15 @@ def base_spans(text: Column) -> Column:
     return F.concat(of("assign", assigned), of("access", matches(text, ACCESS)), of("hex", matches(text, HEX)))
 
 
-def training_samples(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``(sample, random)``: labelled strings from about ``rows`` rows chosen by hash."""
-    n = docs.count()
-    share = min(1.0, rows / max(1, n))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    picked = docs.select(text.alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(share * 1_000_000))
+def training_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(sample, random)``: labelled strings from all rows."""
+    every = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     # Base matches are blanked out of what counts as ordinary.
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("t"), ASSIGN, " "), ACCESS, " "), HEX, " ")
-    names = picked.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9_-]{4,}"), F.lit(0)))).alias("sample")).distinct()
+    names = every.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9_-]{4,}"), F.lit(0)))).alias("sample")).distinct()
     digest = F.unhex(F.sha2("sample", 256))
     made = names.select(F.explode(F.array(F.base64(digest), F.sha2("sample", 256), F.upper(F.md5("sample")), F.translate(F.base64(digest), "+/", "-_"))).alias("sample"))
-    found = picked.select(F.explode(F.transform(base_spans(F.col("t")), lambda s: s["value"])).alias("sample"))
+    found = every.select(F.explode(F.transform(base_spans(F.col("t")), lambda s: s["value"])).alias("sample"))
     return names.withColumn("random", F.lit(False)).unionByName(made.unionByName(found).withColumn("random", F.lit(True)))
 
 
@@ -104,9 +100,11 @@ def train(samples: DataFrame, alpha: float = 0.5) -> list[float]:
 
     Counts are aggregated in Spark; at most ``2 * _CELLS ** 2`` rows reach the driver.
     """
-    index = lambda i: F.expr(f"locate(substr(sample, {i}, 1), '{ALPHABET}')")
-    pairs = samples.where("length(sample) > 1").withColumn("i", F.explode(F.expr("sequence(1, length(sample) - 1)")))
-    counted = pairs.groupBy("random", (index("i") * _CELLS + index("i + 1")).alias("cell")).agg(F.count("*").alias("n")).collect()
+    # Pairs are counted as they are, and once more by cell: characters outside the alphabet share one.
+    pairs = samples.where("length(sample) > 1").select("random", F.explode(F.expr("transform(sequence(1, length(sample) - 1), i -> substr(sample, i, 2))")).alias("pair"))
+    index = lambda i: F.expr(f"locate(substr(pair, {i}, 1), '{ALPHABET}')")
+    cells = pairs.groupBy("random", "pair").agg(F.count("*").alias("n")).withColumn("cell", index(1) * _CELLS + index(2))
+    counted = cells.groupBy("random", "cell").agg(F.sum("n").alias("n")).collect()
     counts = {side: [0] * _CELLS**2 for side in (True, False)}
     for r in counted:
         counts[r["random"]][r["cell"]] = r["n"]

@@ -62,3 +62,12 @@ def test_registered_query_and_native_plan(spark, sf):
         assert [r[f"n_{k}"] for k in S.BASE] == [sum(s[0] == k for s in want) for k in S.BASE]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s and not s.startswith("random")] == [f"{k}:{a}:{b}" for k, a, b in want]
+
+
+def test_every_row_is_trained_on(spark):
+    """Each of many rows has a name of its own, and each has to be in the counts."""
+    docs = spark.range(9000).selectExpr("concat('name_', translate(cast(id as string), '0123456789', 'qwertyuiop'), ' password: value', id) as text")
+    got = S.training_samples(docs)
+    letters = str.maketrans("0123456789", "qwertyuiop")
+    assert {r["sample"] for r in got.where("not random").collect()} == {f"name_{i}".translate(letters) for i in range(9000)}
+    assert {f"value{i}" for i in range(9000)} <= {r["sample"] for r in got.where("random").collect()}
