@@ -10,9 +10,11 @@ preceding bytes alone; a task works out the costs of the distinct four-byte stri
 for all languages at once and adds them up per text. The language with the shortest code wins.
 
 All training rows are counted, in the tasks and then by an aggregation of ``(lang, four bytes,
-count)``. A model keeps the strings seen at least ``2 ** t`` times, the least ``t`` at which no
-order has more than ``MAX_STRINGS`` over the number of languages: its size is bounded whatever
-the corpus, so it can be broadcast.
+count)``, and every counted string is used. All contexts of a string end in the same byte, so the
+counts fall into parts by language and that byte, each with whole contexts. Up to
+``MAX_STRINGS`` strings are broadcast and texts are scored in one pass; more take one pass for
+each part of about that size, and the code lengths of a text are added up over the passes, which
+gives the same lengths however many passes there are.
 
 Edge cases: a text that is null or has no letter, and any text if nothing was learned, is
 ``und`` with score 0; ties go to the language first in order; a null id counts as held out;
@@ -151,8 +153,8 @@ class Tree:
         return bits
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_strings: int = MAX_STRINGS) -> dict[str, Tree]:
-    """A tree per language from all rows that have a language and a text."""
+def count_strings(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """``(lang, k, code, n)``: strings of ``k + 1`` bytes of all rows that have a language and a text."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text")).where("lang is not null and text is not null")
     counted = cut(rows.mapInArrow(_count, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n")), "byte-strings")
@@ -160,7 +162,31 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_s
     for k in range(ORDER + 1):
         own = counted.groupBy("lang", F.lit(k).alias("k"), F.col("code").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("code")).agg(F.sum("n").alias("n"))
         every = own if every is None else every.unionByName(own)
-    every = cut(every, "byte-contexts")
+    return cut(every, "byte-contexts")
+
+
+def _trees(every: DataFrame) -> dict[str, Tree]:
+    got = every.select("lang", "k", "code", "n").toArrow()
+    if not got.num_rows:
+        return {}
+    coded = got["lang"].combine_chunks().dictionary_encode()
+    at, langs = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    order = np.lexsort((got["k"].to_numpy(), at))
+    key, code, n = (at.astype(np.int64) * (ORDER + 1) + got["k"].to_numpy())[order], got["code"].to_numpy()[order], got["n"].to_numpy()[order]
+    ends = np.searchsorted(key, np.arange(len(langs) * (ORDER + 1) + 1))
+    of = lambda i, k: slice(ends[i * (ORDER + 1) + k], ends[i * (ORDER + 1) + k + 1])
+    return {x: Tree(*zip(*((code[of(i, k)], n[of(i, k)]) for k in range(ORDER + 1)))) for i, x in enumerate(langs)}
+
+
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_strings: int | None = None) -> dict[str, Tree]:
+    """A tree per language from all rows that have a language and a text.
+
+    With ``max_strings``, for callers that want small trees, a tree keeps the strings seen at least
+    ``2 ** t`` times, the least ``t`` at which no order has more than its share of so many.
+    """
+    every = count_strings(docs, lang_col, text_col)
+    if max_strings is None:
+        return _trees(every)
     sizes = every.groupBy("lang", "k", F.floor(F.log2("n")).alias("t")).count().collect()  # at most 4 * 63 rows a language
     langs = sorted({r["lang"] for r in sizes})
     least = {}
@@ -173,22 +199,50 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_s
     if not langs:
         return {}
     enough = F.coalesce(*(F.when(F.col("lang") == x, F.lit(n)) for x, n in least.items()))
-    got = every.where(F.col("n") >= enough).toArrow()
-    lang, k = np.array(got["lang"].to_pylist(), dtype=object), got["k"].to_numpy()
-    code, n = got["code"].to_numpy(), got["n"].to_numpy()
-    return {x: Tree(*zip(*((code[m], n[m]) for m in ((lang == x) & (k == o) for o in range(ORDER + 1))))) for x in langs}
+    return _trees(every.where(F.col("n") >= enough))
+
 
+#: Byte that ends all contexts of a string, none for those of no context.
+_LAST = "if(k = 0, null, shiftright(code, 8) & 255)"
+
+
+def parts_of(every: DataFrame, max_strings: int) -> list[list[tuple[str, int, int]]]:
+    """Parts of about ``max_strings`` strings: ``(lang, first, last)`` ranges of the last context byte.
+
+    At most 257 rows a language reach the driver. Each byte of each language is in one part.
+    """
+    sizes = {(r["lang"], r["last"]): r["count"] for r in every.groupBy("lang", F.expr(_LAST).alias("last")).count().collect()}
+    out, held = [[]], 0
+    for lang in sorted({x for x, _ in sizes}):
+        own, opened = sizes.get((lang, None), 0), False
+        for last in range(256):
+            more = sizes.get((lang, last), 0)
+            if out[-1] and held + more + (0 if opened else own) > max_strings:
+                out.append([])
+                held, opened = 0, False
+            if opened:
+                out[-1][-1] = (lang, out[-1][-1][1], last)
+            else:
+                out[-1].append((lang, last, last))
+                held, opened = held + own, True
+            held += more
+    return out if out[0] else []
 
-def code_lengths(texts: list[bytes], trees: list[Tree]) -> np.ndarray:
-    """Bits of each text under each tree."""
+
+def code_lengths(texts: list[bytes], trees: list[Tree], ranges: list[tuple[int, int]] | None = None) -> np.ndarray:
+    """Bits of each text under each tree, of the strings whose last context byte is in its range."""
     code, starts = strings(texts)
     out = np.zeros((len(texts), len(trees)))
     if not len(code):
         return out
     distinct, at = np.unique(code, return_inverse=True)
     filled = np.array([len(t) > 0 for t in texts])
+    asked = distinct.astype(np.int64)
+    last = asked >> 8 & 255
     for j, tree in enumerate(trees):
-        out[filled, j] = np.add.reduceat(tree.costs(distinct.astype(np.int64))[at], starts[filled])
+        costs, own = np.zeros(len(asked)), slice(None) if ranges is None else (last >= ranges[j][0]) & (last <= ranges[j][1])
+        costs[own] = tree.costs(asked[own])
+        out[filled, j] = np.add.reduceat(costs[at], starts[filled])
     return out
 
 
@@ -204,8 +258,18 @@ def _groups(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield out
 
 
+_KIND = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+
+
+def _best(bits: np.ndarray, langs: list[str]) -> list[dict]:
+    """The shortest code of each row, and its share if all languages are equally likely."""
+    best = bits.argmin(axis=1)
+    gap = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
+    score = 1.0 / np.power(2.0, -gap).sum(axis=1)
+    return [{"lang_pred": langs[b], "score": float(s)} for b, s in zip(best, score)]
+
+
 def _predictor(shared):
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
     def run(texts: pa.Array) -> pa.Array:
         trees = shared.value
@@ -213,11 +277,8 @@ def _predictor(shared):
         out = []
         for group in _groups([t or b"" for t in texts.to_pylist()]):
             bits = code_lengths(group, [trees[x] for x in langs])
-            best = bits.argmin(axis=1)
-            gap = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
-            score = 1.0 / np.power(2.0, -gap).sum(axis=1)
-            out += [{"lang_pred": langs[b], "score": float(s)} for b, s in zip(best, score)]
-        return pa.array(out, type=kind)
+            out += _best(bits, langs)
+        return pa.array(out, type=_KIND)
 
     return F.arrow_udf(run, "lang_pred string, score double")
 
@@ -238,9 +299,65 @@ def predict(docs: DataFrame, trees: dict[str, Tree], text_col: str = "text") ->
     ).drop("_found", "_readable")
 
 
+def _partial(shared):
+    """Bits of the strings of one part, a value for each of its ranges."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        trees, ranges = shared.value
+        out = []
+        for group in _groups([t or b"" for t in texts.to_pylist()]):
+            out += code_lengths(group, trees, ranges).tolist()
+        return pa.array(out, type=pa.list_(pa.float64()))
+
+    return F.arrow_udf(run, "array<double>")
+
+
+def _total(langs: list[str], spans: list[tuple[int, int]]):
+    """Prediction from the bits of all parts; part ``i`` has the languages ``spans[i]``."""
+
+    def run(parts: pa.Array) -> pa.Array:
+        bits = np.zeros((len(parts), len(langs)))
+        for i, found in enumerate(parts.to_pylist()):
+            for p in sorted(found, key=lambda p: p["part"]):
+                a, b = spans[p["part"]]
+                bits[i, a:b] += p["bits"]
+        return pa.array(_best(bits, langs) if len(parts) else [], type=_KIND)
+
+    return F.arrow_udf(run, "lang_pred string, score double")
+
+
+def identify(docs: DataFrame, every: DataFrame, text_col: str = "text", max_strings: int = MAX_STRINGS) -> DataFrame:
+    """``predict`` with all strings of ``count_strings``, in as many passes as their size asks for."""
+    parts = parts_of(every, max_strings)
+    if len(parts) <= 1:
+        return predict(docs, _trees(every), text_col)
+    spark = docs.sparkSession
+    langs = sorted({lang for part in parts for lang, _, _ in part})
+    base = cut(docs.withColumn("_row", F.monotonically_increasing_id()), "langid-texts")
+    readable = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    asked, every, passes = base.where(readable), every.withColumn("last", F.expr(_LAST)), None
+    for i, part in enumerate(parts):
+        (first, low, _), (final, _, high) = part[0], part[-1]
+        lang, last = F.col("lang"), F.col("last")
+        above = (lang > first) | ((lang == first) & (last.isNull() | (last >= low)))
+        below = (lang < final) | ((lang == final) & (last.isNull() | (last <= high)))
+        trees = _trees(every.where(above & below))
+        shared = spark.sparkContext.broadcast(([trees[x] for x, _, _ in part], [(a, b) for _, a, b in part]))
+        done = cut(asked.select("_row", F.lit(i).alias("part"), _partial(shared)(F.col(text_col).cast("binary")).alias("bits")), "langid-bits")
+        shared.destroy()  # its bits are written
+        passes = done if passes is None else passes.unionByName(done)
+    spans = [(langs.index(p[0][0]), langs.index(p[-1][0]) + 1) for p in parts]
+    found = passes.groupBy("_row").agg(F.collect_list(F.struct("part", "bits")).alias("parts"))
+    found = found.select("_row", _total(langs, spans)("parts").alias("_found"))
+    rows = base.join(found, "_row", "left")
+    return rows.select(
+        *(F.col(f"`{c}`") for c in docs.columns), F.coalesce("_found.lang_pred", F.lit(UNKNOWN)).alias("lang_pred"), F.coalesce("_found.score", F.lit(0.0)).alias("score")
+    )
+
+
 def q_op10_langid(spark, sf_dir) -> DataFrame:
     """Language of every document, learned from the documents outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
-    trees = train(docs.where(fold("doc_id", 5) != 0))
+    every = count_strings(docs.where(fold("doc_id", 5) != 0))
     held = docs.select("doc_id", "text", (fold("doc_id", 5) == 0).alias("held_out"))
-    return predict(held, trees).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(held, every).select("doc_id", "held_out", "lang_pred", "score")

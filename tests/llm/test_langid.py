@@ -97,3 +97,19 @@ def test_edges(spark, docs_of):
     assert tie.lang_pred == "a" and tie.score == 0.5
     assert L.predict(docs_of(rows), {}).where("lang_pred != 'und' or score != 0").count() == 0
     assert L.train(docs_of([])) == {} and L.predict(docs_of([]), trees).count() == 0
+
+
+def test_no_string_is_dropped_and_passes_agree(spark, docs_of):
+    """Junk labels and a small bound change nothing: all counts are kept, in as many passes as needed."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang", "text")
+    every = L.count_strings(docs)
+    assert sum(len(c) for t in L._trees(every).values() for c in t.code) == every.count() == sum(len(c) for t in L.train(docs).values() for c in t.code)
+    parts = L.parts_of(every, 20_000)
+    assert len(parts) > 2 and sorted((x, c) for p in parts for x, a, b in p for c in range(a, b + 1)) == sorted((x, c) for x in L._trees(every) for c in range(256))
+    ask = docs.unionByName(docs_of([(1, None), (2, ""), (3, "12 !"), (None, "q\x01z le chat")]).select("doc_id", "lang", "text"))
+    one, many = (sorted(((r.doc_id or 0, r.text or "", r.lang_pred, round(r.score, 9)) for r in L.identify(ask, every, max_strings=m).collect()), key=str) for m in (1 << 40, 20_000))
+    assert one == many and len(one) == ask.count()
+    # The query itself asks for the same, with a bound its strings do not fit.
+    whole = sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in L.q_op10_langid(spark, "/root/testdata/sf0.001").collect())
+    kept = L.count_strings(docs.where(L.fold("doc_id", 5) != 0))
+    assert whole == sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in L.identify(docs, kept, max_strings=20_000).collect())
