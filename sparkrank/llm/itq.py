@@ -12,9 +12,13 @@
 4. Candidates are reranked with the original vectors: cosine in double precision, links from
    ``MIN_COSINE`` on, none below.
 
-The segment width follows the number of classes (buckets stay small at any size) and the number
-of rotations follows the width, so that the modelled chance of a pair at exactly the asked cosine
-to meet is at least ``RECALL``; closer pairs meet more surely. Recall is measured in the tests.
+The segment width follows the number of classes (buckets stay small at any size). Centring and
+projecting change angles, so how often code bits differ is measured on pairs at the asked cosine:
+sampled vectors with partners made by noise and by differences of other vectors, and the sampled
+pairs there are. The number of rotations follows, so that the chance to meet is at least ``RECALL``
+over each kind of pairs and ``HARD_RECALL`` over its worst tenth; closer pairs meet more surely.
+Where that takes more than ``MAX_ROTATIONS`` and for up to ``BLOCK`` classes all pairs are
+compared, block by block. Recall is measured in the tests.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing, and so do those whose dimension is not the most frequent one; a vector's copies are its
@@ -38,7 +42,11 @@ from .components import components
 
 MIN_COSINE = 0.9
 RECALL = 0.97
+HARD_RECALL = 0.93
 SAMPLE_VECTORS = 20_000
+MEASURED = 2_000
+MAX_ROTATIONS = 32
+BLOCK = 1_024
 STEPS = 50
 MAX_BITS = 64
 
@@ -79,13 +87,67 @@ def learn(x: np.ndarray, rotations: int, steps: int = STEPS) -> tuple[np.ndarray
     return mean, out
 
 
-def plan_tables(classes: int, bits: int, cosine: float) -> tuple[int, int]:
-    """``(segment width, rotations)`` for so many classes."""
+def bit_rates(x: np.ndarray, mean: np.ndarray, turn: np.ndarray, cosine: float) -> list[np.ndarray]:
+    """Chances of a bit to differ, for several kinds of pairs at ``cosine``, centred and projected."""
+    rng = np.random.default_rng(0)
+    some, n = x[rng.permutation(len(x))[:MEASURED]], len(x)
+    kinds = []
+    for side in (rng.normal(size=some.shape), x[rng.integers(0, n, len(some))] - x[rng.integers(0, n, len(some))]):
+        side = side - (side * some).sum(axis=1, keepdims=True) * some
+        norm = np.linalg.norm(side, axis=1, keepdims=True)
+        ok = norm[:, 0] > 1e-6
+        kinds.append((some[ok], cosine * some[ok] + math.sqrt(1 - cosine**2) * side[ok] / norm[ok]))
+    a, b = [], []
+    for at in range(0, len(some), 200):
+        sim = some[at : at + 200] @ x.T
+        i, j = np.nonzero((sim >= cosine) & (sim < cosine + 0.3 * (1 - cosine)))
+        a.append(some[at + i[:2000]])
+        b.append(x[j[:2000]])
+    if sum(map(len, a)) >= 50:
+        kinds.append((np.concatenate(a), np.concatenate(b)))
+    out = []
+    for p, q in kinds:
+        u, v = (p - mean) @ turn, (q - mean) @ turn
+        size = np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)
+        angle = np.arccos(np.clip((u * v).sum(axis=1) / np.where(size > 0, size, 1.0), -1, 1)) / math.pi
+        differ = ((u >= 0) != (v >= 0)).mean()
+        if len(angle):
+            out.append(np.clip(angle * max(1.0, differ / max(angle.mean(), 1e-9)), 0.0, 0.5))
+    return out
+
+
+def plan_tables(classes: int, bits: int, rates: list[np.ndarray]) -> tuple[int, int]:
+    """``(segment width, rotations)`` for so many classes and the measured chances of bits to differ."""
     width = min(bits, 32, max(16, math.ceil(math.log2(max(2, classes))) + 2))
-    p = math.acos(min(1.0, cosine)) / math.pi  # chance that a bit differs
-    meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
-    segments = max(1, math.ceil(math.log(1 - RECALL) / math.log(1 - meet))) if meet < 1 else 1
-    return width, math.ceil(segments / max(1, bits // width))
+    own = max(1, bits // width)
+    for rotations in range(1, MAX_ROTATIONS + 1):
+        for p in rates:
+            meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
+            recall = np.sort(1 - (1 - meet) ** (own * rotations))
+            if recall.mean() < RECALL or recall[: max(1, len(recall) // 10)].mean() < HARD_RECALL:
+                break
+        else:
+            return width, rotations
+    return width, MAX_ROTATIONS + 1
+
+
+def all_pairs(classes: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
+    """``(a, b)``, ``a < b``: classes at about ``cosine`` or above, by comparing all with all."""
+    blocks = max(1, math.ceil(n / BLOCK))
+
+    def compare(key, t):
+        cid, own = t["cid"].to_numpy(), t["own"].to_numpy()
+        x = unit_rows(t["vector"].combine_chunks(), dim)
+        i, j = own == key[0].as_py(), own == key[1].as_py()
+        p, q = np.nonzero(x[i] @ x[j].T >= cosine - 1e-9)
+        a, b = cid[i][p], cid[j][q]
+        keep = a < b if key[0] == key[1] else a != b
+        return pa.table({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
+
+    dealt = classes.select("cid", "vector", F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("own"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.select("cid", "vector", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return dealt.groupBy("i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def _encoder(dim: int, mean: np.ndarray, turns: list[np.ndarray]):
@@ -102,15 +164,14 @@ def _encoder(dim: int, mean: np.ndarray, turns: list[np.ndarray]):
     return F.arrow_udf(run, "array<bigint>")
 
 
-def candidates(coded: DataFrame, width: int, bits: int, rotations: int, cosine: float) -> DataFrame:
-    """``(a, b)``, ``a < b``: classes whose codes meet; ``coded`` has ``cid`` and ``codes``."""
+def candidates(coded: DataFrame, width: int, bits: int, rotations: int, p: float) -> DataFrame:
+    """``(a, b)``, ``a < b``: classes whose codes meet; ``coded`` has ``cid`` and ``codes``; ``p``: highest chance of a bit to differ."""
     segment = "struct({t} as t, shiftrightunsigned(codes[{r}], {s}) & {m}L as seg)"
     own = [(r, s) for r in range(rotations) for s in range(bits // width)]
     cells = ", ".join(segment.format(t=t, r=r, s=s * width, m=(1 << width) - 1) for t, (r, s) in enumerate(own))
     flips = f"concat(array(c.seg), transform(sequence(0, {width - 1}), i -> c.seg ^ shiftleft(1L, i)))"
     stored = coded.select("cid", "codes", F.explode(F.expr(f"array({cells})")).alias("c"))
     stored = stored.select("cid", "codes", "c.t", "c.seg", F.explode(F.expr(flips)).alias("at"))
-    p = math.acos(cosine) / math.pi
     total = bits * rotations
     far = min(total, math.ceil(total * p + 5 * math.sqrt(total * p * (1 - p)) * math.sqrt(rotations)))
     distance = " + ".join(f"bit_count(x.codes[{r}] ^ y.codes[{r}])" for r in range(rotations))
@@ -143,14 +204,22 @@ def near_duplicates(
     classes = cut(classes, "vector-classes")
     n = classes.count()
     bits = min(MAX_BITS, dim)
-    width, rotations = plan_tables(n, bits, cosine)
     share = int(min(1.0, sample / n) * 1_000_000)
     picked = classes.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < max(share, 1)).select("key", "vector").orderBy("key").toArrow()
     if not picked.num_rows:
         picked = classes.select("key", "vector").orderBy("key").limit(1).toArrow()
-    mean, turns = learn(unit_rows(picked["vector"].combine_chunks(), dim), rotations)
-    coded = cut(classes.select("cid", _encoder(dim, mean, turns)("vector").alias("codes")), "vector-codes")
-    pairs = candidates(coded, width, bits, rotations, cosine)
+    x = unit_rows(picked["vector"].combine_chunks(), dim)
+    width, rotations, rates = 0, MAX_ROTATIONS + 1, []
+    if n > BLOCK:
+        mean, turns = learn(x, 1)
+        rates = bit_rates(x, mean, turns[0], cosine)
+        width, rotations = plan_tables(n, bits, rates)
+    if rotations > MAX_ROTATIONS:
+        pairs = all_pairs(classes, dim, n, cosine)
+    else:
+        mean, turns = learn(x, rotations)
+        coded = cut(classes.select("cid", _encoder(dim, mean, turns)("vector").alias("codes")), "vector-codes")
+        pairs = candidates(coded, width, bits, rotations, max(float(p.max()) for p in rates))
     side = classes.select("cid", F.transform("vector", lambda c: c.cast("double")).alias("v"))
     side = side.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)))
     x, y = (side.select(F.col("cid").alias(k), F.col("v").alias(f"v{k}"), F.col("norm").alias(f"norm{k}")) for k in "ab")

@@ -73,3 +73,17 @@ def test_small_tables(spark, rows):
     assert len(got) == len(rows)
     if len(rows) == 3:
         assert all(r.n_links == 2 and r.component_id == 4 for r in got)
+
+
+@pytest.mark.parametrize("dim, share", [(64, 0.6), (64, 0.7), (160, 0.6)])
+def test_recall_with_a_common_direction(spark, dim, share):
+    """Vectors around one direction: centred, pairs at cosine 0.9 are far wider apart."""
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    base = unit(rng.normal(size=(1500, dim)) / np.sqrt(dim) * np.sqrt(1 - share) + np.eye(dim)[0] * np.sqrt(share))
+    side = rng.normal(size=base.shape)
+    side = unit(side - (side * base).sum(axis=1, keepdims=True) * base)
+    c = rng.uniform(0.901, 0.91, size=(1500, 1))
+    rows = list(enumerate(np.concatenate([base, c * base + np.sqrt(1 - c**2) * side]).tolist()))
+    _, _, recall = check(spark, rows)
+    assert recall >= 0.93
