@@ -4,7 +4,7 @@ Base kinds (email, ip, card, phone) are always reported once their validator pas
 method adds kinds whose pattern alone is too weak (IBAN, social security number, national
 phone number): a candidate starts with the prior of its kind, a checksum or range check
 confirms or drops it, and words near it raise or lower the score; it is reported from
-``MIN_SCORE`` on, unless a base span overlaps it. Every scan is linear in the text: the
+``MIN_SCORE`` on, unless a base span overlaps it (an IBAN is reported beside it). Every scan is linear in the text: the
 patterns either cannot back up or are anchored at a character found by a search, so very long
 runs of digits or letters are harmless.
 
@@ -53,7 +53,18 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))")
+#: Lengths of the countries in the IBAN registry.
+IBAN_LENGTH = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])\([0-9]{3}\)[\x20-]?[0-9]{3}[\x20-][0-9]{4}(?![0-9-])")
 _DIGIT = re.compile("[0-9]")
@@ -107,9 +118,20 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """At its country's length, or at the longest end of a word if the country is not in the registry."""
+    floor = 0
     for m in _IBAN.finditer(text):
-        if 15 <= len(code := m.group().replace(" ", "")) <= 34 and mod97(code):
-            yield m.span()
+        start, run = m.start(), m.group(1)
+        if start < floor:
+            continue
+        places = [i for i, c in enumerate(run) if c != " "]
+        size = IBAN_LENGTH.get(run[:2])
+        for n in range(len(places), 14, -1) if size is None else (size,) if size <= len(places) else ():
+            stop = start + places[n - 1] + 1
+            if not (stop < len(text) and text[stop].isascii() and text[stop].isalnum()) and mod97(run[: stop - start].replace(" ", "")):
+                yield start, stop
+                floor = stop
+                break
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:
@@ -149,7 +171,8 @@ def find(text: str) -> list[tuple[str, int, int, float]]:
         starts, reach = [a for a, _ in base], list(accumulate((b for _, b in base), max))
         for k, a, b in extra:
             before = bisect_left(starts, b)  # base spans that start before this one ends
-            if not (before and reach[before - 1] > a) and (s := score(text, k, a, b)) >= MIN_SCORE:
+            # The checksum of an IBAN is stronger than that of a card within it.
+            if (k == "iban" or not (before and reach[before - 1] > a)) and (s := score(text, k, a, b)) >= MIN_SCORE:
                 out.append((k, a, b, s))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 

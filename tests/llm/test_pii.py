@@ -85,3 +85,25 @@ def test_registered_query(spark, sf):
         assert [r[f"n_{k}"] for k in pii.BASE] == [sum(s[0] == k for s in want) for k in pii.BASE]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
         assert [s for s in r.spans.split(",") if s.split(":")[0] in pii.BASE] == [f"{k}:{a}:{b}" for k, a, b in want]
+
+
+def test_ibans_before_other_words():
+    code, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for text, iban in [
+        (f"IBAN: {spaced} BIC: COBADEFF", spaced),
+        (f"{code} BIC COBADEFFXXX", code),
+        (f"IBAN {spaced} 2024 EUR", spaced),
+        (f"XX12 ABCD EFGH {spaced}", spaced),
+        ("NO93 8601 1117 947 OSLO", "NO93 8601 1117 947"),
+    ]:
+        at = text.index(iban)
+        assert ("iban", at, at + len(iban)) in [s[:3] for s in pii.find(text)], text
+        assert iban not in pii.mask(text, pii.find(text))
+    assert not [s for s in pii.find(f"{code}0 and {code[:-1]} and DE89 3704 0044 0532 0130 01 BIC") if s[0] == "iban"]
+
+
+def test_iban_beside_a_card():
+    digits = next(d for d in (f"{n:018d}" for n in range(370400440532013000, 370400440532023000)) if pii.luhn(f"{98 - int(d + '131400') % 97:02d}{d}"[2:]) and d[0] != "0")
+    code = f"DE{98 - int(digits + '131400') % 97:02d} {digits}"
+    assert pii.mod97(code.replace(" ", ""))
+    assert ("iban", 0, len(code)) in [s[:3] for s in pii.find(code)]
