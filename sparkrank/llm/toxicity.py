@@ -131,8 +131,12 @@ def _patterns_of(texts: pa.Array) -> pa.Array:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """``(row, toxic, text)``: about ``rows`` labelled documents, chosen by a hash of the id."""
     per_id = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.round(F.avg("toxic")).cast("int").alias("toxic"))
-    share = min(1.0, rows / max(1, per_id.count()))
-    picked = cut(per_id.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)), "label-sample")
+    n = per_id.count()
+    share = min(1.0, rows / max(1, n))
+    # Fine enough for any number of ids: a share of a few rows is not rounded away.
+    picked = cut(per_id.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < math.ceil(share * (1 << 40))), "label-sample")
+    if n and picked.isEmpty():
+        raise ValueError(f"no row in the sample of {rows} of {n} labelled ids")
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # One text per id, so an id that very many rows share does not outgrow the bound.
     joined = text.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))

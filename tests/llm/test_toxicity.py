@@ -58,3 +58,9 @@ def test_edges(spark, docs_of):
     none_toxic = X.train(docs, labels.where("toxic = 0"))
     assert X.score(docs, none_toxic).selectExpr("max(score)").first()[0] < 0.01
     assert X.score(docs_of([]), model).count() == 0
+
+
+def test_a_tiny_share_is_not_rounded_to_nothing(spark):
+    labels = spark.range(5_000_000).selectExpr("id as doc_id", "1 as toxic")
+    docs = spark.range(5_000_000).selectExpr("id as doc_id", "'text' as text")
+    assert 1 <= X.labelled_sample(docs, labels, rows=4).count() <= 16
