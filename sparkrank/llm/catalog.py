@@ -14,6 +14,7 @@ from .records import q_op3_token_records
 from .secrets import q_op6_secrets
 from .simhash import q_op7_simhash
 from .toxicity import q_op4_toxicity
+from .trie import q_op12_trie
 
 QUERIES = {
     "op1_pii": q_op1_pii,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_decontamination": q_op9_decontamination,
     "op10_langid": q_op10_langid,
     "op11_alignment": q_op11_alignment,
+    "op12_trie": q_op12_trie,
     "op13_mixing": q_op13_mixing,
 }
 
