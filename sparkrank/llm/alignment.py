@@ -12,15 +12,17 @@ pattern never does, and B is checked for pieces that would), so a document falls
 the worker does not remember; a document is the sequence of its parts. Models of which this does
 not hold are given whole documents as units.
 
-Counts of id pairs over all documents are gathered in a first pass (partial sums per task), those
-of a second pass look them up: sorted arrays of up to ``MAX_PAIRS`` pairs are broadcast, and beyond
-that several such tables, cut by the A id, are looked up one after the other.
+The first pass encodes and aligns, and writes each document's numbers and its distinct id pairs
+with how often it links them. Pairs are counted over all documents from there (partial sums per
+task), and a second pass over the written pairs looks the counts up: sorted arrays of up to
+``MAX_PAIRS`` pairs are broadcast, and beyond that several such tables, cut by the A id, one after
+the other.
 
 Edge cases: null and empty texts, and texts whose bytes on either side differ from space + text
 (a literal word mark, for example), have no tokens: zeros and an empty string, and they count for
 no pair. Strings of special tokens are plain text. Repeated rows get equal results and count each.
-Parts and texts of any length are aligned whole; parts over ``CACHE_CHARS`` characters are not
-remembered. An empty table gives an empty result; other columns are ignored.
+Parts and texts of any length are aligned whole; a worker remembers two generations of parts, each
+begun anew beyond ``CACHE_PARTS`` parts or ``CACHE_CHARS`` characters. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -41,11 +44,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import cut, prepare, table
 
 MAX_PAIRS = 4 << 20
-CACHE_PARTS = 200_000
-CACHE_CHARS = 64
-GROUP_CHARS = 1 << 20
-_FLUSH = 1 << 21
+CACHE_PARTS = 250_000
+CACHE_CHARS = 8 << 20
+GROUP_CHARS = 2 << 20
+_COLS = ["n_a", "n_b", "n_groups", "n_links", "bad"]
+_BAD = len(_COLS) - 1
+_ROW = ["doc_id", *_COLS[:_BAD], "groups_sha256"]
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
+_ODD = re.compile(r"[^\S ] [^\S ]")  # white space on both sides of a space: no cut there
 _MARK = "▁"
 
 
@@ -58,7 +64,9 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class Aligner:
-    """Both tokenizers and what a worker remembers of parts."""
+    """Both tokenizers and what a worker remembers of parts: their numbers (``rows``), and their
+    groups' ids in decimal (``spelled``), and their packed ``links``. A part is spelled without the space
+    it starts with."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,93 +77,118 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte_of = _byte_alphabet()
-        self.a_text = {}
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.a_text = [b""] * (max(vocabulary.values(), default=0) + 1)
+        for token, i in vocabulary.items():
             self.a_text[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         self.b_text = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_text.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(_MARK, " ").encode())
-        self.a_len = np.zeros(max(self.a_text, default=0) + 1, dtype=np.int64)
-        for i, t in self.a_text.items():
-            self.a_len[i] = len(t)
-        self.b_len = np.array([len(t) for t in self.b_text], dtype=np.int64)
+        self.a_len, self.b_len = (np.array(list(map(len, x)), dtype=np.int64) for x in (self.a_text, self.b_text))
+        # What a token adds to a group's string: inside its side, as A's last, as B's last.
+        self.marks = [b"%d%s" % (i, m) for m in (b",", b"|", b";") for i in range(max(len(self.a_text), len(self.b_text)))]
+        self.mark_len = np.array(list(map(len, self.marks)), dtype=np.int64)
         with open(a_path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         joins = any(_MARK in self.b.id_to_piece(i).lstrip(_MARK) for i in range(self.b.get_piece_size()))
         self.by_part = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and not joins
-        self.known: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
-
-    def units(self, text: str) -> list[str]:
-        return _CUT.split(" " + text) if self.by_part else [" " + text]
-
-    def align(self, units: list[str]) -> list[tuple | None]:
-        """``(n_a, n_b, groups, codes)`` of each unit, which starts with the added space:
-        ``groups`` spells the ids of each group and ``codes`` packs the links as A id << 32 | B id.
-        None where the bytes of a side differ from the unit's."""
-        out: list[tuple | None] = [None] * len(units)
-        a_ids = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        b_ids = self.b.encode([u[1:] for u in units], num_threads=1)
-        a_text, b_text = self.a_text, self.b_text
-        good = []
-        for k, u in enumerate(units):
-            raw = u.encode("utf-8", "surrogatepass")
-            if b"".join(map(a_text.__getitem__, a_ids[k])) == raw == b"".join(map(b_text.__getitem__, b_ids[k])):
-                good.append(k)
-        if not good:
-            return out
-        a, b = self._side([a_ids[k] for k in good], self.a_len), self._side([b_ids[k] for k in good], self.b_len)
+        self.known: dict[str, int] = {}
+        self.rows, self.spelled, self.links = np.zeros((0, len(_COLS)), dtype=np.int64), [], []
+        self.older = (self.known, self.rows, self.spelled, self.links)
+        self.chars = 0
+
+    def parts(self, text: str) -> list[str]:
+        if not self.by_part:
+            return [text]
+        if "  " in text or text[0] == " " or text[-1] == " " or _ODD.search(text):
+            return [u[1:] for u in _CUT.split(" " + text)]
+        return text.split(" ")
+
+    def align(self, parts: list[str]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+        """Numbers (``_COLS``), groups and links of each part; one that a side spells otherwise is bad."""
+        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+        b_ids = self.b.encode(parts, num_threads=1)
+        rows, nothing = np.zeros((len(parts), len(_COLS)), dtype=np.int64), [b""] * len(parts)
+        a, b = self._side(a_ids, self.a_len), self._side(b_ids, self.b_len)
+        spelled = [b"".join(map(text.__getitem__, side["id"].tolist())) for text, side in ((self.a_text, a), (self.b_text, b))]
+        raw = [b" " + p.encode("utf-8", "surrogatepass") for p in parts]
+        size = np.array(list(map(len, raw)), dtype=np.int64)
+        total = lambda side: np.bincount(side["unit"], weights=side["end"] - side["start"], minlength=len(parts))
+        if not (np.array_equal(total(a), size) and np.array_equal(total(b), size) and spelled[0] == spelled[1] == b"".join(raw)):
+            good = [k for k, r in enumerate(raw) if r == b"".join(map(self.a_text.__getitem__, a_ids[k])) == b"".join(map(self.b_text.__getitem__, b_ids[k]))]
+            rows[:, _BAD] = 1
+            spelled, links = nothing, nothing.copy()
+            if good:
+                rows[good], *found = self.align([parts[k] for k in good])
+                for k, x, y in zip(good, *found):
+                    spelled[k], links[k] = x, y
+            return rows, spelled, links
         cols = ["unit", "start", "token"]
         forth = pd.merge_asof(a[cols], b[cols], on="start", by="unit", suffixes=("_a", "_b"))
         back = pd.merge_asof(b[cols], a[cols].assign(at=a["start"]), on="start", by="unit", suffixes=("_b", "_a"))
-        back = back[back["at"] < back["start"]]  # equal starts are found from A's side
-        links = pd.concat([forth[["token_a", "token_b"]], back[["token_a", "token_b"]]], ignore_index=True).to_numpy(dtype=np.int64)
-        owner = a["unit"].to_numpy()[links[:, 0]]
-        order = np.argsort(owner, kind="stable")
-        links = links[order]
-        codes = (a["id"].to_numpy()[links[:, 0]] << 32) | b["id"].to_numpy()[links[:, 1]]
-        upto = np.searchsorted(owner[order], np.arange(len(good) + 1)).tolist()
-        common = np.intersect1d(a["end"].to_numpy(), b["end"].to_numpy(), assume_unique=True)
-        a_cut = np.searchsorted(a["end"].to_numpy(), common, side="right").tolist()
-        b_cut = np.searchsorted(b["end"].to_numpy(), common, side="right").tolist()
-        ends = np.cumsum(np.bincount(a["unit"].to_numpy(), weights=self.a_len[a["id"].to_numpy()], minlength=len(good))).astype(np.int64)
-        last = np.searchsorted(common, ends, side="right").tolist()
-        a_str, b_str = list(map(str, a["id"].tolist())), list(map(str, b["id"].tolist()))
-        g = i = j = 0
-        for n, k in enumerate(good):
-            parts = []
-            for g in range(g, last[n]):
-                parts.append(",".join(a_str[i : a_cut[g]]) + "|" + ",".join(b_str[j : b_cut[g]]))
-                i, j = a_cut[g], b_cut[g]
-            g = last[n]
-            out[k] = (len(a_ids[k]), len(b_ids[k]), len(parts), ";".join(parts).encode(), codes[upto[n] : upto[n + 1]].tobytes())
-        return out
+        inside = (back["at"] < back["start"]).to_numpy()  # equal starts are found from A's side
+        left = np.concatenate([forth["token_a"].to_numpy(), back["token_a"].to_numpy()[inside]])
+        right = np.concatenate([forth["token_b"].to_numpy(), back["token_b"].to_numpy()[inside]])
+        order = np.argsort(left, kind="stable")
+        left, right = left[order], right[order]
+        a_id, b_id, a_unit = a["id"].to_numpy(), b["id"].to_numpy(), a["unit"].to_numpy()
+        codes = (a_id[left] << 32) | b_id[right]
+        owner = a_unit[left]
+        upto = np.searchsorted(owner, np.arange(len(parts) + 1))
+        a_end, b_end = a["end"].to_numpy(), b["end"].to_numpy()
+        common = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
+        a_cut, b_cut = np.searchsorted(a_end, common, side="right"), np.searchsorted(b_end, common, side="right")
+        # A's tokens of a group, then B's: each token's place and its string with what follows it.
+        width = len(self.marks) // 3
+        marks = np.empty(len(a_id) + len(b_id), dtype=np.int64)
+        before = np.concatenate([[0], b_cut])
+        marks[np.arange(len(a_id)) + before[a_group]] = a_id + width * (a_end == common[a_group])
+        marks[np.arange(len(b_id)) + a_cut[b_group]] = b_id + 2 * width * (b_end == common[b_group])
+        text = b"".join(map(self.marks.__getitem__, marks.tolist()))
+        per = lambda x: np.bincount(x, minlength=len(parts))
+        group_unit = a_unit[a_cut - 1]
+        rows[:, :_BAD] = np.stack([per(a_unit), per(b["unit"].to_numpy()), per(group_unit), np.diff(upto)], axis=1)
+        stop = np.concatenate([[0], np.cumsum(self.mark_len[marks])])[np.cumsum(rows[:, 0] + rows[:, 1])].tolist()
+        flat, upto = codes.tobytes(), (8 * upto).tolist()
+        return rows, [text[i : j - 1] for i, j in zip([0, *stop], stop)], [flat[i:j] for i, j in zip(upto, upto[1:])]
 
     @staticmethod
     def _side(ids: list[list[int]], length: np.ndarray) -> pd.DataFrame:
-        """Tokens of all units, their byte ranges counted on from unit to unit."""
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.int64)
-        unit = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+        """Tokens of all parts, their byte ranges counted on from part to part."""
+        many = list(map(len, ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(many))
+        unit = np.repeat(np.arange(len(ids)), many)
         end = np.cumsum(length[flat])
         return pd.DataFrame({"unit": unit, "id": flat, "start": end - length[flat], "end": end, "token": np.arange(len(flat))})
 
-    def documents(self, texts: list[str | None]) -> list[list[tuple]]:
-        """The aligned parts of each text; empty where the text has no tokens."""
-        split = [self.units(t) if t else [] for t in texts]
-        if len(self.known) > CACHE_PARTS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        asked = set().union(*split).difference(known)
-        again = older.keys() & asked
-        known.update((p, older[p]) for p in again)
-        new = sorted(asked - again)
-        found = dict(zip(new, self.align(new)))
-        known.update((p, x) for p, x in found.items() if len(p) <= CACHE_CHARS)
-        long = {p: x for p, x in found.items() if len(p) > CACHE_CHARS}
-        got = [[known[p] if p in known else long[p] for p in parts] for parts in split]
-        return [[] if None in x else x for x in got]
+    def _learn(self, parts: list[str], rows: np.ndarray, spelled: list[bytes], links: list[bytes]) -> None:
+        self.known.update(zip(parts, range(len(self.links), len(self.links) + len(parts))))
+        self.rows = np.concatenate([self.rows, rows])
+        self.spelled += spelled
+        self.links += links
+        self.chars += sum(map(len, parts))
+
+    def documents(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """``(flat, stops)``: the places in ``rows``, ``spelled`` and ``links`` of every text's parts."""
+        split = [self.parts(t) if t else [] for t in texts]
+        if len(self.known) > CACHE_PARTS or self.chars > CACHE_CHARS:
+            self.older = (self.known, self.rows, self.spelled, self.links)
+            self.known, self.rows, self.spelled, self.links, self.chars = {}, self.rows[:0], [], [], 0
+        older, rows, spelled, links = self.older
+        asked = set().union(*split).difference(self.known)
+        again = list(older.keys() & asked) if older is not self.known else []
+        if again:
+            at = list(map(older.__getitem__, again))
+            self._learn(again, rows[at], list(map(spelled.__getitem__, at)), list(map(links.__getitem__, at)))
+        new = sorted(asked.difference(again))
+        if new:
+            self._learn(new, *self.align(new))
+        many = list(map(len, split))
+        flat = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=sum(many))
+        return flat, np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
@@ -183,42 +216,50 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
-def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    both, where = np.unique(np.concatenate(codes), return_inverse=True)
-    return both, np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
+def _sums(column: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    upto = np.concatenate([[0], np.cumsum(column)])
+    return upto[stops[1:]] - upto[stops[:-1]]
 
 
-def _counter(a_path: str, b_path: str):
+def _pairs(a_path: str, b_path: str, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_at(a_path, b_path)
-        codes, counts, held = [], [], 0
-        out = lambda x, n: pa.RecordBatch.from_arrays([pa.array(x), pa.array(n)], names=["code", "n"])
         for batch in batches:
-            for _, texts in _groups(batch):
-                some = [np.unique(np.frombuffer(b"".join({x[4] for x in parts}), dtype=np.int64)) for parts in aligner.documents(texts)]
-                code, n = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *some]), return_counts=True)
-                codes.append(code)
-                counts.append(n)
-                held += len(code)
-                if held > _FLUSH:
-                    code, n = _summed(codes, counts)
-                    codes, counts, held = [code], [n], len(code)
-                    if held > _FLUSH // 2:
-                        yield out(code, n)
-                        codes, counts, held = [], [], 0
-        if held:
-            yield out(*_summed(codes, counts))
+            for ids, texts in _groups(batch):
+                flat, stops = aligner.documents(texts)
+                rows = aligner.rows[flat]
+                good = (_sums(rows[:, _BAD], stops) == 0) & (np.diff(stops) > 0)
+                cols = [pa.array(np.where(good, _sums(rows[:, k], stops), 0)) for k in range(_BAD)]
+                spelled, links, flat = aligner.spelled.__getitem__, aligner.links.__getitem__, flat.tolist()
+                sha, codes, times = [""] * len(ids), [], []
+                none = (np.empty(0, dtype=np.int64),) * 2
+                for k, (i, j, ok) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist(), good.tolist())):
+                    if ok:
+                        sha[k] = hashlib.sha256(b";".join(map(spelled, flat[i:j]))).hexdigest()
+                    code, n = np.unique(np.frombuffer(b"".join(map(links, flat[i:j])), dtype=np.int64), return_counts=True) if ok else none
+                    codes.append(code)
+                    times.append(n)
+                upto = pa.array(np.concatenate([[0], np.cumsum(list(map(len, codes)))]).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(upto, pa.array(np.concatenate(x).astype(t))) for x, t in ((codes, np.int64), (times, np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in ids], type=id_type), *cols, pa.array(sha), *lists], names=[*_ROW, "codes", "times"])
 
     return run
 
 
-def pair_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
+def linked_pairs(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_a, n_b, n_groups, n_links, groups_sha256, codes, times)`` of every row: its
+    distinct linked pairs, packed as A id << 32 | B id, and how often it links them."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    kind = rows.schema["doc_id"].dataType
+    schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{c} bigint" for c in _COLS[:_BAD]) + ", groups_sha256 string, codes array<bigint>, times array<int>"
+    return rows.mapInArrow(_pairs(a_path, b_path, to_arrow_type(kind)), schema)
+
+
+def pair_counts(pairs: DataFrame) -> DataFrame:
     """``(code, n, best)`` of every linked id pair: the number of documents that hold it, and
     whether that is the highest of its A id (``code >> 32``), ties included."""
-    prepare(docs.sparkSession)
-    rows = docs.select(F.lit(0).alias("i"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(_counter(a_path, b_path), "code bigint, n bigint")
-    counts = cut(found.groupBy("code").agg(F.sum("n").alias("n")), "pair-counts")
+    counts = cut(pairs.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n")), "pair-counts")
     a = F.shiftright("code", 32)
     top = counts.groupBy(a.alias("a")).agg(F.max("n").alias("top"))
     return counts.join(top, a == F.col("a")).select("code", "n", (F.col("n") == F.col("top")).alias("best"))
@@ -239,8 +280,7 @@ def _lookups(spark, counts: DataFrame, max_pairs: int) -> list:
 def _looked_up(codes: np.ndarray, lookups: list) -> tuple[np.ndarray, np.ndarray]:
     """The count of each code, and whether it is its A id's best."""
     n, best = np.zeros(len(codes), dtype=np.int64), np.zeros(len(codes), dtype=bool)
-    for b in lookups:
-        keys, counts, tops = b.value
+    for keys, counts, tops in lookups:
         if len(keys):
             at = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
             hit = keys[at] == codes
@@ -248,27 +288,17 @@ def _looked_up(codes: np.ndarray, lookups: list) -> tuple[np.ndarray, np.ndarray
     return n, best
 
 
-_RESULT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-
-
-def _scorer(a_path: str, b_path: str, lookups: list, id_type: pa.DataType):
+def _scorer(lookups: list):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = aligner_at(a_path, b_path)
+        tables = [b.value for b in lookups]
         for batch in batches:
-            for ids, texts in _groups(batch):
-                docs = aligner.documents(texts)
-                raw = [b"".join([x[4] for x in parts]) for parts in docs]
-                stops = np.cumsum([0] + [len(r) // 8 for r in raw])
-                n, best = _looked_up(np.frombuffer(b"".join(raw), dtype=np.int64), lookups)
-                total, tops = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(best)])
-                at = lambda x: x[stops[1:]] - x[stops[:-1]]
-                sums = [[sum(x[k] for x in parts) for parts in docs] for k in range(3)]
-                sha = [hashlib.sha256(b";".join([x[3] for x in parts])).hexdigest() if parts else "" for parts in docs]
-                cols = [pa.array(c, type=pa.int64()) for c in (*sums, np.diff(stops), at(tops), at(total))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i.as_py() for i in ids], type=id_type), *cols, pa.array(sha)],
-                    names=["doc_id", *_RESULT, "groups_sha256"],
-                )
+            lists, times = batch.column(len(_ROW)), batch.column(len(_ROW) + 1)
+            n, best = _looked_up(lists.flatten().to_numpy(), tables)
+            times = times.flatten().to_numpy()
+            stops = lists.offsets.to_numpy().astype(np.int64)
+            stops -= stops[0]
+            sums = [pa.array(_sums(x * times, stops)) for x in (best.astype(np.int64), n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(_ROW)], *sums], names=[*_ROW, "n_best", "count_sum"])
 
     return run
 
@@ -277,12 +307,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)`` of every row."""
     spark = docs.sparkSession
     prepare(spark)
-    counts = cut(pair_counts(docs, a_path, b_path, text_col), "pairs")
-    lookups = _lookups(spark, counts, max_pairs)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType
-    schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{c} bigint" for c in _RESULT) + ", groups_sha256 string"
-    return rows.mapInArrow(_scorer(a_path, b_path, lookups, to_arrow_type(kind)), schema)
+    pairs = cut(linked_pairs(docs, a_path, b_path, id_col, text_col), "linked-pairs")
+    lookups = _lookups(spark, cut(pair_counts(pairs), "pairs"), max_pairs)
+    numbers = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema[: len(_ROW)])
+    out = pairs.mapInArrow(_scorer(lookups), f"{numbers}, n_best bigint, count_sum bigint")
+    return out.select("doc_id", *_COLS[:_BAD], "n_best", "count_sum", "groups_sha256")
 
 
 def q_op11_alignment(spark, sf_dir) -> DataFrame:
