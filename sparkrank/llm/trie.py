@@ -34,12 +34,16 @@ import hashlib
 import heapq
 import math
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import broadcast_if_small, scratch_path
 from .common import cut, prepare, table
@@ -49,6 +53,7 @@ BAND = 512
 MIN_MEMBERS = 64
 RUN = 4096
 QUEUE = 1_000_000
+FEW = 200_000  # piece roots and sums sent to them are broadcast up to so many rows
 #: Prefixes of more members than this (or a 100,000th of all conversations) are joined apart.
 HOT_MEMBERS = 256
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -157,12 +162,14 @@ def _time_forward(rows: DataFrame, folder: str, limit: int) -> DataFrame:
     return ordered.mapInArrow(_forward(folder, limit), rows.schema)
 
 
-def _running(names: list[str], xors: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def _running(names: list[str], xors: list[str], schema: pa.Schema):
+    """Rows with their place and running values in this range, then one row (``edge``) with the
+    totals of the range's first and of its last conversation."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = TaskContext.get().partitionId()
         last, count, carry = None, 0, [0] * len(xors)
+        edges: list[tuple] = []
         for b in batches:
             if not b.num_rows:
                 continue
@@ -172,34 +179,55 @@ def _running(names: list[str], xors: list[str]):
             pos = np.arange(len(conv)) - at + 1
             goes_on = np.cumsum(new) == 0
             pos[goes_on] += count
-            cols = [*b.columns, pa.array(np.full(len(conv), bucket, dtype=np.int32)), pa.array(pos)]
+            got = []
             for k, x in enumerate(xors):
                 v = b.column(b.schema.get_field_index(x)).to_numpy(zero_copy_only=False)
                 whole = np.bitwise_xor.accumulate(v)
-                before = whole ^ v
-                got = whole ^ before[at]
-                got[goes_on] ^= carry[k]
-                cols.append(pa.array(got))
-                carry[k] = got[-1]
-            last, count = conv[-1], int(pos[-1])
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                y = whole ^ (whole ^ v)[at]
+                y[goes_on] ^= carry[k]
+                got.append(y)
+            if not edges:
+                edges.append((int(conv[0]), 0, [0] * len(xors)))
+            stays = np.nonzero(conv == edges[0][0])[0]
+            if len(stays):
+                k = stays[-1]
+                edges[0] = (edges[0][0], int(pos[k]), [int(y[k]) for y in got])
+            last, count, carry = int(conv[-1]), int(pos[-1]), [int(y[-1]) for y in got]
+            mine = [pa.array(np.full(len(conv), bucket, dtype=np.int32)), pa.array(np.zeros(len(conv), dtype=bool)), pa.array(pos)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *mine, *map(pa.array, got)], names=names)
+        if last is not None and last != edges[0][0]:
+            edges.append((last, count, carry))
+        for conv, n, xs in edges:
+            values = {names[0]: conv, "bucket": bucket, "edge": True, "pos": n} | {f"x_{c}": x for c, x in zip(xors, xs)}
+            yield pa.RecordBatch.from_pylist([values], schema=schema)
 
     return run
 
 
 def running(rows: DataFrame, order: list[str], xors: list[str] = ()) -> DataFrame:
     """``rows`` (``conv_id`` first) with ``pos``, the place in the conversation from 1, and ``x_c``,
-    the exclusive-or up to there, of each column ``c`` in ``xors``."""
+    the exclusive-or up to there, of each column ``c`` in ``xors``.
+
+    The driver sees two totals a range, and adds up those of conversations that run across ranges.
+    """
+    spark = rows.sparkSession
     ordered = rows.repartitionByRange("conv_id", *order).sortWithinPartitions("conv_id", *order)
-    extra = ["bucket", "pos", *[f"x_{c}" for c in xors]]
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema] + ["bucket int"] + [f"{c} bigint" for c in extra[1:]])
-    got = cut(ordered.mapInArrow(_running([*rows.columns, *extra], list(xors)), schema), "running")
-    across = got.groupBy("conv_id").agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi")).where("lo < hi").select("conv_id")
-    across = F.broadcast(cut(across, "across"))  # at most one conversation a range boundary
-    part = got.join(across, "conv_id").groupBy("conv_id", "bucket").agg(F.max("pos").alias("n"), *[F.bit_xor(c).alias(f"t_{c}") for c in xors])
-    w = Window.partitionBy("conv_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offset = part.select("conv_id", "bucket", F.sum("n").over(w).alias("off"), *[F.bit_xor(f"t_{c}").over(w).alias(f"o_{c}") for c in xors])
-    both = got.join(F.broadcast(offset), ["conv_id", "bucket"], "left")
+    extra = [("bucket", "int"), ("edge", "boolean"), ("pos", "bigint"), *[(f"x_{c}", "bigint") for c in xors]]
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema] + [f"{c} {t}" for c, t in extra]
+    kind = T.StructType.fromDDL(", ".join(kinds))
+    got = cut(ordered.mapInArrow(_running(kind.names, list(xors), to_arrow_schema(kind)), kind), "running")
+    totals = defaultdict(list)
+    for r in got.where("edge").select("conv_id", "bucket", "pos", *[f"x_{c}" for c in xors]).toLocalIterator():
+        totals[r[0]].append(tuple(r)[1:])
+    offsets = []
+    for conv, found in totals.items():
+        before = [0] * (1 + len(xors))
+        for bucket, n, *xs in sorted(found):
+            if before[0]:
+                offsets.append((conv, bucket, *before))
+            before = [before[0] + n, *[x ^ y for x, y in zip(before[1:], xs)]]
+    names = ["conv_id bigint", "bucket int", "off bigint", *[f"o_{c} bigint" for c in xors]]
+    both = got.where("not edge").join(F.broadcast(spark.createDataFrame(offsets, ", ".join(names))), ["conv_id", "bucket"], "left")
     zero = F.lit(0).cast("long")
     whole = [F.col(f"x_{c}").bitwiseXOR(F.coalesce(f"o_{c}", zero)).alias(f"x_{c}") for c in xors]
     return both.select(*rows.columns, (F.col("pos") + F.coalesce("off", zero)).alias("pos"), *whole)
@@ -228,7 +256,6 @@ def with_shared_heads(turns: DataFrame, block: int = 100, most: int = 6) -> Data
     h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % most
     convs = turns.select("conv_id").distinct().select("conv_id", head.alias("head"), h.alias("h"))
     firsts = turns.where((F.col("conv_id") % block == 0) & (F.col("pos") < most)).withColumnRenamed("conv_id", "head")
-    firsts = cut(firsts, "heads")
     lent = convs.join(broadcast_if_small(firsts), "head").where("pos <= h").select(*turns.columns)
     sizes = firsts.groupBy("head").agg(F.max("pos").alias("n"))  # at most most - 1: what can be lent
     own = turns.withColumn("head", head).withColumn("h", h).where("pos > h").join(broadcast_if_small(sizes), "head", "left")
@@ -244,7 +271,6 @@ def _paths(turns: DataFrame, n_convs: int) -> DataFrame:
         "conv_id", "depth", "chars", F.xxhash64(place, "d1", "d2").alias("h1"), F.xxhash64("d2", place, "d1").alias("h2")
     )
     rows = running(rows, ["depth"], ["h1", "h2"]).select("conv_id", "depth", "chars", "x_h1", "x_h2")
-    rows = cut(rows, "prefixes")
     key = ["depth", "x_h1", "x_h2"]
     nodes = cut(rows.groupBy(*key).agg(F.min("conv_id").alias("m"), F.count("*").alias("n")), "nodes")
     many = F.col("n") > max(HOT_MEMBERS, n_convs // 100_000)
@@ -332,15 +358,15 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND, members: i
     root = spark.range(1).select(long(least).alias("node"), long(0).alias("depth"), long(None).alias("parent"), long(n_convs).alias("n"), long(0).alias("chars"))
     nodes = own.unionByName(root).join(kids, ["node", "depth"], "left").withColumn("kids", F.coalesce("kids", long(0)))
 
-    # Shards: the depth below the top nodes of each conversation, and who owns the subtree there.
-    start = 0 if n_convs <= members else 1
-    per = path.groupBy("conv_id").agg(
-        F.coalesce(F.max(F.when(F.col("n") > members, F.col("depth"))) + 1, long(start)).alias("k"), F.max(F.struct("depth", "m")).alias("end")
-    )
-    per = cut(per, "conversations")
-    at = path.select("conv_id", F.col("depth").alias("k"), F.col("m").alias("tree"))
-    trees = per.select(F.col("conv_id"), "k").join(at, ["conv_id", "k"], "left").withColumnRenamed("conv_id", "node")
-    placed = nodes.join(trees, "node", "left").withColumn("k", F.when(F.col("depth") == 0, start).otherwise(F.col("k")))
+    # Shards: each conversation's first node that is no top node, with the subtree's owner.
+    low = F.when(F.col("n") <= members, F.struct("depth", "m"))
+    per = cut(path.groupBy("conv_id").agg(F.min(low).alias("low"), F.max(F.struct("depth", "m")).alias("end")), "conversations")
+    trees = per.select(F.col("conv_id").alias("node"), F.col("low.depth").alias("k"), F.col("low.m").alias("tree"))
+    placed = nodes.join(trees, "node", "left")
+    if n_convs <= members:  # the root is no top node: all is one subtree
+        placed = placed.withColumn("k", long(0)).withColumn("tree", long(least))
+    else:  # conversations of top nodes alone, and the root
+        placed = placed.withColumn("k", F.when(F.col("depth") == 0, long(1)).otherwise(F.coalesce("k", F.col("depth") + 1)))
     top = F.col("depth") < F.col("k")
     deep = F.when(top, F.col("depth")).otherwise(F.col("depth") - F.col("k"))
     leaves = (F.col("depth") == 0) | (deep % band == 0)  # the total leaves the piece
@@ -351,7 +377,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND, members: i
         F.when(leaves & (F.col("depth") > 0), above.cast("long")).alias("above"),
         F.when(F.col("kids") == 0, long(1)).otherwise(long(0)).alias("leaves"),
         ((F.col("n") - 1) * F.col("chars")).alias("saved"),
-        F.when(top | (F.col("k") == 0), long(least)).otherwise(F.col("tree")).alias("tree"),
+        F.when(top, long(least)).otherwise(F.col("tree")).alias("tree"),
         F.when(top, long(-1)).otherwise(F.col("k")).alias("k"),
         F.floor(deep / band).alias("band"),
     )
@@ -362,25 +388,31 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND, members: i
     # Within shards, across piece roots, and within shards once more.
     first = _time_forward(shards(placed), folder, queue)
     roots = first.where("sends is null").select("node", "depth", "parent", "above", "leaves", "saved")
+    roots = cut(roots, "piece-roots")
+    few = lambda df: broadcast_if_small(df, FEW)
     over = path.select(F.col("conv_id").alias("node"), F.col("depth").alias("above"), F.col("m").alias("to"))
-    roots = roots.join(over, ["node", "above"], "left").withColumn("to", F.when(F.col("above") == 0, long(least)).otherwise(F.col("to")))
-    roots = cut(roots.select("node", "depth", "parent", "above", "to", "leaves", "saved"), "piece-roots")
+    near = roots.where("above is null or above = 0").withColumn("to", F.when(F.col("above") == 0, long(least)))
+    roots = near.unionByName(few(roots.where("above > 0")).join(over, ["node", "above"]).select(*near.columns))
+    roots = cut(roots, "received")
     within = roots.where("above is not null").select(F.col("to").alias("node"), F.col("above").alias("depth")).distinct()
+    within = few(cut(within, "receivers"))
     single = roots.join(within, ["node", "depth"], "left_anti")
     sums = [F.sum("leaves").alias("more"), F.sum("saved").alias("words")]
     sent = single.where("above is not null").groupBy(F.col("to").alias("node"), F.col("above").alias("depth")).agg(*sums)
     plus = lambda a, b: (F.col(a) + F.coalesce(b, long(0))).alias(a)
-    inner = roots.join(within, ["node", "depth"], "left_semi").join(sent, ["node", "depth"], "left")
+    inner = roots.join(within, ["node", "depth"], "left_semi").join(few(cut(sent, "sent")), ["node", "depth"], "left")
     inner = inner.select("node", "depth", F.col("parent").alias("below"), F.col("to").alias("parent"), F.col("above").alias("sends"), plus("leaves", "more"), plus("saved", "words"))
     inner = _time_forward(inner.repartition(1), folder, queue)
     totals = single.select("parent", "depth", "leaves", "saved").unionByName(inner.select(F.col("below").alias("parent"), "depth", "leaves", "saved"))
     given = totals.where("parent is not null").groupBy(F.col("parent").alias("node"), (F.col("depth") - 1).alias("depth")).agg(*sums)
-    again = placed.join(cut(given, "given"), ["node", "depth"], "left")
+    again = placed.join(few(cut(given, "given")), ["node", "depth"], "left")
     again = again.select(*[c for c in placed.columns if c not in ("leaves", "saved")], plus("leaves", "more"), plus("saved", "words"))
     done = _time_forward(shards(again), folder, queue)
 
-    turnless = convs.join(per, "conv_id", "left_anti").select(long(least).alias("m"), long(0).alias("depth"), "conv_id")
-    ends = per.select("end.m", "end.depth", "conv_id").unionByName(turnless)
+    ends = per.select("end.m", "end.depth", "conv_id")
+    if per.count() < n_convs:
+        turnless = convs.join(per, "conv_id", "left_anti").select(long(least).alias("m"), long(0).alias("depth"), "conv_id")
+        ends = ends.unionByName(turnless)
     sha = ends_digests(ends, run_ids).withColumnRenamed("m", "node")
     return done.join(sha, ["node", "depth"], "left").select(
         F.col("node").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), F.col("n").alias("n_convs"), F.col("kids").alias("n_children"),
@@ -390,13 +422,13 @@ def prefix_trie(turns: DataFrame, convs: DataFrame, band: int = BAND, members: i
 
 def conversation_trie(conversations: DataFrame, **how) -> DataFrame:
     """The prefix trie of conversations as they are."""
-    turns = cut(numbered_turns(conversations), "turns")
-    return prefix_trie(turns, turns.select("conv_id").distinct(), **how)
+    turns = numbered_turns(conversations)
+    return prefix_trie(turns, cut(turns.select("conv_id").distinct(), "convs"), **how)
 
 
 def q_op12_trie(spark, sf_dir) -> DataFrame:
     """The prefix trie of all conversations, rebuilt on the shared heads of their blocks."""
     prepare(spark)
-    turns = cut(numbered_turns(table(spark, sf_dir, "conversations")), "turns")
+    turns = numbered_turns(table(spark, sf_dir, "conversations"))
     convs = cut(turns.select("conv_id").distinct(), "convs")
-    return prefix_trie(cut(with_shared_heads(turns), "rebuilt"), convs)
+    return prefix_trie(with_shared_heads(turns), convs)
