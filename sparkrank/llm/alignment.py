@@ -46,9 +46,10 @@ from .common import cut, prepare, table
 MAX_PAIRS = 4 << 20
 CACHE_PARTS = 250_000
 CACHE_CHARS = 8 << 20
-GROUP_CHARS = 2 << 20
+GROUP_CHARS = 1 << 20
+RUN_PARTS = 256
 _COLS = ["n_a", "n_b", "n_groups", "n_links", "bad"]
-_BAD = len(_COLS) - 1
+_LINKS, _BAD = 3, 4
 _ROW = ["doc_id", *_COLS[:_BAD], "groups_sha256"]
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
 _ODD = re.compile(r"[^\S ] [^\S ]")  # white space on both sides of a space: no cut there
@@ -63,10 +64,15 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _plain(text: str) -> bool:
+    """Whether every space of a text has a cut in front."""
+    return not ("  " in text or text[0] == " " or text[-1] == " " or _ODD.search(text))
+
+
 class Aligner:
     """Both tokenizers and what a worker remembers of parts: their numbers (``rows``), and their
-    groups' ids in decimal (``spelled``), and their packed ``links``. A part is spelled without the space
-    it starts with."""
+    groups' ids in decimal (``spelled``), and their packed links (``links``, from ``first`` on). A part
+    is spelled without the space it starts with."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -94,36 +100,56 @@ class Aligner:
         pre = spec.get("pre_tokenizer") or {}
         joins = any(_MARK in self.b.id_to_piece(i).lstrip(_MARK) for i in range(self.b.get_piece_size()))
         self.by_part = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and not joins
+        self._forget()
+        self.older = (self.known, self.rows, self.spelled, self.first, self.links)
+        self.a_bytes, self.b_bytes = (np.frombuffer(b"".join(x), dtype=np.uint8) for x in (self.a_text, self.b_text))
+
+    def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.rows, self.spelled, self.links = np.zeros((0, len(_COLS)), dtype=np.int64), [], []
-        self.older = (self.known, self.rows, self.spelled, self.links)
+        self.rows, self.spelled = np.zeros((0, len(_COLS)), dtype=np.int64), []
+        self.first, self.links = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
         self.chars = 0
 
     def parts(self, text: str) -> list[str]:
         if not self.by_part:
             return [text]
-        if "  " in text or text[0] == " " or text[-1] == " " or _ODD.search(text):
-            return [u[1:] for u in _CUT.split(" " + text)]
-        return text.split(" ")
-
-    def align(self, parts: list[str]) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+        return text.split(" ") if _plain(text) else [u[1:] for u in _CUT.split(" " + text)]
+
+    def _encoded(self, parts: list[str]) -> tuple[list, list]:
+        """Ids of both sides over all parts: those that stay apart side by side are encoded in runs."""
+        runs = []
+        for at in range(0, len(parts), RUN_PARTS if self.by_part else 1):
+            some = parts[at : at + (RUN_PARTS if self.by_part else 1)]
+            whole = " ".join(some)
+            runs += [whole] if whole and _plain(whole) else some
+        return [e.ids for e in self.a.encode_batch_fast([" " + r for r in runs], add_special_tokens=False)], self.b.encode(runs, num_threads=1)
+
+    def align(self, parts: list[str]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         """Numbers (``_COLS``), groups and links of each part; one that a side spells otherwise is bad."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        b_ids = self.b.encode(parts, num_threads=1)
-        rows, nothing = np.zeros((len(parts), len(_COLS)), dtype=np.int64), [b""] * len(parts)
-        a, b = self._side(a_ids, self.a_len), self._side(b_ids, self.b_len)
-        spelled = [b"".join(map(text.__getitem__, side["id"].tolist())) for text, side in ((self.a_text, a), (self.b_text, b))]
+        rows = np.zeros((len(parts), len(_COLS)), dtype=np.int64)
         raw = [b" " + p.encode("utf-8", "surrogatepass") for p in parts]
-        size = np.array(list(map(len, raw)), dtype=np.int64)
-        total = lambda side: np.bincount(side["unit"], weights=side["end"] - side["start"], minlength=len(parts))
-        if not (np.array_equal(total(a), size) and np.array_equal(total(b), size) and spelled[0] == spelled[1] == b"".join(raw)):
-            good = [k for k, r in enumerate(raw) if r == b"".join(map(self.a_text.__getitem__, a_ids[k])) == b"".join(map(self.b_text.__getitem__, b_ids[k]))]
+        stops = np.cumsum(list(map(len, raw)))
+        a_ids, b_ids = self._encoded(parts)
+        a, b = self._side(a_ids, self.a_len, stops), self._side(b_ids, self.b_len, stops)
+        whole = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        same = []
+        for side, length, text in ((a, self.a_len, self.a_bytes), (b, self.b_len, self.b_bytes)):
+            ids, end = side["id"].to_numpy(), side["end"].to_numpy()
+            spelled = _gathered(text, (np.cumsum(length) - length)[ids], length[ids])
+            same.append(np.array_equal(spelled, whole) and np.isin(stops, end).all())
+        if not all(same):
+            spells = lambda ids, text: b"".join(map(text.__getitem__, ids))
+            # A part is spelled otherwise: each is tried alone, and those that are not go on.
+            ids = zip(self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False), self.b.encode(parts, num_threads=1))
+            good = [k for k, (x, y) in enumerate(ids) if spells(x.ids, self.a_text) == raw[k] == spells(y, self.b_text)]
+            if len(good) == len(parts):
+                raise ValueError("parts join across their cuts")
             rows[:, _BAD] = 1
-            spelled, links = nothing, nothing.copy()
+            spelled, links = [b""] * len(parts), self.links[:0]
             if good:
-                rows[good], *found = self.align([parts[k] for k in good])
-                for k, x, y in zip(good, *found):
-                    spelled[k], links[k] = x, y
+                rows[good], found, links = self.align([parts[k] for k in good])
+                for k, x in zip(good, found):
+                    spelled[k] = x
             return rows, spelled, links
         cols = ["unit", "start", "token"]
         forth = pd.merge_asof(a[cols], b[cols], on="start", by="unit", suffixes=("_a", "_b"))
@@ -152,37 +178,36 @@ class Aligner:
         group_unit = a_unit[a_cut - 1]
         rows[:, :_BAD] = np.stack([per(a_unit), per(b["unit"].to_numpy()), per(group_unit), np.diff(upto)], axis=1)
         stop = np.concatenate([[0], np.cumsum(self.mark_len[marks])])[np.cumsum(rows[:, 0] + rows[:, 1])].tolist()
-        flat, upto = codes.tobytes(), (8 * upto).tolist()
-        return rows, [text[i : j - 1] for i, j in zip([0, *stop], stop)], [flat[i:j] for i, j in zip(upto, upto[1:])]
+        return rows, [text[i : j - 1] for i, j in zip([0, *stop], stop)], codes
 
     @staticmethod
-    def _side(ids: list[list[int]], length: np.ndarray) -> pd.DataFrame:
+    def _side(ids: list[list[int]], length: np.ndarray, stops: np.ndarray) -> pd.DataFrame:
         """Tokens of all parts, their byte ranges counted on from part to part."""
-        many = list(map(len, ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(many))
-        unit = np.repeat(np.arange(len(ids)), many)
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=sum(map(len, ids)))
         end = np.cumsum(length[flat])
-        return pd.DataFrame({"unit": unit, "id": flat, "start": end - length[flat], "end": end, "token": np.arange(len(flat))})
-
-    def _learn(self, parts: list[str], rows: np.ndarray, spelled: list[bytes], links: list[bytes]) -> None:
-        self.known.update(zip(parts, range(len(self.links), len(self.links) + len(parts))))
-        self.rows = np.concatenate([self.rows, rows])
+        start = end - length[flat]
+        return pd.DataFrame({"unit": np.searchsorted(stops, start, side="right"), "id": flat, "start": start, "end": end, "token": np.arange(len(flat))})
+
+    def _learn(self, parts: list[str], rows: np.ndarray, spelled: list[bytes], links: np.ndarray) -> None:
+        self.known.update(zip(parts, range(len(self.spelled), len(self.spelled) + len(parts))))
+        many = rows[:, _LINKS]
+        self.first = np.concatenate([self.first, len(self.links) + np.cumsum(many) - many])
+        self.rows, self.links = np.concatenate([self.rows, rows]), np.concatenate([self.links, links])
         self.spelled += spelled
-        self.links += links
         self.chars += sum(map(len, parts))
 
     def documents(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(flat, stops)``: the places in ``rows``, ``spelled`` and ``links`` of every text's parts."""
         split = [self.parts(t) if t else [] for t in texts]
         if len(self.known) > CACHE_PARTS or self.chars > CACHE_CHARS:
-            self.older = (self.known, self.rows, self.spelled, self.links)
-            self.known, self.rows, self.spelled, self.links, self.chars = {}, self.rows[:0], [], [], 0
-        older, rows, spelled, links = self.older
+            self.older = (self.known, self.rows, self.spelled, self.first, self.links)
+            self._forget()
+        older, rows, spelled, first, links = self.older
         asked = set().union(*split).difference(self.known)
         again = list(older.keys() & asked) if older is not self.known else []
         if again:
             at = list(map(older.__getitem__, again))
-            self._learn(again, rows[at], list(map(spelled.__getitem__, at)), list(map(links.__getitem__, at)))
+            self._learn(again, rows[at], list(map(spelled.__getitem__, at)), _gathered(links, first[at], rows[at, _LINKS]))
         new = sorted(asked.difference(again))
         if new:
             self._learn(new, *self.align(new))
@@ -216,6 +241,11 @@ def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
         yield ids, texts
 
 
+def _gathered(values: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The runs of ``many`` values from ``first`` on, one after the other."""
+    return values[np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())]
+
+
 def _sums(column: np.ndarray, stops: np.ndarray) -> np.ndarray:
     upto = np.concatenate([[0], np.cumsum(column)])
     return upto[stops[1:]] - upto[stops[:-1]]
@@ -230,13 +260,14 @@ def _pairs(a_path: str, b_path: str, id_type: pa.DataType):
                 rows = aligner.rows[flat]
                 good = (_sums(rows[:, _BAD], stops) == 0) & (np.diff(stops) > 0)
                 cols = [pa.array(np.where(good, _sums(rows[:, k], stops), 0)) for k in range(_BAD)]
-                spelled, links, flat = aligner.spelled.__getitem__, aligner.links.__getitem__, flat.tolist()
+                linked = _gathered(aligner.links, aligner.first[flat], rows[:, _LINKS])
+                ends = np.concatenate([[0], np.cumsum(rows[:, _LINKS])])[stops].tolist()
+                spelled, flat, stops = aligner.spelled.__getitem__, flat.tolist(), stops.tolist()
                 sha, codes, times = [""] * len(ids), [], []
-                none = (np.empty(0, dtype=np.int64),) * 2
-                for k, (i, j, ok) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist(), good.tolist())):
+                for k, ok in enumerate(good.tolist()):
                     if ok:
-                        sha[k] = hashlib.sha256(b";".join(map(spelled, flat[i:j]))).hexdigest()
-                    code, n = np.unique(np.frombuffer(b"".join(map(links, flat[i:j])), dtype=np.int64), return_counts=True) if ok else none
+                        sha[k] = hashlib.sha256(b";".join(map(spelled, flat[stops[k] : stops[k + 1]]))).hexdigest()
+                    code, n = np.unique(linked[ends[k] : ends[k + 1] if ok else ends[k]], return_counts=True)
                     codes.append(code)
                     times.append(n)
                 upto = pa.array(np.concatenate([[0], np.cumsum(list(map(len, codes)))]).astype(np.int32))

@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
 
+#: Batches for Python workers hold at most so many bytes: whole texts of any number of rows would
+#: otherwise come in batches of the default 64 MB, several times that as Python objects.
+BATCH_BYTES = 4 << 20
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable by Python workers and fix the shared scratch folder."""
+    """Make the package importable by Python workers, fix the shared scratch folder, and bound
+    the session's Arrow batches by ``BATCH_BYTES`` unless they are bounded closer already."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    now = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")).rstrip("bB")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
