@@ -26,7 +26,6 @@ result; other columns pass through.
 from __future__ import annotations
 
 import re
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,9 @@ from .common import prepare, table
 MARK = "▁"
 BLOCK = 1 << 18
 CACHE_PARTS = 250_000
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 20
+WIDE = 96
+MAX_REMEMBERED = 2_000_000
 _CUT = "\0"
 _PARTS = re.compile(f"{MARK}*[^{MARK}{_CUT}]+|{MARK}+")
 _WHOLE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -77,7 +78,9 @@ class Model:
         self.lengths = np.array([len(p) for p in self.pieces])
         high[np.arange(self.dead), self.lengths] = 0x200000  # above every character
         self.low, self.high = low.view(f"<U{width}").ravel(), high.view(f"<U{width}").ravel()
-        self.apart: dict[int, bool] = {}
+        self.id_of = np.array([*self.ids, -1], dtype=np.int64)
+        # Pairs of pieces seen so far, packed and sorted, and whether they stay apart.
+        self.pairs, self.stays = np.array([-1], dtype=np.int64), np.array([False])
         whole = [self.merge(p) == [p] for p in self.pieces]
         self.whole = np.array(whole)  # a piece that its own merges do not make is never used
         # Parts of this and of the previous generation: what is used again moves up, so parts that
@@ -139,49 +142,81 @@ class Model:
         order = np.lexsort((start, stop))
         return start[order], stop[order], piece[order]
 
+    def _compatible(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether each packed pair of pieces stays apart when merged alone."""
+        at = np.searchsorted(self.pairs, pairs)
+        at[at == len(self.pairs)] = 0
+        known = self.pairs[at] == pairs
+        if not known.all():
+            size, pieces, new = self.dead + 1, self.pieces, np.unique(pairs[~known])
+            stays = [self.merge(pieces[x // size] + pieces[x % size]) == [pieces[x // size], pieces[x % size]] for x in new.tolist()]
+            if len(self.pairs) > MAX_REMEMBERED:
+                self.pairs, self.stays = self.pairs[:1], self.stays[:1]
+            at = np.searchsorted(self.pairs, new)
+            self.pairs, self.stays = np.insert(self.pairs, at, new), np.insert(self.stays, at, stays)
+            return self._compatible(pairs)
+        return self.stays[at]
+
+    def _relaxed(self, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Last piece of each position and where it starts, over all parts side by side.
+
+        Edges are taken by their end's place in its part, so all that an edge needs of its part is
+        known; places beyond ``WIDE`` are left to the parts that are so long, one edge at a time.
+        """
+        start, stop, piece = self.edges(codes)
+        n = len(codes)
+        token, back = np.full(n + 1, -1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
+        first = np.zeros(n + 1, dtype=bool)
+        first[begins] = True
+        place = stop - begins[np.searchsorted(begins, start, side="right") - 1]
+        order = np.argsort(place, kind="stable")
+        start, stop, piece, place = start[order], stop[order], piece[order], place[order]
+        bounds = np.searchsorted(place, np.arange(1, WIDE + 2))
+        size, dead = self.dead + 1, self.dead
+        for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            s, e, p = start[i:j], stop[i:j], piece[i:j]
+            q = token[s]
+            ok = first[s] | (q >= 0)
+            ask = ok & ~first[s] & (q != dead) & (p != dead)
+            if ask.any():
+                ok[ask] = self._compatible(q[ask] * size + p[ask])
+            token[e[ok]], back[e[ok]] = p[ok], s[ok]
+        for s, e, p in zip(*(x[bounds[-1] :].tolist() for x in (start, stop, piece))):
+            q = int(token[s])
+            if token[e] < 0 and (first[s] or (q >= 0 and (dead in (p, q) or self._compatible(np.array([q * size + p]))[0]))):
+                token[e], back[e] = p, s
+        return token, back
+
     def _segment(self, parts: list[str]) -> list[bytes]:
         """Packed ids of each distinct part."""
         text = "\0".join(parts)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) + np.uint32(1)
         ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+        begins = np.concatenate([[0], ends[:-1] + 1])
         codes[ends[:-1]] = 0
-        start, stop, piece = self.edges(codes)
-        n = len(codes)
-        first = np.zeros(n + 1, dtype=bool)
-        first[np.concatenate([[0], ends[:-1] + 1])] = True
-        first = first.tolist()
-        token, back = [-1] * (n + 1), [0] * (n + 1)
         # A cut is no character, so positions of different parts never meet.
-        apart, dead, pieces, size = self.apart, self.dead, self.pieces, self.dead + 1
-        for s, e, p in zip(start.tolist(), stop.tolist(), piece.tolist()):
-            if token[e] >= 0 and back[e] >= 0:
-                continue
-            if not first[s]:
-                q = token[s]
-                if q < 0:
-                    continue
-                if q != dead and p != dead:
-                    pair = q * size + p
-                    ok = apart.get(pair)
-                    if ok is None:
-                        ok = apart[pair] = self.merge(pieces[q] + pieces[p]) == [pieces[q], pieces[p]]
-                    if not ok:
-                        continue
-            token[e], back[e] = p, s
-        out, ids = [], self.ids
-        for part, end in zip(parts, ends.tolist()):
-            begin, at, found = end - len(part), end, []
-            while at > begin:
-                p = token[at]
-                if p < 0:
-                    raise ValueError(f"no segmentation of {part[:40]!r}")
-                if p < dead and ids[p] >= 0:
-                    found.append(ids[p])
-                else:
-                    found += [self.byte_ids[b] for b in reversed(text[back[at] : at].encode("utf-8", "surrogatepass"))]
-                at = back[at]
-            out.append(array("i", reversed(found)).tobytes())
-        return out
+        token, back = self._relaxed(codes, begins, ends)
+        used, at, begin = np.zeros(len(token), dtype=bool), ends, begins
+        while len(at):
+            if (token[at] < 0).any():
+                raise ValueError("a part has no segmentation")
+            used[at] = True
+            at = back[at]
+            at, begin = at[at > begin], begin[at > begin]
+        stop = np.nonzero(used)[0]
+        ids = self.id_of[token[stop]]
+        many = np.ones(len(stop), dtype=np.int64)
+        # Characters without an id of their own become byte pieces.
+        spelled = {k: [self.byte_ids[b] for b in text[back[stop[k]] : stop[k]].encode("utf-8", "surrogatepass")] for k in np.nonzero(ids < 0)[0].tolist()}
+        if spelled:
+            many[list(spelled)] = list(map(len, spelled.values()))
+            ids = np.repeat(ids, many)
+            at = np.cumsum(many) - many
+            for k, x in spelled.items():
+                ids[at[k] : at[k] + len(x)] = x
+        upto = np.concatenate([[0], np.cumsum(many)])[np.searchsorted(stop, ends, side="right")]
+        flat, upto = ids.astype(np.int32).tobytes(), (4 * upto).tolist()
+        return [flat[i:j] for i, j in zip([0, *upto], upto)]
 
     def _parts(self, text: str) -> list[str]:
         if _CUT in text:
@@ -193,8 +228,6 @@ class Model:
         split = [self._parts(self.processor.normalize(t)) if t else [] for t in texts]
         if len(self.cache) > CACHE_PARTS:
             self.cache, self.older = {}, self.cache
-        if len(self.apart) > 1_000_000:
-            self.apart.clear()
         asked = set().union(*split).difference(self.cache)
         known = self.older.keys() & asked
         self.cache.update((p, self.older[p]) for p in known)
