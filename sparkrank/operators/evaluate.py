@@ -99,11 +99,13 @@ def macro(
     k_mrr: int = DEFAULT_K_MRR,
     k_recall: int = DEFAULT_K_RECALL,
     ideal: str = "retrieved",
+    systems: DataFrame | None = None,
 ) -> DataFrame:
     """Macro means per system over judged queries: ``(by..., ndcg, mrr, recall, n_queries)``.
 
-    Every system of the run has a row: one that retrieved nothing for any judged query scores
-    0.0, as does every system when no query is judged.
+    Every system has a row: one that retrieved nothing for any judged query scores 0.0, as does
+    every system when no query is judged. ``systems (by...)`` names them where a run may be empty;
+    without it they are those that occur in the run.
     """
     by = list(by)
     pq = per_query(run, qrels, queries, by, k_ndcg, k_mrr, k_recall, ideal)
@@ -112,7 +114,7 @@ def macro(
     sums = pq.groupBy(*by).agg(
         F.sum("ndcg").alias("__ndcg"), F.sum("mrr").alias("__mrr"), F.sum("recall").alias("__recall")
     )
-    every = run.select(*by).distinct()
+    every = (run if systems is None else systems).select(*by).distinct()
     same = [every[c].eqNullSafe(sums[c]) for c in by]
     return every.join(sums, same, "left").select(
         *(every[c] for c in by),

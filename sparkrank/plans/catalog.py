@@ -22,7 +22,8 @@ from ..session import scratch_path, with_text
 from ..sources import collections as C
 from ..sources import files as FS
 from ..sources import index_store as IS
-from ..streaming.indexing import stream_index, stream_search
+from ..sources.segment_store import SegmentStore
+from ..streaming.indexing import stream_index, stream_search, stream_segments
 from . import search as S
 from . import experiments as X
 from . import oracle as O
@@ -366,6 +367,33 @@ def q_incremental_add(spark, sf):
     return shown(idx.search(C.queries(spark, sf), k=TOPK), "score")
 
 
+def q_segment_topk(spark, sf):
+    """A segmented index is written and opened again; its search reads the partitions of its
+    terms only and scores posting blocks."""
+    path = scratch_path(spark, "segments")
+    SegmentStore.create(spark, path).add(C.corpus(spark, sf))
+    return shown(SegmentStore.open(spark, path).search(C.queries(spark, sf), k=TOPK), "score")
+
+
+def q_segment_updates(spark, sf):
+    """B7 on a saved index: the English documents, then the others, then without the toxic ones and
+    merged; equals a full build over what is left."""
+    corpus = C.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    english = F.col("lang").eqNullSafe("en")
+    store, _ = SegmentStore.create(spark, scratch_path(spark, "segments")).add(corpus.filter(english))
+    store, _ = store.add(corpus.filter(~english))
+    store = store.delete(C.table(spark, sf, "labels").filter("toxic = 1").select("doc_id"))
+    return shown(store.merge().search(C.queries(spark, sf), k=TOPK), "score")
+
+
+def q_stream_segments(spark, sf):
+    """Documents arrive as files, a segment a batch, merged as they grow; then search."""
+    base = scratch_path(spark, "stream-segments")
+    C.corpus(spark, sf).repartition(4).write.parquet(f"{base}/in")
+    store = stream_segments(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt", max_segments=2)
+    return shown(store.search(C.queries(spark, sf), k=TOPK), "score")
+
+
 def q_stream_index(spark, sf):
     """Documents arrive as files; the index is maintained per micro-batch; then search."""
     base = scratch_path(spark, "stream-index")
@@ -550,6 +578,9 @@ UNION ALL SELECT 'doc_stats', count(*) FROM doc_stats UNION ALL SELECT 'vectors'
     "incremental_add": ORACLE["bm25_topk"],
     "stream_index": ORACLE["bm25_topk"],
     "stream_search": ORACLE["bm25_topk"],
+    "segment_topk": ORACLE["bm25_topk"],
+    "segment_updates": ORACLE["bm25_topk"].replace("FROM documents", "FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)"),
+    "stream_segments": ORACLE["bm25_topk"],
 })
 
 
@@ -661,4 +692,7 @@ QUERIES = {
     "incremental_add": q_incremental_add,
     "stream_index": q_stream_index,
     "stream_search": q_stream_search,
+    "segment_topk": q_segment_topk,
+    "segment_updates": q_segment_updates,
+    "stream_segments": q_stream_segments,
 }

@@ -48,7 +48,8 @@ def runs_union(runs: dict[str, DataFrame]) -> DataFrame:
 
 def baseline(runs: dict[str, DataFrame], qrels: DataFrame, queries: DataFrame) -> DataFrame:
     """Every system's macro metrics in one pass: ``(system, ndcg, mrr, recall)``."""
-    return E.macro(runs_union(runs), qrels, queries).select("system", *_metrics_cols())
+    named = queries.sparkSession.createDataFrame([(name,) for name in runs], "system string")
+    return E.macro(runs_union(runs), qrels, queries, systems=named).select("system", *_metrics_cols())
 
 
 def mark_best(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -74,7 +75,8 @@ def alpha_sweep(
 ) -> DataFrame:
     """``(alpha, ndcg, mrr, recall, is_best)`` from one pair of runs."""
     fused = FU.hybrid_sweep(lexical, dense, alphas, k=k, method=method)
-    return mark_best(E.macro(fused, qrels, queries, by=("alpha",)), ["alpha"])
+    named = queries.sparkSession.createDataFrame([(float(a),) for a in alphas], "alpha double")
+    return mark_best(E.macro(fused, qrels, queries, by=("alpha",), systems=named), ["alpha"])
 
 
 def bm25_grid(
@@ -103,7 +105,8 @@ def bm25_grid(
         ),
     )
     ranked = top_k(expanded, k, by=("k1", "b", "qid")).select("k1", "b", "qid", "doc_id", rank_key("score").alias("score"), "rank")
-    return mark_best(E.macro(ranked, qrels, queries, by=("k1", "b")), ["k1", "b"])
+    named = queries.sparkSession.createDataFrame(grid, "k1 double, b double")
+    return mark_best(E.macro(ranked, qrels, queries, by=("k1", "b"), systems=named), ["k1", "b"])
 
 
 def latency_summary(latency: DataFrame) -> DataFrame:

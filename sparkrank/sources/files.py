@@ -31,10 +31,13 @@ def _with_file_order(df: DataFrame) -> DataFrame:
 
 
 def read_corpus_jsonl(spark: SparkSession, path: str, id_type: str = "string") -> DataFrame:
-    """``(doc_id, text)`` with last-wins on duplicate ids; malformed JSON fails the job."""
+    """``(doc_id, text)`` with last-wins on duplicate ids; malformed JSON and a line without
+    one of the two fields (or with null in it) fail the job."""
     raw = spark.read.schema(f"doc_id {id_type}, text string").option("mode", "FAILFAST").json(path)
+    given = lambda c: F.coalesce(c, F.raise_error(F.lit(f"corpus line without {c}")).cast(raw.schema[c].dataType)).alias(c)
     return (
         _with_file_order(raw)
+        .select(given("doc_id"), given("text"), "__path", "__start", "__row")
         .groupBy("doc_id")
         .agg(F.max_by("text", _order_key()).alias("text"))
     )

@@ -15,10 +15,12 @@ The reference has no streams; these keep an index and answer queries as files ar
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small
+from ..sources.segment_store import SegmentStore
 from ..operators.lexical import DEFAULT_B, DEFAULT_K1, LexicalIndex, build_postings, corpus_stats_of, one_text_per_id, term_stats_of
 
 
@@ -135,3 +137,27 @@ def stream_search(
     )
     q.awaitTermination()
     return spark.read.parquet(out_path).drop("batch_id")
+
+
+def stream_segments(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, max_segments: int = 8, id_type: str = "bigint") -> SegmentStore:
+    """R1 on the segmented index: every micro-batch of ``source`` becomes a segment of the index at
+    ``path`` (made if there is none), and segments are merged as their number passes
+    ``max_segments``. Runs until all available files are taken; returns the last snapshot.
+
+    A version of the index names whole segments only, so a batch that fails leaves none of its
+    documents, and one that is replayed after its version was written finds its ids there and adds
+    nothing. Readers keep the version they opened.
+    """
+    try:
+        SegmentStore.create(spark, path, id_type=id_type)
+    except AnalysisException as e:
+        if "PATH_ALREADY_EXISTS" not in str(e):
+            raise
+
+    def take(batch, _) -> None:
+        store, _ = SegmentStore.open(batch.sparkSession, path).add(batch.select("doc_id", "text"))
+        store.merge(max_segments)
+
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return SegmentStore.open(spark, path)
