@@ -43,10 +43,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 MAX_BROADCAST_KEYS = 1_000_000
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _by_key(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str, how: str) -> DataFrame:
-    some = keys.select(F.col("doc_id").alias("_key_id"), F.col("h").alias("_key_h")).distinct()
+    key, h = free(docs, "_key_id"), free(docs, "_key_h")
+    some = keys.select(F.col("doc_id").alias(key), F.col("h").alias(h)).distinct()
     some = F.broadcast(some) if some.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else some
-    same = docs[id_col].eqNullSafe(F.col("_key_id")) & (F.xxhash64(docs[text_col]) == F.col("_key_h"))
+    same = docs[id_col].eqNullSafe(F.col(key)) & (F.xxhash64(docs[text_col]) == F.col(h))
     return docs.join(some, same, how)
 
 

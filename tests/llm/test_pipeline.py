@@ -46,6 +46,17 @@ def test_stages_keep_columns_and_edges(spark, sf, docs_of):
         assert P.STAGES[-1][1](spark, docs, sf).count() == len(got)
 
 
+def test_clashing_columns(spark, sf, docs_of):
+    rows = [(1, "first text of three words"), (2, "first text of three words"), (3, "mail a@b.cd")]
+    docs = docs_of(rows).selectExpr("*", "7.5D as _toxicity", "'k' as _key_id", "9 as _key_h", "'t' as h_")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.schema.simpleString() == docs.schema.simpleString(), name
+        got = out.collect()
+        assert {(r._toxicity, r._key_id, r._key_h, r.h_, r.spans) for r in got} == {(7.5, "k", 9, "t", "s")}, name
+    assert {r.doc_id for r in P.near_duplicates(spark, docs, sf).collect()} == {1, 3}
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     code = (
         "import sys\n"
