@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm.common import cut, prepare, table, without_rows
+from sparkrank.llm.common import cut, free, prepare, table, without_rows
 from sparkrank.llm.decontam import contaminated, contamination
 from sparkrank.llm.pieces import encoded_documents
 from sparkrank.llm.pii import redact_pii
@@ -23,7 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below the threshold."""
     prepare(spark)
     model = train_on_open_fold(docs, table(spark, sf_dir, "labels"))
-    return score(docs, model, out="_toxicity").where(F.col("_toxicity") < THRESHOLD).select(*docs.columns)
+    p = free(docs, "_toxicity")
+    return score(docs, model, out=p).where(F.col(p) < THRESHOLD).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
