@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, table
+from .common import prepare, release_memory, table
 
 MARK = "▁"
 BLOCK = 1 << 18
@@ -85,6 +85,7 @@ class Model:
         self.whole = np.array(whole)  # a piece that its own merges do not make is never used
         # Parts of this and of the previous generation: what is used again moves up, so parts that
         # come often are never encoded twice and memory stays bounded.
+        self.cache_parts = CACHE_PARTS
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         before = {q: {x for p in self.pieces for x, y in zip(p, p[1:]) if y == q} for q in _STOPS}
@@ -226,7 +227,7 @@ class Model:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed 32-bit integers."""
         split = [self._parts(self.processor.normalize(t)) if t else [] for t in texts]
-        if len(self.cache) > CACHE_PARTS:
+        if len(self.cache) > self.cache_parts:
             self.cache, self.older = {}, self.cache
         asked = set().union(*split).difference(self.cache)
         known = self.older.keys() & asked
@@ -264,10 +265,12 @@ def _groups(texts: pa.Array):
         yield some
 
 
-def _encoder(path: str):
+def _encoder(path: str, cache_parts: int = CACHE_PARTS):
     def run(texts: pa.Array) -> pa.Array:
         model = model_at(path)
+        model.cache_parts = cache_parts
         ids = [x for group in _groups(texts) for x in model.encode(group)]
+        release_memory()
         stops = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])
         values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
         return pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), values)
@@ -284,10 +287,11 @@ def _decoder(path: str):
     return run
 
 
-def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with ``out``: the ids of every whole text."""
+def encode(docs: DataFrame, model: str, text_col: str = "text", out: str = "ids", cache_parts: int = CACHE_PARTS) -> DataFrame:
+    """``docs`` with ``out``: the ids of every whole text. A worker remembers two generations of
+    ``cache_parts`` parts: fewer take less memory and more time, with the same result."""
     prepare(docs.sparkSession)
-    return docs.withColumn(out, F.arrow_udf(_encoder(model), T.ArrayType(T.IntegerType()))(F.col(text_col)))
+    return docs.withColumn(out, F.arrow_udf(_encoder(model, cache_parts), T.ArrayType(T.IntegerType()))(F.col(text_col)))
 
 
 def decode(rows: DataFrame, model: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -296,9 +300,9 @@ def decode(rows: DataFrame, model: str, ids_col: str = "ids", out: str = "decode
     return rows.withColumn(out, F.arrow_udf(_decoder(model), "string")(F.col(ids_col)))
 
 
-def encoded_documents(docs: DataFrame, model: str) -> DataFrame:
+def encoded_documents(docs: DataFrame, model: str, cache_parts: int = CACHE_PARTS) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded_sha256, round_trip)`` of every document."""
-    both = decode(encode(docs.select("doc_id", "text"), model), model)
+    both = decode(encode(docs.select("doc_id", "text"), model, cache_parts=cache_parts), model)
     same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), MARK, " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), same.alias("round_trip"))
 

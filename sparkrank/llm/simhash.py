@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, table, with_rows, without_rows
+from .common import cut, prepare, release_memory, table, with_rows, without_rows
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -63,6 +63,7 @@ def _fingerprints(width: int):
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), width) for t in b.column(2)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "h", "fp"])
+        release_memory()
 
     return run
 

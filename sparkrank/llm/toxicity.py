@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, prepare, table
+from .common import cut, fold, prepare, release_memory, table
 
 SAMPLE_ROWS = 12_000
 MAX_TERMS = 4096
@@ -277,7 +277,9 @@ def score(docs: DataFrame, model: Classifier, text_col: str = "text", out: str =
 
     def run(texts: pa.Array) -> pa.Array:
         one = shared.value.score
-        return pa.array([one(t.as_py() or "") for t in texts], type=pa.float64())
+        found = pa.array([one(t.as_py() or "") for t in texts], type=pa.float64())
+        release_memory()
+        return found
 
     return docs.withColumn(out, F.arrow_udf(run, "double")(F.col(text_col)))
 
