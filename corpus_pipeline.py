@@ -50,7 +50,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of the text they decode to."""
     prepare(spark)
-    return encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), cache_parts=80_000)  # beside four other stages' memory
 
 
 STAGES = [
