@@ -47,7 +47,7 @@ def test_long_parts_cross_blocks(monkeypatch):
 
 
 def test_generations_forget_and_remember(monkeypatch):
-    monkeypatch.setattr(P, "CACHE_PARTS", 3)
+    monkeypatch.setattr(MODEL, "cache_parts", 3)
     texts = ["one two three four.", "one two five!", "six seven, one", "one two", "eight: nine one"]
     assert [ids([t])[0] for t in texts] == SP.encode(texts)
     assert len(MODEL.cache) < 12
