@@ -123,8 +123,9 @@ def model_encode(
 
 # ---- D6 ---------------------------------------------------------------------------------
 def valid_vectors(df: DataFrame, dim: int | None = None, col: str = "embedding") -> DataFrame:
-    """Drop null vectors, vectors with null entries and (if ``dim``) wrong dimensions."""
-    ok = F.col(col).isNotNull() & ~F.exists(col, lambda x: x.isNull())
+    """Drop null vectors, vectors with null, NaN or infinite entries and (if ``dim``) wrong dimensions."""
+    limit = F.lit(float("inf"))
+    ok = F.col(col).isNotNull() & ~F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == limit))
     if dim is not None:
         ok = ok & (F.size(col) == dim)
     return df.filter(ok)
@@ -240,7 +241,7 @@ def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str
             if not ok.any():
                 continue
             D = np.stack(emb[ok]).astype(np.float64, copy=False)
-            finite = ~np.isnan(D).any(axis=1)
+            finite = np.isfinite(D).all(axis=1)
             D = D[finite]
             pdf = pdf[ok][finite]
             if len(pdf) == 0:
@@ -269,7 +270,7 @@ def _collect_queries(queries: DataFrame, extra: str | None, dim: int) -> dict:
     cols = ["qid", "embedding"] + ([extra] if extra else [])
     pdf = queries.select(*cols).toPandas()
     if len(pdf):
-        keep = pdf["embedding"].map(lambda e: e is not None and len(e) == dim and not np.isnan(np.asarray(e, dtype=float)).any())
+        keep = pdf["embedding"].map(lambda e: e is not None and len(e) == dim and np.isfinite(np.asarray(e, dtype=float)).all())
         pdf = pdf[keep.to_numpy()]
     Q = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
     out = {"qids": pdf["qid"].to_numpy(), "Q": Q}
@@ -294,13 +295,15 @@ def knn_candidates(
     schema = T.StructType(
         [T.StructField("qid", qid_type), T.StructField("doc_id", vectors.schema["doc_id"].dataType), T.StructField("distance", T.DoubleType())]
     )
+    queries = queries.where(F.col("qid").isNotNull())
     nq = queries.count()
     if not nq or not dim:
         return spark.createDataFrame([], schema)
     per_query = (dim or 1) * 8 + (64 * 8 if query_probe_col else 0)
     chunks = max(1, math.ceil(nq * per_query / max_query_bytes))
     vcols = ["doc_id", "embedding"] + ([probe_col] if probe_col else [])
-    vec = vectors.select(*vcols)
+    # A null id names nothing that could be found; in a batch it would also turn whole numbers to floats.
+    vec = vectors.select(*vcols).where(F.col("doc_id").isNotNull())
     parts = []
     for c in range(chunks):
         qc = queries if chunks == 1 else queries.filter(F.pmod(F.xxhash64("qid"), F.lit(chunks)) == c)
