@@ -12,30 +12,35 @@ Encoders (D1):
 * ``model_encode``: any Python model over text batches, run with ``mapInPandas`` (the model
   is loaded once per task by the factory; batch size is an option).
 
-Exact k-NN (D4): the query matrix is size-checked and broadcast; every task streams its
-vectors in Arrow batches through a BLAS matmul and keeps a running top-k per query, so a task
-emits at most ``k * |queries|`` rows and no (query, vector) pair is ever a row. The global
-top-k is then a partitioned ``row_number`` over those candidates. Query sets above the
-broadcast budget are split into chunks by a hash of ``qid``, one pass per chunk.
+Exact k-NN (D4): queries and vectors are packed into blocks inside their own tasks and joined
+block by block; a task scores block pairs with a BLAS matmul and keeps a running top-k per query,
+so no (query, vector) pair is ever a row. The global top-k is then a partitioned ``row_number``
+over those candidates. No query passes through the driver's Python, and the vectors are read
+once however many queries there are.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import RANK_DECIMALS, rank_key, tokenize, with_term_frequencies
 from ..session import ship_package, spread
 from .ordering import top_k
 
 DEFAULT_DIM = 64
-# Largest query matrix (float64 bytes) shipped to every task in one pass.
+# Largest query matrix (float64 bytes) that is broadcast; beyond it blocks are joined by a shuffle.
 MAX_QUERY_MATRIX_BYTES = 64 * 1024 * 1024
 
 
@@ -135,7 +140,7 @@ def dimension(vectors: DataFrame, col: str = "embedding") -> int:
     """Dimension of the index: that of the first vectors stored (0 for an empty table).
 
     A few rows are read as they are; only if those are all null is the table searched. (A
-    filter on a computed vector column would be pushed into the encoder, see ``_running_topk_kernel``.)
+    filter on a computed vector column would be pushed into the encoder, see ``_packer``.)
     """
     some = [len(r[0]) for r in vectors.select(col).head(32) if r[0] is not None]
     return some[0] if some else int(vectors.agg(F.max(F.size(col))).first()[0] or 0)
@@ -152,23 +157,26 @@ def summary(vectors: DataFrame, metric: str = "l2sq", index_type: str = "exact")
 # ---- D4 ---------------------------------------------------------------------------------
 # Largest (rows x queries) distance block computed at once inside a task (float64 cells).
 MAX_BLOCK_CELLS = 4_000_000
+# Bytes of vectors in one packed block, of either side.
+BLOCK_BYTES = 512 * 1024
+# Query states a task keeps at once; the state used longest ago is emitted beyond that.
+MAX_STATE_ROWS = 2_000_000
 
-
-QUERY_TILE = 1024
 _PAIRS_AT_ONCE = 65_536
 
 
 class _TopK:
-    """Running top-k per query over (query index, doc id, distance) triples, kept as three
-    flat arrays sorted by (query, distance rounded to RANK_DECIMALS, doc id); ``kth`` is each
+    """Running top-k per query of one block over (query index, doc id, distance) triples, kept as
+    three flat arrays sorted by (query, distance rounded to RANK_DECIMALS, doc id); ``kth`` is each
     query's k-th distance so far. Ids are of any type that sorts."""
 
-    def __init__(self, k: int, n_queries: int):
-        self.k = k
+    def __init__(self, k: int, queries: np.ndarray, qids: pa.Array):
+        self.k, self.qids, self.Q = k, qids, queries
+        self.qn = (queries * queries).sum(axis=1)
         self.q = np.empty(0, dtype=np.int64)
         self.i: np.ndarray | None = None
         self.d = np.empty(0, dtype=np.float64)
-        self.kth = np.full(n_queries, np.inf)
+        self.kth = np.full(len(queries), np.inf)
 
     def merge(self, q: np.ndarray, i: np.ndarray, d: np.ndarray) -> None:
         aq, ad = np.concatenate([self.q, q]), np.concatenate([self.d, d])
@@ -182,101 +190,122 @@ class _TopK:
         full = pos[keep] == self.k - 1
         self.kth[self.q[full]] = self.d[full]
 
-
-def _block_candidates(D, dn, ids, Q, qn, qidx, k, top: _TopK) -> None:
-    """Score rows ``D`` against queries ``Q`` (global indices ``qidx``), a tile of queries and
-    a block of rows at a time.
-
-    Candidates come from the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` within a tolerance of
-    each query's k-th value, of the block or of all rows seen so far; their distances are then
-    recomputed exactly as ``sum((d - q)^2)`` and merged into ``top`` with the canonical order,
-    so float noise never decides a rank.
-    """
-    n = len(D)
-    for t in range(0, len(Q), QUERY_TILE):
-        Qt, qnt, qi = Q[t : t + QUERY_TILE], qn[t : t + QUERY_TILE], qidx[t : t + QUERY_TILE]
-        rows = max(1, MAX_BLOCK_CELLS // len(Qt))
-        for a in range(0, n, rows):
+    def add(self, D: np.ndarray, ids: np.ndarray, low: float, high: float) -> None:
+        """Score the vectors ``D``, whose norms lie between ``low`` and ``high``.
+
+        A query whose norm is further from that range than its k-th distance allows is skipped.
+        Candidates come from the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` within a tolerance of
+        each query's k-th value, of the block or of all rows seen so far; their distances are then
+        recomputed exactly as ``sum((d - q)^2)`` and merged in the canonical order, so float noise
+        never decides a rank.
+        """
+        norm = np.sqrt(self.qn)
+        gap = np.maximum(0.0, np.maximum(low - norm, norm - high))
+        qi = np.flatnonzero(gap * gap <= self.kth + 1e-9 * (1.0 + high * high + self.qn))
+        if not len(qi):
+            return
+        Q, qn, dn = self.Q[qi], self.qn[qi], (D * D).sum(axis=1)
+        rows = max(1, MAX_BLOCK_CELLS // len(qi))
+        for a in range(0, len(D), rows):
             Db, dnb, idb = D[a : a + rows], dn[a : a + rows], ids[a : a + rows]
-            approx = dnb[:, None] + qnt[None, :] - 2.0 * (Db @ Qt.T)
-            thr = np.partition(approx, k - 1, axis=0)[k - 1] if len(Db) > k else np.full(len(Qt), np.inf)
-            tol = 1e-9 * (1.0 + dnb.max() + qnt)
-            r, j = np.nonzero(approx <= (np.minimum(thr, top.kth[qi]) + tol)[None, :])
+            approx = dnb[:, None] + qn[None, :] - 2.0 * (Db @ Q.T)
+            thr = np.partition(approx, self.k - 1, axis=0)[self.k - 1] if len(Db) > self.k else np.full(len(Q), np.inf)
+            tol = 1e-9 * (1.0 + dnb.max() + qn)
+            r, j = np.nonzero(approx <= (np.minimum(thr, self.kth[qi]) + tol)[None, :])
             if not len(r):
                 continue
             exact = np.empty(len(r))
             for p in range(0, len(r), _PAIRS_AT_ONCE):
-                diff = Db[r[p : p + _PAIRS_AT_ONCE]] - Qt[j[p : p + _PAIRS_AT_ONCE]]
+                diff = Db[r[p : p + _PAIRS_AT_ONCE]] - Q[j[p : p + _PAIRS_AT_ONCE]]
                 exact[p : p + _PAIRS_AT_ONCE] = (diff * diff).sum(axis=1)
-            top.merge(qi[j], idb[r], exact)
+            self.merge(qi[j], idb[r], exact)
 
+    def rows(self, id_type: pa.DataType) -> pa.RecordBatch:
+        ids = pa.array(self.i.tolist(), pa.string()).cast(id_type) if self.i.dtype.kind == "U" else pa.array(self.i).cast(id_type)
+        return pa.RecordBatch.from_arrays([self.qids.take(pa.array(self.q)), ids, pa.array(self.d)], names=["qid", "doc_id", "distance"])
 
-def _running_topk_kernel(bc, k: int, id_field: str = "doc_id", probe_field: str | None = None):
-    """Per-task kernel: for each broadcast query, the k nearest vectors seen by this task.
 
-    Exact search scores every row against every query (in bounded blocks). IVF search
-    (``probe_field``) scores the rows of each cell only against the queries probing it.
-    """
+def _packer(dim: int, salts: int):
+    """Per-task packing of ``(id, embedding, cell)`` rows into blocks of one cell.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        payload = bc.value
-        qids, Q = payload["qids"], payload["Q"]
-        probes = payload.get("probes")
-        m = len(qids)
-        qn = (Q * Q).sum(axis=1)
-        dim = Q.shape[1] if m else 0
-        all_q = np.arange(m, dtype=np.int64)
-        by_cell: dict[int, np.ndarray] = {}
-        if probes is not None:
-            pairs = [(int(c), j) for j, cs in enumerate(probes) for c in cs]
-            for c in {c for c, _ in pairs}:
-                by_cell[c] = np.array([j for cc, j in pairs if cc == c], dtype=np.int64)
-        top = _TopK(k, m)
-        for pdf in batches:
-            # D6 inside the task: drop null vectors, wrong dimensions and null entries. (A
-            # DataFrame filter on a computed vector column would be pushed below the
-            # projections that compute it and re-evaluate the whole encoder.)
-            emb = pdf["embedding"].to_numpy()
-            ok = np.fromiter((e is not None and len(e) == dim for e in emb), dtype=bool, count=len(emb))
-            if not ok.any():
-                continue
-            D = np.stack(emb[ok]).astype(np.float64, copy=False)
-            finite = np.isfinite(D).all(axis=1)
-            D = D[finite]
-            pdf = pdf[ok][finite]
-            if len(pdf) == 0:
+    A block is one row ``(cell, salt, tag, ids, matrix, low, high)``: a digest of its ids and
+    vectors, the vectors as float64 bytes and the range of their norms. D6 happens here: null vectors, wrong dimensions, null or non-finite
+    entries and null ids are left out. (A DataFrame filter on a computed vector column would be
+    pushed below the projections that compute it and re-evaluate the whole encoder.)
+    """
+    block = max(1, BLOCK_BYTES // (8 * dim))
+
+    def row(cell: int, parts: list) -> pa.RecordBatch:
+        ids, m = pa.concat_arrays([i for i, _ in parts]), np.concatenate([x for _, x in parts])
+        norms, data = np.sqrt((m * m).sum(axis=1)), m.tobytes()
+        tag = hashlib.blake2b(repr(ids.to_pylist()).encode() + data, digest_size=16).digest()
+        one = [
+            pa.array([cell], pa.int32()), pa.array([zlib.crc32(tag) % salts], pa.int32()), pa.array([tag], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([data], pa.binary()),
+            pa.array([norms.min()]), pa.array([norms.max()]),
+        ]
+        return pa.RecordBatch.from_arrays(one, names=["cell", "salt", "tag", "ids", "matrix", "low", "high"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        count: dict[int, int] = {}
+        for b in batches:
+            v = b.column(1)
+            ok = pc.and_(pc.and_(v.is_valid(), b.column(0).is_valid()), pc.fill_null(pc.equal(pc.list_value_length(v), dim), False))
+            b = b.filter(pc.and_(ok, b.column(2).is_valid()))
+            if not b.num_rows:
                 continue
-            ids = pdf[id_field].to_numpy()
-            ids = ids.astype(str) if ids.dtype == object else ids
-            dn = (D * D).sum(axis=1)
-            if probes is None:
-                _block_candidates(D, dn, ids, Q, qn, all_q, k, top)
-            else:
-                cells = pdf[probe_field].to_numpy()
-                for c in np.unique(cells):
-                    qsel = by_cell.get(int(c))
-                    if qsel is None:
-                        continue
-                    rsel = cells == c
-                    _block_candidates(D[rsel], dn[rsel], ids[rsel], Q[qsel], qn[qsel], qsel, k, top)
-        if len(top.q):
-            yield pd.DataFrame({"qid": qids[top.q], "doc_id": top.i, "distance": top.d})
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)  # a null entry is NaN
+            finite = np.isfinite(x).all(axis=1)
+            x, b = x[finite], b.filter(pa.array(finite))
+            cells = b.column(2).to_numpy(zero_copy_only=False)
+            order = np.argsort(cells, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(cells[order])) + 1) if len(order) else []:
+                cell = int(cells[rows[0]])
+                for a in range(0, len(rows), block):
+                    some = rows[a : a + block]
+                    if count.get(cell, 0) + len(some) > block:
+                        yield row(cell, held.pop(cell))
+                        del count[cell]
+                    held.setdefault(cell, []).append((b.column(0).take(pa.array(some)), x[some]))
+                    count[cell] = count.get(cell, 0) + len(some)
+            while sum(count.values()) > 8 * block:
+                cell = max(count, key=count.get)
+                yield row(cell, held.pop(cell))
+                del count[cell]
+        for cell, parts in held.items():
+            yield row(cell, parts)
 
     return run
 
 
-def _collect_queries(queries: DataFrame, extra: str | None, dim: int) -> dict:
-    """The (size-checked) query chunk as a float64 matrix; invalid query vectors dropped."""
-    cols = ["qid", "embedding"] + ([extra] if extra else [])
-    pdf = queries.select(*cols).toPandas()
-    if len(pdf):
-        keep = pdf["embedding"].map(lambda e: e is not None and len(e) == dim and np.isfinite(np.asarray(e, dtype=float)).all())
-        pdf = pdf[keep.to_numpy()]
-    Q = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-    out = {"qids": pdf["qid"].to_numpy(), "Q": Q}
-    if extra:
-        out["probes"] = [np.asarray(x, dtype=np.int64) for x in pdf[extra]]
-    return out
+def _scorer(k: int, dim: int, id_type: pa.DataType):
+    """Per-task scoring of (query block, vector block) rows: the running top-k of each query block
+    met, emitted at the end or when more than ``MAX_STATE_ROWS`` results are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[bytes, _TopK] = {}
+        for b in batches:
+            tags, qids, qmat, ids, mat = (b.column(n) for n in ("tag", "qids", "qmatrix", "ids", "matrix"))
+            low, high = b.column("low").to_pylist(), b.column("high").to_pylist()
+            for r in range(b.num_rows):
+                key = tags[r].as_py()
+                top = states.pop(key, None)
+                if top is None:
+                    top = _TopK(k, np.frombuffer(qmat[r].as_buffer(), dtype=np.float64).reshape(-1, dim).copy(), qids[r].values)
+                states[key] = top  # last used comes last
+                names = ids[r].values.to_numpy(zero_copy_only=False)
+                names = names.astype(str) if names.dtype == object else names
+                top.add(np.frombuffer(mat[r].as_buffer(), dtype=np.float64).reshape(-1, dim), names, low[r], high[r])
+                while len(states) > 1 and sum(len(t.Q) for t in states.values()) * k > MAX_STATE_ROWS:
+                    old = states.pop(next(iter(states)))
+                    if len(old.q):
+                        yield old.rows(id_type)
+        for top in states.values():
+            if len(top.q):
+                yield top.rows(id_type)
+
+    return run
 
 
 def knn_candidates(
@@ -287,32 +316,43 @@ def knn_candidates(
     query_probe_col: str | None = None,
     max_query_bytes: int = MAX_QUERY_MATRIX_BYTES,
 ) -> DataFrame:
-    """Per-task top-k candidates ``(qid, doc_id, distance)`` (at most k per query per task)."""
+    """Candidates ``(qid, doc_id, distance)`` that hold the k nearest of every query: at most k for
+    each query and task. With ``probe_col`` (of the vectors) and ``query_probe_col`` (an array) a
+    vector is scored only for the queries that probe its cell.
+
+    Both sides are packed into blocks in their own tasks and joined block by block on (cell, salt).
+    Query blocks of at most ``max_query_bytes`` in all are broadcast and the vectors are not
+    shuffled; beyond that vector blocks are shuffled once over the salts, query blocks to each salt.
+    Either way the vectors are read once. Query ids are expected to be unique.
+    """
     spark = vectors.sparkSession
     ship_package(spark)
     dim = dimension(vectors)
-    qid_type = queries.schema["qid"].dataType
-    schema = T.StructType(
-        [T.StructField("qid", qid_type), T.StructField("doc_id", vectors.schema["doc_id"].dataType), T.StructField("distance", T.DoubleType())]
-    )
-    queries = queries.where(F.col("qid").isNotNull())
-    nq = queries.count()
-    if not nq or not dim:
+    qid_type, id_type = queries.schema["qid"].dataType, vectors.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("qid", qid_type), T.StructField("doc_id", id_type), T.StructField("distance", T.DoubleType())])
+    cell = F.lit(0) if probe_col is None else F.col(probe_col)
+    asked = F.lit(0) if query_probe_col is None else F.explode(query_probe_col)
+    n = queries.select(asked).count() if dim else 0  # a query counts for each cell it probes
+    if not n:
         return spark.createDataFrame([], schema)
-    per_query = (dim or 1) * 8 + (64 * 8 if query_probe_col else 0)
-    chunks = max(1, math.ceil(nq * per_query / max_query_bytes))
-    vcols = ["doc_id", "embedding"] + ([probe_col] if probe_col else [])
-    # A null id names nothing that could be found; in a batch it would also turn whole numbers to floats.
-    vec = vectors.select(*vcols).where(F.col("doc_id").isNotNull())
-    parts = []
-    for c in range(chunks):
-        qc = queries if chunks == 1 else queries.filter(F.pmod(F.xxhash64("qid"), F.lit(chunks)) == c)
-        bc = spark.sparkContext.broadcast(_collect_queries(qc, query_probe_col, dim))
-        parts.append(vec.mapInPandas(_running_topk_kernel(bc, k, "doc_id", probe_col), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    query_bytes = n * dim * 8
+    small = query_bytes <= max_query_bytes
+    salts = 1 if small else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = "cell int, salt int, tag binary, ids array<{}>, matrix binary, low double, high double"
+    vb = vectors.select("doc_id", "embedding", cell.cast("int").alias("cell"))
+    vb = vb.mapInArrow(_packer(dim, salts), packed.format(id_type.simpleString()))
+    parts = max(1, min(4096, math.ceil(query_bytes / BLOCK_BYTES)))
+    qb = queries.select("qid", "embedding", asked.alias("cell")).withColumn("cell", F.col("cell").cast("int")).repartition(parts, "cell", F.pmod(F.xxhash64("qid"), F.lit(parts)))
+    qb = qb.mapInArrow(_packer(dim, 1), packed.format(qid_type.simpleString()))
+    qb = qb.select("cell", "tag", F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
+    vb = vb.drop("tag")
+    if small:
+        pairs = vb.join(F.broadcast(qb), "cell")
+    else:
+        qb = qb.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        pairs = qb.hint("merge").join(vb, ["cell", "salt"])  # streams a query block past the salt's vector blocks
+    pairs = pairs.select("tag", "qids", "qmatrix", "ids", "matrix", "low", "high")
+    return pairs.mapInArrow(_scorer(k, dim, to_arrow_type(id_type)), schema)
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:

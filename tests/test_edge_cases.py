@@ -1,6 +1,7 @@
 """Small inputs on which rounding, types, empty batches or shared prefixes matter."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,17 +36,19 @@ def test_knn_with_string_ids_and_bad_query_vectors(spark):
     assert D.knn(vectors.limit(0), queries, k=2).count() == 0
 
 
-def test_knn_tiles_equal_plain_search(spark, monkeypatch):
-    monkeypatch.setattr(D, "QUERY_TILE", 7)
+def test_running_topk_equals_plain_search(spark, monkeypatch):
     monkeypatch.setattr(D, "MAX_BLOCK_CELLS", 40)
     rng = np.random.default_rng(0)
     rows, asks = rng.normal(size=(90, 4)), rng.normal(size=(25, 4))
-    top = D._TopK(3, 25)
+    top = D._TopK(3, asks, pa.array(range(25)))
     for a in range(0, 90, 30):
-        block = rows[a : a + 30]
-        D._block_candidates(block, (block**2).sum(1), np.arange(a, a + 30), asks, (asks**2).sum(1), np.arange(25), 3, top)
+        norms = np.linalg.norm(rows[a : a + 30], axis=1)
+        top.add(rows[a : a + 30], np.arange(a, a + 30), norms.min(), norms.max())
     want = np.argsort(((rows[None] - asks[:, None]) ** 2).sum(2), axis=1, kind="stable")[:, :3]
     assert (top.i.reshape(25, 3) == want).all()
+    far = top.i.copy()
+    top.add(np.full((5, 4), np.nan), np.arange(5), 1e6, 1e7)  # skipped by its norms, so never looked at
+    assert (top.i == far).all()
 
 
 def test_ivf_saved_and_loaded_reads_only_probed_cells(spark):

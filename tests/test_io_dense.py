@@ -1,6 +1,7 @@
 """Sources/sinks round trips, k-NN against brute force, IVF, corpus preparation."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,9 +68,11 @@ def test_knn_chunks_large_query_sets(spark):
     m, vec = _vecs(spark, 120, 4, 2)
     q = vec.withColumnRenamed("doc_id", "qid")
     one = D.knn_candidates(vec, q, 3)
-    many = D.knn_candidates(vec, q, 3, max_query_bytes=400)  # forces several query chunks
+    many = D.knn_candidates(vec, q, 3, max_query_bytes=400)  # blocks joined by a shuffle, not broadcast
     from sparkrank.operators.ordering import top_k
 
+    assert "SortMergeJoin" in many._jdf.queryExecution().toString() and "BroadcastHashJoin" in one._jdf.queryExecution().toString()
+
     key = lambda df: sorted((r.qid, r.doc_id) for r in top_k(df, 3, score="distance", ascending=True).collect())
     assert key(one) == key(many)
 
@@ -111,3 +114,40 @@ def test_covered_corpus_with_string_ids_uses_string_order(spark):
     qrels = spark.createDataFrame([("q", "zz", 1)], "qid string, doc_id string, rel int")
     cov = sorted(r.doc_id for r in P.covered_corpus(docs, qrels, target=4).collect())
     assert cov == sorted(sorted(ids)[:4] + ["zz"])
+
+
+def test_knn_small_blocks_states_and_id_types(spark, monkeypatch):
+    """Blocks of a few rows, hot salts, norms of any size, strings as ids: as by brute force."""
+    rng = np.random.default_rng(5)
+    m = np.concatenate([rng.normal(size=(150, 6)) * rng.uniform(0.1, 30, size=(150, 1)), np.ones((80, 6))])
+    rows = [(f"d{i:03d}", m[i].tolist()) for i in range(len(m))] + [(None, [0.0] * 6), ("short", [1.0]), ("gap", [1.0, None, 1.0, 1.0, 1.0, 1.0])]
+    vec = spark.createDataFrame(rows, "doc_id string, embedding array<double>")
+    qs = spark.createDataFrame([(i, m[i].tolist()) for i in range(0, 230, 3)] + [(999, None)], "qid long, embedding array<double>")
+    want = {}
+    for i in range(0, 230, 3):
+        d = ((m - m[i]) ** 2).sum(axis=1)
+        want[i] = [f"d{j:03d}" for j in sorted(range(len(d)), key=lambda j: (round(d[j], 9), j))[:4]]
+    for limit in (0, 1 << 20):
+        cand = D.knn_candidates(vec, qs, 4, max_query_bytes=limit)
+        got = {}
+        for r in D.top_k(cand, 4, score="distance", ascending=True).orderBy("qid", "rank").collect():
+            got.setdefault(r.qid, []).append(r.doc_id)
+        assert got == want
+    kernel = list(D._packer(6, 5)(iter([pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([0] * len(rows), pa.int32())], ["i", "e", "c"])])))
+    assert sum(len(b.column("ids")[0]) for b in kernel) == 230
+    monkeypatch.setattr(D, "BLOCK_BYTES", 6 * 8 * 7)  # seven rows a block
+    monkeypatch.setattr(D, "MAX_STATE_ROWS", 40)  # two query blocks at most are held
+    batch = lambda rows: [pa.record_batch([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([0] * len(rows), pa.int32())], ["i", "e", "c"])]
+    vb = list(D._packer(6, 5)(iter(batch(rows))))
+    qb = list(D._packer(6, 1)(iter(batch([(i, m[i].tolist()) for i in range(0, 230, 3)]))))
+    assert max(len(b.column("ids")[0]) for b in vb) == 7 and len({b.column("salt")[0].as_py() for b in vb}) > 1
+    pairs = [
+        pa.RecordBatch.from_arrays([q.column("tag"), q.column("ids"), q.column("matrix"), *(v.column(c) for c in ("ids", "matrix", "low", "high"))],
+                                   names=["tag", "qids", "qmatrix", "ids", "matrix", "low", "high"])
+        for v in vb for q in qb
+    ]
+    out = {}
+    for b in D._scorer(4, 6, pa.string())(iter(pairs)):
+        for q, i, d in zip(*(b.column(c).to_pylist() for c in ("qid", "doc_id", "distance"))):
+            out.setdefault(q, set()).add((round(d, 9), i))
+    assert {q: [i for _, i in sorted(x)[:4]] for q, x in out.items()} == want
