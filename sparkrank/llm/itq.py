@@ -17,13 +17,14 @@ projecting change angles, so how often code bits differ is measured on pairs at
 sampled vectors with partners made by noise and by differences of other vectors, and the sampled
 pairs there are. The number of rotations follows, so that the chance to meet is at least ``RECALL``
 over each kind of pairs and ``HARD_RECALL`` over its worst tenth; closer pairs meet more surely.
-Where that takes more than ``MAX_ROTATIONS`` and for up to ``BLOCK`` classes all pairs are
-compared, block by block. Recall is measured in the tests.
+Where that takes more than ``MAX_ROTATIONS``, segments are made narrower until it does not: buckets
+grow then, in the extreme (two bits) until all meet. Vectors are compared with those of their own
+dimension, each dimension with a quantiser and tables of its own. Recall is measured in the tests.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link with
-nothing, and so do those whose dimension is not the most frequent one; a vector's copies are its
-links; a null id never names a component unless it is alone; repeated rows count as vectors of
-their own; an empty table gives an empty result; other columns are ignored.
+nothing; a vector's copies are its links; a null id never names a component unless it is alone;
+repeated rows count as vectors of their own; an empty table gives an empty result; other columns
+are ignored. Dimensions are gone through one after the other, so there should be few.
 """
 
 from __future__ import annotations
@@ -46,7 +47,6 @@ HARD_RECALL = 0.93
 SAMPLE_VECTORS = 20_000
 MEASURED = 2_000
 MAX_ROTATIONS = 32
-BLOCK = 1_024
 STEPS = 50
 MAX_BITS = 64
 
@@ -107,47 +107,30 @@ def bit_rates(x: np.ndarray, mean: np.ndarray, turn: np.ndarray, cosine: float)
         kinds.append((np.concatenate(a), np.concatenate(b)))
     out = []
     for p, q in kinds:
+        if not len(p):  # one dimension has no other directions
+            continue
         u, v = (p - mean) @ turn, (q - mean) @ turn
         size = np.linalg.norm(u, axis=1) * np.linalg.norm(v, axis=1)
         angle = np.arccos(np.clip((u * v).sum(axis=1) / np.where(size > 0, size, 1.0), -1, 1)) / math.pi
         differ = ((u >= 0) != (v >= 0)).mean()
-        if len(angle):
-            out.append(np.clip(angle * max(1.0, differ / max(angle.mean(), 1e-9)), 0.0, 0.5))
+        out.append(np.clip(angle * max(1.0, differ / max(angle.mean(), 1e-9)), 0.0, 0.5))
     return out
 
 
 def plan_tables(classes: int, bits: int, rates: list[np.ndarray]) -> tuple[int, int]:
     """``(segment width, rotations)`` for so many classes and the measured chances of bits to differ."""
-    width = min(bits, 32, max(16, math.ceil(math.log2(max(2, classes))) + 2))
-    own = max(1, bits // width)
-    for rotations in range(1, MAX_ROTATIONS + 1):
-        for p in rates:
-            meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
-            recall = np.sort(1 - (1 - meet) ** (own * rotations))
-            if recall.mean() < RECALL or recall[: max(1, len(recall) // 10)].mean() < HARD_RECALL:
-                break
-        else:
-            return width, rotations
-    return width, MAX_ROTATIONS + 1
-
-
-def all_pairs(classes: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
-    """``(a, b)``, ``a < b``: classes at about ``cosine`` or above, by comparing all with all."""
-    blocks = max(1, math.ceil(n / BLOCK))
-
-    def compare(key, t):
-        cid, own = t["cid"].to_numpy(), t["own"].to_numpy()
-        x = unit_rows(t["vector"].combine_chunks(), dim)
-        i, j = own == key[0].as_py(), own == key[1].as_py()
-        p, q = np.nonzero(x[i] @ x[j].T >= cosine - 1e-9)
-        a, b = cid[i][p], cid[j][q]
-        keep = a < b if key[0] == key[1] else a != b
-        return pa.table({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
-
-    dealt = classes.select("cid", "vector", F.pmod(F.xxhash64("cid"), F.lit(blocks)).alias("own"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = dealt.select("cid", "vector", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return dealt.groupBy("i", "j").applyInArrow(compare, "a bigint, b bigint")
+    widest = min(bits, 32, max(8, math.ceil(math.log2(max(2, classes))) + 2))
+    for width in range(widest, 0, -1):
+        own = max(1, bits // width)
+        for rotations in range(1, MAX_ROTATIONS + 1):
+            for p in rates:
+                meet = sum(math.comb(width, k) * p**k * (1 - p) ** (width - k) for k in range(3))
+                recall = np.sort(1 - (1 - meet) ** (own * rotations))
+                if recall.mean() < RECALL or recall[: max(1, len(recall) // 10)].mean() < HARD_RECALL:
+                    break
+            else:
+                return width, rotations
+    raise AssertionError("codes of up to two bits always meet")
 
 
 def _encoder(dim: int, mean: np.ndarray, turns: list[np.ndarray]):
@@ -165,23 +148,40 @@ def _encoder(dim: int, mean: np.ndarray, turns: list[np.ndarray]):
 
 
 def candidates(coded: DataFrame, width: int, bits: int, rotations: int, p: float) -> DataFrame:
-    """``(a, b)``, ``a < b``: classes whose codes meet; ``coded`` has ``cid`` and ``codes``; ``p``: highest chance of a bit to differ."""
-    segment = "struct({t} as t, shiftrightunsigned(codes[{r}], {s}) & {m}L as seg)"
+    """``(a, b)``, ``a < b``: classes whose codes meet; ``coded`` has ``cid`` and ``codes``; ``p``: highest chance of a bit to differ.
+
+    A stored point carries the code of its own rotation only, which the distance check is made on.
+    """
+    segment = "struct({t} as t, codes[{r}] as code, shiftrightunsigned(codes[{r}], {s}) & {m}L as seg)"
     own = [(r, s) for r in range(rotations) for s in range(bits // width)]
     cells = ", ".join(segment.format(t=t, r=r, s=s * width, m=(1 << width) - 1) for t, (r, s) in enumerate(own))
     flips = f"concat(array(c.seg), transform(sequence(0, {width - 1}), i -> c.seg ^ shiftleft(1L, i)))"
-    stored = coded.select("cid", "codes", F.explode(F.expr(f"array({cells})")).alias("c"))
-    stored = stored.select("cid", "codes", "c.t", "c.seg", F.explode(F.expr(flips)).alias("at"))
-    total = bits * rotations
-    far = min(total, math.ceil(total * p + 5 * math.sqrt(total * p * (1 - p)) * math.sqrt(rotations)))
-    distance = " + ".join(f"bit_count(x.codes[{r}] ^ y.codes[{r}])" for r in range(rotations))
+    stored = coded.select("cid", F.explode(F.expr(f"array({cells})")).alias("c"))
+    stored = stored.select("cid", "c.t", "c.code", "c.seg", F.explode(F.expr(flips)).alias("at"))
+    far = min(bits, math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p))))
     gap = "(x.seg ^ y.seg)"
     once = f"""case bit_count({gap}) when 0 then x.at = x.seg when 1 then x.at = least(x.seg, y.seg)
         else x.at = least(x.seg ^ ({gap} & -{gap}), x.seg ^ ({gap} ^ ({gap} & -{gap}))) end"""
-    met = stored.alias("x").join(stored.alias("y"), F.expr(f"x.t = y.t and x.at = y.at and x.cid < y.cid and {distance} <= {far} and {once}"))
+    met = stored.alias("x").join(stored.alias("y"), F.expr(f"x.t = y.t and x.at = y.at and x.cid < y.cid and bit_count(x.code ^ y.code) <= {far} and {once}"))
     return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
 
 
+def _pairs(classes: DataFrame, dim: int, n: int, cosine: float, sample: int) -> DataFrame:
+    """Candidate pairs of the ``n`` classes of one dimension."""
+    bits = min(MAX_BITS, dim)
+    h = F.shiftrightunsigned(F.xxhash64("key"), 1) / F.lit(float(1 << 63))  # in [0, 1]
+    picked = classes.where(h <= sample / n).select("key", "vector").orderBy("key").toArrow()
+    if picked.num_rows < 2:
+        picked = classes.select("key", "vector").orderBy("key").limit(2).toArrow()
+    x = unit_rows(picked["vector"].combine_chunks(), dim)
+    mean, turns = learn(x, 1)
+    rates = bit_rates(x, mean, turns[0], cosine)
+    width, rotations = plan_tables(n, bits, rates)
+    mean, turns = learn(x, rotations)
+    coded = cut(classes.select("cid", _encoder(dim, mean, turns)("vector").alias("codes")), "vector-codes")
+    return candidates(coded, width, bits, rotations, max((float(p.max()) for p in rates), default=0.0))
+
+
 def near_duplicates(
     rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = MIN_COSINE, sample: int = SAMPLE_VECTORS
 ) -> DataFrame:
@@ -191,35 +191,15 @@ def near_duplicates(
     given = rows.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("vector"))
     kinds = {f.name: f.dataType.simpleString() for f in given.schema.fields}
     keyed = cut(given.mapInArrow(_digests, f"vec_id {kinds['vec_id']}, vector {kinds['vector']}, key binary, dim int"), "vectors")
-    usual = keyed.where("dim is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    plain = [F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")]
-    if usual is None:
-        return keyed.select("vec_id", *plain)
-    dim = usual["dim"]
     classes = (
-        keyed.where(F.col("dim") == dim).groupBy("key")
+        keyed.where("dim is not null").groupBy("dim", "key")
         .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"), F.first("vector").alias("vector"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
     classes = cut(classes, "vector-classes")
-    n = classes.count()
-    bits = min(MAX_BITS, dim)
-    share = int(min(1.0, sample / n) * 1_000_000)
-    picked = classes.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < max(share, 1)).select("key", "vector").orderBy("key").toArrow()
-    if not picked.num_rows:
-        picked = classes.select("key", "vector").orderBy("key").limit(1).toArrow()
-    x = unit_rows(picked["vector"].combine_chunks(), dim)
-    width, rotations, rates = 0, MAX_ROTATIONS + 1, []
-    if n > BLOCK:
-        mean, turns = learn(x, 1)
-        rates = bit_rates(x, mean, turns[0], cosine)
-        width, rotations = plan_tables(n, bits, rates)
-    if rotations > MAX_ROTATIONS:
-        pairs = all_pairs(classes, dim, n, cosine)
-    else:
-        mean, turns = learn(x, rotations)
-        coded = cut(classes.select("cid", _encoder(dim, mean, turns)("vector").alias("codes")), "vector-codes")
-        pairs = candidates(coded, width, bits, rotations, max(float(p.max()) for p in rates))
+    pairs = spark.createDataFrame([], "a bigint, b bigint")
+    for r in classes.groupBy("dim").count().where("count > 1").orderBy("dim").collect():  # one row a dimension
+        pairs = pairs.unionByName(_pairs(classes.where(F.col("dim") == r["dim"]), r["dim"], r["count"], cosine, sample))
     side = classes.select("cid", F.transform("vector", lambda c: c.cast("double")).alias("v"))
     side = side.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)))
     x, y = (side.select(F.col("cid").alias(k), F.col("v").alias(f"v{k}"), F.col("norm").alias(f"norm{k}")) for k in "ab")

@@ -50,7 +50,8 @@ def test_recall_on_pairs_at_the_threshold(spark):
     assert recall >= 0.93
 
 
-def test_query_finds_all_links(spark):
+def test_query_gives_every_row_no_wrong_link(spark):
+    """The given vectors hold no pair at the cosine, so this says nothing about recall."""
     sf = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     want, _ = brute(rows)
@@ -87,3 +88,31 @@ def test_recall_with_a_common_direction(spark, dim, share):
     rows = list(enumerate(np.concatenate([base, c * base + np.sqrt(1 - c**2) * side]).tolist()))
     _, _, recall = check(spark, rows)
     assert recall >= 0.93
+
+
+def test_every_dimension_is_linked(spark):
+    """Minor dimensions are compared too, and only with themselves."""
+    rng = np.random.default_rng(7)
+    rows, at = [], 0
+    for dim, n in ((64, 300), (16, 120), (3, 40), (2, 30), (1, 4)):
+        for v in rng.normal(size=(n, dim)):
+            rows.append((at, v.tolist()))
+            rows.append((at + 1, (v + 0.05 * np.linalg.norm(v) * rng.normal(size=dim) / np.sqrt(dim)).tolist()))
+            at += 2
+    by_dim = {}
+    for i, v in rows:
+        by_dim.setdefault(len(v), []).append((i, v))
+    got = {r.vec_id: r for r in I.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    for some in by_dim.values():
+        want, links = brute(some)
+        found = sum(got[i].n_links for i, _ in some) / 2
+        assert links and 0.95 * links <= found <= links
+        assert all(got[i].n_links <= n and got[i].component_id >= c for i, n, c in want)
+
+
+def test_plan_narrows_segments_instead_of_comparing_all():
+    hard = [np.full(100, 0.45)]
+    width, rotations = I.plan_tables(100_000, 64, hard)
+    assert width < 19 and rotations <= I.MAX_ROTATIONS
+    assert I.plan_tables(2, 1, [np.full(10, 0.5)]) == (1, 1)
