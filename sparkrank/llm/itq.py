@@ -49,6 +49,8 @@ MEASURED = 2_000
 MAX_ROTATIONS = 32
 STEPS = 50
 MAX_BITS = 64
+#: Codes a stored point carries for the distance check, however many rotations there are.
+CARRIED = 4
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,19 +152,24 @@ def _encoder(dim: int, mean: np.ndarray, turns: list[np.ndarray]):
 def candidates(coded: DataFrame, width: int, bits: int, rotations: int, p: float) -> DataFrame:
     """``(a, b)``, ``a < b``: classes whose codes meet; ``coded`` has ``cid`` and ``codes``; ``p``: highest chance of a bit to differ.
 
-    A stored point carries the code of its own rotation only, which the distance check is made on.
+    A stored point carries the codes of its own and the next rotations, ``CARRIED`` at most; the
+    distance check is made on those.
     """
-    segment = "struct({t} as t, codes[{r}] as code, shiftrightunsigned(codes[{r}], {s}) & {m}L as seg)"
+    carried = min(CARRIED, rotations)
+    codes = lambda r: ", ".join(f"codes[{(r + i) % rotations}] as c{i}" for i in range(carried))
+    segment = "struct({t} as t, {codes}, shiftrightunsigned(codes[{r}], {s}) & {m}L as seg)"
     own = [(r, s) for r in range(rotations) for s in range(bits // width)]
-    cells = ", ".join(segment.format(t=t, r=r, s=s * width, m=(1 << width) - 1) for t, (r, s) in enumerate(own))
+    cells = ", ".join(segment.format(t=t, r=r, codes=codes(r), s=s * width, m=(1 << width) - 1) for t, (r, s) in enumerate(own))
     flips = f"concat(array(c.seg), transform(sequence(0, {width - 1}), i -> c.seg ^ shiftleft(1L, i)))"
     stored = coded.select("cid", F.explode(F.expr(f"array({cells})")).alias("c"))
-    stored = stored.select("cid", "c.t", "c.code", "c.seg", F.explode(F.expr(flips)).alias("at"))
-    far = min(bits, math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p))))
+    stored = stored.select("cid", "c.t", *(f"c.c{i}" for i in range(carried)), "c.seg", F.explode(F.expr(flips)).alias("at"))
+    total = bits * carried
+    far = min(total, math.ceil(total * p + 5 * math.sqrt(total * p * (1 - p)) * math.sqrt(carried)))
+    distance = " + ".join(f"bit_count(x.c{i} ^ y.c{i})" for i in range(carried))
     gap = "(x.seg ^ y.seg)"
     once = f"""case bit_count({gap}) when 0 then x.at = x.seg when 1 then x.at = least(x.seg, y.seg)
         else x.at = least(x.seg ^ ({gap} & -{gap}), x.seg ^ ({gap} ^ ({gap} & -{gap}))) end"""
-    met = stored.alias("x").join(stored.alias("y"), F.expr(f"x.t = y.t and x.at = y.at and x.cid < y.cid and bit_count(x.code ^ y.code) <= {far} and {once}"))
+    met = stored.alias("x").join(stored.alias("y"), F.expr(f"x.t = y.t and x.at = y.at and x.cid < y.cid and {distance} <= {far} and {once}"))
     return met.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b")).distinct()
 
 
