@@ -23,7 +23,7 @@ from ..sources import collections as C
 from ..sources import files as FS
 from ..sources import index_store as IS
 from ..sources.segment_store import SegmentStore
-from ..streaming.indexing import stream_index, stream_search, stream_segments
+from ..streaming.indexing import stream_index, stream_responses, stream_search, stream_segments
 from . import search as S
 from . import experiments as X
 from . import oracle as O
@@ -316,13 +316,15 @@ def q_selective_build(spark, sf):
 
 
 def q_search_response(spark, sf):
-    """The nested response (three lists with snippets, disagreements), one row per entry.
-
-    A list without entries is one row of rank 0, so empty lists are compared too.
-    """
+    """The nested response (three lists with snippets, disagreements), one row per entry."""
     corpus = C.corpus(spark, sf)
     built = S.build(corpus)
     resp, _ = S.search_response(C.queries(spark, sf), corpus, built.lexical, built.vectors, k=TOPK)
+    return response_rows(resp)
+
+
+def response_rows(resp: DataFrame) -> DataFrame:
+    """One row per entry; a list without entries is one row of rank 0, so empty lists are compared too."""
     parts = [
         resp.select("qid", F.lit(name).alias("list"), F.posexplode_outer(f"{name}_results").alias("pos", "e")).select(
             "qid",
@@ -410,6 +412,20 @@ def q_stream_search(spark, sf):
     return shown(found, "score")
 
 
+def q_stream_responses(spark, sf):
+    """R2: queries arrive as files, each batch is answered in full against the newest version of a
+    segmented index and a saved vector table; one row per entry, as ``search_response``."""
+    base = scratch_path(spark, "stream-responses")
+    C.queries(spark, sf).repartition(2).write.parquet(f"{base}/in")
+    SegmentStore.create(spark, f"{base}/index").add(C.corpus(spark, sf))
+    IS.save_vectors(D.hash_encode(C.corpus(spark, sf), "doc_id"), f"{base}/vectors")
+    found, _ = stream_responses(
+        spark, f"{base}/index", lambda: C.corpus(spark, sf), lambda: IS.load_vectors(spark, f"{base}/vectors"),
+        f"{base}/in", "qid bigint, text string", f"{base}/out", f"{base}/ckpt", k=TOPK, files_per_batch=1,
+    )
+    return response_rows(found)
+
+
 # ---- oracle ------------------------------------------------------------------------------
 def _sql_runs(depth: int = DEPTH, alpha: float = 0.5, method: str = "rrf") -> list[str]:
     return [O.LEX, O.QUERIES, O.bm25_run("bm25_r", depth), O.hash_dense_run("dense_r", depth), O.fuse("hyb_r", "bm25_r", "dense_r", alpha, depth, method), O.TEXT_QRELS]
@@ -695,4 +711,6 @@ QUERIES = {
     "segment_topk": q_segment_topk,
     "segment_updates": q_segment_updates,
     "stream_segments": q_stream_segments,
+    "stream_responses": q_stream_responses,
 }
+ORACLE["stream_responses"] = ORACLE["search_response"]

@@ -11,14 +11,19 @@ The reference has no streams; these keep an index and answer queries as files ar
 * ``stream_search`` (R2): each micro-batch of queries is answered against a static index and
   appended to a ``batch_id``-partitioned result table (idempotent the same way). Ranking uses a
   partitioned window, which is why it runs in ``foreachBatch`` (a stream cannot host it).
+* ``stream_responses`` (R2): the whole search response (X7) of each micro-batch, against the
+  version of a segmented index that is newest when the batch starts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.search import search_response
 from ..session import broadcast_if_small
 from ..sources.segment_store import SegmentStore
 from ..operators.lexical import DEFAULT_B, DEFAULT_K1, LexicalIndex, build_postings, corpus_stats_of, one_text_per_id, term_stats_of
@@ -161,3 +166,56 @@ def stream_segments(spark: SparkSession, source: str, schema: str, path: str, ch
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
     rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return SegmentStore.open(spark, path)
+
+
+RESPONSE_SCHEMA = """qid {qid}, query string,
+bm25_results array<struct<doc_id {doc}, score double, rank int, snippet string>>,
+dense_results array<struct<doc_id {doc}, score double, rank int, snippet string>>,
+hybrid_results array<struct<doc_id {doc}, score double, rank int, snippet string>>,
+disagreements array<struct<type string, docs string, description string>>"""
+
+
+def stream_responses(
+    spark: SparkSession,
+    index_path: str,
+    corpus: Callable[[], DataFrame],
+    vectors: Callable[[], DataFrame],
+    source: str,
+    schema: str,
+    out_path: str,
+    checkpoint: str,
+    k: int = 10,
+    alpha: float = 0.5,
+    method: str = "rrf",
+    fmt: str = "parquet",
+    files_per_batch: int = FILES_PER_BATCH,
+) -> tuple[DataFrame, DataFrame]:
+    """R2: answer every query file under ``source`` in full (``plans.search.search_response``);
+    returns the tables ``(responses, rejected)`` below ``out_path``.
+
+    Each batch opens the newest version of the index at ``index_path`` and calls ``corpus`` and
+    ``vectors``, so documents added between batches are found by later ones, and one batch sees one
+    version. A batch writes its rejected queries, then its responses, each into its own partition
+    by overwriting it: a replayed batch replaces its output and writes nothing twice.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], schema).schema.fields}
+    doc = {f.name: f.dataType.simpleString() for f in corpus().schema.fields}["doc_id"]
+    tables = {"responses": RESPONSE_SCHEMA.format(qid=kinds["qid"], doc=doc), "rejected": f"qid {kinds['qid']}, reason string"}
+    base = out_path.rstrip("/")
+
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        store = SegmentStore.open(batch.sparkSession, index_path)
+        found, rejected = search_response(batch.select("qid", "text"), corpus(), store, vectors(), k=k, alpha=alpha, method=method)
+        _write_batch(rejected, f"{base}/rejected", batch_id)
+        _write_batch(found, f"{base}/responses", batch_id)
+
+    rows = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_batch).load(source)
+    rows.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+    def read(name: str) -> DataFrame:
+        full = f"{tables[name]}, batch_id bigint"
+        path = f"{base}/{name}"
+        table = spark.read.schema(full).parquet(path) if _exists(spark, path) else spark.createDataFrame([], full)
+        return table.drop("batch_id")
+
+    return read("responses"), read("rejected")

@@ -3,7 +3,10 @@
 from sparkrank.operators.lexical import LexicalIndex
 from sparkrank.session import scratch_path
 from sparkrank.sources import collections as C
-from sparkrank.streaming.indexing import stream_index, stream_search
+from sparkrank.operators import dense as D
+from sparkrank.plans import search as S
+from sparkrank.sources.segment_store import SegmentStore
+from sparkrank.streaming.indexing import stream_index, stream_responses, stream_search
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,3 +37,34 @@ def test_stream_search_equals_batch(spark):
     idx = LexicalIndex.build(C.corpus(spark, SF))
     out = stream_search(spark, idx, f"{base}/in", "qid bigint, text string", f"{base}/out", f"{base}/ck", k=10)
     assert rows(out) == rows(idx.search(C.queries(spark, SF), k=10))
+
+
+def test_stream_responses_rejects_replays_and_sees_new_versions(spark):
+    base = scratch_path(spark, "t-sresp")
+    docs = [(1, "red fox runs"), (2, "blue whale swims"), (3, "red whale")]
+    corpus = lambda: spark.createDataFrame(now, "doc_id long, text string")
+    ask = lambda rows: spark.createDataFrame(rows, "qid long, text string").coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    def answer():
+        vectors = lambda: D.hash_encode(corpus(), "doc_id")
+        return stream_responses(spark, f"{base}/index", corpus, vectors, f"{base}/in", "qid long, text string", f"{base}/out", f"{base}/ck", k=2)
+
+    def batch(rows):
+        store = SegmentStore.open(spark, f"{base}/index")
+        return S.search_response(spark.createDataFrame(rows, "qid long, text string"), corpus(), store, D.hash_encode(corpus(), "doc_id"), k=2)
+
+    taken = lambda t: sorted(map(str, t.collect()))
+    now = docs[:2]
+    SegmentStore.create(spark, f"{base}/index").add(corpus())
+    ask([(10, "red whale"), (11, "  "), (12, None)])
+    found, rejected = answer()
+    first = [taken(t) for t in batch([(10, "red whale"), (11, "  "), (12, None)])]
+    assert [taken(found), taken(rejected)] == first and [r.qid for r in found.collect()] == [10]
+    now = docs
+    SegmentStore.open(spark, f"{base}/index").add(corpus())  # known ids are rejected, the third document is new
+    ask([(20, "red whale")])
+    found, rejected = answer()
+    assert taken(rejected) == first[1]
+    assert taken(found.where("qid = 10")) == first[0]  # answered once, by the version of its batch
+    assert taken(found.where("qid = 20")) == taken(batch([(20, "red whale")])[0])
+    assert 3 in [e.doc_id for e in found.where("qid = 20").first().bm25_results]
