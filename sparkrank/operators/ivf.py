@@ -1,13 +1,14 @@
 """Approximate k-NN with an inverted-file (IVF) index (D5), the Spark re-aim of HNSW.
 
-Build: MLlib ``KMeans`` learns ``nlist`` centroids over the vectors (an iterative job over the
-whole table); every vector gets its nearest centroid as ``cell_id``. Saved with
-``partitionBy("cell_id")``, so a search reads only the probed cells' directories.
-
-Search: each query's ``nprobe`` nearest centroids are found on the size-checked query batch
-(centroids are ``nlist x dim``, bounded by construction); the vector scan is restricted to the
-union of probed cells (partition pruning when loaded from disk) and the same running top-k
-kernel as exact search scores a vector only for the queries that probe its cell. With
+Build: MLlib ``KMeans`` learns ``nlist`` centroids on about ``SAMPLE_PER_CELL`` vectors a cell,
+picked by a hash of their ids; every vector gets its nearest centroid as ``cell_id``. Saved with
+``partitionBy("cell_id")``, a cell's vectors in as many files as their number asks for, so a
+search reads only the probed cells' directories and a large cell is not one task's work.
+
+Search: each query's ``nprobe`` nearest centroids are found in its own batch (centroids are
+``nlist x dim``, bounded by construction); the vector scan is restricted to the union of probed
+cells (partition pruning when loaded from disk), blocks of vectors are joined with the query
+blocks of their cell, and the same running top-k as in exact search scores them. With
 ``nprobe = nlist`` the result equals exact search.
 """
 
@@ -26,6 +27,12 @@ from ..session import ship_package
 from . import dense as D
 from .ordering import top_k
 
+#: Vectors the centroids are learned on, for each cell; all vectors are indexed.
+SAMPLE_PER_CELL = 64
+#: Vectors of one cell that one task writes, about.
+ROWS_PER_FILE = 500_000
+
+
 @dataclass
 class IVFIndex:
     vectors: DataFrame  # doc_id, embedding, cell_id
@@ -43,10 +50,13 @@ class IVFIndex:
         from pyspark.ml.functions import array_to_vector
 
         good = D.valid_vectors(vectors, D.dimension(vectors))
-        if nlist is None:
-            nlist = max(1, math.isqrt(good.count()))
+        n = good.count()
+        nlist = nlist or max(1, math.isqrt(n))
         feats = good.select("doc_id", "embedding", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-        model = KMeans(k=max(2, nlist), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cell_id").fit(feats)
+        model = KMeans(k=max(2, nlist), maxIter=max_iter, seed=seed, featuresCol="features", predictionCol="cell_id")
+        share = SAMPLE_PER_CELL * max(2, nlist) / max(1, n)
+        some = feats if share >= 1 else feats.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1) / F.lit(float(1 << 63)) < share)
+        model = model.fit(some)
         cells = model.transform(feats).select("doc_id", "embedding", F.col("cell_id").cast("int").alias("cell_id"))
         return cls(cells, np.asarray(model.clusterCenters(), dtype=np.float64))
 
@@ -54,7 +64,9 @@ class IVFIndex:
         """Vectors partitioned by cell, and the centroids, below ``path``."""
         base = path.rstrip("/")
         spark = self.vectors.sparkSession
-        self.vectors.repartition("cell_id").write.partitionBy("cell_id").parquet(f"{base}/vectors")
+        size = self.vectors.groupBy("cell_id").agg(F.ceil(F.count("*") / ROWS_PER_FILE).alias("__files"))  # nlist rows
+        dealt = self.vectors.join(F.broadcast(size), "cell_id").withColumn("__file", F.pmod(F.xxhash64("doc_id"), F.col("__files")))
+        dealt.repartition("cell_id", "__file").drop("__files", "__file").write.partitionBy("cell_id").parquet(f"{base}/vectors")
         rows = [(i, c.tolist()) for i, c in enumerate(self.centroids)]
         spark.createDataFrame(rows, "cell_id int, centroid array<double>").coalesce(1).write.parquet(f"{base}/centroids")
 

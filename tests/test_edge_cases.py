@@ -115,3 +115,26 @@ def test_response_lists_are_empty_not_null(spark):
     got = {r.qid: r for r in resp.collect()}
     assert sorted(got) == [1, 2] and got[1].bm25_results == [] and len(got[1].dense_results) == 2
     assert [e.doc_id for e in got[2].bm25_results] == [1] and [r.qid for r in rejected.collect()] == [3]
+
+
+def test_ivf_recall_on_clustered_vectors_with_few_cells_read(spark, monkeypatch):
+    """Centroids learned on a sample; a tenth of the cells gives nine neighbours in ten."""
+    from sparkrank.operators import ivf
+
+    monkeypatch.setattr(ivf, "SAMPLE_PER_CELL", 20)
+    monkeypatch.setattr(ivf, "ROWS_PER_FILE", 50)
+    rng = np.random.default_rng(11)
+    m = rng.normal(size=(40, 16))[rng.integers(0, 40, 4000)] + 0.15 * rng.normal(size=(4000, 16))
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(m.tolist())], "doc_id long, embedding array<double>")
+    queries = vectors.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "qid")
+    path = scratch_path(spark, "t-ivf-recall")
+    IVFIndex.build(vectors).save(path)
+    index = IVFIndex.load(spark, path)
+    assert index.vectors.count() == 4000
+    nprobe = index.nlist // 10
+    found = {(r.qid, r.doc_id) for r in index.search(queries, 10, nprobe=nprobe).collect()}
+    exact = {(r.qid, r.doc_id) for r in D.knn(vectors, queries, 10).collect()}
+    assert len(exact) == 800 and len(found & exact) >= 720
+    sizes = {r.cell_id: r["count"] for r in index.vectors.groupBy("cell_id").count().collect()}
+    scored = [sum(sizes.get(c, 0) for c in r.probes) for r in index.probes(queries, nprobe).collect()]
+    assert np.mean(scored) <= 0.2 * 4000
