@@ -17,9 +17,11 @@ encoded and written by the task that holds them: nothing passes the driver but t
 bounds. A task writes under a name of its own attempt and then moves the file into place, so a
 retried or duplicated task leaves one whole file with the same bytes.
 
-Encoding: the pre-tokenizer never joins across white space, so a text's ids are those of its
-white-space-separated pieces; each distinct piece is encoded once and remembered, up to
-``CACHE_PIECES`` pieces per generation and worker. A tokenizer with another pre-tokenizer is given whole texts.
+Encoding: where the tokenizer's file says that it lower-cases and splits words as ``PIECEWISE``
+does, no token joins across white space, so a text's ids are those of its white-space-separated
+pieces; each distinct piece is encoded once and remembered, up to ``CACHE_PIECES`` pieces per
+generation and worker. Every other tokenizer is given whole texts. Ids take as many bytes as the
+file's largest id needs.
 
 Edge cases: a null or empty text is a record of the end id alone; null ids come first; repeated
 rows are records of their own; an empty table gives an empty index and no record; a damaged or
@@ -28,6 +30,7 @@ truncated record raises; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -44,6 +47,17 @@ from ..session import scratch_path
 from .common import id_frame, prepare, table
 
 CACHE_PIECES = 250_000
+# The normaliser and pre-tokenizer under which pieces give the ids of whole texts.
+PIECEWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 READ_BYTES = 8 << 20
 _BATCH_BYTES = 2 << 20
 _MASK = 0xA282EAD8
@@ -78,8 +92,25 @@ def _file_system(uri: str):
     return FileSystem.from_uri(re.sub("^file:/+", "file:///", uri) if uri.startswith("file:") else uri)
 
 
+def piecewise(spec: dict) -> bool:
+    """Whether the tokenizer of this file's content gives a text the ids of its pieces."""
+    marked = all("<|" in t["content"] for t in spec["added_tokens"])  # texts with this mark are given whole
+    return marked and all(spec.get(k) == v for k, v in PIECEWISE.items())
+
+
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def largest_id(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+
+
 class PieceEncoder:
-    """Ids of whole texts as packed bytes, by way of their distinct pieces."""
+    """Ids of whole texts as packed bytes, by way of their distinct pieces where that is the same."""
 
     def __init__(self, path: str, width: int, by_piece: bool):
         import os
@@ -89,7 +120,7 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
-        self.kind, self.by_piece = f"<u{width}", by_piece
+        self.kind, self.by_piece = f"<u{width}", by_piece and piecewise(_spec(path))
         # Pieces of this and of the previous generation: what is used again moves up.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -170,7 +201,13 @@ def _writer(root: str, tokenizer: str, end_id: int, width: int, by_piece: bool,
                     out.write(record)
                     offset, before = offset + len(record), before + n
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*index), kinds)], names=names)
-        fs.move(own, f"{base}/part-{part:05d}.rec")
+        try:
+            fs.move(own, f"{base}/part-{part:05d}.rec")
+        except OSError:
+            # Some file systems refuse to replace the file of an earlier attempt, which has the same bytes.
+            if fs.get_file_info(f"{base}/part-{part:05d}.rec").size != offset:
+                raise
+            fs.delete_file(own)
 
     return run
 
@@ -182,15 +219,19 @@ def write_records(
     end_id: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = 1 << 16,
+    vocabulary: int | None = None,
     by_piece: bool = True,
 ) -> None:
-    """Encode, frame and write ``docs`` below ``root``, and the index below ``root``/index."""
+    """Encode, frame and write ``docs`` below ``root``, and the index below ``root``/index.
+
+    ``vocabulary`` is one more than the largest id, read from the tokenizer's file if not given;
+    ``by_piece=False`` has every text encoded whole.
+    """
     spark = docs.sparkSession
     prepare(spark)
     rows = id_frame(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary"))
     kind = rows.schema["doc_id"].dataType
-    width = 2 if vocabulary <= 1 << 16 else 4
+    width = 2 if (vocabulary or max(largest_id(tokenizer), end_id) + 1) <= 1 << 16 else 4
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     from pyspark.sql.pandas.types import to_arrow_type

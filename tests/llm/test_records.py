@@ -79,3 +79,24 @@ def test_empty_table(spark, docs_of):
     root = scratch_path(spark, "records-empty")
     R.write_records(docs_of([]), root, PATH, 2)
     assert R.read_records(R.read_index(spark, root), root).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_gives_the_library_s_ids(spark, docs_of, name):
+    """A tokenizer that keeps case and leading spaces is given whole texts."""
+    path = public_tokenizers.path(name)
+    texts = ["Hello World, hello  world!", "", "a\n\nb <|endoftext|> C", "你好 Ünï", " lead"]
+    root = scratch_path(spark, "records-any")
+    R.write_records(docs_of(list(enumerate(texts))), root, path, 2)
+    got = sorted(R.read_records(R.read_index(spark, root), root).collect(), key=lambda r: r.doc_id)
+    plain = Tokenizer.from_file(path)
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert R.PieceEncoder(path, 2, True).by_piece == (name == "word_bpe_49k.json")
+
+
+def test_width_follows_the_largest_id(spark, docs_of):
+    """The width follows the ids the file holds, also beyond two bytes."""
+    root = scratch_path(spark, "records-wide")
+    R.write_records(docs_of([(1, "a b")]), root, PATH, end_id=70_000)
+    (row,) = R.read_records(R.read_index(spark, root), root).collect()
+    assert row.width == 4 and np.frombuffer(row.ids, "<u4").tolist() == whole("a b") + [70_000]
