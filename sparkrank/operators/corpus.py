@@ -9,10 +9,10 @@ distributed "first n" (no single-task sort) unioned with a semi-join. The result
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, written
 from .ordering import first_n_by
 
 # Coverage grade thresholds.
@@ -52,14 +52,43 @@ def coverage(covered: DataFrame, qrels: DataFrame, queries: DataFrame) -> DataFr
     n_rel = relevant_docs(qrels).agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     n_qrels = qrels.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     n_queries = queries.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
-    ratio = F.when(n_rel > 0, F.col("n_relevant_written") / n_rel).otherwise(F.lit(0.0))
-    return c.select(
-        "n_corpus",
-        "n_relevant_written",
-        (F.col("n_corpus") - F.col("n_relevant_written")).alias("n_sampled"),
+    return c.select(*_summary(F.col("n_corpus"), F.col("n_relevant_written"), n_rel, n_queries, n_qrels))
+
+
+def _summary(n_corpus: Column, n_written: Column, n_rel: Column, n_queries: Column, n_qrels: Column) -> list[Column]:
+    ratio = F.when(n_rel > 0, n_written / n_rel).otherwise(F.lit(0.0))
+    return [
+        n_corpus.alias("n_corpus"),
+        n_written.alias("n_relevant_written"),
+        (n_corpus - n_written).alias("n_sampled"),
         n_rel.alias("n_relevant"),
         n_queries.alias("n_queries"),
         n_qrels.alias("n_qrels"),
         F.round(ratio, 6).alias("coverage"),
         F.when(ratio >= EXCELLENT, "excellent").when(ratio >= GOOD, "good").otherwise("poor").alias("grade"),
-    )
+    ]
+
+
+def prepare_corpus(docs: DataFrame, qrels: DataFrame, queries: DataFrame, target: int, path: str, order: str = "doc_id") -> DataFrame:
+    """P2, P4 and P5 together: write the covered corpus below ``path``, return its summary row.
+
+    The judgments are read once, the corpus once for its ids and once for the rows written; the
+    counts are observed by the very jobs that write (in their last stages, where a task retried
+    counts once), so nothing written is read again for them. The columns are those of ``docs``,
+    which are not renamed or added to; the summary is that of ``coverage``.
+    """
+    spark = docs.sparkSession
+    judged, judgments = Observation(), qrels.groupBy("doc_id").agg(F.max(F.coalesce(F.col("rel") > 0, F.lit(False))).alias("rel"), F.count("*").alias("n"))
+    judgments = judgments.observe(judged, F.coalesce(F.sum("n"), F.lit(0)).alias("n_qrels"), F.count_if("rel").alias("n_relevant"))
+    relevant = written(judgments, "judged").where("rel").select("doc_id", "rel")
+    first = first_n_by(docs.select(order), target, order).select(F.col(order).alias("doc_id"), F.lit(False).alias("rel"))
+    flag = "__relevant"
+    while flag in docs.columns:
+        flag += "_"
+    keep = written(first.unionByName(relevant).groupBy("doc_id").agg(F.max("rel").alias(flag)), "kept-ids")
+    kept = Observation()
+    rows = docs.join(broadcast_if_small(keep), "doc_id").observe(kept, F.count("*").alias("n_corpus"), F.count_if(flag).alias("n_relevant_written"))
+    rows.select(*docs.columns).write.parquet(path)
+    counts = {**judged.get, **kept.get, "n_queries": queries.count()}
+    lit = lambda c: F.lit(counts[c]).cast("long")
+    return spark.range(1).select(*_summary(*map(lit, ("n_corpus", "n_relevant_written", "n_relevant", "n_queries", "n_qrels"))))

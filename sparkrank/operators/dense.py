@@ -126,6 +126,39 @@ def model_encode(
     return texts.select(id_col, text).mapInPandas(run, schema)
 
 
+def predict_encode(
+    texts: DataFrame,
+    make_model: Callable[[], Callable[[list[str]], np.ndarray]],
+    id_col: str = "doc_id",
+    text: str = "text",
+    batch_size: int = 32,
+    normalize: bool = True,
+) -> DataFrame:
+    """D1 + D2 with an external model, ``(id, embedding array<float>)``.
+
+    ``make_model()`` runs once in a Python worker, whose later tasks use the same model, and must
+    return ``encode(list[str]) -> ndarray[n, dim]``; it gets at most ``batch_size`` texts at a time,
+    a null one as ``""``. Vectors are normalised in float64 and kept as float32; a zero vector stays.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+
+    def make():
+        encode = make_model()
+
+        def predict(values: np.ndarray) -> np.ndarray:
+            m = np.asarray(encode(values.tolist()), dtype=np.float64)
+            if normalize:
+                norms = np.sqrt((m * m).sum(axis=1, keepdims=True))
+                m = np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
+            return m.astype(np.float32)
+
+        return predict
+
+    ship_package(texts.sparkSession)
+    run = predict_batch_udf(make, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    return texts.select(id_col, run(F.coalesce(text, F.lit(""))).alias("embedding"))
+
+
 # ---- D6 ---------------------------------------------------------------------------------
 def valid_vectors(df: DataFrame, dim: int | None = None, col: str = "embedding") -> DataFrame:
     """Drop null vectors, vectors with null, NaN or infinite entries and (if ``dim``) wrong dimensions."""

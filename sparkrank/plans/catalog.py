@@ -7,7 +7,6 @@ operator itself (top-k lists, "first n queries", a corpus target size).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +17,12 @@ from ..operators import corpus as P
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex
 from ..operators.ivf import IVFIndex
-from ..session import scratch_path, with_text
+from ..session import scratch_path, with_text, written
 from ..sources import collections as C
 from ..sources import files as FS
 from ..sources import index_store as IS
+from ..sources.document_store import DocumentStore
+from ..sources.formats import Field, read_collection, write_lines
 from ..sources.segment_store import SegmentStore
 from ..streaming.indexing import stream_index, stream_responses, stream_search, stream_segments
 from . import search as S
@@ -43,13 +44,26 @@ def text_qrels(spark: SparkSession, sf: str, idx: LexicalIndex | None = None) ->
     return C.text_qrels(C.corpus(spark, sf), C.queries(spark, sf), idx.postings, idx.term_stats)
 
 
+def saved_index(spark: SparkSession, sf: str) -> LexicalIndex:
+    """The index written and opened again: runs, judgments and grids read files, not a cache."""
+    path = scratch_path(spark, "lexical")
+    IS.save_lexical(LexicalIndex.build(C.corpus(spark, sf)), path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return IS.load_lexical(spark, path)
+
+
+def judgments(spark: SparkSession, sf: str, idx: LexicalIndex) -> DataFrame:
+    """The text judgments, found once and written."""
+    return written(text_qrels(spark, sf, idx), "text-qrels")
+
+
 def bm25_run(spark: SparkSession, sf: str, k: int, idx: LexicalIndex | None = None) -> DataFrame:
     idx = idx or lexical_index(spark, sf)
     return idx.search(C.queries(spark, sf), k=k)
 
 
 def dense_text_run(spark: SparkSession, sf: str, k: int) -> DataFrame:
-    dv = D.hash_encode(C.corpus(spark, sf), "doc_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # k-NN reads the vectors once, so they are encoded in its own scan.
+    dv = D.hash_encode(C.corpus(spark, sf), "doc_id")
     qv = D.hash_encode(C.queries(spark, sf), "qid")
     return D.knn(dv, qv, k)
 
@@ -99,6 +113,19 @@ def q_hash_encode(spark, sf):
     )
 
 
+def letter_model():
+    """A deterministic model: how often each letter of a to z occurs in a text."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return lambda texts: [[t.count(c) for c in letters] for t in texts]
+
+
+def q_model_encode(spark, sf):
+    """An external model's vectors (here a deterministic stand-in), float32, one model a worker."""
+    v = D.predict_encode(C.corpus(spark, sf), letter_model)
+    cells = v.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "weight"))
+    return cells.where("weight != 0").select("doc_id", "bucket", F.col("weight").cast("double").alias("weight"))
+
+
 def q_knn_l2_topk(spark, sf):
     return shown(D.knn(C.vectors(spark, sf), C.vector_queries(spark, sf), TOPK), "distance")
 
@@ -125,52 +152,43 @@ def q_rrf(spark, sf):
 
 
 # ---- E1-E6 -------------------------------------------------------------------------------
-def system_runs(spark, sf, depth: int = DEPTH, alpha: float = 0.5, method: str = "rrf"):
-    idx = lexical_index(spark, sf)
-    bm25 = bm25_run(spark, sf, depth, idx)
-    dense = dense_text_run(spark, sf, depth)
-    hyb = FU.hybrid(bm25, dense, alpha=alpha, k=depth, method=method)
-    run = (
-        bm25.select(F.lit("bm25").alias("system"), "qid", "doc_id", "rank")
-        .unionByName(dense.select(F.lit("dense").alias("system"), "qid", "doc_id", "rank"))
-        .unionByName(hyb.select(F.lit("hybrid").alias("system"), "qid", "doc_id", "rank"))
-    )
-    return run, text_qrels(spark, sf, idx), idx
-
-
 def q_eval_per_query(spark, sf):
-    run, qrels, _ = system_runs(spark, sf)
-    pq = E.per_query(run, qrels, C.queries(spark, sf))
+    runs, qrels = text_runs(spark, sf, DEPTH)
+    pq = E.per_query(X.runs_union(runs), qrels, C.queries(spark, sf))
     return pq.select("system", "qid", *[out_score(c).alias(c) for c in ("ndcg", "mrr", "recall")])
 
 
 def q_eval_macro(spark, sf):
-    run, qrels, _ = system_runs(spark, sf)
-    m = E.macro(run, qrels, C.queries(spark, sf))
+    runs, qrels = text_runs(spark, sf, DEPTH)
+    m = E.macro(X.runs_union(runs), qrels, C.queries(spark, sf))
     return m.select("system", *[out_score(c).alias(c) for c in ("ndcg", "mrr", "recall")], "n_queries")
 
 
 # ---- X1-X6, X9 ------------------------------------------------------------------------------
-def text_runs(spark, sf, k: int, alpha: float = 0.5, method: str = "rrf"):
-    idx = lexical_index(spark, sf)
-    bm25 = bm25_run(spark, sf, k, idx)
-    dense = dense_text_run(spark, sf, k)
-    return {"bm25": bm25, "dense": dense, "hybrid": FU.hybrid(bm25, dense, alpha=alpha, k=k, method=method)}, idx
+def text_runs(spark, sf, k: int, alpha: float = 0.5, method: str = "rrf", idx: LexicalIndex | None = None, judged: bool = True):
+    """The three systems' runs and the judgments, each written once: experiments read them several
+    times over."""
+    idx = idx or saved_index(spark, sf)
+    bm25 = written(bm25_run(spark, sf, k, idx), "run-bm25")
+    dense = written(dense_text_run(spark, sf, k), "run-dense")
+    qrels = judgments(spark, sf, idx) if judged else None
+    hybrid = written(FU.hybrid(bm25, dense, alpha=alpha, k=k, method=method), "run-hybrid")
+    return {"bm25": bm25, "dense": dense, "hybrid": hybrid}, qrels
 
 
 def q_baseline_comparison(spark, sf):
-    runs, idx = text_runs(spark, sf, DEPTH)
-    return X.baseline(runs, text_qrels(spark, sf, idx), C.queries(spark, sf))
+    runs, qrels = text_runs(spark, sf, DEPTH)
+    return X.baseline(runs, qrels, C.queries(spark, sf))
 
 
 def q_alpha_sweep(spark, sf):
-    runs, idx = text_runs(spark, sf, DEPTH)
-    return X.alpha_sweep(runs["bm25"], runs["dense"], text_qrels(spark, sf, idx), C.queries(spark, sf), k=DEPTH)
+    runs, qrels = text_runs(spark, sf, DEPTH)
+    return X.alpha_sweep(runs["bm25"], runs["dense"], qrels, C.queries(spark, sf), k=DEPTH)
 
 
 def q_bm25_grid(spark, sf):
-    idx = lexical_index(spark, sf)
-    return X.bm25_grid(idx, text_qrels(spark, sf, idx), C.queries(spark, sf), k=DEPTH)
+    idx = saved_index(spark, sf)
+    return X.bm25_grid(idx, judgments(spark, sf, idx), C.queries(spark, sf), k=DEPTH)
 
 
 def q_latency_summary(spark, sf):
@@ -178,18 +196,18 @@ def q_latency_summary(spark, sf):
 
 
 def q_failure_analysis(spark, sf):
-    runs, idx = text_runs(spark, sf, TOPK)
-    return X.failure_analysis(runs, text_qrels(spark, sf, idx), C.queries(spark, sf))
+    runs, qrels = text_runs(spark, sf, TOPK)
+    return X.failure_analysis(runs, qrels, C.queries(spark, sf))
 
 
 def q_disagreements(spark, sf):
-    runs, _ = text_runs(spark, sf, TOPK)
+    runs, _ = text_runs(spark, sf, TOPK, judged=False)
     return X.disagreements(runs["bm25"], runs["dense"], runs["hybrid"])
 
 
 def q_report_summary(spark, sf):
-    runs, idx = text_runs(spark, sf, DEPTH)
-    qrels, qs = text_qrels(spark, sf, idx), C.queries(spark, sf)
+    runs, qrels = text_runs(spark, sf, DEPTH)
+    qs = C.queries(spark, sf)
     base = X.baseline(runs, qrels, qs)
     sweep = X.alpha_sweep(runs["bm25"], runs["dense"], qrels, qs, k=DEPTH)
     lat = X.latency_summary(C.latency(spark, sf))
@@ -211,6 +229,12 @@ def q_document_fetch(spark, sf):
     return with_text(run, C.corpus(spark, sf), C.queries(spark, sf).count(), TOPK).select("qid", "doc_id", "text")
 
 
+def q_document_store_fetch(spark, sf):
+    """The corpus is written as a document store, the text of the top-k rows fetched from it by id."""
+    store = DocumentStore.write(C.corpus(spark, sf), scratch_path(spark, "documents"))
+    return store.fetch(bm25_run(spark, sf, TOPK)).select("qid", "doc_id", "text")
+
+
 def q_rejected_queries(spark, sf):
     # The given passages hold no blank query: what is left of each without its letters does.
     stripped = C.queries(spark, sf).unionByName(C.queries(spark, sf).select(-F.col("qid") - 1, F.regexp_replace("text", r"\S", "")).toDF("qid", "text"))
@@ -243,6 +267,11 @@ def q_coverage(spark, sf):
     return P.coverage(cov, qrels, C.queries(spark, sf))
 
 
+def q_prepared_corpus(spark, sf):
+    """The covered corpus is written, its summary observed on the way."""
+    return P.prepare_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), C.queries(spark, sf), PREP_TARGET, scratch_path(spark, "prepared"))
+
+
 def q_qrels_filter(spark, sf):
     return E.relevant_pairs(C.prep_qrels(spark, sf))
 
@@ -265,6 +294,35 @@ def q_io_roundtrip(spark, sf):
     return summ(corpus, "corpus", "doc_id", "text").unionByName(summ(qs, "queries", "qid", "text")).unionByName(summ(qrels, "qrels", "qid", "doc_id", "rel"))
 
 
+def q_collection_formats(spark, sf):
+    """The documents as nested JSON, tab-separated and plain lines, each read through a declared
+    mapping, beside the Parquet table read through one."""
+    base = scratch_path(spark, "formats")
+    docs = C.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs.select(F.struct(F.col("doc_id").alias("id"), "lang").alias("meta"), F.col("text").alias("body")).write.json(f"{base}/json")
+    write_lines(docs, f"{base}/tsv")
+    write_lines(docs.select("lang", "doc_id", "text"), f"{base}/text", " ")
+    optional = {"lang": Field("lang", required=False), "text": Field("text", required=False)}
+    read = {
+        "parquet": read_collection(spark, f"{sf.rstrip('/')}/documents.parquet", "parquet", {"doc_id": Field("doc_id", "bigint"), **optional}),
+        "json": read_collection(
+            spark, f"{base}/json", "json",
+            {"doc_id": Field("meta.id", "bigint"), "lang": Field("meta.lang", required=False), "text": Field("body", required=False)},
+        ),
+        "tsv": read_collection(spark, f"{base}/tsv", "tsv", {"doc_id": Field(0, "bigint"), "lang": Field(1), "text": Field(2)}, escaped=True),
+        "text": read_collection(
+            spark, f"{base}/text", "text", {"lang": Field(1), "doc_id": Field(2, "bigint"), "text": Field(3)}, pattern=r"^(\S*) (\d+) (.*)$", escaped=True
+        ),
+    }
+    out = None
+    for name, rows in read.items():
+        cells = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "text")))
+        digest = F.conv(F.substring(F.md5(cells), 1, 8), 16, 10).cast("long")
+        part = rows.agg(F.count("*").alias("n_rows"), F.sum(digest).alias("digest")).select(F.lit(name).alias("format"), "n_rows", "digest")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_index_roundtrip(spark, sf):
     """Save the lexical index (doc-bucketed postings), re-attach it, search it."""
     path = scratch_path(spark, "lexical")
@@ -281,9 +339,9 @@ def q_vector_roundtrip(spark, sf):
 
 def q_results_sink(spark, sf):
     """The five experiment tables written as JSON, read back and shown value by value."""
-    runs, idx = text_runs(spark, sf, DEPTH)
-    top, _ = text_runs(spark, sf, TOPK)
-    qrels, qs = text_qrels(spark, sf, idx), C.queries(spark, sf)
+    idx, qs = saved_index(spark, sf), C.queries(spark, sf)
+    runs, qrels = text_runs(spark, sf, DEPTH, idx=idx)
+    top, _ = text_runs(spark, sf, TOPK, idx=idx, judged=False)
     tables = {
         "exp1_baseline": (X.baseline(runs, qrels, qs), ["system"]),
         "exp2_alpha": (X.alpha_sweep(runs["bm25"], runs["dense"], qrels, qs, k=DEPTH), ["alpha"]),
@@ -715,5 +773,23 @@ QUERIES = {
     "segment_updates": q_segment_updates,
     "stream_segments": q_stream_segments,
     "stream_responses": q_stream_responses,
+    "document_store_fetch": q_document_store_fetch,
+    "collection_formats": q_collection_formats,
+    "model_encode": q_model_encode,
+    "prepared_corpus": q_prepared_corpus,
 }
+ORACLE["document_store_fetch"] = ORACLE["document_fetch"]
+ORACLE["prepared_corpus"] = ORACLE["coverage"]
+ORACLE["model_encode"] = """
+WITH cells AS (SELECT row_number() OVER () AS r, doc_id, unnest(range(26)) AS i, text FROM documents),
+counted AS (SELECT r, doc_id, i, CAST(length(text) - length(replace(text, chr(97 + CAST(i AS INTEGER)), '')) AS DOUBLE) AS n FROM cells),
+norms AS (SELECT r, sqrt(sum(n * n)) AS norm FROM counted GROUP BY r)
+SELECT doc_id, CAST(i AS INTEGER) AS bucket, CAST(CAST(n / norm AS FLOAT) AS DOUBLE) AS weight FROM counted JOIN norms USING (r) WHERE n > 0
+"""
+ORACLE["collection_formats"] = """
+WITH d AS (
+  SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(doc_id || '|' || coalesce(lang, '') || '|' || coalesce(text, '')), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+  FROM documents)
+SELECT unnest(['parquet', 'json', 'tsv', 'text']) AS format, n_rows, digest FROM d
+"""
 ORACLE["stream_responses"] = ORACLE["search_response"]

@@ -5,6 +5,7 @@
   caller owns the session; the library only reads ``spark.checkpoint.dir`` (a shared, durable
   folder for lineage cuts, streaming checkpoints and round-trip sinks) and sets it only when
   unset, as in tests.
+* ``written``: a table that several branches read, evaluated once.
 * ``spread``: parallelise tiny inputs without ever shuffling large ones.
 * ``broadcast_if_small`` / ``broadcast_if_bounded`` / ``with_text``: every broadcast behind a
   size check, and late text joins that stream the corpus.
@@ -64,6 +65,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sparkrank-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` written once below the shared folder and read back: what several branches of a
+    plan use is evaluated once, and a lost executor takes no part of it with it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df):
     """Round-robin an input with fewer splits than the cluster has cores.
 

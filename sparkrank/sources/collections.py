@@ -58,13 +58,14 @@ def prep_qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame, term_stats: DataFrame) -> DataFrame:
     """Qrels ``(qid, doc_id, rel=1)``: documents whose text contains the query text verbatim.
 
-    Exact, with equi-joins only. A document containing the query text contains, as whole
+    Exact. A document containing the query text contains, as whole
     tokens, every token of the query that is not cut by the query's edges ("complete"
     tokens), so the candidates are the postings of the query's rarest complete token; the
     verbatim ``contains`` check runs only on those candidates. Queries without a complete
     token (at most two tokens, both touching an edge) take their candidates from vocabulary
     terms that contain their longest token, which needs the vocabulary only; passages with no
-    token at all are checked against every document.
+    token at all are checked against every document. These two joins by ``contains`` are planned
+    only where such a query exists; everything else is an equi-join.
     """
     q = queries_df.select(
         "qid",
@@ -90,9 +91,11 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
     degen = q.filter(F.size("complete") == 0).filter(n > 0).select(
         "qid", F.element_at(F.array_sort(F.transform("toks", lambda t: F.struct((-F.length(t)).alias("l"), t.alias("t")))), 1)["t"].alias("frag")
     )
-    degen_terms = term_stats.select("term").join(broadcast_if_small(degen), F.col("term").contains(F.col("frag"))).select("qid", "term")
-    degen_cands = postings.select("term", "doc_id").join(broadcast_if_small(degen_terms), "term").select("qid", "doc_id")
-    pairs = cands.unionByName(degen_cands).distinct()
+    pairs = cands
+    if not degen.isEmpty():
+        degen_terms = term_stats.select("term").join(broadcast_if_small(degen), F.col("term").contains(F.col("frag"))).select("qid", "term").distinct()
+        degen_cands = postings.select("term", "doc_id").join(broadcast_if_small(degen_terms), "term").select("qid", "doc_id")
+        pairs = cands.unionByName(degen_cands.distinct())
     texts = queries_df.select("qid", F.col("text").alias("qtext"))
     # Candidate pairs (with their query text) are the small side: the corpus is streamed
     # through a broadcast join, never shuffled, and only candidates are checked verbatim.
@@ -106,6 +109,8 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
     # Passages without any token (punctuation only) have no index entry point: they are
     # checked against every document, streaming the corpus past the (few) broadcast passages.
     tokenless = q.filter((n == 0) & (F.length("text") > 0)).select("qid", F.col("text").alias("qtext"))
+    if tokenless.isEmpty():
+        return found.select("qid", "doc_id", F.lit(1).alias("rel"))
     found_tokenless = (
         corpus_df.select("doc_id", "text")
         .join(broadcast_if_small(tokenless), F.col("text").contains(F.col("qtext")))
