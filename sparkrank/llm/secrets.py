@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 from .spans import count_of, joined
 
 BASE = ("assign", "access", "hex")
@@ -43,6 +43,30 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CELLS = len(ALPHABET) + 1  # index 0: anything else
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _placed(found: Column, empty: Column) -> Column:
+    """Offsets of matches, in blocks of about the root of their number: arrays that grow match by
+    match stay short, so a text with very many matches costs little more than linear time."""
+    size = F.greatest(F.ceil(F.sqrt(F.size(found))).cast("int"), F.lit(1))
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(found) / size).cast("int") - 1, F.lit(0))), lambda j: F.slice(found, j * size + 1, size))
+
+    def one(acc: Column, m: Column) -> Column:
+        start, stop = acc["at"] + m["gap"], acc["at"] + m["gap"] + m["size"]
+        span = F.struct(start.alias("start"), stop.alias("stop"), m["value"].alias("value"))
+        return F.struct(stop.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def block(acc: Column, some: Column) -> Column:
+        done = F.aggregate(some, F.struct(acc["at"].alias("at"), empty.alias("out")), one)
+        return _let(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+
+    nothing = F.array().cast("array<array<struct<start:int,stop:int,value:string>>>")
+    return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), nothing.alias("out")), block, lambda acc: acc["out"])
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """``array<struct<start, stop, value>>`` of all matches; ``value`` is the given group."""
     empty = F.array().cast("array<struct<start:int,stop:int,value:string>>")
@@ -53,18 +77,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value")),
         lambda m: F.struct(F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("size"), m["value"].alias("value")),
     )
-    placed = F.aggregate(
-        rows,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, m: F.struct(
-            (acc["at"] + m["gap"] + m["size"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct((acc["at"] + m["gap"]).alias("start"), (acc["at"] + m["gap"] + m["size"]).alias("stop"), m["value"].alias("value"))),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
+    placed = _let(rows, lambda found: F.flatten(_placed(found, empty)))
     return F.when(text.rlike(pattern), placed).otherwise(empty)
 
 
@@ -89,6 +102,7 @@ def training_samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # Base matches are blanked out of what counts as ordinary.
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.col("t"), ASSIGN, " "), ACCESS, " "), HEX, " ")
     names = every.select(F.explode(F.array_distinct(F.regexp_extract_all(plain, F.lit("[A-Za-z][A-Za-z0-9_-]{4,}"), F.lit(0)))).alias("sample")).distinct()
+    names = cut(names, "identifiers")  # counted as they are and once more as digests
     digest = F.unhex(F.sha2("sample", 256))
     made = names.select(F.explode(F.array(F.base64(digest), F.sha2("sample", 256), F.upper(F.md5("sample")), F.translate(F.base64(digest), "+/", "-_"))).alias("sample"))
     found = every.select(F.explode(F.transform(base_spans(F.col("t")), lambda s: s["value"])).alias("sample"))
@@ -117,10 +131,14 @@ def train(samples: DataFrame, alpha: float = 0.5) -> list[float]:
 
 def log_ratio(value: Column, model: list[float]) -> Column:
     """Sum of the model over the adjacent characters of ``value``."""
-    cells = F.transform(F.split(F.lit(",".join(map(str, model))), ","), lambda x: x.cast("double"))
+    cells = F.expr(f"array({', '.join(f'{x}D' for x in model)})")  # folded to one constant
     index = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    pairs = F.zip_with(F.slice(index, 1, F.size(index) - 1), F.slice(index, 2, F.size(index) - 1), lambda a, b: F.element_at(cells, a * _CELLS + b + 1))
-    return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
+
+    def total(ix: Column) -> Column:
+        pairs = F.zip_with(F.slice(ix, 1, F.size(ix) - 1), F.slice(ix, 2, F.size(ix) - 1), lambda a, b: F.element_at(cells, a * _CELLS + b + 1))
+        return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
+
+    return _let(index, total)
 
 
 def find_secrets(docs: DataFrame, model: list[float], text_col: str = "text", out: str = "spans", min_ratio: float = MIN_RATIO) -> DataFrame:

@@ -45,6 +45,24 @@ def test_spans_equal_plain_patterns_and_markov_adds(spark, sf, docs_of):
     assert S.find_secrets(docs_of([]), [0.0] * S._CELLS**2).count() == 0
 
 
+def test_very_long_texts_take_seconds(spark, docs_of):
+    import base64
+    import time
+
+    lines = [base64.b64encode(hashlib.sha512(str(i).encode()).digest()).decode() for i in range(12_000)]  # over 1 MB
+    hexes = [hashlib.md5(str(i).encode()).hexdigest() for i in range(6_000)]
+    docs = docs_of([(1, "\n".join(lines)), (2, " ".join(hexes)), (3, "".join(lines))])
+    start = time.time()
+    plan = S.find_secrets(docs, [0.2] * S._CELLS**2, out="own")
+    got = {r.doc_id: r for r in plan.collect()}
+    assert time.time() - start < 90
+    assert "array(0.2" not in plan._jdf.queryExecution().optimizedPlan().toString()  # the model is one constant
+    assert sum(s.kind == "random" for s in got[1].own) + sum(s.kind != "random" for s in got[1].own) >= len(lines)
+    for k in (1, 2, 3):
+        assert [(s.kind, s.start, s.stop) for s in got[k].own if s.kind != "random"] == base(got[k].text)
+        assert all(got[k].text[s.start : s.stop] == s.value for s in got[k].own)
+
+
 def test_empty_training_gives_uniform_models(spark, docs_of):
     ratios = S.train(S.training_samples(docs_of([(1, None), (2, "")])))
     assert set(ratios) == {0.0}
