@@ -6,9 +6,9 @@ form is joined with the digests of known licence texts and notices. Four kinds o
 looked up as entire texts: the whole document, each paragraph (lines between blank lines), each
 run of two or more consecutive paragraphs short of the whole, and each line. Before hashing, a
 unit is dropped if its first word starts no known text or it has a number of words that no known
-text has: neither can match. A run has to start with the first two words of a known text, and
-its words are counted paragraph by paragraph up to the longest known text, so runs are found
-however a text was divided and at a cost linear in the document. The known digests are a table
+text has: neither can match. A run has to begin and end with the words of a known text of its
+length; its end is looked up among the ends of paragraphs, so runs are found however a text was
+divided, at a cost of the paragraphs times the different lengths of known texts. The known digests are a table
 of bounded size, broadcast when their measured size allows it.
 
 Edge cases: a null or empty text, or one of punctuation only, has no unit; a unit repeated in a
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .spans import let, running_sums
 
 #: Equivalent words, unified to the right-hand one.
 EQUIVALENT = {
@@ -254,26 +255,39 @@ def _words(flat: Column) -> Column:
     return F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1
 
 
-def _runs(paras: Column, counts: Column, starts: set[str], sizes: list[int]) -> Column:
-    """``array<string>``: runs of paragraphs that begin like a known text and have as many words."""
-    longest = max(sizes, default=0)
+def _runs(paras: Column, counts: Column, shapes: list[tuple[int, list[str], list[str]]]) -> Column:
+    """``array<string>``: runs of at least two paragraphs, not all, that begin, end and count like a
+    known text.
+
+    ``shapes`` holds, for each number of words, the first two and the last words of known texts. A
+    run's end is its start and its words further on: for each shape the ends asked for are
+    intersected with those that there are, in time linear in the paragraphs.
+    """
+    if not shapes:
+        return F.array().cast("array<string>")
     two = lambda i: F.substring_index(F.concat_ws(" ", F.get(paras, i - 1), F.get(paras, i)), " ", 2)
-    # The last paragraph starts no run.
-    first = F.filter(F.sequence(F.lit(1), F.greatest(F.size(paras) - 1, F.lit(1))), lambda i: (i < F.size(paras)) & two(i).isin(*starts))
+    begins = sorted({x for _, first, _ in shapes for x in first})
+    first = F.filter(F.sequence(F.lit(1), F.greatest(F.size(paras) - 1, F.lit(1))), lambda i: (i < F.size(paras)) & two(i).isin(*begins))
+    known = F.array(*(F.struct(F.lit(n).alias("n"), F.array(*map(F.lit, a)).alias("first"), F.array(*map(F.lit, z)).alias("last")) for n, a, z in shapes))
+
+    def found(doc: Column) -> Column:
+        at = lambda i: F.get(doc["ends"], i - 1) - F.get(counts, i - 1)
+        starts = F.transform(doc["first"], lambda i: F.struct(at(i).alias("at"), F.get(counts, i - 1).alias("n"), two(i).alias("two")))
 
-    def from_(i: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("k"), F.lit(0).alias("sum"), F.array().cast("array<int>").alias("hits"))
+        def of(shape: Column, start: Column) -> Column:
+            whole = lambda x: (x["at"] == 0) & (shape["n"] == F.element_at(doc["ends"], -1))
+            fit = F.filter(start, lambda x: (x["n"] < shape["n"]) & F.array_contains(shape["first"], x["two"]) & ~whole(x))
+            ends = F.array_intersect(F.transform(fit, lambda x: x["at"] + shape["n"]), doc["ends"])
+            ends = F.filter(ends, lambda e: F.array_contains(shape["last"], F.get(doc["words"], e - 1)))
+            return F.transform(ends, lambda e: F.array_join(F.slice(doc["words"], e - shape["n"] + 1, shape["n"]), " "))
 
-        def add(acc: Column, n: Column) -> Column:
-            k, total = acc["k"] + 1, acc["sum"] + n
-            hit = (k > 1) & total.isin(*sizes) & ~((i == 1) & (k == F.size(paras)))
-            return F.struct(k.alias("k"), total.alias("sum"), F.when(hit, F.concat(acc["hits"], F.array(k))).otherwise(acc["hits"]).alias("hits"))
+        return let(starts, lambda s: F.flatten(F.transform(known, lambda shape: of(shape, s))))
 
-        # A paragraph has a word at least, so no more of them can make up a known text.
-        hits = F.aggregate(F.slice(counts, i, F.lit(longest)), zero, add, lambda acc: acc["hits"])
-        return F.transform(hits, lambda k: F.array_join(F.slice(paras, i, k), " "))
+    def searched(some: Column) -> Column:
+        doc = F.struct(some.alias("first"), running_sums(counts).alias("ends"), F.split(F.array_join(paras, " "), " ").alias("words"))
+        return F.when(F.size(some) > 0, let(doc, found)).otherwise(F.array().cast("array<string>"))
 
-    return F.flatten(F.transform(first, from_))
+    return let(first, searched)
 
 
 def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,11 +295,15 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     digests = known.select("license_id", canonical("text").alias("form")).where("form != ''").distinct()
     digests = digests.select("license_id", F.sha2("form", 256).alias("digest"), F.split("form", " ").alias("w"))
     # Bounded by the catalogue: its first words, in every spelling, and its lengths.
-    two = F.collect_set(F.when(F.size("w") > 1, F.slice("w", 1, 2)))
-    shape = digests.agg(F.collect_set(F.element_at("w", 1)).alias("first"), two.alias("two"), F.collect_set(F.size("w")).alias("sizes"), F.sum(F.lit(200)).alias("bytes")).first()
+    ends = F.collect_set(F.when(F.size("w") > 1, F.struct(F.size("w").alias("n"), F.slice("w", 1, 2).alias("two"), F.element_at("w", -1).alias("last"))))
+    shape = digests.agg(F.collect_set(F.element_at("w", 1)).alias("first"), ends.alias("ends"), F.collect_set(F.size("w")).alias("sizes"), F.sum(F.lit(200)).alias("bytes")).first()
     spellings = lambda w: [w, *(a for a, b in EQUIVALENT.items() if b == w)]
     first = {x for w in shape["first"] for x in spellings(w)}
-    starts = {f"{x} {y}" for a, b in shape["two"] for x, y in product(spellings(a), spellings(b))}
+    shapes = []
+    for n in sorted({e["n"] for e in shape["ends"]}):
+        own = [e for e in shape["ends"] if e["n"] == n]
+        begin = {f"{x} {y}" for e in own for x, y in product(*map(spellings, e["two"]))}
+        shapes.append((n, sorted(begin), sorted({x for e in own for x in spellings(e["last"])})))
     sizes = sorted(shape["sizes"])
     rows = docs.select(F.col(id_col).alias("doc_id"), _plain_lines(F.col(text_col)).alias("lines"))
     paragraphs = F.split(F.array_join("lines", "\n"), "\n\n+")
@@ -302,7 +320,7 @@ def find_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     kinds = F.concat(
         units("text", F.array(F.array_join(paras, " "))),
         units("paragraph", paras),
-        units("run", _runs(paras, F.col("counts"), starts, sizes)),
+        units("run", _runs(paras, F.col("counts"), shapes)),
         units("line", F.transform(F.filter("lines", lambda x: x != ""), lambda x: _flat(F.array(x)))),
     )
     hits = rows.select("doc_id", F.explode_outer(kinds).alias("u")).where("u is not null")

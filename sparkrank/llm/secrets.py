@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, table
-from .spans import count_of, joined
+from .spans import count_of, joined, let
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "random")
@@ -43,11 +43,6 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CELLS = len(ALPHABET) + 1  # index 0: anything else
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _placed(found: Column, empty: Column) -> Column:
     """Offsets of matches, in blocks of about the root of their number: arrays that grow match by
     match stay short, so a text with very many matches costs little more than linear time."""
@@ -61,7 +56,7 @@ def _placed(found: Column, empty: Column) -> Column:
 
     def block(acc: Column, some: Column) -> Column:
         done = F.aggregate(some, F.struct(acc["at"].alias("at"), empty.alias("out")), one)
-        return _let(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
+        return let(done, lambda d: F.struct(d["at"].alias("at"), F.concat(acc["out"], F.array(d["out"])).alias("out")))
 
     nothing = F.array().cast("array<array<struct<start:int,stop:int,value:string>>>")
     return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), nothing.alias("out")), block, lambda acc: acc["out"])
@@ -77,7 +72,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value")),
         lambda m: F.struct(F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("size"), m["value"].alias("value")),
     )
-    placed = _let(rows, lambda found: F.flatten(_placed(found, empty)))
+    placed = let(rows, lambda found: F.flatten(_placed(found, empty)))
     return F.when(text.rlike(pattern), placed).otherwise(empty)
 
 
@@ -138,7 +133,7 @@ def log_ratio(value: Column, model: list[float]) -> Column:
         pairs = F.zip_with(F.slice(ix, 1, F.size(ix) - 1), F.slice(ix, 2, F.size(ix) - 1), lambda a, b: F.element_at(cells, a * _CELLS + b + 1))
         return F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x)
 
-    return _let(index, total)
+    return let(index, total)
 
 
 def find_secrets(docs: DataFrame, model: list[float], text_col: str = "text", out: str = "spans", min_ratio: float = MIN_RATIO) -> DataFrame:

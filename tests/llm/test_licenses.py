@@ -83,3 +83,36 @@ def test_full_texts_and_runs_of_paragraphs(spark, docs_of):
     got = {(r.doc_id, r.unit, r.license_id) for r in L.find_licenses(docs_of(rows), L.known_licenses(spark)).collect()}
     assert want <= got
     assert not [r for r in got if r[0] == 102]
+
+
+def test_many_licence_like_paragraphs_take_seconds(spark, docs_of):
+    import time
+
+    rows = [(1, "permission is hereby\n\n" * 40_000), (2, "permission is hereby granted free of software\n\n" * 20_000), (3, "redistribution and use\n\nsoftware\n\n" * 10_000)]
+    start = time.time()
+    assert L.find_licenses(docs_of(rows), L.known_licenses(spark)).count() == 0  # 0.9 MB each
+    assert time.time() - start < 60
+
+
+def test_runs_equal_brute_force(spark, docs_of):
+    """Every run of paragraphs, tried one by one."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    known = [("A", "a b c d"), ("B", "a b e"), ("C", "b a b c d"), ("D", "one"), ("E", "a b a b"), ("F", "a b c e")]
+    table = spark.createDataFrame([(k, t) for k, t in known], "license_id string, text string")
+    docs = [(n, "\n\n".join(" ".join(rng.choices("abcde", [4, 4, 2, 2, 1], k=rng.randint(1, 3))) for _ in range(rng.randint(0, 14)))) for n in range(2000)]
+    want = set()
+    for n, t in docs:
+        ps = [p for p in t.split("\n\n") if p]
+        for i in range(len(ps)):
+            for j in range(i + 2, len(ps) + 1):
+                if (i, j) != (0, len(ps)):
+                    want |= {(n, k) for k, known_text in known if " ".join(ps[i:j]) == known_text}
+    found = L.find_licenses(docs_of(docs), table).where("unit = 'run'").select("doc_id", "license_id").distinct().collect()
+    assert {tuple(r) for r in found} == want and len(want) > 100
+    sums = spark.createDataFrame([([rng.randint(0, 5) for _ in range(k)],) for k in (0, 1, 2, 3, 10, 1000)], "n array<int>")
+    for r in sums.select("n", L.running_sums(F.col("n")).alias("s")).collect():
+        assert r.s == [sum(r.n[: i + 1]) for i in range(len(r.n))]
