@@ -268,8 +268,12 @@ def q_coverage(spark, sf):
 
 
 def q_prepared_corpus(spark, sf):
-    """The covered corpus is written, its summary observed on the way."""
-    return P.prepare_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), C.queries(spark, sf), PREP_TARGET, scratch_path(spark, "prepared"))
+    """The covered corpus is written, its summary observed on the way; one row per
+    document read back, with the summary's coverage and grade."""
+    path = scratch_path(spark, "prepared")
+    summary = P.prepare_corpus(C.corpus(spark, sf), C.prep_qrels(spark, sf), C.queries(spark, sf), PREP_TARGET, path)
+    told = [summary.select(c).scalar().alias(c) for c in ("n_corpus", "n_relevant_written", "coverage", "grade")]
+    return spark.read.parquet(path).select("doc_id", F.md5("text").alias("digest"), *told)
 
 
 def q_qrels_filter(spark, sf):
@@ -296,12 +300,12 @@ def q_io_roundtrip(spark, sf):
 
 def q_collection_formats(spark, sf):
     """The documents as nested JSON, tab-separated and plain lines, each read through a declared
-    mapping, beside the Parquet table read through one."""
+    mapping, beside the Parquet table read through one; one row per document and format."""
     base = scratch_path(spark, "formats")
     docs = C.table(spark, sf, "documents").select("doc_id", "lang", "text")
-    docs.select(F.struct(F.col("doc_id").alias("id"), "lang").alias("meta"), F.col("text").alias("body")).write.json(f"{base}/json")
-    write_lines(docs, f"{base}/tsv")
-    write_lines(docs.select("lang", "doc_id", "text"), f"{base}/text", " ")
+    docs.select(F.struct(F.col("doc_id").alias("id"), "lang").alias("meta"), F.col("text").alias("body")).write.json(f"{base}/json", compression="gzip")
+    write_lines(docs, f"{base}/tsv", compression="gzip")
+    write_lines(docs.select("lang", "doc_id", "text"), f"{base}/text", " ", compression="gzip")
     optional = {"lang": Field("lang", required=False), "text": Field("text", required=False)}
     read = {
         "parquet": read_collection(spark, f"{sf.rstrip('/')}/documents.parquet", "parquet", {"doc_id": Field("doc_id", "bigint"), **optional}),
@@ -316,9 +320,8 @@ def q_collection_formats(spark, sf):
     }
     out = None
     for name, rows in read.items():
-        cells = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "text")))
-        digest = F.conv(F.substring(F.md5(cells), 1, 8), 16, 10).cast("long")
-        part = rows.agg(F.count("*").alias("n_rows"), F.sum(digest).alias("digest")).select(F.lit(name).alias("format"), "n_rows", "digest")
+        given = lambda c: F.coalesce(c, F.lit(""))
+        part = rows.select(F.lit(name).alias("format"), "doc_id", given("lang").alias("lang"), F.md5(given("text")).alias("digest"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -779,7 +782,10 @@ QUERIES = {
     "prepared_corpus": q_prepared_corpus,
 }
 ORACLE["document_store_fetch"] = ORACLE["document_fetch"]
-ORACLE["prepared_corpus"] = ORACLE["coverage"]
+ORACLE["prepared_corpus"] = (
+    "SELECT doc_id, md5(text) AS digest, n_corpus, n_relevant_written, coverage, grade FROM documents CROSS JOIN ("
+    + ORACLE["coverage"] + ") WHERE doc_id IN (" + ORACLE["covered_corpus"] + ")"
+)
 ORACLE["model_encode"] = """
 WITH cells AS (SELECT row_number() OVER () AS r, doc_id, unnest(range(26)) AS i, text FROM documents),
 counted AS (SELECT r, doc_id, i, CAST(length(text) - length(replace(text, chr(97 + CAST(i AS INTEGER)), '')) AS DOUBLE) AS n FROM cells),
@@ -787,9 +793,6 @@ norms AS (SELECT r, sqrt(sum(n * n)) AS norm FROM counted GROUP BY r)
 SELECT doc_id, CAST(i AS INTEGER) AS bucket, CAST(CAST(n / norm AS FLOAT) AS DOUBLE) AS weight FROM counted JOIN norms USING (r) WHERE n > 0
 """
 ORACLE["collection_formats"] = """
-WITH d AS (
-  SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(doc_id || '|' || coalesce(lang, '') || '|' || coalesce(text, '')), 1, 8) AS BIGINT)) AS BIGINT) AS digest
-  FROM documents)
-SELECT unnest(['parquet', 'json', 'tsv', 'text']) AS format, n_rows, digest FROM d
+SELECT unnest(['parquet', 'json', 'tsv', 'text']) AS format, doc_id, coalesce(lang, '') AS lang, md5(coalesce(text, '')) AS digest FROM documents
 """
 ORACLE["stream_responses"] = ORACLE["search_response"]

@@ -132,7 +132,7 @@ def _tsv(spark: SparkSession, path: str, columns: dict[str, Field], header: bool
     return rows.select(*(_checked(n, f, plain(F.get("p", F.lit(int(places[n]))))) for n, f in columns.items()))
 
 
-def write_lines(rows: DataFrame, path: str, separator: str = "\t") -> None:
+def write_lines(rows: DataFrame, path: str, separator: str = "\t", compression: str = "none") -> None:
     """Rows as escaped lines; a null value is written as an empty one."""
     cells = [escape(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) for c in rows.columns]
-    rows.select(F.concat_ws(separator, *cells).alias("value")).write.text(path)
+    rows.select(F.concat_ws(separator, *cells).alias("value")).write.text(path, compression=compression)
