@@ -67,7 +67,7 @@ def with_term_frequencies(df, tokens: str = "tokens", out: str = "tfs"):
         ),
     )
     return (
-        df.withColumn("__sorted", F.array_sort(F.col(tokens)))
+        df.withColumn("__sorted", F.sort_array(F.col(tokens)))  # natively; array_sort compares by a lambda
         .withColumn("__starts", starts)
         .withColumn(out, pairs)
         .drop("__sorted", "__starts")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..functions.text import RANK_DECIMALS, rank_key, tokenize, with_term_frequencies
+from ..functions.text import RANK_DECIMALS, rank_key, tokenize
 from ..session import ship_package, spread
 from .ordering import top_k
 
@@ -62,19 +62,49 @@ def term_sign(term) -> "F.Column":
     return F.when(F.substring(F.md5(term), 9, 1).isin("0", "1", "2", "3", "4", "5", "6", "7"), F.lit(1)).otherwise(F.lit(-1))
 
 
+# Tokens that one step of the encoder sums at once, and terms whose bucket a worker remembers.
+TOKENS_AT_ONCE = 262_144
+MAX_KNOWN_TERMS = 500_000
+
+
+def _signed_buckets(terms: list[str], dim: int, known: dict[str, int]) -> np.ndarray:
+    """``bucket`` of each term, or ``-bucket - 1`` where its sign is -1 (as ``term_bucket``, ``term_sign``)."""
+    if len(known) + len(terms) > MAX_KNOWN_TERMS:
+        known.clear()
+    out = np.empty(len(terms), dtype=np.int64)
+    for j, t in enumerate(terms):
+        c = known.get(t)
+        if c is None:
+            h = hashlib.md5(t.encode(), usedforsecurity=False).hexdigest()
+            c = int(h[:8], 16) % dim
+            known[t] = c = c if h[8] < "8" else -c - 1
+        out[j] = c
+    return out
+
+
 def _bucket_sum_udf(dim: int):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def bucket_sum(buckets: pd.Series, weights: pd.Series) -> pd.Series:
-        # One bincount for the whole Arrow batch: row r, bucket j -> slot r * dim + j.
-        lens = buckets.map(len).to_numpy()
-        n = len(lens)
-        if n == 0:
-            return pd.Series([], dtype=object)
-        flat_b = np.concatenate([np.asarray(b, dtype=np.int64) for b in buckets]) if lens.sum() else np.zeros(0, np.int64)
-        flat_w = np.concatenate([np.asarray(w, dtype=np.float64) for w in weights]) if lens.sum() else np.zeros(0)
-        rows = np.repeat(np.arange(n), lens)
-        dense = np.bincount(rows * dim + flat_b, weights=flat_w, minlength=n * dim).reshape(n, dim)
-        return pd.Series(list(dense))
+    known: dict[str, int] = {}  # in each Python worker
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def bucket_sum(tokens: pa.Array) -> pa.Array:
+        """Unit vectors; sums of signs are whole numbers, so no order of adding changes them."""
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+        flat, n = tokens.flatten(), len(tokens)
+        out = np.zeros((n, dim))
+        row = 0
+        while row < n:
+            first = int(ends[row - 1]) if row else 0
+            stop = max(row + 1, int(np.searchsorted(ends, first + TOKENS_AT_ONCE, side="right")))
+            coded = flat.slice(first, int(ends[stop - 1]) - first).dictionary_encode()
+            if len(coded):
+                code = _signed_buckets(coded.dictionary.to_pylist(), dim, known)[coded.indices.to_numpy()]
+                rows = np.repeat(np.arange(stop - row), np.diff(np.r_[first, ends[row:stop]]))
+                at = rows * dim + np.where(code < 0, -code - 1, code)
+                m = np.bincount(at, weights=np.where(code < 0, -1.0, 1.0), minlength=(stop - row) * dim).reshape(-1, dim)
+                norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+                np.divide(m, norm, out=out[row:stop], where=norm > 0)
+            row = stop
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * dim, pa.int32()), pa.array(out.ravel()))
 
     return bucket_sum
 
@@ -82,20 +112,13 @@ def _bucket_sum_udf(dim: int):
 def hash_encode(texts: DataFrame, id_col: str = "doc_id", text: str = "text", dim: int = DEFAULT_DIM) -> DataFrame:
     """D1 + D2: ``(id, embedding array<double>)``, L2-normalised hashed term frequencies.
 
-    Per row: terms and tfs are counted inside the row, mapped to (bucket, signed tf) with
-    JVM-side md5, and summed into the dense vector by one vectorised bincount per Arrow batch.
+    The JVM tokenises; the tokens of an Arrow batch are then hashed once for each distinct term
+    and summed and normalised by one vectorised bincount, a bounded number of tokens at a time.
     No shuffle.
     """
     ship_package(texts.sparkSession)
-    toks = spread(texts).select(id_col, tokenize(text).alias("tokens"))
-    tf = with_term_frequencies(toks, "tokens", "tfs")
-    pairs = tf.select(
-        id_col,
-        F.transform("tfs", lambda p: term_bucket(p["term"], dim)).alias("__b"),
-        F.transform("tfs", lambda p: (term_sign(p["term"]) * p["tf"]).cast("double")).alias("__w"),
-    )
-    raw = pairs.select(id_col, _bucket_sum_udf(dim)(F.col("__b"), F.col("__w")).alias("__v"))
-    return raw.select(id_col, l2_normalize("__v").alias("embedding"))
+    toks = spread(texts).select(id_col, tokenize(text).alias("__tokens"))
+    return toks.select(id_col, _bucket_sum_udf(dim)(F.col("__tokens")).alias("embedding"))
 
 
 def model_encode(
