@@ -246,8 +246,9 @@ class _TopK:
         full = pos[keep] == self.k - 1
         self.kth[self.q[full]] = self.d[full]
 
-    def add(self, D: np.ndarray, ids: np.ndarray, low: float, high: float) -> None:
-        """Score the vectors ``D``, whose norms lie between ``low`` and ``high``.
+    def add(self, D: np.ndarray, ids: np.ndarray, low: float, high: float, asking: np.ndarray | None = None) -> None:
+        """Score the vectors ``D``, whose norms lie between ``low`` and ``high``, for all queries or
+        those ``asking``.
 
         A query whose norm is further from that range than its k-th distance allows is skipped.
         Candidates come from the BLAS expansion ``|d|^2 + |q|^2 - 2 d.q`` within a tolerance of
@@ -257,7 +258,8 @@ class _TopK:
         """
         norm = np.sqrt(self.qn)
         gap = np.maximum(0.0, np.maximum(low - norm, norm - high))
-        qi = np.flatnonzero(gap * gap <= self.kth + 1e-9 * (1.0 + high * high + self.qn))
+        near = gap * gap <= self.kth + 1e-9 * (1.0 + high * high + self.qn)
+        qi = np.flatnonzero(near if asking is None else near & asking)
         if not len(qi):
             return
         Q, qn, dn = self.Q[qi], self.qn[qi], (D * D).sum(axis=1)
@@ -335,26 +337,69 @@ def _packer(dim: int, salts: int):
     return run
 
 
+def _probing_packer(dim: int):
+    """Per-task packing of queries ``(id, embedding, probes)`` into blocks, each vector once.
+
+    A block is one row ``(tag, qids, qmatrix, cells, asked)``: ``cells`` are those that any of its
+    queries probes, ``asked`` the bits (query, place of the cell among them). D6 as in ``_packer``.
+    """
+    block = max(1, BLOCK_BYTES // (8 * dim))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, block):
+                b = whole.slice(a, block)
+                v, probes = b.column(1), b.column(2)
+                ok = pc.and_(pc.and_(v.is_valid(), b.column(0).is_valid()), pc.fill_null(pc.equal(pc.list_value_length(v), dim), False))
+                b = b.filter(pc.and_(ok, pc.fill_null(pc.greater(pc.list_value_length(probes), 0), False)))
+                x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+                finite = np.isfinite(x).all(axis=1)
+                x, b = x[finite], b.filter(pa.array(finite))
+                if not len(x):
+                    continue
+                ids, probes = b.column(0), b.column(2)
+                cells, place = np.unique(probes.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+                asked = np.zeros((len(x), len(cells)), dtype=bool)
+                asked[np.repeat(np.arange(len(x)), pc.list_value_length(probes).to_numpy()), place] = True
+                data, bits = x.tobytes(), np.packbits(asked, axis=1).tobytes()
+                tag = hashlib.blake2b(repr(ids.to_pylist()).encode() + data + bits, digest_size=16).digest()
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(y)], pa.int32()), y) for y in (ids, pa.array(cells, pa.int32()))]
+                one = [pa.array([tag], pa.binary()), lists[0], pa.array([data], pa.binary()), lists[1], pa.array([bits], pa.binary())]
+                yield pa.RecordBatch.from_arrays(one, names=["tag", "qids", "qmatrix", "cells", "asked"])
+
+    return run
+
+
 def _scorer(k: int, dim: int, id_type: pa.DataType):
     """Per-task scoring of (query block, vector block) rows: the running top-k of each query block
-    met, emitted at the end or when more than ``MAX_STATE_ROWS`` results are held."""
+    met, emitted at the end or when more than ``MAX_STATE_ROWS`` results are held. A row with a
+    ``cell`` is scored for the block's queries that probe it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states: dict[bytes, _TopK] = {}
+        asking: dict[bytes, dict[int, np.ndarray]] = {}  # of each state, the queries that probe a cell
         for b in batches:
             tags, qids, qmat, ids, mat = (b.column(n) for n in ("tag", "qids", "qmatrix", "ids", "matrix"))
+            probing = "cell" in b.schema.names
             low, high = b.column("low").to_pylist(), b.column("high").to_pylist()
             for r in range(b.num_rows):
                 key = tags[r].as_py()
                 top = states.pop(key, None)
                 if top is None:
                     top = _TopK(k, np.frombuffer(qmat[r].as_buffer(), dtype=np.float64).reshape(-1, dim).copy(), qids[r].values)
+                    if probing:
+                        cells = b.column("cells")[r].as_py()
+                        bits = np.frombuffer(b.column("asked")[r].as_buffer(), dtype=np.uint8).reshape(len(top.Q), -1)
+                        asking[key] = dict(zip(cells, np.unpackbits(bits, axis=1, count=len(cells)).astype(bool).T))
                 states[key] = top  # last used comes last
                 names = ids[r].values.to_numpy(zero_copy_only=False)
                 names = names.astype(str) if names.dtype == object else names
-                top.add(np.frombuffer(mat[r].as_buffer(), dtype=np.float64).reshape(-1, dim), names, low[r], high[r])
+                some = asking[key][b.column("cell")[r].as_py()] if probing else None
+                top.add(np.frombuffer(mat[r].as_buffer(), dtype=np.float64).reshape(-1, dim), names, low[r], high[r], some)
                 while len(states) > 1 and sum(len(t.Q) for t in states.values()) * k > MAX_STATE_ROWS:
-                    old = states.pop(next(iter(states)))
+                    gone = next(iter(states))
+                    old = states.pop(gone)
+                    asking.pop(gone, None)
                     if len(old.q):
                         yield old.rows(id_type)
         for top in states.values():
@@ -376,38 +421,48 @@ def knn_candidates(
     each query and task. With ``probe_col`` (of the vectors) and ``query_probe_col`` (an array) a
     vector is scored only for the queries that probe its cell.
 
-    Both sides are packed into blocks in their own tasks and joined block by block on (cell, salt).
-    Query blocks of at most ``max_query_bytes`` in all are broadcast and the vectors are not
-    shuffled; beyond that vector blocks are shuffled once over the salts, query blocks to each salt.
-    Either way the vectors are read once. Query ids are expected to be unique.
+    Both sides are packed into blocks in their own tasks and joined block by block. Query blocks of
+    at most ``max_query_bytes`` in all are broadcast and the vectors are not shuffled; beyond that
+    vector blocks are shuffled once over the salts, query blocks to each salt. Either way the
+    vectors are read once, and a query is packed once however many cells it probes: its block
+    carries them as bits. Query ids are expected to be unique.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     dim = dimension(vectors)
     qid_type, id_type = queries.schema["qid"].dataType, vectors.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("qid", qid_type), T.StructField("doc_id", id_type), T.StructField("distance", T.DoubleType())])
-    cell = F.lit(0) if probe_col is None else F.col(probe_col)
-    asked = F.lit(0) if query_probe_col is None else F.explode(query_probe_col)
-    n = queries.select(asked).count() if dim else 0  # a query counts for each cell it probes
+    n = queries.count() if dim else 0
     if not n:
         return spark.createDataFrame([], schema)
     query_bytes = n * dim * 8
     small = query_bytes <= max_query_bytes
     salts = 1 if small else int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = "cell int, salt int, tag binary, ids array<{}>, matrix binary, low double, high double"
+    cell = F.lit(0) if probe_col is None else F.col(probe_col)
     vb = vectors.select("doc_id", "embedding", cell.cast("int").alias("cell"))
-    vb = vb.mapInArrow(_packer(dim, salts), packed.format(id_type.simpleString()))
+    vb = vb.mapInArrow(_packer(dim, salts), packed.format(id_type.simpleString())).drop("tag")
     parts = max(1, min(4096, math.ceil(query_bytes / BLOCK_BYTES)))
-    qb = queries.select("qid", "embedding", asked.alias("cell")).withColumn("cell", F.col("cell").cast("int")).repartition(parts, "cell", F.pmod(F.xxhash64("qid"), F.lit(parts)))
-    qb = qb.mapInArrow(_packer(dim, 1), packed.format(qid_type.simpleString()))
-    qb = qb.select("cell", "tag", F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
-    vb = vb.drop("tag")
-    if small:
-        pairs = vb.join(F.broadcast(qb), "cell")
+    if query_probe_col is None:
+        qb = queries.select("qid", "embedding", F.lit(0).alias("cell")).repartition(parts, F.pmod(F.xxhash64("qid"), F.lit(parts)))
+        qb = qb.mapInArrow(_packer(dim, 1), packed.format(qid_type.simpleString()))
+        qb = qb.select("cell", "tag", F.col("ids").alias("qids"), F.col("matrix").alias("qmatrix"))
+        keys, carried = ["cell"], []
     else:
+        # Queries whose nearest cell is the same come together, so a block meets few cells if they probe few.
+        first = F.get(query_probe_col, 0)
+        qb = queries.select("qid", "embedding", F.col(query_probe_col).cast("array<int>").alias("probes"), first.alias("first"))
+        qb = qb.repartition(parts, "first").sortWithinPartitions("first").drop("first")
+        qb = qb.mapInArrow(_probing_packer(dim), f"tag binary, qids array<{qid_type.simpleString()}>, qmatrix binary, cells array<int>, asked binary")
+        keys, carried = [], ["cell", "cells", "asked"]
+    if not small:
         qb = qb.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = qb.hint("merge").join(vb, ["cell", "salt"])  # streams a query block past the salt's vector blocks
-    pairs = pairs.select("tag", "qids", "qmatrix", "ids", "matrix", "low", "high")
+        pairs = qb.hint("merge").join(vb, [*keys, "salt"])  # streams a query block past the salt's vector blocks
+    else:
+        pairs = vb.join(F.broadcast(qb), keys) if keys else vb.crossJoin(F.broadcast(qb))
+    if not keys:
+        pairs = pairs.where(F.array_contains("cells", F.col("cell")))
+    pairs = pairs.select("tag", "qids", "qmatrix", "ids", "matrix", "low", "high", *carried)
     return pairs.mapInArrow(_scorer(k, dim, to_arrow_type(id_type)), schema)
 
 

@@ -8,7 +8,8 @@ search reads only the probed cells' directories and a large cell is not one task
 Search: each query's ``nprobe`` nearest centroids are found in its own batch (centroids are
 ``nlist x dim``, bounded by construction); the vector scan is restricted to the union of probed
 cells (partition pruning when loaded from disk), blocks of vectors are joined with the query
-blocks of their cell, and the same running top-k as in exact search scores them. With
+blocks that ask for their cell (a query is in one block, its cells beside it as bits), and the same
+running top-k as in exact search scores them. With
 ``nprobe = nlist`` the result equals exact search.
 """
 
@@ -18,7 +19,8 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ from .ordering import top_k
 SAMPLE_PER_CELL = 64
 #: Vectors of one cell that one task writes, about.
 ROWS_PER_FILE = 500_000
+#: Queries whose distances to all centroids are held at once.
+QUERIES_AT_ONCE = 1_024
 
 
 @dataclass
@@ -84,17 +88,18 @@ class IVFIndex:
         ship_package(spark)
         bc = spark.sparkContext.broadcast(C)
 
-        @F.pandas_udf("array<int>")
-        def nearest(emb: pd.Series) -> pd.Series:
+        @F.arrow_udf("array<int>")
+        def nearest(emb: pa.Array) -> pa.Array:
             cents = bc.value
-            good = np.array([e is not None and len(e) == cents.shape[1] for e in emb], dtype=bool)
-            out = pd.Series([[]] * len(emb), index=emb.index, dtype=object)
-            if good.any():
-                q = np.stack(emb[good].to_numpy()).astype(np.float64)
-                d = (cents**2).sum(axis=1)[None] - 2 * q @ cents.T  # one product per batch
-                order = np.argsort(d, axis=1, kind="stable")[:, :nprobe].astype(np.int32)
-                out[good] = pd.Series(order.tolist(), index=emb.index[good])
-            return out
+            norms = (cents**2).sum(axis=1)[None]
+            good = pc.fill_null(pc.equal(pc.list_value_length(emb), cents.shape[1]), False)
+            q = emb.filter(good).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, cents.shape[1])
+            order = np.empty((len(q), nprobe), dtype=np.int32)
+            for a in range(0, len(q), QUERIES_AT_ONCE):
+                d = norms - 2 * q[a : a + QUERIES_AT_ONCE] @ cents.T  # one product per batch
+                order[a : a + QUERIES_AT_ONCE] = np.argsort(d, axis=1, kind="stable")[:, :nprobe]
+            ends = np.cumsum(np.r_[0, good.to_numpy(zero_copy_only=False) * nprobe])
+            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(order.ravel()))
 
         return queries.select("qid", "embedding", nearest(F.col("embedding")).alias("probes"))
 
