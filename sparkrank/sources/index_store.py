@@ -25,6 +25,13 @@ from pyspark.sql import functions as F
 from ..operators.lexical import LexicalIndex, corpus_stats_of, postings_of, term_stats_of
 
 DEFAULT_BUCKETS = 64
+#: Documents whose postings one task sorts and one search task reads, about.
+DOCS_PER_BUCKET = 10_000
+
+
+def buckets_for(n_docs: int, least: int = 1) -> int:
+    """Buckets of an index of ``n_docs`` documents: they grow in number, not in size."""
+    return max(least, -(-n_docs // DOCS_PER_BUCKET))
 
 
 def _table_name(prefix: str) -> str:
