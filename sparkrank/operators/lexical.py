@@ -48,10 +48,11 @@ def one_text_per_id(docs: DataFrame) -> DataFrame:
     return docs.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def per_document(corpus: DataFrame, cluster: int | None = None) -> DataFrame:
+def per_document(corpus: DataFrame, cluster: int | None = None, shuffled: bool = False) -> DataFrame:
     """``(doc_id, dl, tfs array<struct<term, tf>>)``: one row per document, no shuffle (or,
-    with ``cluster``, one shuffle of the term arrays, never of the text, by doc_id)."""
-    toks = tokenized(spread(corpus)).withColumn("dl", doc_length("tokens").cast("int"))
+    with ``cluster``, one shuffle of the term arrays, never of the text, by doc_id). Texts that
+    come from a shuffle (``shuffled``) are spread already; counting their partitions would run it."""
+    toks = tokenized(corpus if shuffled else spread(corpus)).withColumn("dl", doc_length("tokens").cast("int"))
     rows = with_term_frequencies(toks, "tokens", "tfs").select("doc_id", "dl", "tfs")
     return rows.repartition(cluster, "doc_id") if cluster else rows
 
@@ -67,9 +68,9 @@ def postings_of(per_doc: DataFrame) -> DataFrame:
     )
 
 
-def build_postings(corpus: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_postings(corpus: DataFrame, shuffled: bool = False) -> tuple[DataFrame, DataFrame]:
     """B1 + T2/T3: ``(postings, doc_stats)`` from ``corpus(doc_id, text)``; no shuffle."""
-    pd_ = per_document(corpus)
+    pd_ = per_document(corpus, shuffled=shuffled)
     return postings_of(pd_), pd_.select("doc_id", "dl")
 
 
@@ -203,7 +204,7 @@ class LexicalIndex:
         """
         fresh = one_text_per_id(new_docs).join(self.doc_stats.select("doc_id"), "doc_id", "left_anti")
         rejected = new_docs.select("doc_id").join(self.doc_stats.select("doc_id"), "doc_id", "left_semi").distinct()
-        d_post, d_docs = build_postings(fresh)
+        d_post, d_docs = build_postings(fresh, shuffled=True)
         d_terms = term_stats_of(d_post)
         term_stats = (
             self.term_stats.unionByName(d_terms).groupBy("term").agg(F.sum("df").cast("long").alias("df"))

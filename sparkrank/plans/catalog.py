@@ -46,8 +46,9 @@ def text_qrels(spark: SparkSession, sf: str, idx: LexicalIndex | None = None) ->
 
 def saved_index(spark: SparkSession, sf: str) -> LexicalIndex:
     """The index written and opened again: runs, judgments and grids read files, not a cache."""
-    path = scratch_path(spark, "lexical")
-    IS.save_lexical(LexicalIndex.build(C.corpus(spark, sf)), path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path, corpus = scratch_path(spark, "lexical"), C.corpus(spark, sf)
+    buckets = IS.buckets_for(corpus.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    IS.save_lexical(LexicalIndex.build(corpus), path, buckets=buckets)
     return IS.load_lexical(spark, path)
 
 
@@ -68,6 +69,18 @@ def dense_text_run(spark: SparkSession, sf: str, k: int) -> DataFrame:
     return D.knn(dv, qv, k)
 
 
+#: Documents in one file of a stream's input, about.
+DOCS_PER_FILE = 20_000
+
+
+def arriving(docs: DataFrame, path: str, batches: int) -> int:
+    """``docs`` written as a stream's input files, as many for each of ``batches`` as their number
+    asks for; returns the files of a batch."""
+    each = max(1, -(-docs.count() // (batches * DOCS_PER_FILE)))
+    docs.repartition(batches * each).write.parquet(path)
+    return each
+
+
 def shown(run: DataFrame, *cols: str) -> DataFrame:
     """Rounded to the output precision; everything before works on ranking precision."""
     return run.select(*(out_score(c).alias(c) if c in cols else c for c in run.columns))
@@ -328,8 +341,8 @@ def q_collection_formats(spark, sf):
 
 def q_index_roundtrip(spark, sf):
     """Save the lexical index (doc-bucketed postings), re-attach it, search it."""
-    path = scratch_path(spark, "lexical")
-    IS.save_lexical(lexical_index(spark, sf), path, buckets=8)
+    path, corpus = scratch_path(spark, "lexical"), C.corpus(spark, sf)
+    IS.save_lexical(LexicalIndex.build(corpus), path, buckets=IS.buckets_for(corpus.count(), 8))
     return shown(IS.load_lexical(spark, path).search(C.queries(spark, sf), k=TOPK), "score")
 
 
@@ -455,15 +468,15 @@ def q_segment_updates(spark, sf):
 def q_stream_segments(spark, sf):
     """Documents arrive as files, a segment a batch, merged as they grow; then search."""
     base = scratch_path(spark, "stream-segments")
-    C.corpus(spark, sf).repartition(4).write.parquet(f"{base}/in")
-    store = stream_segments(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt", max_segments=2)
+    each = arriving(C.corpus(spark, sf), f"{base}/in", 4)
+    store = stream_segments(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt", max_segments=2, files_per_batch=each)
     return shown(store.search(C.queries(spark, sf), k=TOPK), "score")
 
 
 def q_stream_index(spark, sf):
     """Documents arrive as files; the index is maintained per micro-batch; then search."""
     base = scratch_path(spark, "stream-index")
-    C.corpus(spark, sf).repartition(4).write.parquet(f"{base}/in")
+    arriving(C.corpus(spark, sf), f"{base}/in", 4)
     indexer = stream_index(spark, f"{base}/in", "doc_id bigint, text string", f"{base}/index", f"{base}/ckpt")
     return shown(indexer.index().search(C.queries(spark, sf), k=TOPK), "score")
 

@@ -14,7 +14,8 @@ Layout under the base path:
 
 A search reads the partitions of its terms only, and of those the row groups and pages that hold
 them (the terms are pushed to Parquet up to ``MAX_PUSHED_TERMS``). Buckets grow in number with the
-documents (``docs_per_bucket``), so blocks, and with them tasks, stay bounded. Blocks of the terms
+documents (``docs_per_bucket``), so blocks stay bounded; a task that writes has one part of the terms
+of at most ``BUCKETS_PER_FILE`` buckets. Blocks of the terms
 asked for are shuffled by bucket, as arrays and once for all queries of a query block; the k best of
 each query and bucket are ranked over all.
 
@@ -148,12 +149,18 @@ class SegmentStore:
         return self._union("terms", "has_terms").groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
 
     # ---- writing -------------------------------------------------------------------------
-    def _write_blocks(self, postings: DataFrame, name: str, n: int) -> None:
-        """Blocks of ``postings (doc_id, term, tf, dl)`` that come together by bucket."""
-        rows = postings.groupBy("bucket", "term").agg(F.array_sort(F.collect_list(F.struct("doc_id", "tf", "dl"))).alias("p"))
-        blocks = rows.select("bucket", "term", F.col("p.doc_id").alias("ids"), F.col("p.tf").alias("tfs"), F.col("p.dl").alias("dls"), _part("term", self.parts).alias("part"))
+    def _write_blocks(self, postings: DataFrame, name: str) -> None:
+        """Blocks of ``postings (bucket, part, doc_id, term, tf, dl)`` that come together by
+        (run of buckets, part): one task writes one part of the terms of a few buckets."""
+        rows = postings.groupBy("run", "part", "bucket", "term").agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf", "dl"))).alias("p"))
+        blocks = rows.select("bucket", "term", F.col("p.doc_id").alias("ids"), F.col("p.tf").alias("tfs"), F.col("p.dl").alias("dls"), "part")
         blocks.sortWithinPartitions("part", "term", "bucket").write.partitionBy("part").parquet(f"{self.path}/{name}/blocks")
 
+    def _together(self, rows: DataFrame, n_buckets: int) -> DataFrame:
+        """``rows (doc_id, part, ...)`` shuffled by (run of buckets, part), with ``bucket`` and ``run``."""
+        rows = rows.withColumn("bucket", _bucket("doc_id", n_buckets)).withColumn("run", F.floor(F.col("bucket") / F.lit(BUCKETS_PER_FILE)).cast("int"))
+        return rows.repartition(self._files(n_buckets) * self.parts, "run", "part")
+
     def _n_buckets(self, n: int) -> int:
         return max(1, -(-n // self.docs_per_bucket))
 
@@ -179,7 +186,7 @@ class SegmentStore:
         rejected = rows.select("doc_id").join(held, "doc_id", "left_semi").distinct()
         fresh = one_text_per_id(rows.join(held, "doc_id", "left_anti"))
         name = f"seg-{uuid.uuid4().hex[:12]}"
-        per_doc = per_document(fresh)
+        per_doc = per_document(fresh, shuffled=True)
         staged = scratch_path(self.spark, "per-doc")  # tokenised once, for its count and its blocks
         per_doc.write.parquet(staged)
         per_doc = self.spark.read.schema(per_doc.schema).parquet(staged)
@@ -187,9 +194,8 @@ class SegmentStore:
         if not n:
             return self, rejected
         n_buckets = self._n_buckets(n)
-        clustered = per_doc.withColumn("bucket", _bucket("doc_id", n_buckets)).repartition(self._files(n_buckets), "bucket")
-        postings = clustered.select("bucket", "doc_id", "dl", F.inline_outer("tfs")).where("term is not null")
-        self._write_blocks(postings, name, n)
+        terms = per_doc.select("doc_id", "dl", F.inline_outer("tfs")).where("term is not null").withColumn("part", _part("term", self.parts))
+        self._write_blocks(self._together(terms, n_buckets), name)
         per_doc.select("doc_id", "dl").write.parquet(f"{self.path}/{name}/docs")
         return self._commit([*self.segments, self._finish(name, n_buckets)]), rejected
 
@@ -240,8 +246,7 @@ class SegmentStore:
         if not n:
             return self._commit(kept)
         n_buckets = self._n_buckets(n)
-        rows = tail.postings().withColumn("bucket", _bucket("doc_id", n_buckets)).repartition(self._files(n_buckets), "bucket")
-        self._write_blocks(rows, name, n)
+        self._write_blocks(self._together(tail.postings().withColumn("part", _part("term", self.parts)), n_buckets), name)
         tail.docs().write.parquet(f"{self.path}/{name}/docs")
         return self._commit([*kept, self._finish(name, n_buckets)])
 

@@ -79,7 +79,7 @@ class StreamingIndexer:
         seen = seen.join(broadcast_if_small(ids), "doc_id", "left_semi").distinct()
         _write_batch(seen, self._t("rejected"), batch_id)
         known = self.table("rejected").filter(F.col("batch_id") == batch_id).select("doc_id")
-        postings, doc_stats = build_postings(docs.join(broadcast_if_small(known), "doc_id", "left_anti"))
+        postings, doc_stats = build_postings(docs.join(broadcast_if_small(known), "doc_id", "left_anti"), shuffled=True)
         _write_batch(postings, self._t("postings"), batch_id)
         _write_batch(doc_stats, self._t("doc_stats"), batch_id)
         _write_batch(term_stats_of(self.table("postings").filter(F.col("batch_id") == batch_id)), self._t("term_df"), batch_id)
@@ -144,8 +144,8 @@ def stream_search(
     return spark.read.parquet(out_path).drop("batch_id")
 
 
-def stream_segments(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, max_segments: int = 8, id_type: str = "bigint") -> SegmentStore:
-    """R1 on the segmented index: every micro-batch of ``source`` becomes a segment of the index at
+def stream_segments(spark: SparkSession, source: str, schema: str, path: str, checkpoint: str, max_segments: int = 8, id_type: str = "bigint", files_per_batch: int = 1) -> SegmentStore:
+    """R1 on the segmented index: every micro-batch of ``source`` (``files_per_batch``) becomes a segment of the index at
     ``path`` (made if there is none), and segments are merged as their number passes
     ``max_segments``. Runs until all available files are taken; returns the last snapshot.
 
@@ -163,7 +163,7 @@ def stream_segments(spark: SparkSession, source: str, schema: str, path: str, ch
         store, _ = SegmentStore.open(batch.sparkSession, path).add(batch.select("doc_id", "text"))
         store.merge(max_segments)
 
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     rows.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return SegmentStore.open(spark, path)
 

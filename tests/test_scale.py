@@ -3,8 +3,15 @@
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import functions as F
+
 from sparkrank.operators import dense as D
+from sparkrank.operators import lexical as L
 from sparkrank.operators.ivf import IVFIndex
+from sparkrank.plans.catalog import arriving
+from sparkrank.sources import index_store as IS
+from sparkrank.sources import segment_store as SS
+from sparkrank.streaming.indexing import stream_segments
 
 
 def test_probing_queries_are_packed_once_and_answered_right(spark, monkeypatch):
@@ -44,11 +51,45 @@ def test_hash_encoder_equals_the_column_functions(spark, monkeypatch):
     monkeypatch.setattr(D, "MAX_KNOWN_TERMS", 3)
     got = {r.doc_id: np.array(r.embedding) for r in D.hash_encode(df, dim=16).collect()}
     sums = {i: np.zeros(16) for i, _ in texts}
-    from pyspark.sql import functions as F
-
     terms = df.select("doc_id", F.explode(D.tokenize("text")).alias("t")).select("doc_id", D.term_bucket("t", 16).alias("b"), D.term_sign("t").alias("s"))
     for r in terms.collect():
         sums[r.doc_id][r.b] += r.s
     for i, v in sums.items():
         norm = np.sqrt((v * v).sum())
         assert (got[i] == (v / norm if norm else v)).all()
+
+
+def docs_of(spark, n):
+    return spark.createDataFrame([(i, " ".join(f"w{(i * j) % 37}" for j in range(1, 30))) for i in range(n)], "doc_id long, text string")
+
+
+def test_a_segment_is_written_by_as_many_tasks_as_it_has_parts(spark, tmp_path, monkeypatch):
+    """One task once wrote sixteen buckets whole, 320,000 documents; now one part of their terms."""
+    store = SS.SegmentStore.create(spark, f"file://{tmp_path}/index", parts=4, docs_per_bucket=10)
+    monkeypatch.setattr(SS, "BUCKETS_PER_FILE", 2)
+    rows = L.postings_of(L.per_document(docs_of(spark, 80))).withColumn("part", SS._part("term", 4))
+    dealt = store._together(rows, 8).withColumn("task", F.spark_partition_id())
+    assert dealt.rdd.getNumPartitions() == 4 * 4
+    groups = dealt.groupBy("run", "part").agg(F.countDistinct("task").alias("tasks"), F.countDistinct("bucket").alias("buckets")).collect()
+    assert len(groups) == 16 and {g.tasks for g in groups} == {1} and max(g.buckets for g in groups) == 2
+    store, _ = store.add(docs_of(spark, 80))
+    want = L.postings_of(L.per_document(docs_of(spark, 80)))
+    assert sorted(map(tuple, store.postings().collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_buckets_and_stream_files_grow_with_the_documents(spark, tmp_path, monkeypatch):
+    assert [IS.buckets_for(n, 8) for n in (0, 80_000, 80_001, 3_000_000)] == [8, 8, 9, 300]
+    monkeypatch.setattr("sparkrank.plans.catalog.DOCS_PER_FILE", 10)
+    docs = docs_of(spark, 75)
+    each = arriving(docs, f"file://{tmp_path}/in", 4)
+    assert each == 2 and len(list((tmp_path / "in").glob("part-*"))) == 8
+    store = stream_segments(spark, f"file://{tmp_path}/in", "doc_id bigint, text string", f"file://{tmp_path}/index", f"file://{tmp_path}/ckpt", max_segments=9, files_per_batch=each)
+    assert len(store.segments) == 4 and store.n == 75
+
+
+def test_adding_documents_counts_no_partitions_of_a_shuffle(spark, monkeypatch):
+    """Counting them ran the shuffle of the texts once more."""
+    first = L.LexicalIndex.build(docs_of(spark, 5))
+    monkeypatch.setattr(L, "spread", lambda df: (_ for _ in ()).throw(AssertionError("the partitions were counted")))
+    index, _ = first.add_documents(docs_of(spark, 9))
+    assert index.doc_stats.count() == 9
