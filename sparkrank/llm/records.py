@@ -20,7 +20,8 @@ retried or duplicated task leaves one whole file with the same bytes.
 Encoding: where the tokenizer's file says that it lower-cases and splits words as ``PIECEWISE``
 does, no token joins across white space, so a text's ids are those of its white-space-separated
 pieces; each distinct piece is encoded once and remembered, up to ``CACHE_PIECES`` pieces per
-generation and worker. Every other tokenizer is given whole texts. Ids take as many bytes as the
+generation and worker. New pieces that are plain words are given to the library many at once, set
+apart by spaces, and told apart by the ids that end a word. Every other tokenizer is given whole texts. Ids take as many bytes as the
 file's largest id needs.
 
 Edge cases: a null or empty text is a record of the end id alone; null ids come first; repeated
@@ -33,7 +34,9 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -58,11 +61,17 @@ PIECEWISE = {
         ],
     },
 }
+# What such a tokenizer's model says of itself where a word's last token, and no other, ends in the suffix.
+SUFFIXED = {"type": "BPE", "dropout": None, "unk_token": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+WORDS_AT_ONCE = 256
 READ_BYTES = 8 << 20
 _BATCH_BYTES = 2 << 20
 _MASK = 0xA282EAD8
 _MARKS = re.compile("[̀-ͯ]")
-_TAIL = re.compile(rb"(?<=[a-z])[.,;:!?]+(?=[\x20\t-\r]|\Z)")
+# One word whatever the normaliser does: Latin letters that are composed and have one lower case.
+_WORD = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
+# Punctuation behind a letter, up to white space; the class comes first, for the scan to skip by it.
+_TAIL = re.compile(rb"[.,;:!?](?<=[a-z].)[.,;:!?]*(?=[\x20\t-\r]|\Z)")
 
 
 def masked(data: bytes) -> int:
@@ -103,6 +112,24 @@ def _spec(path: str) -> dict:
         return json.load(f)
 
 
+def _word_tokenizer(path: str, tokenizer):
+    """``(tokenizer, ends)`` for words set apart by spaces: the model of ``tokenizer`` behind those of
+    its steps that do something to such a word; ``ends`` marks ids that end one. None for other models."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    model = _spec(path)["model"]
+    suffix = model.get("end_of_word_suffix")
+    if not suffix or model.get("continuing_subword_prefix") or any(model.get(k, v) != v for k, v in SUFFIXED.items()):
+        return None
+    words = Tokenizer(tokenizer.model)
+    words.normalizer = normalizers.Lowercase()
+    words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    vocab = words.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+    ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+    return words, ends
+
+
 def largest_id(path: str) -> int:
     from tokenizers import Tokenizer
 
@@ -120,27 +147,66 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
-        self.kind, self.by_piece = f"<u{width}", by_piece and piecewise(_spec(path))
+        self.kind, self.by_piece = {2: "H", 4: "I"}[width], by_piece and piecewise(_spec(path))
+        self.words = _word_tokenizer(path, self.tokenizer) if self.by_piece else None
         # Pieces of this and of the previous generation: what is used again moves up.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        packed = (array(self.kind, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        if sys.byteorder == "little":
+            return [a.tobytes() for a in packed]
+        return [struct.pack(f"<{len(a)}{self.kind}", *a) for a in packed]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """As ``_encode``, of plain words, many at once: the library's time is mostly spent a text."""
+        tokenizer, ends = self.words
+        joined = [" ".join(words[k : k + WORDS_AT_ONCE]) for k in range(0, len(words), WORDS_AT_ONCE)]
+        flat = b"".join(array(self.kind, e.ids).tobytes() for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False))
+        ids = np.frombuffer(flat, dtype=self.kind)
+        stops = ((np.flatnonzero(ends[ids]) + 1) * ids.itemsize).tolist()
+        if len(stops) != len(words):  # a letter that the model does not know
+            return self._encode(words)
+        if sys.byteorder != "little":
+            flat = ids.byteswap().tobytes()
+        return [flat[i:j] for i, j in zip([0, *stops], stops)]
+
+    def _encode_pieces(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each piece with its ids."""
+        plain, rest = [], []
+        for p in pieces:
+            t = p.decode()
+            (plain if self.words and _WORD.fullmatch(t) else rest).append((p, t))
+        for some, encode in ((plain, self._encode_words), (rest, self._encode)):
+            if some:
+                names, texts = zip(*some)
+                yield from zip(names, encode(list(texts)))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_piece:
             return self._encode([t.decode() for t in texts])
-        pieces = [_pieces(t) for t in texts]
         if len(self.known) > CACHE_PIECES:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        asked = set().union(*pieces).difference(known)
+        found, gaps, asked = [], [], set()
+        for t in texts:
+            pieces = _pieces(t)
+            ids = list(map(known.get, pieces))
+            at = [k for k, x in enumerate(ids) if x is None]
+            lacking = [pieces[k] for k in at]
+            asked.update(lacking)
+            found.append(ids)
+            gaps.append((at, lacking))
         again = older.keys() & asked
         known.update((p, older[p]) for p in again)
-        new = list(asked - again)
-        known.update(zip(new, self._encode([p.decode() for p in new])))
-        return [b"".join(map(known.__getitem__, p)) for p in pieces]
+        known.update(self._encode_pieces(list(asked - again)))
+        out = []
+        for ids, (at, lacking) in zip(found, gaps):
+            for k, p in zip(at, lacking):
+                ids[k] = known[p]
+            out.append(b"".join(ids))
+        return out
 
 
 _ENCODERS: dict[tuple, PieceEncoder] = {}

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -32,6 +33,58 @@ def test_special_tokens_and_words():
         assert np.frombuffer(ENCODER([t.encode()])[0], "<u2").tolist() == whole(t)
 
 
+def test_a_known_piece_is_looked_up_once():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return dict.__getitem__(self, key)
+
+        def __iter__(self):
+            raise AssertionError("all that is remembered was gone through")
+
+    encoder, text = R.PieceEncoder(PATH, 2, True), "one two three, two one"
+    encoder([text.encode()])
+    encoder.known = Counted(encoder.known)
+    assert np.frombuffer(encoder([text.encode()])[0], "<u2").tolist() == whole(text)
+    assert Counted.asked == len(R._pieces(text.encode())) == 6
+    assert np.frombuffer(encoder([(text + " four").encode()])[0], "<u2").tolist() == whole(text + " four")
+    assert Counted.asked == 6 + 7 + 1  # the new piece once more
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet="abcmzJÀÉÞàéñöøÿßæ", min_size=1, max_size=12), min_size=1, max_size=600))
+def test_words_encoded_together_equal_words_alone(words):
+    assert all(R._WORD.fullmatch(w.lower()) for w in words)
+    assert ENCODER._encode_words(words) == ENCODER._encode(words)
+
+
+def test_new_words_are_given_to_the_library_together(monkeypatch):
+    alone, encoder = [], R.PieceEncoder(PATH, 2, True)
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: alone.extend(texts) or encode(texts))
+    text = "Überaus viele neue Wörter, zusammen 3 a1 x##"
+    assert np.frombuffer(encoder([text.encode()])[0], "<u2").tolist() == whole(text)
+    assert sorted(alone) == [",", "3", "a1", "x##"]
+
+
+def test_every_plain_letter_is_one_word():
+    letters = [chr(c) for c in range(256) if R._WORD.fullmatch(chr(c))]
+    assert [np.frombuffer(x, "<u2").tolist() for x in ENCODER._encode_words(letters)] == [whole(c) for c in letters]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="ab1.,!? \n\t-", max_size=24))
+def test_tails_are_those_behind_letters(text):
+    behind = re.sub(r"(?<=[a-z])[.,;:!?]+(?=[\x20\t-\r]|\Z)", r" \g<0>", text)
+    assert R._TAIL.sub(rb" \g<0>", text.encode()) == behind.encode()
+
+
 def test_generations_forget_and_remember(monkeypatch):
     monkeypatch.setattr(R, "CACHE_PIECES", 2)
     for t in ("one two three", "one two four", "five six one", "one two three"):
