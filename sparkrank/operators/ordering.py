@@ -3,6 +3,8 @@
 * ``top_k``: canonical per-group top-k. ``row_number() <= k`` over a *partitioned* window, which
   Catalyst turns into a partial ``WindowGroupLimit`` before the shuffle and a final one after,
   so at most k rows per group per map task cross the network.
+* ``best_in_tasks``: before a ``top_k`` over very many scored rows, what is left of each task's rows
+  without sorting them: those that its k best so far do not rule out.
 * ``prefix_positions``: exact positions in a value order **without** a global window (a window
   with no PARTITION BY would pull every row into one task).
 * ``exact_percentiles``: linear-interpolated percentiles from ``prefix_positions``; only the
@@ -11,13 +13,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import rank_key
-from ..session import broadcast_if_bounded, broadcast_if_small
+from ..functions.text import RANK_DECIMALS, rank_key
+from ..session import broadcast_if_bounded, broadcast_if_small, ship_package
+
+# Rows that a task holds before it drops those ruled out, and after dropping before it hands them on.
+HELD_ROWS = 65_536
+MAX_HELD_ROWS = 1_000_000
+# Scores further apart than this differ after rounding to RANK_DECIMALS.
+_NEAR = 2 * 10.0**-RANK_DECIMALS
 
 
 def top_k(
@@ -36,6 +47,69 @@ def top_k(
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
+def _ruled_out(group: np.ndarray, tie: np.ndarray, scores: np.ndarray, k: int, kth: np.ndarray) -> np.ndarray:
+    """Which rows cannot be among the k best of their group by any score; raises ``kth``, the k-th best
+    score seen of each group. Of rows with one and the same score k are left, those first by ``tie``."""
+    out = ~np.isnan(scores).any(axis=1)
+    place = np.arange(len(group))
+    for j in range(scores.shape[1]):
+        order = np.lexsort((tie, -scores[:, j], group))
+        g, s = group[order], scores[order, j]
+        new = np.r_[True, g[1:] != g[:-1]]
+        pos = place - np.maximum.accumulate(np.where(new, place, 0))
+        run = place - np.maximum.accumulate(np.where(new | np.r_[True, s[1:] != s[:-1]], place, 0))
+        at = (pos == k - 1) & ~np.isnan(s)
+        kth[g[at], j] = np.maximum(kth[g[at], j], s[at])
+        out[order] &= (run >= k) | (s < kth[g, j] - _NEAR)
+    return out
+
+
+def _keeper(group: str, scores: list[str], tie: str, k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes: dict = {}
+        kth = np.empty((0, len(scores)))
+        held: list[tuple[pa.RecordBatch, np.ndarray]] = []
+        count, limit = 0, HELD_ROWS
+
+        def matrix(b):
+            return np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in scores]).astype(np.float64, copy=False)
+
+        for b in batches:
+            coded = b.column(group).dictionary_encode(null_encoding="encode")
+            code = np.array([codes.setdefault(v, len(codes)) for v in coded.dictionary.to_pylist()], dtype=np.int64)[coded.indices.to_numpy()]
+            if len(codes) > len(kth):
+                kth = np.concatenate([kth, np.full((2 * len(codes) - len(kth), len(scores)), -np.inf)])
+            keep = ~(matrix(b) < kth[code] - _NEAR).all(axis=1)  # a NaN is kept
+            if not keep.any():
+                continue
+            held.append((b.filter(pa.array(keep)), code[keep]))
+            count += len(held[-1][1])
+            if count < limit:
+                continue
+            rows = pa.Table.from_batches([x for x, _ in held]).combine_chunks().to_batches()[0]
+            code = np.concatenate([c for _, c in held])
+            order = pc.rank(rows.column(tie), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+            keep = ~_ruled_out(code, order, matrix(rows), k, kth)
+            held, count = [(rows.filter(pa.array(keep)), code[keep])], int(keep.sum())
+            if count > MAX_HELD_ROWS:  # what they rule out stays ruled out
+                yield held.pop()[0]
+                count = 0
+            limit = max(HELD_ROWS, 2 * count)
+        yield from (x for x, _ in held)
+
+    return run
+
+
+def best_in_tasks(df: DataFrame, k: int, scores: Sequence[str] = ("score",), group: str = "qid", tie: str = "doc_id") -> DataFrame:
+    """Rows of ``df``, all that are among the k best of their ``group`` by any of ``scores`` (higher is
+    better, ranked as ``top_k`` does) among them; ``(group, tie)`` is unique.
+
+    Each task reads its rows as they come and holds those that its k best so far do not rule out: no
+    sort, and memory that grows with groups and k, up to a bound, not with rows. ``top_k`` follows."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(_keeper(group, list(scores), tie, k), df.schema)
+
+
 def prefix_positions(
     df: DataFrame,
     value: str,

@@ -18,7 +18,7 @@ from ..functions.text import join_first_ids, out_score, rank_key
 from ..operators import evaluate as E
 from ..operators import fusion as FU
 from ..operators.lexical import LexicalIndex, bm25_term_score
-from ..operators.ordering import exact_percentiles, first_n_by, top_k
+from ..operators.ordering import best_in_tasks, exact_percentiles, first_n_by, top_k
 
 # The reference's parameter grids.
 ALPHAS = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
@@ -88,7 +88,8 @@ def bm25_grid(
     k: int = E.DEFAULT_K_RECALL,
 ) -> DataFrame:
     """``(k1, b, ndcg, mrr, recall, is_best)``; postings matched once, all pairs scored in
-    one aggregation, then expanded and ranked per (k1, b, qid)."""
+    one aggregation; what no pair ranks among a task's k best is dropped, the rest expanded and
+    ranked per (k1, b, qid)."""
     grid = [(float(k1), float(b)) for k1 in k1_values for b in b_values]
     avgdl = index.scalar("avgdl")
     m = index.matched(queries)
@@ -96,7 +97,7 @@ def bm25_grid(
         F.sum(bm25_term_score(F.col("idf"), F.col("tf"), F.col("dl"), avgdl, F.lit(k1), F.lit(b))).alias(f"__s{i}")
         for i, (k1, b) in enumerate(grid)
     ]
-    scored = m.groupBy("qid", "doc_id").agg(*sums)
+    scored = best_in_tasks(m.groupBy("qid", "doc_id").agg(*sums), k, [f"__s{i}" for i in range(len(grid))])
     expanded = scored.select(
         "qid",
         "doc_id",

@@ -93,3 +93,42 @@ def test_adding_documents_counts_no_partitions_of_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(L, "spread", lambda df: (_ for _ in ()).throw(AssertionError("the partitions were counted")))
     index, _ = first.add_documents(docs_of(spark, 9))
     assert index.doc_stats.count() == 9
+
+
+def test_grid_thins_its_scores_in_their_tasks(spark, monkeypatch):
+    """What a task's k best rule out, by every score, is neither expanded nor sorted; ties and nulls stay exact."""
+    from sparkrank.operators import ordering as O
+
+    rows = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("qid"),
+        F.when(F.col("id") >= 5, F.col("id")).alias("doc_id"),
+        (F.xxhash64("id") % 50 / 7).alias("a"),
+        F.when(F.col("id") % 9999 > 0, F.sin("id")).alias("b"),
+    ).where("doc_id is not null or qid is null")
+    kept = O.best_in_tasks(rows, 3, ["a", "b"])
+    few = O._keeper("qid", ["a", "b"], "doc_id", 3)
+    monkeypatch.setattr(O, "HELD_ROWS", 64)
+    monkeypatch.setattr(O, "MAX_HELD_ROWS", 40)
+    batches = rows.toArrow().to_batches(max_chunksize=500)
+    bounded = list(few(iter(batches)))
+    assert sum(b.num_rows for b in bounded) < 4_000
+    for some in (kept, spark.createDataFrame(pa.Table.from_batches(bounded))):
+        for score in ("a", "b"):
+            assert sorted(O.top_k(some, 3, score=score).collect(), key=repr) == sorted(O.top_k(rows, 3, score=score).collect(), key=repr)
+
+
+def test_grid_expands_few_rows(spark):
+    """The 12 settings are laid out for rows that a task's best left, behind the aggregation."""
+    from sparkrank.operators.lexical import LexicalIndex
+    from sparkrank.plans import experiments as X
+
+    docs = spark.createDataFrame([(i, f"alpha w{i % 7} w{i % 11}") for i in range(60)], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "alpha w3"), (2, "w5 w10")], "qid long, text string")
+    qrels = spark.createDataFrame([(1, 3, 1), (2, 5, 1)], "qid long, doc_id long, rel int")
+    calls, real = [], X.best_in_tasks
+    X.best_in_tasks = lambda df, k, scores: calls.append(scores) or real(df, k, scores)
+    try:
+        got = X.bm25_grid(LexicalIndex.build(docs), qrels, queries, k=5).collect()
+    finally:
+        X.best_in_tasks = real
+    assert len(got) == 12 and len(calls) == 1 and len(calls[0]) == 12
