@@ -41,12 +41,30 @@ CACHE_PARTS = 250_000
 BATCH_CHARS = 1 << 20
 WIDE = 96
 MAX_REMEMBERED = 2_000_000
+RECENT_BITS = 20
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _CUT = "\0"
 _PARTS = re.compile(f"{MARK}*[^{MARK}{_CUT}]+|{MARK}+")
 _WHOLE = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _STOPS = ".,;:!?"
 
 
+def _suffix_order(codes: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of the first ``n`` suffixes of ``codes`` by as many characters as are left behind
+    the last of them; characters are packed by their rank among those that occur, as many as fit."""
+    width = len(codes) - n + 1
+    rank = np.cumsum(np.bincount(codes) > 0)
+    ranks, bits = rank[codes], int(rank[-1]).bit_length()
+    keys = []
+    for a in range(0, width, 63 // bits):
+        key = np.zeros(n, dtype=np.int64)
+        for j in range(a, min(a + 63 // bits, width)):
+            key <<= bits
+            key |= ranks[j : j + n]
+        keys.append(key)
+    return np.lexsort(keys[::-1])
+
+
 class Model:
     """Pieces, scores and special ids of a byte-pair model with byte fallback."""
 
@@ -77,10 +95,16 @@ class Model:
         high = low.copy()
         self.lengths = np.array([len(p) for p in self.pieces])
         high[np.arange(self.dead), self.lengths] = 0x200000  # above every character
-        self.low, self.high = low.view(f"<U{width}").ravel(), high.view(f"<U{width}").ravel()
+        # Bounds are searched in their own order, each beside the one before, and put back by piece.
+        self.bounds = []
+        for b in (low.view(f"<U{width}").ravel(), high.view(f"<U{width}").ravel()):
+            order = np.argsort(b, kind="stable")
+            self.bounds.append((b[order], np.argsort(order)))
         self.id_of = np.array([*self.ids, -1], dtype=np.int64)
         # Pairs of pieces seen so far, packed and sorted, and whether they stay apart.
         self.pairs, self.stays = np.array([-1], dtype=np.int64), np.array([False])
+        # Of them, in the place that its digits choose, the pair found last: most are looked up here.
+        self.recent, self.recent_stays = np.full(1 << RECENT_BITS, -1, dtype=np.int64), np.zeros(1 << RECENT_BITS, dtype=bool)
         whole = [self.merge(p) == [p] for p in self.pieces]
         self.whole = np.array(whole)  # a piece that its own merges do not make is never used
         # Parts of this and of the previous generation: what is used again moves up, so parts that
@@ -124,11 +148,11 @@ class Model:
         padded = np.concatenate([codes, np.zeros(width, dtype=np.uint32)])
         for at in range(0, len(codes), BLOCK):
             n = min(BLOCK, len(codes) - at)
-            windows = np.lib.stride_tricks.sliding_window_view(padded[at : at + n + width - 1], width)
-            suffixes = np.ascontiguousarray(windows).view(f"<U{width}").ravel()
-            order = np.argsort(suffixes, kind="stable")
-            ranked = suffixes[order]
-            first, last = np.searchsorted(ranked, self.low), np.searchsorted(ranked, self.high)
+            block = padded[at : at + n + width - 1]
+            order = _suffix_order(block, n)
+            windows = np.lib.stride_tricks.sliding_window_view(block, width)
+            ranked = windows[order].view(f"<U{width}").ravel()
+            first, last = (np.searchsorted(ranked, b)[place] for b, place in self.bounds)
             count = np.where(self.whole, last - first, 0)
             piece = np.repeat(np.arange(self.dead), count)
             rank = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
@@ -145,6 +169,17 @@ class Model:
 
     def _compatible(self, pairs: np.ndarray) -> np.ndarray:
         """Whether each packed pair of pieces stays apart when merged alone."""
+        place = (pairs.view(np.uint64) * _SPREAD >> np.uint64(64 - RECENT_BITS)).view(np.int64)
+        out, rest = self.recent_stays[place], np.flatnonzero(self.recent[place] != pairs)
+        if len(rest):
+            out[rest] = found = self._stays(pairs[rest])
+            self.recent[place[rest]] = pairs[rest]
+            # Of pairs that share a place one is kept, with its own answer.
+            won = self.recent[place[rest]] == pairs[rest]
+            self.recent_stays[place[rest[won]]] = found[won]
+        return out
+
+    def _stays(self, pairs: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.pairs, pairs)
         at[at == len(self.pairs)] = 0
         known = self.pairs[at] == pairs
@@ -155,7 +190,7 @@ class Model:
                 self.pairs, self.stays = self.pairs[:1], self.stays[:1]
             at = np.searchsorted(self.pairs, new)
             self.pairs, self.stays = np.insert(self.pairs, at, new), np.insert(self.stays, at, stays)
-            return self._compatible(pairs)
+            return self._stays(pairs)
         return self.stays[at]
 
     def _relaxed(self, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,20 +257,37 @@ class Model:
     def _parts(self, text: str) -> list[str]:
         if _CUT in text:
             return _WHOLE.findall(text)
-        return _PARTS.findall(self.stops.sub(_CUT + r"\g<0>", text))
+        text = self.stops.sub(_CUT + r"\g<0>", text)
+        if MARK + MARK in text:
+            return _PARTS.findall(text)
+        parts = text.replace(MARK, _CUT + MARK).split(_CUT)  # the same, where no two marks meet
+        return parts if parts[0] else parts[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as packed 32-bit integers."""
-        split = [self._parts(self.processor.normalize(t)) if t else [] for t in texts]
         if len(self.cache) > self.cache_parts:
             self.cache, self.older = {}, self.cache
-        asked = set().union(*split).difference(self.cache)
+        cache = self.cache
+        found, gaps, asked = [], [], set()
+        for t in texts:
+            parts = self._parts(self.processor.normalize(t)) if t else []
+            ids = list(map(cache.get, parts))
+            at = [k for k, x in enumerate(ids) if x is None]
+            lacking = [parts[k] for k in at]
+            asked.update(lacking)
+            found.append(ids)
+            gaps.append((at, lacking))
         known = self.older.keys() & asked
-        self.cache.update((p, self.older[p]) for p in known)
+        cache.update((p, self.older[p]) for p in known)
         new = sorted(asked - known)
         if new:
-            self.cache.update(zip(new, self._segment(new)))
-        return [b"".join(map(self.cache.__getitem__, parts)) for parts in split]
+            cache.update(zip(new, self._segment(new)))
+        out = []
+        for ids, (at, lacking) in zip(found, gaps):
+            for k, p in zip(at, lacking):
+                ids[k] = cache[p]
+            out.append(b"".join(ids))
+        return out
 
     def decode(self, ids) -> str:
         """The text of ids that ``encode`` gave; the leading word mark is dropped."""

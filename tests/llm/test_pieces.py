@@ -69,3 +69,32 @@ def test_edges(spark, docs_of):
     assert all(r.round_trip for r in got)
     assert P.encode(docs_of(rows), PATH, out="w2").columns == [*docs_of(rows).columns, "w2"]
     assert P.encoded_documents(docs_of([]), PATH).count() == 0
+
+
+def test_packed_suffixes_sort_like_strings():
+    rng = np.random.default_rng(5)
+    for letters in ([1, 2], [1, 98, 0x10FFFF, 0xE000], list(range(1, 900))):
+        codes = np.concatenate([rng.choice([0, *letters], 700), np.zeros(17, dtype=np.int64)]).astype(np.uint32)
+        windows = np.lib.stride_tricks.sliding_window_view(codes[: 700 + 16], 17)
+        plain = sorted(range(700), key=lambda i: (windows[i].tolist(), i))
+        assert P._suffix_order(codes[: 700 + 16], 700).tolist() == plain
+
+
+def test_pairs_that_share_a_place_keep_their_answers(monkeypatch):
+    monkeypatch.setattr(P, "RECENT_BITS", 2)
+    model = P.Model(PATH)
+    rng = np.random.default_rng(6)
+    pairs = rng.integers(0, 300, 400) * (model.dead + 1) + rng.integers(0, 300, 400)
+    pairs = np.concatenate([pairs, pairs[::-1], pairs])
+    at = lambda x: model.pieces[x]
+    want = [model.merge(at(a) + at(b)) == [at(a), at(b)] for a, b in (divmod(x, model.dead + 1) for x in pairs.tolist())]
+    for part in (slice(0, 5), slice(5, 700), slice(0, None)):
+        assert model._compatible(pairs[part]).tolist() == want[part]
+
+
+def test_known_pairs_and_parts_are_not_searched_again(monkeypatch):
+    model = P.Model(PATH)
+    first = model.encode(["one two three, two. one  two"])
+    monkeypatch.setattr(model, "_stays", lambda pairs: (_ for _ in ()).throw(AssertionError("searched again")))
+    model.cache, model.older = {}, {}
+    assert model.encode(["one two three, two. one  two"]) == first
