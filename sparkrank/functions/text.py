@@ -52,19 +52,12 @@ def with_term_frequencies(df, tokens: str = "tokens", out: str = "tfs"):
     every posting of a document is produced by the task that read the document. Built in
     steps so the sorted array and the run starts are evaluated once per row.
     """
-    s = F.col("__sorted")
-    n = F.size(s)
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: (i <= n) & ((i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1))))),
-    )
-    st = F.col("__starts")
+    s, st = F.col("__sorted"), F.col("__starts")
+    # Each step of a lambda is interpreted, so there are few; what is no start is removed natively.
+    starts = F.array_remove(F.transform(s, lambda x, i: F.when(x.eqNullSafe(F.get(s, i - 1)), F.lit(-1)).otherwise(i)), -1)
     pairs = F.transform(
         st,
-        lambda a, j: F.struct(
-            F.element_at(s, a).alias("term"),
-            (F.coalesce(F.try_element_at(st, j + 2), n + 1) - a).cast("int").alias("tf"),
-        ),
+        lambda a, j: F.struct(F.get(s, a).alias("term"), (F.coalesce(F.get(st, j + 1), F.size(s)) - a).alias("tf")),
     )
     return (
         df.withColumn("__sorted", F.sort_array(F.col(tokens)))  # natively; array_sort compares by a lambda

@@ -5,35 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path, ship_package
-
-
-#: Batches for Python workers hold at most so many bytes: whole texts of any number of rows would
-#: otherwise come in batches of the default 64 MB, several times that as Python objects.
-BATCH_BYTES = 4 << 20
+from ..session import bound_batches, ensure_checkpoint_dir, release_memory, scratch_path, ship_package  # noqa: F401
 
 
 def prepare(spark: SparkSession) -> None:
     """Make the package importable by Python workers, fix the shared scratch folder, and bound
-    the session's Arrow batches by ``BATCH_BYTES`` unless they are bounded closer already."""
+    the session's Arrow batches (see ``bound_batches``)."""
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    now = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")).rstrip("bB")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
-def release_memory() -> None:
-    """Give what a Python worker has freed back to the system, so that workers which wait between
-    stages do not hold their peak beside the next stage's."""
-    import ctypes
-
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    bound_batches(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,11 +12,14 @@ Plan shape of a build: the corpus scan tokenises and counts terms inside each ro
 ``postings`` and ``doc_stats`` need no shuffle; ``term_stats`` is one partial+final hash
 aggregation by term; ``corpus_stats`` is a global aggregate of two numbers.
 
-Plan shape of a search: query terms (small, size-checked) are broadcast and joined with
-``postings`` by term (the postings side is never shuffled for the join); contributions are
-summed per (qid, doc_id) and ranked with ``top_k``. When the postings come from an index
-saved with ``bucket_by_doc`` the scan is already clustered by ``doc_id``, so the sum needs
-no exchange and only the local top-k of each task is shuffled.
+Plan shape of a search: the queries' distinct terms (small, size-checked) are broadcast and joined
+with ``postings`` by term (the postings side is never shuffled for the join). What is left of a
+document is gathered into one row of terms and weights; rows are packed into blocks, and blocks of
+queries are scored against them with arrays, so a (query, document) pair is a row only where it is
+among the k best of a block. ``top_k`` ranks those. When the postings come from an index saved with
+``bucket_by_doc`` the scan is already clustered by ``doc_id``, so the gathering needs no exchange
+and only the local top-k of each task is shuffled. Query terms too many to broadcast are joined by a
+shuffle and summed per (qid, doc_id), and so, in one lazy plan, are the matches of a cached index.
 """
 
 from __future__ import annotations
@@ -26,9 +29,12 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import spread
+from ..session import bound_batches, ship_package, spread, written
 from ..functions.text import RANK_DECIMALS, doc_length, tokenize, with_term_frequencies
+from .blocks import packer, scorer
 from .ordering import top_k
 
 # The reference's default BM25 parameters.
@@ -37,6 +43,8 @@ DEFAULT_B = 0.75
 
 # Largest query-term table broadcast to every task (rows of (qid, term, idf)).
 MAX_BROADCAST_QUERY_TERMS = 5_000_000
+# Rows of (qid, term), about, in one block of queries.
+TERMS_PER_QUERY_BLOCK = 100_000
 
 
 def tokenized(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -118,6 +126,7 @@ class LexicalIndex:
     b: float = DEFAULT_B
     meta: dict = field(default_factory=dict)
     per_doc: DataFrame | None = None  # (doc_id, dl, tfs) when built here; lets a save shuffle arrays
+    cached: bool = False  # its search stays one lazy plan and writes nothing
 
     # ---- build -------------------------------------------------------------------------
     @classmethod
@@ -144,7 +153,7 @@ class LexicalIndex:
         if persist:
             term_stats = term_stats.persist(StorageLevel.MEMORY_AND_DISK)
             corpus_stats = corpus_stats.persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(postings, doc_stats, term_stats, corpus_stats, k1, b, per_doc=per_doc)
+        return cls(postings, doc_stats, term_stats, corpus_stats, k1, b, per_doc=per_doc, cached=persist)
 
     def scalar(self, name: str):
         """A corpus statistic as a scalar subquery (lazy, evaluated once, no join)."""
@@ -185,13 +194,38 @@ class LexicalIndex:
         contrib = bm25_term_score(F.col("idf"), F.col("tf"), F.col("dl"), avgdl, k1, b)
         return m.groupBy("qid", "doc_id").agg(F.sum(contrib).alias("score"))
 
+    def best_in_blocks(self, queries: DataFrame, k: int, k1=None, b=None) -> DataFrame:
+        """``(qid, doc_id, score)``, the k best of each query among them: k a query and block at most.
+
+        The query terms, with their weights, are written and broadcast."""
+        spark = queries.sparkSession
+        ship_package(spark)
+        bound_batches(spark)
+        k1 = F.lit(float(self.k1 if k1 is None else k1))
+        b = F.lit(float(self.b if b is None else b))
+        asked = written(self._weighted_query_terms(queries).withColumn("avgdl", self.scalar("avgdl")), "query-terms")
+        n_blocks = max(1, -(-asked.count() // TERMS_PER_QUERY_BLOCK))
+        weighted = written(asked.select("term", "idf", "avgdl").distinct(), "weighted-terms")
+        blocks = asked.groupBy(F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct("qid", "term")).alias("asked"))
+        blocks = written(blocks.select("asked"), "query-blocks")
+        weight = bm25_term_score(F.col("idf"), F.col("tf"), F.col("dl"), F.col("avgdl"), k1, b)
+        rows = self.postings.join(F.broadcast(weighted), "term").select("doc_id", "term", weight.alias("weight"))
+        docs = rows.groupBy("doc_id").agg(F.collect_list("term").alias("terms"), F.collect_list("weight").alias("weights"))
+        id_field, qid_field = (T.StructField(c, df.schema[c].dataType) for c, df in (("doc_id", self.postings), ("qid", queries)))
+        packed = docs.mapInArrow(packer, f"ids array<{id_field.dataType.simpleString()}>, vocabulary array<string>, sizes binary, codes binary, weights binary")
+        schema = T.StructType([qid_field, id_field, T.StructField("score", T.DoubleType())])
+        return packed.crossJoin(F.broadcast(blocks)).mapInArrow(scorer(k, to_arrow_schema(schema)), schema)
+
     def search(
         self, queries: DataFrame, k: int = 10, k1=None, b=None, broadcast: bool | None = None, decimals: int = RANK_DECIMALS
     ) -> DataFrame:
         """Top-k per query ``(qid, doc_id, score, rank)``; only matching docs are returned,
         a query without tokens (or without known terms) returns no rows. Scores keep the
         ranking precision; ``decimals=4`` gives the display score (T5)."""
-        ranked = top_k(self.score_all(queries, k1, b, broadcast), k)
+        if broadcast is None:
+            broadcast = query_terms(queries).count() <= MAX_BROADCAST_QUERY_TERMS
+        found = self.best_in_blocks(queries, k, k1, b) if broadcast and not self.cached else self.score_all(queries, k1, b, broadcast)
+        ranked = top_k(found, k)
         return ranked.select("qid", "doc_id", F.round("score", decimals).alias("score"), "rank")
 
     # ---- incremental add ----------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import broadcast_if_small
+from ..session import broadcast_if_small, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,8 +98,9 @@ def text_qrels(corpus_df: DataFrame, queries_df: DataFrame, postings: DataFrame,
         pairs = cands.unionByName(degen_cands.distinct())
     texts = queries_df.select("qid", F.col("text").alias("qtext"))
     # Candidate pairs (with their query text) are the small side: the corpus is streamed
-    # through a broadcast join, never shuffled, and only candidates are checked verbatim.
-    cand = broadcast_if_small(pairs.join(texts, "qid"))
+    # through a broadcast join, never shuffled, and only candidates are checked verbatim. They are
+    # written, so counting them does not read the postings once more.
+    cand = broadcast_if_small(written(pairs.join(texts, "qid"), "candidates"))
     found = (
         corpus_df.select("doc_id", "text")
         .join(cand, "doc_id")

@@ -132,3 +132,48 @@ def test_grid_expands_few_rows(spark):
     finally:
         X.best_in_tasks = real
     assert len(got) == 12 and len(calls) == 1 and len(calls[0]) == 12
+
+
+def test_search_scores_blocks_and_ranks_as_all_pairs_do(spark, monkeypatch):
+    """Repeated and null ids, queries that come twice, ties and several blocks of either side: the
+    rows that scoring every (query, document) pair gives, without making a row of each pair."""
+    words = ["alpha", "beta", "gamma", "delta", "straße", "x_1", "zeta"]
+    docs = [(i % 37 if i % 11 else None, " ".join(words[(i * j + j) % (3 + i % 5)] for j in range(1 + i % 9))) for i in range(150)]
+    docs += [(1000 + i, "alpha beta alpha") for i in range(40)] + [(2000, ""), (2001, None)]
+    queries = [(i % 9 if i else None, " ".join(words[i % 7 :: 2] + ["unknown"])) for i in range(12)] + [(20, ""), (21, "unknown")]
+    docs, queries = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(queries, "qid long, text string")
+    monkeypatch.setattr(L, "TERMS_PER_QUERY_BLOCK", 7)
+    for index in (L.LexicalIndex.build(docs, persist=True), L.LexicalIndex.build(docs)):
+        for k in (1, 5, 100):
+            found = index.search(queries, k)
+            plain = L.top_k(index.score_all(queries), k)
+            rows = lambda df: sorted((str(r.qid), r.rank, str(r.doc_id), round(r.score, 9)) for r in df.collect())
+            assert rows(found) == rows(plain) and rows(found)
+    monkeypatch.setattr(L.LexicalIndex, "score_all", None)  # that makes a row of each pair
+    assert index.search(queries, 3).count()
+
+
+def test_packed_documents_are_bounded_and_whole(monkeypatch):
+    import pyarrow as pa
+
+    from sparkrank.operators import blocks as B
+
+    monkeypatch.setattr(B, "BLOCK_DOCS", 4)
+    ids, terms = pa.array(range(11)), pa.array([["a", "b"][: 1 + i % 2] for i in range(11)])
+    weights = pa.array([[float(i), 0.5][: 1 + i % 2] for i in range(11)])
+    got = list(B.packer(iter(pa.RecordBatch.from_arrays([ids, terms, weights], names=["doc_id", "terms", "weights"]).slice(a, 3) for a in range(0, 11, 3))))
+    assert all(len(b.column("ids")[0]) <= 4 for b in got)
+    assert [i for b in got for i in b.column("ids")[0].as_py()] == list(range(11))
+
+
+def test_python_workers_get_bounded_batches(spark):
+    from sparkrank.session import BATCH_BYTES
+
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf, None)
+    try:
+        spark.conf.set(conf, str(64 << 20))
+        D.hash_encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"))
+        assert int(spark.conf.get(conf)) <= BATCH_BYTES
+    finally:
+        spark.conf.set(conf, before) if before else spark.conf.unset(conf)
