@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import bound_batches, ship_package, spread, written
+from ..session import ship_package, spread, written
 from ..functions.text import RANK_DECIMALS, doc_length, tokenize, with_term_frequencies
 from .blocks import packer, scorer
 from .ordering import top_k
@@ -200,7 +200,6 @@ class LexicalIndex:
         The query terms, with their weights, are written and broadcast."""
         spark = queries.sparkSession
         ship_package(spark)
-        bound_batches(spark)
         k1 = F.lit(float(self.k1 if k1 is None else k1))
         b = F.lit(float(self.b if b is None else b))
         asked = written(self._weighted_query_terms(queries).withColumn("avgdl", self.scalar("avgdl")), "query-terms")

@@ -10,7 +10,6 @@
 * ``broadcast_if_small`` / ``broadcast_if_bounded`` / ``with_text``: every broadcast behind a
   size check, and late text joins that stream the corpus.
 * ``ship_package``: make this package importable by Python workers.
-* ``bound_batches`` / ``release_memory``: keep Python workers small.
 """
 
 from __future__ import annotations
@@ -157,28 +156,3 @@ def ship_package(spark) -> None:
         fh.write(buf.getvalue())
     sc.addPyFile(path)
     _SHIPPED.add(app)
-
-
-#: Batches for Python workers hold at most so many bytes: rows of any number would otherwise come
-#: in batches of the default 64 MB, several times that once they are taken apart.
-BATCH_BYTES = 4 << 20
-
-
-def bound_batches(spark) -> None:
-    """Bound the session's Arrow batches by ``BATCH_BYTES`` unless they are bounded closer already."""
-    now = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")).rstrip("bB")
-    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
-def release_memory() -> None:
-    """Give what a Python worker has freed back to the system, so that workers which wait between
-    stages do not hold their peak beside the next stage's."""
-    import ctypes
-
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
