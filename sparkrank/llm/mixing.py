@@ -75,6 +75,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction
     # A source is capped where left * weight > most * size * q * open, in whole numbers.
     capped = F.lit(False)
     before = -1
+    big = lambda c: F.col(c).cast("decimal(38,0)")
     while True:
         n, kept, open_ = rows.agg(
             F.count_if(capped),
@@ -85,13 +86,13 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction
         if n == before or not open_:
             break
         before = n
-        big = lambda c: F.col(c).cast("decimal(38,0)")
         # What is left to a unit of weight never falls, so the sources capped before are among these.
         capped = big("weight") * F.lit(left).cast("decimal(38,0)") > big("source_size") * F.lit(most * q * open_).cast("decimal(38,0)")
     own = F.col("source_size").cast("double") * most
     if not open_:
         return rows.select("source", "source_size", own.alias("target"))
-    shared = (F.col("weight") * F.lit(left)).cast("double") / F.lit(float(q * open_))
+    # Of a small ``left`` the literal is an int, whose product with an int weight overflows.
+    shared = (big("weight") * F.lit(left).cast("decimal(38,0)")).cast("double") / F.lit(float(q * open_))
     return rows.select("source", "source_size", F.when(capped, own).otherwise(shared).alias("target"))
 
 

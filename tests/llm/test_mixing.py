@@ -90,6 +90,15 @@ def test_targets_of_many_sources_and_parameters(spark):
         M.targets(df, share=Fraction(3), most=2)
 
 
+def test_targets_of_large_sources(spark):
+    # As many words as 6 GB of text: what the open sources share fits an int, its product with a weight does not.
+    sizes = {"s00": 587_000_000} | {f"s{k:02d}": 54_000_000 + 10_007 * k for k in range(1, 20)}
+    for scale in (1, 50_000):
+        df = spark.createDataFrame([(s, n * scale) for s, n in sizes.items()], "source string, source_size long")
+        got = {r.source: r.target for r in M.targets(df).collect()}
+        assert {s: pytest.approx(float(t), rel=1e-12) for s, t in plain_targets({s: n * scale for s, n in sizes.items()}).items()} == got
+
+
 def test_sources_come_near_their_targets(spark):
     rows = [(k, "w " * (1 + k % 50), "abc"[k % 3] if k % 4 else "big") for k in range(20_000)]
     got = M.mixed(table(spark, rows)).groupBy("source").agg({"taken": "sum", "target": "max"}).collect()
