@@ -56,6 +56,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 MAX_BROADCAST_KEYS = 1_000_000
 
 
+#: A join with a side of more rows is merged by a shuffle, whatever size the planner takes it for.
+MAX_PLANNED_ROWS = 100_000
+
+
+def merged_if_large(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a side of a join whose larger side has at most ``rows`` rows.
+
+    The planner takes a table for as large as its files, without the rows that an explode adds, and
+    broadcasts through the driver what seems small; beyond ``MAX_PLANNED_ROWS`` it is told to merge.
+    """
+    return df.hint("merge") if rows > MAX_PLANNED_ROWS else df
+
+
 def free(df: DataFrame, name: str) -> str:
     """``name``, with underscores behind it until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -16,6 +16,9 @@ segment are linked through the points at most one bit away from their other segm
 members are already one component is not probed at all. Only links between different
 components are left for the probe join.
 
+Fingerprints are counted; beyond a small number every join is a merge by a shuffle. The planner
+does not see that probes are many times the fingerprints, and would broadcast them.
+
 Edge cases: a null or empty text, or one without words, has fingerprint zero and is linked
 like any other; a text with fewer words than a shingle is one shingle; repeated rows share a
 fingerprint; a null ``doc_id`` never names a component unless it has no other member; an empty
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, release_memory, table, with_rows, without_rows
+from .common import cut, merged_if_large, prepare, release_memory, table, with_rows, without_rows
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -98,10 +101,11 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments searched with radius one cover distances up to 3")
+    n = fps.count()
     # 1. Fingerprints that share a whole segment meet in points near their other segment.
     seg = _segments(fps)
     shared = seg.groupBy("key").count().where("count > 1").select("key")
-    meet = seg.join(shared, "key").withColumn("point", F.explode(F.expr(_flips("rest", False))))
+    meet = seg.join(merged_if_large(shared, 2 * n), "key").withColumn("point", F.explode(F.expr(_flips("rest", False))))
     near = (
         meet.groupBy("key", "point")
         .agg(F.collect_list("fp").alias("m"))
@@ -113,7 +117,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     # 2. Probe the tables for links between what is not one component yet.
     label = components(near)
     known = cut(
-        fps.join(label.select(F.col("node").alias("fp"), "component"), "fp", "left").select(
+        fps.join(merged_if_large(label, n).select(F.col("node").alias("fp"), "component"), "fp", "left").select(
             "fp", F.coalesce("component", "fp").alias("c")
         ),
         "labelled",
@@ -121,8 +125,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     table = _segments(known).select("key", F.col("fp").alias("t_fp"), F.col("c").alias("t_c"))
     bucket = table.groupBy("key").agg(F.min("t_c").alias("lo_c"), F.max("t_c").alias("hi_c"))
     probes = _segments(known).select(F.explode(F.expr(_flips_of_segment())).alias("key"), "fp", "c")
-    open_ = probes.join(bucket, "key").where("lo_c != c or hi_c != c").select("key", "fp", "c")
-    found = open_.join(table, "key").where(F.expr(f"t_c != c and bit_count(fp ^ t_fp) <= {max_bits}"))
+    # A probe for each segment and bit: at most 66 a fingerprint.
+    open_ = probes.join(merged_if_large(bucket, 66 * n), "key").where("lo_c != c or hi_c != c").select("key", "fp", "c")
+    found = open_.join(merged_if_large(table, 66 * n), "key").where(F.expr(f"t_c != c and bit_count(fp ^ t_fp) <= {max_bits}"))
     return near.unionByName(found.select(F.least("fp", "t_fp").alias("a"), F.greatest("fp", "t_fp").alias("b")).distinct())
 
 
@@ -146,13 +151,14 @@ def simhash_components(
     rows = cut(fingerprints(docs, id_col, text_col, width), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "h")
     classes = cut(rows.groupBy("fp").agg(F.min(order).alias("first"), F.count("*").alias("n")), "classes")
+    n = classes.count()
     label = components(fingerprint_links(classes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    linked = cut(classes.join(label, "fp", "left").withColumn("root", F.coalesce("component", "fp")), "roots")
+    linked = cut(classes.join(merged_if_large(label, n), "fp", "left").withColumn("root", F.coalesce("component", "fp")), "roots")
     least = linked.groupBy("root").agg(F.min("first").alias("head"))
     # A class of one row that heads its component needs no join.
-    shown = linked.join(least, "root").where("n > 1 or first != head").select("fp", "head")
+    shown = linked.join(merged_if_large(least, n), "root").where("n > 1 or first != head").select("fp", "head")
     alone = F.col("head").isNull()
-    return rows.join(shown, "fp", "left").select(
+    return rows.join(merged_if_large(shown, n), "fp", "left").select(
         "doc_id",
         "h",
         "fp",

@@ -41,6 +41,26 @@ def test_links_give_all_components(spark, brute, bits):
     assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
 
 
+def test_probes_are_not_broadcast(spark, tmp_path):
+    # 2,000 fingerprints are a file of 16 KB, their probes 68,000 rows.
+    spark.range(2000).selectExpr("xxhash64(id) as fp").write.parquet(f"{tmp_path}/fps")
+    links = S.fingerprint_links(spark.read.parquet(f"{tmp_path}/fps"))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and plan.count("SortMergeJoin") == 2
+    assert links.count() == 0
+
+
+def test_components_merge_many_links(spark, monkeypatch):
+    from sparkrank.llm import common
+
+    pairs = [(i, i + 1) for i in range(0, 90)] + [(200, i) for i in range(201, 260)]
+    links = spark.createDataFrame(pairs, "a long, b long")
+    want = sorted(map(tuple, components(links).collect()))
+    monkeypatch.setattr(common, "MAX_PLANNED_ROWS", 10)
+    assert sorted(map(tuple, components(links).collect())) == want
+    assert {c for _, c in want} == {0, 200}
+
+
 def test_components_of_chains_and_hubs(spark):
     pairs = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 700)] + [(3, 3), (None, 4), (9, 8), (8, 9), (700, 699)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
