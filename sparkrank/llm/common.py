@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, scratch_path, ship_package
+from ..session import ensure_checkpoint_dir, release_memory, scratch_path, ship_package  # noqa: F401 (release_memory: for this package's operators)
 
 
 #: Batches for Python workers hold at most so many bytes: whole texts of any number of rows would
@@ -23,19 +23,6 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def release_memory() -> None:
-    """Give what a Python worker has freed back to the system, so that workers which wait between
-    stages do not hold their peak beside the next stage's."""
-    import ctypes
-
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from ..functions.text import RANK_DECIMALS
+from ..session import release_memory
 
 #: A threshold is only worth its selection while at least so many times the bucket's documents
 #: are left among the postings to add. It never changes a result.
@@ -135,6 +136,8 @@ def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs, postings = docs + b.num_rows, postings + len(b.column(1).flatten())
     if held:
         yield _packed(held)
+    held.clear()
+    release_memory()
 
 
 def _best_of_block(ids: pa.Array, vocabulary: pa.Array, sizes: np.ndarray, codes: np.ndarray, weights: np.ndarray, asked: pa.Array, k: int):
@@ -180,5 +183,6 @@ def scorer(k: int, schema: pa.Schema):
                 flat = (np.frombuffer(b.column(c)[r].as_buffer(), t) for c, t in (("sizes", np.int32), ("codes", np.int32), ("weights", np.float64)))
                 cols = _best_of_block(ids, vocabulary, *flat, asked, k)
                 yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(cols, schema)], schema=schema)
+        release_memory()
 
     return run

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import RANK_DECIMALS, rank_key, tokenize
-from ..session import ship_package, spread
+from ..session import bound_batches, release_memory, ship_package, spread
 from .ordering import top_k
 
 DEFAULT_DIM = 64
@@ -64,7 +64,7 @@ def term_sign(term) -> "F.Column":
 
 # Tokens that one step of the encoder sums at once, and terms whose bucket a worker remembers.
 TOKENS_AT_ONCE = 262_144
-MAX_KNOWN_TERMS = 500_000
+MAX_KNOWN_TERMS = 100_000
 
 
 def _signed_buckets(terms: list[str], dim: int, known: dict[str, int]) -> np.ndarray:
@@ -104,6 +104,7 @@ def _bucket_sum_udf(dim: int):
                 norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
                 np.divide(m, norm, out=out[row:stop], where=norm > 0)
             row = stop
+        release_memory()
         return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * dim, pa.int32()), pa.array(out.ravel()))
 
     return bucket_sum
@@ -117,6 +118,7 @@ def hash_encode(texts: DataFrame, id_col: str = "doc_id", text: str = "text", di
     No shuffle.
     """
     ship_package(texts.sparkSession)
+    bound_batches(texts.sparkSession)
     toks = spread(texts).select(id_col, tokenize(text).alias("__tokens"))
     return toks.select(id_col, _bucket_sum_udf(dim)(F.col("__tokens")).alias("embedding"))
 

@@ -6,6 +6,7 @@
   folder for lineage cuts, streaming checkpoints and round-trip sinks) and sets it only when
   unset, as in tests.
 * ``written``: a table that several branches read, evaluated once.
+* ``bound_batches`` / ``release_memory``: what Python workers hold, in a batch and between stages.
 * ``spread``: parallelise tiny inputs without ever shuffling large ones.
 * ``broadcast_if_small`` / ``broadcast_if_bounded`` / ``with_text``: every broadcast behind a
   size check, and late text joins that stream the corpus.
@@ -87,6 +88,30 @@ def spread(df):
     return df
 
 
+#: Arrow batches of token arrays hold at most so many bytes: a worker holds a batch several times over.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark) -> None:
+    """Bound the session's Arrow batches by ``BATCH_BYTES`` unless they are bounded closer already."""
+    now = str(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m")).rstrip("bB")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def release_memory() -> None:
+    """Give what a Python worker has freed back to the system, so that workers which wait between
+    stages do not hold their peak beside the next stage's."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 # Largest table (rows) hinted for broadcast by ``broadcast_if_small``.
 MAX_BROADCAST_ROWS = 2_000_000
 

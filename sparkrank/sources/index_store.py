@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.lexical import LexicalIndex, corpus_stats_of, postings_of, term_stats_of
+from ..operators.lexical import LexicalIndex, corpus_stats_of, per_document, postings_of, term_stats_of
 
 DEFAULT_BUCKETS = 64
 #: Documents whose postings one task sorts and one search task reads, about.
@@ -91,6 +91,19 @@ def load_lexical(spark: SparkSession, path: str) -> LexicalIndex:
     )
 
 
+def write_documents(corpus: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> LexicalIndex:
+    """An index for one job: a row of terms for each document, written once in buckets of ``doc_id``.
+
+    Postings are unnested where they are read and keep the buckets, so a search sums per document
+    without an exchange; nothing of the size of the corpus is held in memory."""
+    name = _table_name("documents")
+    rows = per_document(corpus, cluster=buckets)
+    rows.write.bucketBy(buckets, "doc_id").option("path", path).saveAsTable(name)
+    per_doc = corpus.sparkSession.table(name)
+    postings, doc_stats = postings_of(per_doc), per_doc.select("doc_id", "dl")
+    return LexicalIndex(postings, doc_stats, term_stats_of(postings), corpus_stats_of(doc_stats), per_doc=per_doc)
+
+
 def save_vectors(vectors: DataFrame, path: str) -> None:
     """``vectors(doc_id, embedding)`` as Parquet (plus ``cell_id`` partitions for IVF)."""
     w = vectors.write.mode("overwrite")
