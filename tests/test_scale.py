@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkrank.operators import dense as D
 from sparkrank.operators import lexical as L
 from sparkrank.operators.ivf import IVFIndex
+from sparkrank.plans import catalog
 from sparkrank.plans.catalog import arriving
 from sparkrank.sources import index_store as IS
 from sparkrank.sources import segment_store as SS
@@ -164,3 +165,26 @@ def test_packed_documents_are_bounded_and_whole(monkeypatch):
     got = list(B.packer(iter(pa.RecordBatch.from_arrays([ids, terms, weights], names=["doc_id", "terms", "weights"]).slice(a, 3) for a in range(0, 11, 3))))
     assert all(len(b.column("ids")[0]) <= 4 for b in got)
     assert [i for b in got for i in b.column("ids")[0].as_py()] == list(range(11))
+
+
+def test_fusion_and_snippets_cache_nothing(spark, tmp_path):
+    """The index of a search is written in buckets: no part of the corpus stays in executors, its
+    postings are summed by document without an exchange, and Arrow batches are bounded."""
+    docs = [(i, f"alpha beta{i % 7} gamma" * (1 + i % 3) + f" w{i}") for i in range(60)] + [(90, ""), (91, None), (None, "alpha"), (3, "alpha again")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "alpha beta3"), (2, "w5 w9"), (3, " "), (4, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.catalog.clearCache()
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = {n: catalog.QUERIES[n](spark, str(tmp_path)).collect() for n in ("snippets", "fuse_rrf_weighted")}
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) == before
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 8 << 20
+    cached = catalog.lexical_index(spark, str(tmp_path))
+    queries = catalog.C.queries(spark, str(tmp_path))
+    want = {(r.qid, r.doc_id, r["rank"], r.score) for r in cached.search(queries, k=10, decimals=4).collect() if r.doc_id is not None}
+    assert {(r.qid, r.doc_id, r["rank"], r.display_score) for r in found["snippets"] if r.doc_id is not None} == want and len(want) > 10
+    assert len(found["fuse_rrf_weighted"]) >= 20
+    index = catalog.block_index(spark, str(tmp_path))
+    plan = index.postings.groupBy("doc_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    spark.catalog.clearCache()
